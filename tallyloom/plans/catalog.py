@@ -76,3 +76,102 @@ def q_roadmap_table(spark, d):
 @query("state_comment")
 def q_state_comment(spark, d):
     return graph.state_comment(fx.nodes(spark, d))
+
+
+# ---- 2.1 / 2.4 / 2.5 / 2.7 issue tables ------------------------------------------
+
+from tallyloom.operators import issues as iss  # noqa: E402
+
+AS_OF_ISSUES = "1998-12-31"
+
+
+def _issue_row(df: DataFrame) -> DataFrame:
+    return df.select("repo", "number", "title", "rank", F.date_format("created_at", "yyyy-MM-dd").alias("created"))
+
+
+@query("scan_issues")
+def q_scan_issues(spark, d):
+    return iss.scan_issues(fx.issues(spark, d)).select(
+        "repo", "number", "title", "body", "state", F.date_format("created_at", "yyyy-MM-dd").alias("created"),
+        F.array_join("labels", ",").alias("labels"), "url")
+
+
+@query("list_open_plans")
+def q_list_open_plans(spark, d):
+    return _issue_row(iss.open_plans_topk(fx.issues(spark, d), iss.PLAN_LABEL, "OPEN", iss.OPEN_LIST_CAP))
+
+
+@query("list_open_objectives")
+def q_list_open_objectives(spark, d):
+    return _issue_row(iss.open_plans_topk(fx.issues(spark, d), iss.OBJECTIVE_LABEL, "OPEN", iss.OPEN_LIST_CAP))
+
+
+@query("open_plans_topk")
+def q_open_plans_topk(spark, d):
+    """The closed-list cap: newest 100 closed plans per repo."""
+    return _issue_row(iss.open_plans_topk(fx.issues(spark, d), iss.PLAN_LABEL, "CLOSED", iss.CLOSED_LIST_CAP))
+
+
+@query("unlearned_plans")
+def q_unlearned_plans(spark, d):
+    return iss.unlearned_plans(fx.issues(spark, d)).select(
+        "repo", "number", "title", F.date_format("created_at", "yyyy-MM-dd").alias("created"))
+
+
+def _event_out(df: DataFrame) -> DataFrame:
+    return df.select("repo", "issue", F.date_format("closed_at", "yyyy-MM-dd HH:mm:ss").alias("closed_at"),
+                     F.col("seq").cast("bigint").alias("seq"), "closer_type", "pr_number", "pr_state")
+
+
+@query("latest_close_event")
+def q_latest_close_event(spark, d):
+    return _event_out(iss.latest_close_event(fx.close_events(spark, d)))
+
+
+@query("linked_pr")
+def q_linked_pr(spark, d):
+    return iss.linked_pr(fx.close_events(spark, d), fx.pull_requests(spark, d)).select(
+        "repo", "issue", "pr_number", "pr_title", "head_ref")
+
+
+@query("pr_for_branch")
+def q_pr_for_branch(spark, d):
+    from tallyloom.functions.text import first_line
+    return iss.pr_for_branch(fx.pull_requests(spark, d)).select(
+        "repo", "head_ref", "number", "title", first_line(F.col("body")).alias("first_line"))
+
+
+@query("scan_comments")
+def q_scan_comments(spark, d):
+    return fx.comments(spark, d)
+
+
+@query("conversation_of")
+def q_conversation_of(spark, d):
+    return iss.conversation_of(fx.comments(spark, d))
+
+
+@query("resolve_ref")
+def q_resolve_ref(spark, d):
+    return iss.resolve_ref(fx.pull_requests(spark, d), fx.issues(spark, d))
+
+
+@query("reference_edges")
+def q_reference_edges(spark, d):
+    return iss.reference_edges(fx.issues(spark, d), fx.pull_requests(spark, d)).select(
+        "kind", "repo", "from_number", "to_number", "matched")
+
+
+@query("plan_links")
+def q_plan_links(spark, d):
+    return iss.plan_links(fx.issues(spark, d))
+
+
+@query("plan_listing")
+def q_plan_listing(spark, d):
+    return iss.plan_listing(fx.issues(spark, d), AS_OF_ISSUES)
+
+
+@query("closed_only")
+def q_closed_only(spark, d):
+    return iss.closed_only(fx.issues(spark, d))

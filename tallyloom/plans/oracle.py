@@ -108,3 +108,144 @@ SQL["state_comment"] = with_(nodes_cte()) + f"""
 SELECT repo, objective, CAST(0 AS BIGINT) AS part,
        '<!-- loom:nodes [' || string_agg({NODE_JSON_SQL}, ',' ORDER BY pos) || '] -->' AS blob
 FROM nodes GROUP BY repo, objective"""
+
+
+# ---- issue tables -----------------------------------------------------------------
+
+ISSUES = """issues AS (
+  SELECT concat('r', o_custkey % 10) AS repo, o_orderkey AS number,
+         concat('Plan ', o_orderkey, ': ', o_orderpriority) AS title,
+         CASE WHEN o_orderkey % 26 = 5 THEN NULL
+              WHEN o_orderkey % 2 = 0 THEN concat('Objective: #', o_custkey, ' (node ', o_orderkey, ')')
+              ELSE 'plain' END AS body,
+         CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' ELSE 'OPEN' END AS state,
+         o_orderdate AS created_at,
+         list_filter([CASE WHEN o_orderpriority = '5-LOW' THEN 'objective' ELSE 'plan' END,
+                      CASE WHEN o_orderkey % 3 = 0 THEN 'learned' END], lambda x: x IS NOT NULL) AS labels,
+         concat('https://host/r', o_custkey % 10, '/issues/', o_orderkey) AS url,
+         o_custkey, o_orderkey
+  FROM orders)"""
+
+CLOSE_EVENTS = """close_events AS (
+  SELECT concat('r', o_custkey % 10) AS repo, l_orderkey AS issue, l_shipdate AS closed_at,
+         CAST(l_linenumber AS BIGINT) AS seq,
+         CASE WHEN l_linestatus = 'O' THEN 'PullRequest' ELSE 'User' END AS closer_type,
+         l_partkey AS closer_id,
+         CASE WHEN l_linestatus = 'O' THEN l_partkey END AS pr_number,
+         CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_returnflag = 'R' THEN 'MERGED'
+              WHEN l_returnflag = 'A' THEN 'CLOSED' ELSE 'OPEN' END END AS pr_state,
+         l_suppkey AS actor
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+REPO_LIST = "[" + ", ".join(f"'r{i}'" for i in range(10)) + "]"
+
+PRS = f"""pull_requests AS (
+  SELECT r.repo, p_partkey AS number,
+         CASE WHEN p_partkey % 4 = 0 THEN concat('feat-', p_partkey, '-', p_size) ELSE 'main' END AS head_ref,
+         CASE p_size % 6 WHEN 0 THEN concat('Closes #', p_partkey)
+              WHEN 1 THEN concat('fixes #1 then closes #', p_partkey)
+              WHEN 2 THEN concat('RESOLVES #', p_partkey)
+              WHEN 3 THEN concat('closes #abc, fixes #', p_partkey)
+              WHEN 4 THEN concat('discloses #', p_partkey) ELSE 'no reference' END AS body,
+         p_name AS title,
+         concat('diff --git a/', p_type, ' b/', p_type, chr(10), repeat(concat('+', p_name, chr(10)), p_size * 8)) AS diff,
+         p_size, p_partkey,
+         CASE WHEN p_size % 6 < 5 THEN p_partkey END AS body_ref,
+         CASE WHEN p_partkey % 4 = 0 THEN p_partkey END AS branch_ref
+  FROM part CROSS JOIN (SELECT unnest({REPO_LIST}) AS repo) r)"""
+
+COMMENTS = """comments AS (
+  SELECT concat('r', o_custkey % 10) AS repo, conv_id AS issue, turn AS seq,
+         CASE WHEN role = 'assistant' THEN '<!-- loom:conversation -->' || chr(10) || text ELSE text END AS body,
+         role, text
+  FROM conversations JOIN orders ON conv_id = o_orderkey)"""
+
+# White_Space characters (what a Unicode-aware trim removes), for RE2.
+WS = r"[\t\n\x0B\f\r\x{85}\p{Z}]"
+
+
+def trim_ws(expr: str) -> str:
+    return f"regexp_replace({expr}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def age_sql(date_expr: str, as_of: str) -> str:
+    n = f"date_diff('day', {date_expr}, DATE '{as_of}')"
+    return (f"CASE WHEN {n} = 0 THEN 'today' WHEN {n} = 1 THEN '1 day ago' "
+            f"ELSE concat({n}, ' days ago') END")
+
+
+def topk_sql(label: str, state: str, k: int) -> str:
+    return with_(ISSUES) + f"""
+SELECT repo, number, title, rank, strftime(created_at, '%Y-%m-%d') AS created FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY repo ORDER BY created_at DESC, number DESC) AS BIGINT) AS rank
+  FROM issues WHERE state = '{state}' AND list_contains(labels, '{label}')) WHERE rank <= {k}"""
+
+
+SQL["scan_issues"] = with_(ISSUES) + """
+SELECT repo, number, title, coalesce(body, '') AS body, state, strftime(created_at, '%Y-%m-%d') AS created,
+       array_to_string(labels, ',') AS labels, url FROM issues"""
+SQL["list_open_plans"] = topk_sql("plan", "OPEN", 50)
+SQL["list_open_objectives"] = topk_sql("objective", "OPEN", 50)
+SQL["open_plans_topk"] = topk_sql("plan", "CLOSED", 100)
+SQL["unlearned_plans"] = with_(ISSUES) + """
+SELECT repo, number, title, strftime(created_at, '%Y-%m-%d') AS created FROM issues
+WHERE state = 'CLOSED' AND list_contains(labels, 'plan') AND NOT list_contains(labels, 'learned')"""
+
+LATEST = """latest AS (
+  SELECT * FROM close_events
+  QUALIFY row_number() OVER (PARTITION BY repo, issue ORDER BY closed_at DESC, seq DESC, closer_id DESC, actor DESC) = 1)"""
+
+SQL["latest_close_event"] = with_(CLOSE_EVENTS, LATEST) + """
+SELECT repo, issue, strftime(closed_at, '%Y-%m-%d %H:%M:%S') AS closed_at, seq, closer_type, pr_number, pr_state
+FROM latest"""
+
+SQL["linked_pr"] = with_(CLOSE_EVENTS, LATEST, PRS) + """
+SELECT l.repo, l.issue, l.pr_number, p.title AS pr_title, p.head_ref
+FROM latest l JOIN pull_requests p ON l.repo = p.repo AND l.pr_number = p.number
+WHERE l.closer_type = 'PullRequest' AND l.pr_state = 'MERGED'"""
+
+SQL["pr_for_branch"] = with_(PRS) + """
+SELECT repo, head_ref, max(number) AS number, arg_max(title, number) AS title,
+       split_part(arg_max(body, number), chr(10), 1) AS first_line
+FROM pull_requests GROUP BY repo, head_ref"""
+
+SQL["scan_comments"] = with_(COMMENTS) + "SELECT repo, issue, seq, body FROM comments"
+
+SQL["conversation_of"] = with_(COMMENTS) + f"""
+SELECT repo, issue, min(seq) AS seq, {trim_ws("arg_min(text, seq)")} AS conversation
+FROM comments WHERE role = 'assistant' GROUP BY repo, issue"""
+
+SQL["resolve_ref"] = with_(PRS, ISSUES) + """
+SELECT p.repo, p.number AS pr_number, coalesce(p.body_ref, p.branch_ref) AS ref_issue,
+       CASE WHEN p.body_ref IS NOT NULL THEN 'body' WHEN p.branch_ref IS NOT NULL THEN 'branch' END AS ref_source,
+       i.state AS issue_state,
+       CASE WHEN i.state IS NOT NULL AND i.state <> 'CLOSED' THEN 'open_issue' ELSE 'fallback_open_plans' END AS outcome
+FROM pull_requests p LEFT JOIN issues i ON i.repo = p.repo AND i.number = coalesce(p.body_ref, p.branch_ref)"""
+
+SQL["reference_edges"] = with_(ISSUES, PRS) + """
+, edges AS (
+  SELECT 'objective' AS kind, repo, number AS from_number, o_custkey AS to_number FROM issues WHERE o_orderkey % 2 = 0 AND o_orderkey % 26 <> 5
+  UNION ALL SELECT 'url', repo, number, number FROM issues
+  UNION ALL SELECT 'closes', repo, number, body_ref FROM pull_requests WHERE body_ref IS NOT NULL
+  UNION ALL SELECT 'branch', repo, number, branch_ref FROM pull_requests WHERE branch_ref IS NOT NULL)
+SELECT e.kind, e.repo, e.from_number, e.to_number, i.number IS NOT NULL AS matched
+FROM edges e LEFT JOIN issues i ON i.repo = e.repo AND i.number = e.to_number"""
+
+SQL["plan_links"] = with_(ISSUES) + """
+SELECT c.repo, c.o_custkey AS parent, c.number AS child, CAST(c.o_orderkey AS VARCHAR) AS node_id,
+       CASE WHEN p.number IS NOT NULL THEN 'linked' ELSE 'missing_parent' END AS status
+FROM issues c LEFT JOIN issues p ON p.repo = c.repo AND p.number = c.o_custkey
+WHERE c.o_orderkey % 2 = 0 AND c.o_orderkey % 26 <> 5"""
+
+SQL["plan_listing"] = with_(ISSUES) + f"""
+SELECT repo, number, rank,
+       concat('#', CASE WHEN length(CAST(number AS VARCHAR)) >= 4 THEN CAST(number AS VARCHAR)
+                        ELSE rpad(CAST(number AS VARCHAR), 4, ' ') END, ' ', title, ' (',
+              {age_sql("CAST(created_at AS DATE)", "1998-12-31")}, ')') AS line
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY repo ORDER BY created_at DESC, number DESC) AS BIGINT) AS rank
+      FROM issues WHERE state = 'OPEN' AND list_contains(labels, 'plan')) WHERE rank <= 50"""
+
+SQL["closed_only"] = with_(ISSUES) + """
+SELECT repo, number, CASE WHEN state = 'CLOSED' THEN 'accepted' ELSE 'rejected' END AS outcome,
+       CASE WHEN state <> 'CLOSED' THEN concat('issue #', number, ' is not closed (state: ', state, ')') END AS reason
+FROM issues WHERE list_contains(labels, 'plan')"""
