@@ -175,3 +175,132 @@ def q_plan_listing(spark, d):
 @query("closed_only")
 def q_closed_only(spark, d):
     return iss.closed_only(fx.issues(spark, d))
+
+
+# ---- 2.1 / 2.2 / 2.3 / 2.5 / 2.6 / 2.8 / 2.9 notes ----------------------------------------
+
+from tallyloom.functions import text as T  # noqa: E402
+from tallyloom.operators import notes as nt  # noqa: E402
+
+AS_OF_NOTES = "2024-02-01"
+
+
+def _scanned(spark, d):
+    return nt.scan_notes(nt.render_notes(fx.notes(spark, d)))
+
+
+def _ids_txt(c):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+def _tw_txt(c):
+    return F.array_join(F.transform(c, lambda t: F.concat(t["action"], F.lit("=>"), t["warning"])), "|")
+
+
+@query("render_notes")
+def q_render_notes(spark, d):
+    return nt.render_notes(fx.notes(spark, d))
+
+
+@query("scan_notes")
+def q_scan_notes(spark, d):
+    return _scanned(spark, d).select("repo", "category", "slug", "rank", "content")
+
+
+@query("ordered_notes")
+def q_ordered_notes(spark, d):
+    return nt.ordered_notes(_scanned(spark, d)).select("repo", "category", "slug", "ord")
+
+
+@query("notes_digest")
+def q_notes_digest(spark, d):
+    return nt.notes_digest(_scanned(spark, d)).select("repo", "part", "n_items", "digest")
+
+
+@query("hooks_concat")
+def q_hooks_concat(spark, d):
+    return nt.hooks_concat(fx.hooks(spark, d)).select("repo", "part", "n_items", "hooks")
+
+
+@query("routing_index")
+def q_routing_index(spark, d):
+    return nt.routing_rows(_scanned(spark, d)).select("repo", "category", "slug", "file", "title",
+                                                      "read_when", "line")
+
+
+@query("note_catalog")
+def q_note_catalog(spark, d):
+    c = nt.note_catalog(_scanned(spark, d))
+    return c.select("repo", "category", "slug", "title", F.array_join("read_when", "|").alias("read_when"),
+                    F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"),
+                    _ids_txt(F.col("source_issues")).alias("source_issues"), "body")
+
+
+@query("audit_prompt")
+def q_audit_prompt(spark, d):
+    return nt.audit_prompt(_scanned(spark, d)).select("repo", "part", "n_items", "files")
+
+
+@query("union_issues")
+def q_union_issues(spark, d):
+    items = fx.learning_items(spark, d)
+    agg = items.groupBy(*nt.NOTE_KEY).agg(F.collect_set("issue").alias("new"))
+    old = fx.notes(spark, d).select(*nt.NOTE_KEY, "source_issues")
+    j = agg.join(old, nt.NOTE_KEY, "left")
+    ids = nt.union_issues(F.coalesce("source_issues", F.array().cast("array<bigint>")), F.col("new"))
+    return j.select(*nt.NOTE_KEY, _ids_txt(ids).alias("source_issues"))
+
+
+@query("upsert_notes")
+def q_upsert_notes(spark, d):
+    u = nt.upsert_notes(fx.notes(spark, d), fx.learning_items(spark, d), AS_OF_NOTES)
+    return u.select(*nt.NOTE_KEY, "title", F.array_join("read_when", "|").alias("read_when"),
+                    _tw_txt(F.col("tripwires")).alias("tripwires"),
+                    F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"),
+                    _ids_txt(F.col("source_issues")).alias("source_issues"), "body", "change")
+
+
+@query("compact_merge")
+def q_compact_merge(spark, d):
+    m = nt.compact_merge(fx.notes(spark, d), fx.audit_actions(spark, d), AS_OF_NOTES)
+    return m.select(*nt.NOTE_KEY, "n_sources", _ids_txt(F.col("source_issues")).alias("source_issues"),
+                    "body_replaced", "content")
+
+
+@query("compact_delete")
+def q_compact_delete(spark, d):
+    """Reference behaviour (``on_orphan='drop'``)."""
+    return nt.compact_delete(fx.notes(spark, d), fx.audit_actions(spark, d), on_orphan="drop")
+
+
+@query("orphan_merges")
+def q_orphan_merges(spark, d):
+    return nt.orphan_merges(fx.notes(spark, d), fx.audit_actions(spark, d))
+
+
+@query("audit_coverage")
+def q_audit_coverage(spark, d):
+    return nt.audit_coverage(_scanned(spark, d), fx.audit_actions(spark, d))
+
+
+@query("action_counts")
+def q_action_counts(spark, d):
+    return nt.action_counts(fx.audit_actions(spark, d))
+
+
+@query("content_drift")
+def q_content_drift(spark, d):
+    exp, act = fx.manifests(spark, d)
+    return nt.content_drift(exp, act)
+
+
+@query("managed_block")
+def q_managed_block(spark, d):
+    out = nt.managed_block(fx.managed(spark, d).select("page_id", "repo", "text"), fx.notes(spark, d))
+    return out.select("page_id", "repo", "action", F.length("text").cast("bigint").alias("text_len"),
+                      F.sha2("text", 256).alias("text_sha"))
+
+
+@query("marker_span")
+def q_marker_span(spark, d):
+    return fx.managed(spark, d).select("page_id", T.marker_span(F.col("html"), "<!-- ad ", " -->").alias("span"))

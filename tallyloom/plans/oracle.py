@@ -249,3 +249,222 @@ SQL["closed_only"] = with_(ISSUES) + """
 SELECT repo, number, CASE WHEN state = 'CLOSED' THEN 'accepted' ELSE 'rejected' END AS outcome,
        CASE WHEN state <> 'CLOSED' THEN concat('issue #', number, ' is not closed (state: ', state, ')') END AS reason
 FROM issues WHERE list_contains(labels, 'plan')"""
+
+
+# ---- notes ---------------------------------------------------------------------------
+
+CATS = "['patterns', 'tripwires', 'architecture', 'testing']"
+
+
+def category_of(expr: str) -> str:
+    return f"CASE WHEN ({expr}) % 40 = 39 THEN 'other' ELSE ({CATS})[({expr}) % 4 + 1] END"
+
+
+def render_sql(title, read_when, tw_text, last_updated, ids_text, body) -> str:
+    """Rendered note text; ``tw_text`` is the full tripwires block."""
+    return f"""('---' || chr(10)
+  || CASE WHEN {title} IS NOT NULL THEN 'title: "' || {title} || '"' || chr(10) ELSE '' END
+  || 'read_when:' || chr(10)
+  || coalesce(array_to_string(list_transform({read_when}, lambda x: '  - "' || x || '"' || chr(10)), ''), '')
+  || {tw_text}
+  || 'last_updated: "' || {last_updated} || '"' || chr(10)
+  || 'source_issues: [' || {ids_text} || ']' || chr(10) || '---' || chr(10) || chr(10) || {body} || chr(10))"""
+
+
+NOTE_TW = ("CASE WHEN has_tw THEN 'tripwires:' || chr(10) || '  - action: \"editing ' || source || '\"' || chr(10) "
+           "|| '    warning: \"check ' || lang || '\"' || chr(10) ELSE 'tripwires: []' || chr(10) END")
+
+NOTES_BASE = f"""notes0 AS (
+  SELECT doc_id, concat('r', doc_id % 10) AS repo, {category_of('doc_id')} AS category,
+         concat('n', doc_id) AS slug,
+         CASE WHEN doc_id % 11 = 0 THEN NULL ELSE concat('Note ', doc_id) END AS title,
+         (['lang ' || lang, 'source ' || source])[1:CAST(doc_id % 3 AS INTEGER)] AS read_when,
+         doc_id % 5 = 0 AS has_tw, source, lang,
+         DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER) AS last_updated,
+         [doc_id % 50, doc_id % 50 + 7] AS source_issues,
+         text AS body
+  FROM documents),
+notes AS (
+  SELECT *, {render_sql('title', 'read_when', NOTE_TW, "strftime(last_updated, '%Y-%m-%d')",
+                        "concat(doc_id % 50, ', ', doc_id % 50 + 7)", 'body')} AS content,
+         list_position({CATS}, category) AS rank, slug || '.md' AS fname
+  FROM notes0)"""
+
+SCANNED = f"""scanned AS (SELECT * FROM notes WHERE category IN ('patterns', 'tripwires', 'architecture', 'testing'))"""
+
+
+def parts_sql(src: str, piece: str, sep: str, order: str, out: str, part_rows: int = 2000) -> str:
+    return f"""SELECT repo, CAST((ord - 1) // {part_rows} AS BIGINT) AS part, count(*) AS n_items,
+       string_agg({piece}, {sep} ORDER BY ord) AS {out}
+FROM (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY {order}) AS ord FROM {src})
+GROUP BY repo, part"""
+
+
+SQL["render_notes"] = with_(NOTES_BASE) + """
+SELECT repo, category, slug, category || '/' || slug || '.md' AS path, content FROM notes"""
+
+SQL["scan_notes"] = with_(NOTES_BASE, SCANNED) + "SELECT repo, category, slug, CAST(rank AS BIGINT) AS rank, content FROM scanned"
+
+SQL["ordered_notes"] = with_(NOTES_BASE, SCANNED) + """
+SELECT repo, category, slug, CAST(row_number() OVER (PARTITION BY repo ORDER BY rank, fname) AS BIGINT) AS ord
+FROM scanned"""
+
+SQL["notes_digest"] = with_(NOTES_BASE, SCANNED) + parts_sql(
+    "scanned", "'### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10)",
+    "''", "rank, fname", "digest")
+
+HOOKS = """hooks AS (
+  SELECT concat('r', doc_id % 10) AS repo,
+         CASE WHEN doc_id % 7 = 0 THEN 'README.md' WHEN doc_id % 7 = 1 THEN 'x.txt'
+              ELSE concat('h', doc_id, '.md') END AS path, lang AS text
+  FROM documents)"""
+
+SQL["hooks_concat"] = with_(HOOKS) + """, h AS (SELECT * FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md')
+""" + parts_sql("h", "text", "chr(10) || chr(10)", "path", "hooks")
+
+ROUTING = """routing AS (
+  SELECT repo, category, slug, rank, fname, '@memory/' || category || '/' || slug || '.md' AS file,
+         coalesce(title, slug) AS title,
+         CASE WHEN len(read_when) = 0 THEN '—' ELSE array_to_string(read_when, '; ') END AS read_when
+  FROM scanned)"""
+
+SQL["routing_index"] = with_(NOTES_BASE, SCANNED, ROUTING) + """
+SELECT repo, category, slug, file, title, read_when,
+       '| ' || file || ' | ' || title || ' | ' || read_when || ' |' AS line
+FROM routing"""
+
+SQL["note_catalog"] = with_(NOTES_BASE, SCANNED) + """
+SELECT repo, category, slug, title, array_to_string(read_when, '|') AS read_when,
+       strftime(last_updated, '%Y-%m-%d') AS last_updated, array_to_string(source_issues, ',') AS source_issues,
+       body
+FROM scanned"""
+
+SQL["audit_prompt"] = with_(NOTES_BASE, SCANNED) + parts_sql(
+    "scanned", "'### ' || category || '/' || slug || chr(10) || content || chr(10)", "chr(10)",
+    "rank, fname", "files")
+
+ITEMS = f"""items AS (
+  SELECT concat('r', doc_id % 10) AS repo, doc_id AS issue, doc_id AS pos,
+         ({CATS})[(doc_id % 100) % 4 + 1] AS category, concat('n', doc_id % 100) AS slug,
+         concat('Learning ', doc_id) AS title,
+         CASE WHEN quality = 0 THEN []::VARCHAR[] ELSE [concat('touching area ', doc_id % 7)] END AS read_when,
+         CASE WHEN toxic = 1 THEN concat('act ', doc_id, '=>warn ', doc_id) ELSE '' END AS tw,
+         concat('Learned from ', doc_id) AS body
+  FROM labels)"""
+
+SQL["union_issues"] = with_(NOTES_BASE, ITEMS) + """
+, agg AS (SELECT repo, category, slug, list(issue) AS new FROM items GROUP BY ALL)
+SELECT a.repo, a.category, a.slug,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(n.source_issues, []::BIGINT[]), a.new))), ',')
+         AS source_issues
+FROM agg a LEFT JOIN notes n USING (repo, category, slug)"""
+
+SQL["upsert_notes"] = with_(NOTES_BASE, ITEMS) + """
+, agg AS (SELECT repo, category, slug, arg_max(title, pos) AS title, arg_max(read_when, pos) AS read_when,
+                 arg_max(tw, pos) AS tw, arg_max(body, pos) AS body, list(issue) AS new
+          FROM items GROUP BY ALL)
+, old AS (SELECT repo, category, slug, title, read_when,
+                 CASE WHEN has_tw THEN 'editing ' || source || '=>check ' || lang ELSE '' END AS tw,
+                 last_updated, source_issues, body FROM notes)
+SELECT coalesce(a.repo, o.repo) AS repo, coalesce(a.category, o.category) AS category,
+       coalesce(a.slug, o.slug) AS slug,
+       CASE WHEN a.slug IS NOT NULL THEN a.title ELSE o.title END AS title,
+       array_to_string(CASE WHEN a.slug IS NOT NULL THEN a.read_when ELSE o.read_when END, '|') AS read_when,
+       CASE WHEN a.slug IS NOT NULL THEN a.tw ELSE o.tw END AS tripwires,
+       CASE WHEN a.slug IS NOT NULL THEN '2024-02-01' ELSE strftime(o.last_updated, '%Y-%m-%d') END AS last_updated,
+       array_to_string(CASE WHEN a.slug IS NOT NULL
+            THEN list_sort(list_distinct(list_concat(coalesce(o.source_issues, []::BIGINT[]), a.new)))
+            ELSE o.source_issues END, ',') AS source_issues,
+       CASE WHEN a.slug IS NOT NULL THEN a.body ELSE o.body END AS body,
+       CASE WHEN a.slug IS NULL THEN 'unchanged' WHEN o.slug IS NULL THEN 'insert' ELSE 'update' END AS change
+FROM agg a FULL OUTER JOIN old o ON a.repo = o.repo AND a.category = o.category AND a.slug = o.slug"""
+
+ACTIONS = f"""actions AS (
+  SELECT n.repo, l.doc_id AS pos,
+         CASE WHEN toxic = 1 THEN 'delete' WHEN quality = 0 THEN 'merge_into' ELSE 'keep' END AS action,
+         n.category, n.slug,
+         CASE WHEN toxic = 1 THEN 'low value' WHEN quality = 0 THEN 'same insight' END AS reason,
+         CASE WHEN toxic <> 1 AND quality = 0 THEN {category_of('l.doc_id + 10')} END AS target_category,
+         CASE WHEN toxic <> 1 AND quality = 0 THEN
+              CASE WHEN l.doc_id % 5 = 0 THEN concat('n', l.doc_id + 10000000) ELSE concat('n', l.doc_id + 10) END
+         END AS target_slug,
+         CASE WHEN toxic <> 1 AND quality = 0 AND l.doc_id % 2 = 1 THEN concat('Merged body ', l.doc_id) END
+           AS target_updated_body
+  FROM labels l JOIN notes n ON n.doc_id = l.doc_id
+  WHERE n.category IN ('patterns', 'tripwires', 'architecture', 'testing'))"""
+
+SQL["compact_merge"] = with_(NOTES_BASE, ACTIONS) + """
+, m AS (SELECT a.*, s.source_issues AS src_ids FROM actions a
+        LEFT JOIN notes s ON s.repo = a.repo AND s.category = a.category AND s.slug = a.slug
+        WHERE a.action = 'merge_into' AND a.target_category IS NOT NULL AND a.target_slug IS NOT NULL)
+, b AS (SELECT repo, target_category, target_slug, max(pos) FILTER (WHERE target_updated_body IS NOT NULL) AS b_pos,
+               arg_max(target_updated_body, pos) FILTER (WHERE target_updated_body IS NOT NULL) AS b_body
+        FROM m GROUP BY ALL)
+, t AS (SELECT m.repo, m.target_category AS category, m.target_slug AS slug, count(*) AS n_sources,
+               flatten(list(coalesce(m.src_ids, []::BIGINT[]))) AS add_ids, any_value(b.b_body) AS b_body,
+               count(*) FILTER (WHERE b.b_pos IS NULL OR m.pos > b.b_pos) AS k
+        FROM m JOIN b USING (repo, target_category, target_slug) GROUP BY ALL)
+, j AS (SELECT t.*, n.title, n.read_when, n.has_tw, n.source, n.lang, n.body,
+               list_sort(list_distinct(list_concat(n.source_issues, t.add_ids))) AS ids
+        FROM t JOIN notes n USING (repo, category, slug))
+SELECT repo, category, slug, n_sources, array_to_string(ids, ',') AS source_issues,
+       b_body IS NOT NULL AS body_replaced,
+       """ + render_sql("title", "read_when", NOTE_TW, "'2024-02-01'", "array_to_string(ids, ', ')",
+                        "coalesce(b_body, body)") + """ || repeat(chr(10), CAST(k AS INTEGER)) AS content
+FROM j"""
+
+SQL["compact_delete"] = with_(NOTES_BASE, ACTIONS) + """
+SELECT a.repo, a.category, a.slug, arg_min(a.action, a.pos) AS removed_by
+FROM actions a JOIN notes n USING (repo, category, slug)
+WHERE a.action IN ('delete', 'merge_into') GROUP BY a.repo, a.category, a.slug"""
+
+SQL["orphan_merges"] = with_(NOTES_BASE, ACTIONS) + """
+SELECT a.repo, a.category, a.slug, a.pos, a.target_category, a.target_slug,
+       CASE WHEN a.target_category IS NULL OR a.target_slug IS NULL THEN 'no target given' ELSE 'target missing' END
+         AS reason
+FROM actions a LEFT JOIN notes n ON n.repo = a.repo AND n.category = a.target_category AND n.slug = a.target_slug
+WHERE a.action = 'merge_into' AND n.slug IS NULL"""
+
+SQL["audit_coverage"] = with_(NOTES_BASE, SCANNED, ACTIONS) + """
+, per AS (SELECT repo, category, slug, count(*) AS n_actions FROM actions GROUP BY ALL)
+SELECT * FROM (
+  SELECT coalesce(s.repo, p.repo) AS repo, coalesce(s.category, p.category) AS category,
+         coalesce(s.slug, p.slug) AS slug, coalesce(p.n_actions, 0) AS n_actions,
+         CASE WHEN s.slug IS NULL THEN 'unknown_file' WHEN p.n_actions IS NULL THEN 'no_action'
+              WHEN p.n_actions > 1 THEN 'repeated' END AS issue
+  FROM scanned s FULL OUTER JOIN per p ON s.repo = p.repo AND s.category = p.category AND s.slug = p.slug)
+WHERE issue IS NOT NULL"""
+
+SQL["action_counts"] = with_(NOTES_BASE, ACTIONS) + """
+SELECT repo, count(*) FILTER (WHERE action = 'keep') AS n_keep, count(*) FILTER (WHERE action = 'delete') AS n_delete,
+       count(*) FILTER (WHERE action = 'merge_into') AS n_merge
+FROM actions GROUP BY repo"""
+
+SQL["content_drift"] = """
+WITH expected AS (SELECT concat('docs/', doc_id, '.md') AS path, text AS content FROM documents),
+actual AS (SELECT concat('docs/', doc_id, '.md') AS path,
+                  CASE WHEN doc_id % 10 = 1 THEN text || ' (edited)' ELSE text END AS content
+           FROM documents WHERE doc_id % 10 <> 0)
+SELECT e.path, CASE WHEN a.path IS NULL THEN 'missing' WHEN sha256(a.content) <> sha256(e.content) THEN 'stale'
+                    ELSE 'current' END AS status
+FROM expected e LEFT JOIN actual a USING (path)"""
+
+SECTION_SQL = ("'<!-- loom:start -->' || chr(10) || '## Memory' || chr(10) || chr(10) || "
+               "CASE WHEN has_index THEN '@memory/index.md' ELSE '_No learnings yet._' END || chr(10) || chr(10) "
+               "|| '<!-- loom:end -->'")
+
+SQL["managed_block"] = with_(NOTES_BASE) + f"""
+, pg AS (SELECT page_id, concat('r', page_id % 10) AS repo, html,
+                concat('r', page_id % 10) IN (SELECT DISTINCT repo FROM notes) AS has_index FROM pages)
+, out AS (SELECT page_id, repo,
+                 CASE WHEN page_id % 2 = 0 THEN 'replaced' WHEN html = '' THEN 'created' ELSE 'appended' END AS action,
+                 CASE WHEN page_id % 2 = 0 THEN html || chr(10) || {SECTION_SQL} || chr(10) || 'trailer' || chr(10)
+                      WHEN html = '' THEN {SECTION_SQL}
+                      ELSE regexp_replace(html, '{WS}+$', '') || chr(10) || chr(10) || {SECTION_SQL} END AS text
+          FROM pg)
+SELECT page_id, repo, action, CAST(length(text) AS BIGINT) AS text_len, sha256(text) AS text_sha FROM out"""
+
+SQL["marker_span"] = """
+SELECT page_id, CASE WHEN regexp_matches(html, '(?s)<!-- ad (.*?) -->')
+                     THEN regexp_extract(html, '(?s)<!-- ad (.*?) -->', 1) END AS span
+FROM pages"""
