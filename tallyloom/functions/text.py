@@ -126,6 +126,31 @@ def parse_roadmap_nodes(text) -> Column:
                                           x["depends_on"].alias("depends_on")))
 
 
+_BULLET = r"(?sU)\A\s*- .*: .*\S"
+
+
+def roadmap_bullet_lines(text) -> Column:
+    """Lines that parse as nodes: trimmed, start ``- ``, hold ``": "``."""
+    return F.filter(lines(text), lambda ln: ln.rlike(_BULLET))
+
+
+def parse_roadmap_line(df, line_col: str):
+    """Add node_id, description, depends_on for one bullet line per row."""
+    d = df.withColumn("_t", trim_ws(F.col(line_col)))
+    d = d.withColumn("_rest", F.substring("_t", 3, 1 << 30))
+    d = d.withColumn("_sep", F.instr("_rest", ": "))
+    d = d.withColumn("node_id", trim_ws(F.substring(F.col("_rest"), F.lit(1), F.col("_sep") - 1)))
+    d = d.withColumn("_dd", F.substring(F.col("_rest"), F.col("_sep") + 2, F.lit(1 << 30)))
+    d = d.withColumn("_hd", F.instr("_dd", "(depends:") > 0)
+    d = d.withColumn("description", F.when(F.col("_hd"), trim_ws(
+        F.regexp_extract("_dd", r"(?s)\A(.*)\(depends:", 1))).otherwise(trim_ws(F.col("_dd"))))
+    deps_part = F.regexp_replace(ltrim_ws(F.regexp_extract(
+        "_dd", r"(?s)\(depends:((?:(?!\(depends:).)*)\z", 1)), r"\)+\z", "")
+    deps = F.filter(F.transform(F.split(deps_part, ",", -1), lambda x: trim_ws(x)), lambda x: x != "")
+    d = d.withColumn("depends_on", F.when(F.col("_hd"), deps).otherwise(F.array().cast("array<string>")))
+    return d.drop("_t", "_rest", "_sep", "_dd", "_hd")
+
+
 def visible_body(body, prefix: str = DEFAULT_PREFIX) -> Column:
     """Drop the lines that begin with the node-state marker."""
     m = markers(prefix)["nodes_start"]

@@ -304,3 +304,63 @@ def q_managed_block(spark, d):
 @query("marker_span")
 def q_marker_span(spark, d):
     return fx.managed(spark, d).select("page_id", T.marker_span(F.col("html"), "<!-- ad ", " -->").alias("span"))
+
+
+# ---- 2.3 text extraction jobs ----------------------------------------------------------
+
+from tallyloom.operators import extract as ex  # noqa: E402
+
+AS_OF_EVENTS = fx.AS_OF_EVENTS
+
+
+def _stored_bodies(spark, d):
+    """Objective bodies after a roadmap rewrite: they carry the state blob."""
+    n = fx.nodes(spark, d)
+    return ex.rewrite_roadmap(fx.objective_bodies(spark, d, n), n)
+
+
+@query("extract_roadmaps")
+def q_extract_roadmaps(spark, d):
+    nodes, _ = ex.extract_roadmaps(fx.objective_bodies(spark, d))
+    return _nodes_out(nodes)
+
+
+@query("load_node_state")
+def q_load_node_state(spark, d):
+    nodes, _ = ex.load_node_state(_stored_bodies(spark, d))
+    return _nodes_out(nodes)
+
+
+@query("rewrite_roadmap")
+def q_rewrite_roadmap(spark, d):
+    return _stored_bodies(spark, d).select("repo", "objective", "title", "body")
+
+
+@query("section_coverage")
+def q_section_coverage(spark, d):
+    return ex.section_coverage(fx.plan_bodies(spark, d))
+
+
+@query("decode_replies")
+def q_decode_replies(spark, d):
+    rows, _ = ex.decode_replies(fx.replies(spark, d))
+    return rows.select("id", "item_pos", "category", "slug", "title",
+                       F.array_join("read_when", "|").alias("read_when"),
+                       _tw_txt(F.col("tripwires")).alias("tripwires"), "body")
+
+
+@query("reply_rejects")
+def q_reply_rejects(spark, d):
+    _, rej = ex.decode_replies(fx.replies(spark, d))
+    return rej
+
+
+@query("age_histogram")
+def q_age_histogram(spark, d):
+    return ex.age_histogram(fx.dated(spark, d), "ts", AS_OF_EVENTS)
+
+
+@query("truncation_report")
+def q_truncation_report(spark, d):
+    return ex.truncation_report(fx.plan_bodies(spark, d).select("lang", F.col("body").alias("text")),
+                                "lang", "text")

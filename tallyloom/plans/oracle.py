@@ -468,3 +468,74 @@ SQL["marker_span"] = """
 SELECT page_id, CASE WHEN regexp_matches(html, '(?s)<!-- ad (.*?) -->')
                      THEN regexp_extract(html, '(?s)<!-- ad (.*?) -->', 1) END AS span
 FROM pages"""
+
+
+# ---- text extraction jobs -----------------------------------------------------------------
+
+TABLES = f"""bl AS (SELECT repo, objective, pos, string_agg(dep_id, ', ' ORDER BY dep_pos) AS blocked
+               FROM blocked GROUP BY ALL),
+tables AS (
+  SELECT n.repo, n.objective,
+         {ROADMAP_HEADER_SQL} || chr(10) || string_agg('| ' || concat_ws(' | ', node_id, description, status,
+                CASE WHEN plan_issue IS NOT NULL THEN concat('#', plan_issue) ELSE '' END,
+                coalesce(pr_url, ''), coalesce(bl.blocked, '')) || ' |', chr(10) ORDER BY n.pos) AS tbl
+  FROM nodes n LEFT JOIN bl USING (repo, objective, pos) GROUP BY n.repo, n.objective),
+blobs AS (
+  SELECT repo, objective, '<!-- loom:nodes [' || string_agg({NODE_JSON_SQL}, ',' ORDER BY pos) || '] -->' AS blob
+  FROM nodes GROUP BY repo, objective)"""
+
+
+def rewritten_body_sql() -> str:
+    return """'## Goal' || chr(10) || concat('Deliver objective ', t.objective) || chr(10) || chr(10) || '## Roadmap'
+  || chr(10) || chr(10) || t.tbl || chr(10) || chr(10) || b.blob
+  || CASE WHEN t.objective % 2 = 0 THEN chr(10) || chr(10) || '## Notes' || chr(10) || 'Keep scope small.' || chr(10)
+          ELSE '' END"""
+
+
+SQL["extract_roadmaps"] = with_(nodes_cte()) + """
+SELECT repo, objective, pos, node_id, description, 'pending' AS status, CAST(NULL AS BIGINT) AS plan_issue,
+       CAST(NULL AS VARCHAR) AS pr_url,
+       array_to_string(list_filter(depends_on, lambda x: NOT starts_with(x, 'x')), ',') AS depends_on
+FROM nodes"""
+
+SQL["load_node_state"] = with_(nodes_cte()) + f"SELECT {NODE_COLS} FROM nodes"
+
+SQL["rewrite_roadmap"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + f"""
+SELECT t.repo, t.objective, concat('Objective ', t.objective) AS title, {rewritten_body_sql()} AS body
+FROM tables t JOIN blobs b USING (repo, objective)"""
+
+SECTIONS = [("Why", "**Why"), ("Background", "**Background"), ("Approach", "**Approach"),
+            ("Acceptance criteria", "**Acceptance criteria"), ("Scope", "**Scope"),
+            ("Edge cases and risks", "**Edge cases"), ("Key files", "**Key files")]
+
+PLAN_BODIES = "plan_bodies AS (SELECT doc_id, lang, text, concat(" + ", ".join(
+    f"CASE WHEN (doc_id & {1 << i}) <> 0 THEN '**{name}** x ' ELSE '' END" for i, (name, _) in enumerate(SECTIONS)
+) + ", text) AS body FROM documents)"
+
+SQL["section_coverage"] = with_(PLAN_BODIES) + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT lang, '{name}' AS section, count(*) AS n_docs,
+       count(*) FILTER (WHERE (doc_id & {1 << i}) <> 0 OR contains(text, '{prefix}')) AS n_present
+FROM plan_bodies GROUP BY lang""" for i, (name, prefix) in enumerate(SECTIONS))
+
+SQL["decode_replies"] = f"""
+WITH acc AS (SELECT doc_id FROM labels WHERE doc_id % 5 IN (0, 1, 2) AND NOT (doc_id % 2 = 0 AND quality = 0)),
+items AS (SELECT doc_id AS id, 0 AS item_pos, '' AS tag FROM acc
+          UNION ALL SELECT doc_id, 1, 'x' FROM acc WHERE doc_id % 2 = 0)
+SELECT id, CAST(item_pos AS BIGINT) AS item_pos, ({CATS})[id % 4 + 1] AS category, concat('s', id, tag) AS slug,
+       concat('t', id, tag) AS title, concat('w', id) AS read_when,
+       CASE WHEN id % 3 = 0 THEN concat('a', id, '=>x', id) ELSE '' END AS tripwires, concat('b', id, tag) AS body
+FROM items"""
+
+SQL["reply_rejects"] = """
+SELECT doc_id AS id, CASE WHEN doc_id % 5 = 3 THEN 'no json array' WHEN doc_id % 5 = 4 THEN 'malformed json'
+                          ELSE 'missing or invalid field' END AS reason
+FROM labels WHERE doc_id % 5 IN (3, 4) OR (doc_id % 2 = 0 AND quality = 0)"""
+
+SQL["age_histogram"] = f"""
+SELECT age, count(*) AS n FROM (SELECT {age_sql("CAST(ts AS DATE)", "2024-01-30")} AS age FROM events) GROUP BY age"""
+
+SQL["truncation_report"] = with_(PLAN_BODIES) + """
+SELECT lang, count(*) AS n_texts, count(*) FILTER (WHERE length(body) > 8000) AS n_truncated,
+       count(*) FILTER (WHERE strlen(body) > 8000) AS n_over_bytes,
+       CAST(sum(least(length(body), 8000)) AS BIGINT) AS kept_chars
+FROM plan_bodies GROUP BY lang"""
