@@ -12,17 +12,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
-def strict_decode(span: Column, element: StructType, required: Sequence[str],
-                  check: Callable[[Column], Column] | None = None) -> tuple[Column, Column]:
-    """Return ``(items, reason)``: items is null whenever reason is not."""
+def strict_decode(df: DataFrame, span: str, element: StructType, required: Sequence[str],
+                  check: Callable[[Column], Column] | None = None,
+                  items: str = "items", reason: str = "reason") -> DataFrame:
+    """Add ``items`` (the decoded array) and ``reason`` (why it was rejected);
+    ``items`` is null whenever ``reason`` is not. The span and the parsed value
+    are separate columns, so each is computed once per row."""
     schema = StructType([StructField("v", ArrayType(element)), StructField("_c", StringType())])
-    wrapped = F.concat(F.lit('{"v":'), span, F.lit("}"))
-    parsed = F.from_json(wrapped, schema, {"columnNameOfCorruptRecord": "_c", "mode": "PERMISSIVE"})
+    wrapped = F.concat(F.lit('{"v":'), F.col(span), F.lit("}"))
+    d = df.withColumn("_parsed", F.from_json(wrapped, schema,
+                                             {"columnNameOfCorruptRecord": "_c", "mode": "PERMISSIVE"}))
 
     def element_ok(x: Column) -> Column:
         ok = x.isNotNull()
@@ -32,9 +36,10 @@ def strict_decode(span: Column, element: StructType, required: Sequence[str],
             ok = ok & F.coalesce(check(x), F.lit(False))
         return ok
 
-    reason = (F.when(span.isNull(), F.lit("no json array"))
-              .when(parsed["_c"].isNotNull(), F.lit("malformed json"))
-              .when(parsed["v"].isNull(), F.lit("not an array"))
-              .when(~F.forall(parsed["v"], element_ok), F.lit("missing or invalid field")))
-    items = F.when(reason.isNull(), parsed["v"])
-    return items, reason
+    p = F.col("_parsed")
+    why = (F.when(F.col(span).isNull(), F.lit("no json array"))
+           .when(p["_c"].isNotNull(), F.lit("malformed json"))
+           .when(p["v"].isNull(), F.lit("not an array"))
+           .when(~F.forall(p["v"], element_ok), F.lit("missing or invalid field")))
+    d = d.withColumn(reason, why)
+    return d.withColumn(items, F.when(F.col(reason).isNull(), p["v"])).drop("_parsed")

@@ -14,6 +14,14 @@ from tallyloom.functions.strict_json import strict_decode
 from tallyloom.operators import graph
 
 
+def reject_rows(d: DataFrame, keys, reason) -> DataFrame:
+    """(keys, reason) for rows whose reason is set. An outer generator plus a
+    filter on its output keeps the optimizer from pushing a filter (and the
+    parse behind it) below the parse."""
+    return (d.select(*keys, F.explode_outer(F.when(reason.isNotNull(), F.array(reason))).alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
 def extract_roadmaps(bodies: DataFrame, keys=("repo", "objective")) -> tuple[DataFrame, DataFrame]:
     """Objective bodies -> node rows from the ``## Roadmap`` bullets (all
     pending). Rejects: ``no section`` and ``no nodes``.
@@ -26,9 +34,11 @@ def extract_roadmaps(bodies: DataFrame, keys=("repo", "objective")) -> tuple[Dat
     d = bodies.select(*keys, sec.alias("_sec")).withColumn(
         "_lines", F.when(F.col("_sec").isNotNull(), T.roadmap_bullet_lines(F.col("_sec"))))
     reason = F.when(F.col("_sec").isNull(), "no section").when(F.size("_lines") == 0, "no nodes")
-    rejects = d.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())
-    rows = (d.filter(F.size("_lines") > 0)
-            .select(*keys, F.posexplode("_lines").alias("_i", "_line")))
+    rejects = reject_rows(d, keys, reason)
+    # a generator, not a filter: a filter on a parsed column would be pushed
+    # below the parse and evaluate it twice
+    rows = d.select(*keys, F.posexplode_outer(F.coalesce("_lines", F.array().cast("array<string>")))
+                    .alias("_i", "_line")).where(F.col("_line").isNotNull())
     parsed = T.parse_roadmap_line(rows, "_line")
     nodes = parsed.select(*keys, (F.col("_i") + 1).cast("bigint").alias("pos"), "node_id", "description",
                           F.lit("pending").alias("status"), F.lit(None).cast("bigint").alias("plan_issue"),
@@ -36,27 +46,25 @@ def extract_roadmaps(bodies: DataFrame, keys=("repo", "objective")) -> tuple[Dat
     return nodes, rejects
 
 
-def decode_node_state(body, prefix: str = T.DEFAULT_PREFIX):
-    """``(items, reason)`` for the node-state blob inside a body: the first
-    start marker, the first end marker after it, strict decode."""
-    m = T.markers(prefix)
-    span = T.marker_span(body, m["nodes_start"], m["nodes_end"])
-    items, reason = strict_decode(span, schemas.NODE_STATE, ["id", "description", "status"],
-                                  lambda x: x["status"].isin(*T.NODE_STATUSES)
-                                  & (x["plan_issue"].isNull() | (x["plan_issue"] >= 0)))
-    reason = F.when(span.isNull(), F.lit("no marker")).when(reason.isNotNull(), F.concat(F.lit("bad state: "), reason))
-    return items, reason
-
-
 def load_node_state(bodies: DataFrame, keys=("repo", "objective"),
                     prefix: str = T.DEFAULT_PREFIX) -> tuple[DataFrame, DataFrame]:
-    """Stored objective bodies -> current node rows. One bad element rejects the
-    objective's whole list (reason ``bad state: ...``); no blob -> ``no marker``."""
+    """Stored objective bodies -> current node rows. The blob is the text
+    between the first start marker and the first end marker after it; one bad
+    element rejects the objective's whole list (``bad state: ...``); no blob
+    -> ``no marker``."""
     keys = list(keys)
-    items, reason = decode_node_state(F.col("body"), prefix)
-    d = bodies.select(*keys, items.alias("_items"), reason.alias("reason"))
-    rejects = d.filter(F.col("reason").isNotNull()).select(*keys, "reason")
-    nodes = (d.filter(F.col("reason").isNull()).select(*keys, F.posexplode("_items").alias("_i", "n"))
+    m = T.markers(prefix)
+    d = bodies.select(*keys, T.marker_span(F.col("body"), m["nodes_start"], m["nodes_end"]).alias("_span"))
+    d = strict_decode(d, "_span", schemas.NODE_STATE, ["id", "description", "status"],
+                      lambda x: x["status"].isin(*T.NODE_STATUSES)
+                      & (x["plan_issue"].isNull() | (x["plan_issue"] >= 0)),
+                      items="_items", reason="_why")
+    d = d.withColumn("reason", F.when(F.col("_span").isNull(), F.lit("no marker"))
+                     .when(F.col("_why").isNotNull(), F.concat(F.lit("bad state: "), F.col("_why"))))
+    rejects = reject_rows(d, keys, F.col("reason"))
+    # posexplode_outer + a filter on its output: a plain posexplode makes the
+    # optimizer infer a size filter on the input and push the decode downward
+    nodes = (d.select(*keys, F.posexplode_outer("_items").alias("_i", "n")).where(F.col("n").isNotNull())
              .select(*keys, (F.col("_i") + 1).cast("bigint").alias("pos"), F.col("n.id").alias("node_id"),
                      F.col("n.description").alias("description"), F.col("n.status").alias("status"),
                      F.col("n.plan_issue").alias("plan_issue"), F.col("n.pr_url").alias("pr_url"),
@@ -78,15 +86,14 @@ def decode_replies(replies: DataFrame, key: str = "id", kind: str = "learnings")
     """Model replies -> learning rows (or audit-action rows). The JSON array is
     taken from the reply (optional code fence, first ``[`` to last ``]``) and
     strictly decoded; a faulty reply goes to rejects with a reason."""
-    span = T.json_payload(F.col("reply"))
+    d = replies.select(key, T.json_payload(F.col("reply")).alias("_span"))
     if kind == "learnings":
-        items, reason = strict_decode(span, schemas.LEARNING_ITEM,
-                                      ["category", "slug", "title", "read_when", "body"])
+        d = strict_decode(d, "_span", schemas.LEARNING_ITEM, ["category", "slug", "title", "read_when", "body"],
+                          items="_items")
     else:
-        items, reason = strict_decode(span, schemas.AUDIT_ACTION, ["action", "category", "slug"])
-    d = replies.select(key, items.alias("_items"), reason.alias("reason"))
-    rejects = d.filter(F.col("reason").isNotNull()).select(key, "reason")
-    rows = d.filter(F.col("reason").isNull()).select(key, F.posexplode("_items").alias("item_pos", "it"))
+        d = strict_decode(d, "_span", schemas.AUDIT_ACTION, ["action", "category", "slug"], items="_items")
+    rejects = reject_rows(d, [key], F.col("reason"))
+    rows = d.select(key, F.posexplode_outer("_items").alias("item_pos", "it")).where(F.col("it").isNotNull())
     if kind == "learnings":
         rows = rows.select(key, F.col("item_pos").cast("bigint").alias("item_pos"), "it.category", "it.slug",
                            "it.title", "it.read_when",

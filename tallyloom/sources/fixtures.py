@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.ordering import ordinal_within_group
 from tallyloom.functions.text import CATEGORIES, PLAN_SECTIONS, markers
+from tallyloom.session import shared_dir
 from tallyloom.sources.tables import read_table
 
 AS_OF_EVENTS = "2024-01-30"
@@ -56,7 +57,7 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False) -> DataFrame:
     status = (F.when(F.col("o_orderstatus") == "P", "pending")
               .when(F.col("o_orderstatus") == "O", "in_progress").otherwise("done"))
     dangling = F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("x"), F.col("node_id")))
-    return j.select(
+    out = j.select(
         "repo", "objective", "pos", "node_id",
         F.col("o_orderpriority").alias("description"),
         status.alias("status"),
@@ -64,6 +65,10 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F",
                F.concat(F.lit("https://host/"), F.col("repo"), F.lit("/pull/"), F.col("node_id"))).alias("pr_url"),
         F.filter(F.array(F.col("_d1"), F.col("_d3"), dangling), lambda x: x.isNotNull()).alias("depends_on"))
+    # The node table is read several times by every graph job; write it once
+    # (reliable checkpoint in the shared folder) so each use is a plain scan.
+    shared_dir(spark)
+    return out.checkpoint(eager=True)
 
 
 # ---- F2: issues ---------------------------------------------------------------
