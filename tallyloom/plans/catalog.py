@@ -364,3 +364,134 @@ def q_age_histogram(spark, d):
 def q_truncation_report(spark, d):
     return ex.truncation_report(fx.plan_bodies(spark, d).select("lang", F.col("body").alias("text")),
                                 "lang", "text")
+
+
+# ---- 2.4 / 2.6 / 2.9 life cycle, 2.11 prompts -----------------------------------------------
+
+from tallyloom.operators import lifecycle as lc  # noqa: E402
+from tallyloom.operators import prompts as pr  # noqa: E402
+
+
+def _sha_out(df: DataFrame, keys) -> DataFrame:
+    return df.select(*keys, F.length("prompt").cast("bigint").alias("prompt_chars"),
+                     F.sha2("prompt", 256).alias("prompt_sha"))
+
+
+@query("plan_guard")
+def q_plan_guard(spark, d):
+    return lc.plan_guard(fx.nodes(spark, d).filter(F.col("status") != "done"))
+
+
+def _created_urls(unblocked: DataFrame) -> DataFrame:
+    k = F.col("node_id").cast("bigint")
+    url = F.concat(F.lit("https://host/"), F.col("repo"), F.lit("/issues/"),
+                   F.when(k % 50 == 0, F.lit("pending")).otherwise((k + 2000000).cast("string")))
+    return unblocked.select(*lc.NODE_KEY, url.alias("url"))
+
+
+@query("start_nodes")
+def q_start_nodes(spark, d):
+    n = fx.nodes(spark, d)
+    started, _ = lc.start_nodes(n, _created_urls(graph.unblocked_nodes(n)))
+    rows = lc.plan_issue_rows(started).select(*lc.NODE_KEY, "title", "body")
+    return started.join(rows, lc.NODE_KEY).select(*lc.NODE_KEY, "node_id", "status", "plan_issue", "title", "body")
+
+
+@query("finish_nodes")
+def q_finish_nodes(spark, d):
+    i = fx.issues(spark, d)
+    landed = i.filter((F.col("state") == "CLOSED") & F.array_contains("labels", "plan"))
+    return lc.finish_nodes(fx.nodes(spark, d), landed)
+
+
+@query("close_objectives")
+def q_close_objectives(spark, d):
+    return lc.close_objectives(fx.nodes(spark, d, small=True), fx.issues(spark, d))
+
+
+@query("create_objectives")
+def q_create_objectives(spark, d):
+    created, _ = lc.create_objectives(fx.objective_bodies(spark, d))
+    return created.select("repo", "objective", "title", "body")
+
+
+@query("create_plans")
+def q_create_plans(spark, d):
+    drafts = fx.plan_bodies(spark, d).select(
+        "doc_id", F.concat(F.lit("Draft "), F.col("doc_id").cast("string")).alias("title"), "body")
+    return lc.create_plans(drafts).select("doc_id", "title", "n_missing",
+                                          F.array_join("missing", ", ").alias("missing"))
+
+
+@query("attach_conversation")
+def q_attach_conversation(spark, d):
+    i = fx.issues(spark, d).select("repo", "number")
+    cv = fx.read_table(spark, d, "conversations", ["conv_id", "turn", "text"]).filter(F.col("turn") == 0)
+    plans = i.join(cv, i.number == cv.conv_id).select("repo", "number", F.col("text").alias("conversation"))
+    return lc.attach_conversation(plans)
+
+
+def _decoded(spark, d):
+    return ex.decode_replies(fx.replies(spark, d))
+
+
+@query("mark_learned")
+def q_mark_learned(spark, d):
+    rows, _ = _decoded(spark, d)
+    learned = rows.select(F.col("id").alias("number")).distinct()
+    return lc.mark_learned(fx.issues(spark, d), learned).select(
+        "repo", "number", F.array_join("labels", ",").alias("labels"))
+
+
+def _outcomes(spark, d):
+    i = fx.issues(spark, d)
+    plans = iss.unlearned_plans(i).select("repo", F.col("number").alias("issue"))
+    linked = iss.linked_pr(fx.close_events(spark, d), fx.pull_requests(spark, d)).select(
+        "repo", "issue", F.lit(True).alias("_pr"))
+    rows, rej = _decoded(spark, d)
+    got = rows.select(F.col("id").alias("issue")).distinct().withColumn("_ok", F.lit(True))
+    bad = rej.select(F.col("id").alias("issue")).withColumn("_bad", F.lit(True))
+    j = plans.join(linked, ["repo", "issue"], "left").join(got, "issue", "left").join(bad, "issue", "left")
+    outcome = (F.when(F.col("_pr").isNull() | F.col("_bad").isNotNull(), "failed")
+               .when(F.col("_ok").isNotNull(), "learned").otherwise("nothing_found"))
+    return j.select("repo", F.col("issue").alias("number"), outcome.alias("outcome"))
+
+
+@query("batch_summary")
+def q_batch_summary(spark, d):
+    return lc.batch_summary(_outcomes(spark, d))
+
+
+@query("issue_list_text")
+def q_issue_list_text(spark, d):
+    learned = _outcomes(spark, d).filter(F.col("outcome") == "learned")
+    return lc.issue_list_text(learned).select("repo", "part", "n_items", "issues")
+
+
+def _context(spark, d):
+    i = fx.issues(spark, d)
+    return pr.learn_context(iss.unlearned_plans(i), fx.close_events(spark, d), fx.pull_requests(spark, d),
+                            fx.comments(spark, d), _scanned(spark, d), fx.hooks(spark, d))
+
+
+@query("learn_context")
+def q_learn_context(spark, d):
+    ctx, _ = _context(spark, d)
+    return ctx.select("repo", "issue", "pr_number", "memory_mode",
+                      F.length("conversation").cast("bigint").alias("conversation_chars"),
+                      F.length("diff").cast("bigint").alias("diff_chars"),
+                      F.length("memory").cast("bigint").alias("memory_chars"),
+                      F.length("hooks").cast("bigint").alias("hooks_chars"))
+
+
+@query("learn_prompt")
+def q_learn_prompt(spark, d):
+    ctx, _ = _context(spark, d)
+    return _sha_out(pr.learn_prompt(ctx), ["repo", "issue", "pr_number", "memory_mode"])
+
+
+@query("node_plan_prompt")
+def q_node_plan_prompt(spark, d):
+    n = fx.nodes(spark, d)
+    return _sha_out(pr.node_plan_prompt(graph.unblocked_nodes(n), fx.objective_bodies(spark, d, n)),
+                    ["repo", "objective", "pos", "node_id"])

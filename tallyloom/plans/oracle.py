@@ -539,3 +539,187 @@ SELECT lang, count(*) AS n_texts, count(*) FILTER (WHERE length(body) > 8000) AS
        count(*) FILTER (WHERE strlen(body) > 8000) AS n_over_bytes,
        CAST(sum(least(length(body), 8000)) AS BIGINT) AS kept_chars
 FROM plan_bodies GROUP BY lang"""
+
+
+# ---- life cycle and prompts ----------------------------------------------------------------
+
+UNBLOCKED = """unblocked AS (
+  SELECT n.* FROM nodes n WHERE status = 'pending'
+    AND NOT EXISTS (SELECT 1 FROM blocked b WHERE b.repo = n.repo AND b.objective = n.objective AND b.pos = n.pos))"""
+
+SQL["plan_guard"] = with_(nodes_cte()) + """
+SELECT repo, objective, pos, node_id, CASE WHEN plan_issue IS NOT NULL THEN 'rejected' ELSE 'accepted' END AS outcome,
+       CASE WHEN plan_issue IS NOT NULL THEN concat('node ', node_id, ' already has plan issue #', plan_issue,
+                                                    ' — cannot create another') END AS reason
+FROM nodes WHERE status <> 'done'"""
+
+SQL["start_nodes"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED) + """
+SELECT repo, objective, pos, node_id, 'in_progress' AS status, CAST(node_id AS BIGINT) + 2000000 AS plan_issue,
+       concat('[', node_id, '] ', description) AS title,
+       concat('Objective: #', objective, ' (node ', node_id, ')') || chr(10) || chr(10) AS body
+FROM unblocked WHERE CAST(node_id AS BIGINT) % 50 <> 0"""
+
+SQL["finish_nodes"] = with_(nodes_cte(), FIRST, ISSUES) + """
+SELECT i.repo, i.o_custkey AS objective, CAST(i.o_orderkey AS VARCHAR) AS node_id, i.number AS plan, f.pos,
+       CASE WHEN f.pos IS NOT NULL THEN 'marked_done' ELSE 'node_not_found' END AS outcome
+FROM issues i LEFT JOIN first_nodes f
+  ON f.repo = i.repo AND f.objective = i.o_custkey AND f.node_id = CAST(i.o_orderkey AS VARCHAR)
+WHERE i.state = 'CLOSED' AND list_contains(i.labels, 'plan') AND i.o_orderkey % 2 = 0 AND i.o_orderkey % 26 <> 5"""
+
+SQL["close_objectives"] = with_(nodes_cte(small=True), ISSUES) + """
+, done AS (SELECT repo, objective, count(*) AS n_nodes FROM nodes GROUP BY ALL HAVING bool_and(status = 'done'))
+SELECT d.repo, d.objective, d.n_nodes FROM done d JOIN issues i ON i.repo = d.repo AND i.number = d.objective
+WHERE i.state <> 'CLOSED'"""
+
+PENDING_NODES = nodes_cte(name="nodes0") + """,
+nodes AS (SELECT repo, objective, pos, node_id, description, 'pending' AS status, CAST(NULL AS BIGINT) AS plan_issue,
+                 CAST(NULL AS VARCHAR) AS pr_url, list_filter(depends_on, lambda x: NOT starts_with(x, 'x')) AS depends_on
+          FROM nodes0)"""
+
+SQL["create_objectives"] = with_(PENDING_NODES, FIRST, EDGES, BLOCKED, TABLES) + f"""
+SELECT t.repo, t.objective, concat('Objective ', t.objective) AS title, {rewritten_body_sql()} AS body
+FROM tables t JOIN blobs b USING (repo, objective)"""
+
+SQL["create_plans"] = with_(PLAN_BODIES) + """
+SELECT doc_id, concat('Draft ', doc_id) AS title, CAST(""" + " + ".join(
+    f"CASE WHEN (doc_id & {1 << i}) <> 0 OR contains(text, '{p}') THEN 0 ELSE 1 END"
+    for i, (_, p) in enumerate(SECTIONS)) + """ AS BIGINT) AS n_missing,
+       concat_ws(', ', """ + ", ".join(
+    f"CASE WHEN NOT ((doc_id & {1 << i}) <> 0 OR contains(text, '{p}')) THEN '{n}' END"
+    for i, (n, p) in enumerate(SECTIONS)) + """) AS missing
+FROM plan_bodies"""
+
+SQL["attach_conversation"] = with_(ISSUES) + """
+SELECT i.repo, i.number AS issue, '<!-- loom:conversation -->' || chr(10) || c.text AS body
+FROM issues i JOIN conversations c ON c.conv_id = i.number
+WHERE c.turn = 0 AND c.text IS NOT NULL AND c.text <> ''"""
+
+ACCEPTED = """accepted AS (SELECT doc_id AS id FROM labels
+                     WHERE doc_id % 5 IN (0, 1, 2) AND NOT (doc_id % 2 = 0 AND quality = 0)),
+rejected AS (SELECT doc_id AS id FROM labels WHERE NOT (doc_id % 5 IN (0, 1, 2) AND NOT (doc_id % 2 = 0 AND quality = 0)))"""
+
+SQL["mark_learned"] = with_(ISSUES, ACCEPTED) + """
+SELECT repo, number, array_to_string(CASE WHEN list_contains(labels, 'learned') THEN labels
+                                          ELSE list_append(labels, 'learned') END, ',') AS labels
+FROM issues WHERE number IN (SELECT id FROM accepted)"""
+
+OUTCOMES = """unlearned AS (SELECT repo, number FROM issues
+                   WHERE state = 'CLOSED' AND list_contains(labels, 'plan') AND NOT list_contains(labels, 'learned')),
+linked AS (SELECT repo, issue FROM latest WHERE closer_type = 'PullRequest' AND pr_state = 'MERGED'),
+outcomes AS (
+  SELECT u.repo, u.number,
+         CASE WHEN l.issue IS NULL OR u.number IN (SELECT id FROM rejected) THEN 'failed'
+              WHEN u.number IN (SELECT id FROM accepted) THEN 'learned' ELSE 'nothing_found' END AS outcome
+  FROM unlearned u LEFT JOIN linked l ON l.repo = u.repo AND l.issue = u.number)"""
+
+SQL["batch_summary"] = with_(ISSUES, CLOSE_EVENTS, LATEST, ACCEPTED, OUTCOMES) + """
+SELECT repo, outcome, count(*) AS n FROM outcomes GROUP BY repo, outcome"""
+
+SQL["issue_list_text"] = with_(ISSUES, CLOSE_EVENTS, LATEST, ACCEPTED, OUTCOMES) + """
+, l AS (SELECT * FROM outcomes WHERE outcome = 'learned')
+""" + parts_sql("l", "concat('#', number)", "', '", "number", "issues", 5000)
+
+
+def sql_template(template: str, fields: dict[str, str]) -> str:
+    """SQL concatenation for a Python format template."""
+    import string as _s
+    parts = []
+    for lit, field, _, _ in _s.Formatter().parse(template):
+        if lit:
+            parts.append(" || chr(10) || ".join("'" + seg.replace("'", "''") + "'" for seg in lit.split("\n"))
+                         .replace("'' || ", "").replace(" || ''", ""))
+        if field is not None:
+            parts.append(f"({fields[field]})")
+    return " || ".join(p for p in parts if p and p != "''")
+
+
+CONTEXT = f"""unlearned AS (SELECT repo, number AS issue, title AS issue_title, coalesce(body, '') AS issue_body FROM issues
+                   WHERE state = 'CLOSED' AND list_contains(labels, 'plan') AND NOT list_contains(labels, 'learned')),
+linked AS (SELECT l.repo, l.issue, l.pr_number, p.title AS pr_title, p.body AS pr_body, p.diff
+           FROM latest l JOIN pull_requests p ON p.repo = l.repo AND p.number = l.pr_number
+           WHERE l.closer_type = 'PullRequest' AND l.pr_state = 'MERGED'),
+conv AS (SELECT repo, issue, {trim_ws("arg_min(text, seq)")} AS conversation FROM comments
+         WHERE role = 'assistant' GROUP BY repo, issue),
+sizes AS (SELECT repo, sum(length('### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10)))
+                 AS digest_chars,
+                 string_agg('### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10), ''
+                            ORDER BY rank, fname) AS digest
+          FROM scanned GROUP BY repo),
+idx AS (SELECT repo, '| File | Title | Read when |' || chr(10) || '|------|-------|-----------|' || chr(10)
+               || string_agg('| ' || file || ' | ' || title || ' | ' || read_when || ' |', chr(10) ORDER BY rank, fname)
+               || chr(10) AS index_text, count(*) AS n_notes
+        FROM routing GROUP BY repo),
+memory AS (SELECT s.repo,
+                  CASE WHEN digest_chars <= 100000 THEN 'digest'
+                       WHEN n_notes <= 2000 AND length(index_text) <= 100000 THEN 'index' ELSE 'reference' END AS memory_mode,
+                  CASE WHEN digest_chars <= 100000 THEN digest
+                       WHEN n_notes <= 2000 AND length(index_text) <= 100000 THEN index_text
+                       ELSE '{{{{memory:' || s.repo || '}}}}' END AS memory
+           FROM sizes s JOIN idx USING (repo)),
+hk AS (SELECT repo, string_agg(text, chr(10) || chr(10) ORDER BY path) AS hooks, count(*) AS n
+       FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md' GROUP BY repo),
+hooks_t AS (SELECT repo, CASE WHEN n <= 2000 AND length(hooks) <= 100000 THEN hooks
+                              ELSE '{{{{hooks:' || repo || '}}}}' END AS hooks FROM hk),
+ctx AS (
+  SELECT u.repo, u.issue, u.issue_title, u.issue_body, l.pr_number, l.pr_title, coalesce(l.pr_body, '') AS pr_body,
+         coalesce(l.diff, '') AS diff, coalesce(c.conversation, '') AS conversation,
+         coalesce(m.memory_mode, 'none') AS memory_mode, coalesce(m.memory, '') AS memory,
+         coalesce(h.hooks, '') AS hooks
+  FROM unlearned u JOIN linked l ON l.repo = u.repo AND l.issue = u.issue
+  LEFT JOIN conv c ON c.repo = u.repo AND c.issue = u.issue
+  LEFT JOIN memory m ON m.repo = u.repo
+  LEFT JOIN hooks_t h ON h.repo = u.repo)"""
+
+CTX_CTES = (ISSUES, CLOSE_EVENTS, LATEST, PRS, COMMENTS, NOTES_BASE, SCANNED, ROUTING, HOOKS, CONTEXT)
+
+SQL["learn_context"] = with_(*CTX_CTES) + """
+SELECT repo, issue, pr_number, memory_mode, CAST(length(conversation) AS BIGINT) AS conversation_chars,
+       CAST(length(diff) AS BIGINT) AS diff_chars, CAST(length(memory) AS BIGINT) AS memory_chars,
+       CAST(length(hooks) AS BIGINT) AS hooks_chars
+FROM ctx"""
+
+
+def _learn_prompt_sql() -> str:
+    from tallyloom.operators.prompts import LEARN_TEMPLATE
+    conv = "left(conversation, 8000)"
+    fields = {
+        "issue_title": "issue_title", "issue_body": "issue_body", "pr_title": "pr_title", "pr_body": "pr_body",
+        "diff": "left(diff, 8000)",
+        "conversation_section": f"CASE WHEN {conv} = '' THEN '' ELSE chr(10) || '## Planning conversation' || chr(10) "
+                                f"|| {conv} || chr(10) || '*(cut at 8000 characters)*' || chr(10) END",
+        "memory": "CASE WHEN memory = '' THEN '_none yet_' ELSE memory END",
+        "hooks_section": "CASE WHEN hooks = '' THEN '' ELSE chr(10) || '## Project rules' || chr(10) || hooks "
+                         "|| chr(10) END",
+    }
+    return sql_template(LEARN_TEMPLATE, fields)
+
+
+SQL["learn_prompt"] = with_(*CTX_CTES) + f"""
+, p AS (SELECT repo, issue, pr_number, memory_mode, {_learn_prompt_sql()} AS prompt FROM ctx)
+SELECT repo, issue, pr_number, memory_mode, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
+FROM p"""
+
+
+def _node_prompt_sql() -> str:
+    from tallyloom.operators.prompts import NODE_TEMPLATE
+    return sql_template(NODE_TEMPLATE, {"objective_title": "concat('Objective ', u.objective)",
+                                        "objective_body": "ob.body", "node_id": "u.node_id",
+                                        "description": "u.description"})
+
+
+OBJ_BODIES = """obj_bodies AS (
+  SELECT repo, objective, '## Goal' || chr(10) || concat('Deliver objective ', objective) || chr(10) || chr(10)
+         || '## Roadmap' || chr(10)
+         || string_agg(concat('- ', node_id, ': ', description,
+                  CASE WHEN len(list_filter(depends_on, lambda x: NOT starts_with(x, 'x'))) > 0
+                       THEN concat(' (depends: ', array_to_string(list_filter(depends_on, lambda x: NOT starts_with(x, 'x')), ', '), ')')
+                       ELSE '' END), chr(10) ORDER BY pos)
+         || chr(10) || CASE WHEN objective % 2 = 0 THEN chr(10) || '## Notes' || chr(10) || 'Keep scope small.' || chr(10)
+                            ELSE '' END AS body
+  FROM nodes GROUP BY repo, objective)"""
+
+SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED, OBJ_BODIES) + f"""
+, p AS (SELECT u.repo, u.objective, u.pos, u.node_id, {_node_prompt_sql()} AS prompt
+        FROM unblocked u JOIN obj_bodies ob ON ob.repo = u.repo AND ob.objective = u.objective)
+SELECT repo, objective, pos, node_id, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
+FROM p"""
