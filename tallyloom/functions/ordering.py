@@ -61,6 +61,43 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
             .drop("_pid", "_mid", "_base", "_off"))
 
 
+def ordinal_by_numeric(df: DataFrame, keys: Sequence[str], num_col: str, name: str = "ord",
+                       bucket_width: int = 1 << 16) -> DataFrame:
+    """Exact 1-based position inside ``keys`` for a *unique, numeric* order
+    column, with no sampling and no checkpoint.
+
+    ``bucket = num_col div bucket_width`` preserves order, so the position is
+    the count of rows in earlier buckets of the same key (a prefix sum over a
+    small (key, bucket) count table) plus the ``row_number`` inside the
+    bucket. A bucket holds at most ``bucket_width`` rows of one key, so a hot
+    key is spread over many bounded window groups. Everything is
+    deterministic, so recomputation after a lost executor gives the same
+    numbers.
+    """
+    b = df.withColumn("_bkt", F.floor(F.col(num_col) / F.lit(bucket_width)).cast("bigint"))
+    inner = Window.partitionBy(*keys, "_bkt").orderBy(num_col)
+    b = b.withColumn("_loc", F.row_number().over(inner))
+    stats = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(*keys, "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return (b.join(stats, [*keys, "_bkt"])
+            .withColumn(name, (F.col("_loc") + F.col("_off")).cast("bigint"))
+            .drop("_bkt", "_loc", "_off"))
+
+
+def concat_by_ordinal(df: DataFrame, keys: Sequence[str], ord_col: str, piece: Column, sep: str,
+                      part_rows: int, text_name: str = "text") -> DataFrame:
+    """Concatenate ``piece`` per group in dense ``ord_col`` order (1-based),
+    in parts of at most ``part_rows`` pieces: part 0 holds 1..part_rows."""
+    d = df.withColumn("_piece", piece).withColumn(
+        "part", F.floor((F.col(ord_col) - 1) / F.lit(part_rows)).cast("bigint"))
+    return d.groupBy(*keys, "part").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.min(ord_col).alias("first_ord"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("o"), "_piece"))),
+                                 lambda x: x["_piece"]), sep).alias(text_name))
+
+
 def ordered_text_parts(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
                        piece: ColLike, sep: str, part_rows: int,
                        text_name: str = "text") -> DataFrame:
@@ -70,11 +107,5 @@ def ordered_text_parts(df: DataFrame, keys: Sequence[str], order: Sequence[ColLi
     0-based and each part holds at most ``part_rows`` pieces.
     """
     piece_col = F.col(piece) if isinstance(piece, str) else piece
-    ranked = ordinal_within_group(df.withColumn("_piece", piece_col), keys, order, "_ord")
-    ranked = ranked.withColumn("part", F.floor((F.col("_ord") - 1) / F.lit(part_rows)).cast("bigint"))
-    return (ranked.groupBy(*keys, "part")
-            .agg(F.count(F.lit(1)).alias("n_items"),
-                 F.min("_ord").alias("first_ord"),
-                 F.array_join(
-                     F.transform(F.array_sort(F.collect_list(F.struct("_ord", "_piece"))),
-                                 lambda x: x["_piece"]), sep).alias(text_name)))
+    ranked = ordinal_within_group(df.withColumn("_p", piece_col), keys, order, "_ord")
+    return concat_by_ordinal(ranked, keys, "_ord", F.col("_p"), sep, part_rows, text_name)

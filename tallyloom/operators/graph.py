@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.ordering import concat_by_ordinal
 from tallyloom.functions.text import markers
 
 # ---- fixed values (text the renderings must reproduce) ----------------------
@@ -99,13 +100,8 @@ def objective_progress(nodes: DataFrame, blocked: DataFrame | None = None) -> Da
 
 def concat_by_pos(df: DataFrame, keys: list[str], pos: str, piece: Column, sep: str,
                   part_rows: int = PART_NODES, text_name: str = "text") -> DataFrame:
-    """Concatenate ``piece`` per group in dense ``pos`` order, in parts of at
-    most ``part_rows`` pieces (part 0 holds positions 1..part_rows)."""
-    d = df.withColumn("_piece", piece).withColumn(
-        "part", F.floor((F.col(pos) - 1) / F.lit(part_rows)).cast("bigint"))
-    return d.groupBy(*keys, "part").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), "_piece"))),
-                                 lambda x: x["_piece"]), sep).alias(text_name))
+    """Concatenate ``piece`` per objective in dense ``pos`` order, in parts."""
+    return concat_by_ordinal(df, keys, pos, piece, sep, part_rows, text_name).drop("n_items", "first_ord")
 
 
 def blocked_lists(nodes: DataFrame, blocked: DataFrame | None = None) -> DataFrame:

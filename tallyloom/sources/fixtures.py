@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.ordering import ordinal_within_group
+from tallyloom.functions.ordering import ordinal_by_numeric
 from tallyloom.functions.text import CATEGORIES, PLAN_SECTIONS, markers
 from tallyloom.session import shared_dir
 from tallyloom.sources.tables import read_table
@@ -33,7 +33,7 @@ def _category_of(doc_id: Column) -> Column:
 
 # ---- F1 / F1s: objective nodes ----------------------------------------------
 
-def nodes(spark: SparkSession, sf_dir: str, small: bool = False) -> DataFrame:
+def nodes(spark: SparkSession, sf_dir: str, small: bool = False, checkpoint: bool = True) -> DataFrame:
     """F1 (objective = customer) or F1s (objective = orderkey div 3)."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
     if small:
@@ -48,7 +48,7 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False) -> DataFrame:
         w = Window.partitionBy("objective").orderBy("o_orderkey")
         base = base.withColumn("pos", F.row_number().over(w).cast("bigint"))
     else:
-        base = ordinal_within_group(base, ["objective"], ["o_orderkey"], "pos")
+        base = ordinal_by_numeric(base, ["objective"], "o_orderkey", "pos")
     base = base.withColumn("node_id", F.col("o_orderkey").cast("string"))
     # lag 1 / lag 3 as equi-joins on (objective, pos): no per-objective task
     prev1 = base.select("objective", (F.col("pos") + 1).alias("pos"), F.col("node_id").alias("_d1"))
@@ -68,7 +68,7 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False) -> DataFrame:
     # The node table is read several times by every graph job; write it once
     # (reliable checkpoint in the shared folder) so each use is a plain scan.
     shared_dir(spark)
-    return out.checkpoint(eager=True)
+    return out.checkpoint(eager=True) if checkpoint else out
 
 
 # ---- F2: issues ---------------------------------------------------------------
