@@ -55,8 +55,7 @@ def render_notes(notes: DataFrame) -> DataFrame:
 def read_note_folder(spark, root: str) -> DataFrame:
     """Markdown note files under ``root/<repo>/<category>/<slug>.md`` as a files
     table (repo, path, content); each file is one row (whole text)."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.md").text(root))
+    df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     fp = F.col("_metadata.file_path")
     return df.select(F.regexp_extract(fp, r"([^/]+)/[^/]+/[^/]+$", 1).alias("repo"),
                      F.regexp_extract(fp, r"([^/]+/[^/]+)$", 1).alias("path"),
@@ -172,6 +171,13 @@ def upsert_notes(notes: DataFrame, items: DataFrame, as_of: str) -> DataFrame:
         F.when(~touched, "unchanged").when(F.col("_old").isNull(), "insert").otherwise("update").alias("change"))
 
 
+def with_content(notes: DataFrame) -> DataFrame:
+    """Notes with their Markdown ``content`` (rendered when not stored)."""
+    if "content" in notes.columns:
+        return notes
+    return notes.join(render_notes(notes).select(*NOTE_KEY, "content"), NOTE_KEY)
+
+
 def _merge_actions(actions: DataFrame) -> DataFrame:
     return actions.filter((F.col("action") == "merge_into") & F.col("target_category").isNotNull()
                           & F.col("target_slug").isNotNull())
@@ -195,7 +201,7 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
         F.max(F.when(F.col("target_updated_body").isNotNull(),
                      F.struct("pos", "target_updated_body"))).alias("b"),
         F.collect_list("pos").alias("_poss"))
-    tgt = notes.select(*NOTE_KEY, "content")
+    tgt = with_content(notes).select(*NOTE_KEY, "content")
     j = per_target.join(tgt, NOTE_KEY)  # target must exist
     existing = T.fm_issues(F.col("content"))
     ids = union_issues(existing, F.col("add_issues"))
@@ -243,6 +249,7 @@ def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep"
 
 def apply_compaction(notes: DataFrame, actions: DataFrame, as_of: str, on_orphan: str = "keep") -> DataFrame:
     """New snapshot: merged targets replaced, removed keys dropped."""
+    notes = with_content(notes)
     merged = compact_merge(notes, actions, as_of).select(*NOTE_KEY, F.col("content").alias("_new"),
                                                          F.col("source_issues").alias("_ids"))
     removed = compact_delete(notes, actions, on_orphan)
