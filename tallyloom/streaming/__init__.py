@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The tool whose data these tables hold has no stream, watermark, window or
+state: every command is one run over the current issues and notes. Its jobs are
+built here as batch operators over snapshots (``sources.snapshots``); running
+them again on the next snapshot is the incremental path. No streaming operator
+is added, since the source has none to match.
+"""
