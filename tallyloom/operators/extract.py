@@ -128,9 +128,8 @@ def rewrite_roadmap(bodies: DataFrame, nodes: DataFrame, prefix: str = T.DEFAULT
     is one issue text, so its table and blob are built as a single part."""
     keys = list(keys)
     big = 1 << 30
-    table = graph.roadmap_table(nodes, part_rows=big).select(*keys, "table")
-    blob = graph.state_comment(nodes, prefix, part_rows=big).select(*keys, "blob")
-    j = bodies.join(table, keys, "left").join(blob, keys, "left")
+    rendered = graph.render_objectives(nodes, prefix=prefix, part_rows=big).select(*keys, "table", "blob")
+    j = bodies.join(rendered, keys, "left")
     new_content = F.concat(F.lit("\n"), F.coalesce("table", F.lit(graph.ROADMAP_HEADER)), F.lit("\n\n"),
                            F.coalesce("blob", F.lit(T.markers(prefix)["nodes_start"] + "[]" + T.markers(prefix)["nodes_end"])))
     b = F.coalesce(F.col("body"), F.lit(""))

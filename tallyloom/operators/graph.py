@@ -112,30 +112,48 @@ def blocked_lists(nodes: DataFrame, blocked: DataFrame | None = None) -> DataFra
                                  lambda x: x["dep_id"]), ", ").alias("blocked"))
 
 
-def roadmap_table(nodes: DataFrame, blocked: DataFrame | None = None,
-                  part_rows: int = PART_NODES) -> DataFrame:
-    """Markdown table per objective; the header leads part 0."""
-    j = nodes.join(blocked_lists(nodes, blocked), ["repo", "objective", "pos"], "left")
+def _table_row() -> Column:
     row = F.concat_ws(" | ", F.col("node_id"), F.col("description"), F.col("status"),
                       F.coalesce(F.concat(F.lit("#"), F.col("plan_issue").cast("string")), F.lit("")),
                       F.coalesce(F.col("pr_url"), F.lit("")), F.coalesce(F.col("blocked"), F.lit("")))
-    row = F.concat(F.lit("| "), row, F.lit(" |"))
-    t = concat_by_pos(j, NODE_KEY, "pos", row, "\n", part_rows)
-    return t.select(*NODE_KEY, "part", F.when(F.col("part") == 0, F.concat(F.lit(ROADMAP_HEADER + "\n"), "text"))
-                    .otherwise(F.col("text")).alias("table"))
+    return F.concat(F.lit("| "), row, F.lit(" |"))
 
 
-def node_state_json(nodes: DataFrame) -> Column:
+def node_state_json(nodes: DataFrame | None = None) -> Column:
     """One node as the stored JSON object (null fields omitted)."""
     return F.to_json(F.struct(F.col("node_id").alias("id"), "description", "status", "plan_issue",
                               "pr_url", F.coalesce("depends_on", F.array().cast("array<string>"))
                               .alias("depends_on")))
 
 
+def render_objectives(nodes: DataFrame, blocked: DataFrame | None = None, prefix: str = "loom",
+                      part_rows: int = PART_NODES) -> DataFrame:
+    """Roadmap table and state blob per objective part, in one aggregation
+    (one shuffle) over the nodes joined to their blocking lists."""
+    m = markers(prefix)
+    j = nodes.join(blocked_lists(nodes, blocked), ["repo", "objective", "pos"], "left")
+    d = (j.withColumn("part", F.floor((F.col("pos") - 1) / F.lit(part_rows)).cast("bigint"))
+         .withColumn("_e", F.struct(F.col("pos").alias("p"), _table_row().alias("row"),
+                                    node_state_json().alias("js"))))
+    agg = d.groupBy(*NODE_KEY, "part").agg(F.array_sort(F.collect_list("_e")).alias("_es"))
+    rows = F.array_join(F.transform("_es", lambda x: x["row"]), "\n")
+    table = F.when(F.col("part") == 0, F.concat(F.lit(ROADMAP_HEADER + "\n"), rows)).otherwise(rows)
+    blob = F.concat(F.lit(m["nodes_start"] + "["), F.array_join(F.transform("_es", lambda x: x["js"]), ","),
+                    F.lit("]" + m["nodes_end"]))
+    return agg.select(*NODE_KEY, "part", table.alias("table"), blob.alias("blob"))
+
+
+def roadmap_table(nodes: DataFrame, blocked: DataFrame | None = None,
+                  part_rows: int = PART_NODES) -> DataFrame:
+    """Markdown table per objective; the header leads part 0."""
+    return render_objectives(nodes, blocked, part_rows=part_rows).select(*NODE_KEY, "part", "table")
+
+
 def state_comment(nodes: DataFrame, prefix: str = "loom", part_rows: int = PART_NODES) -> DataFrame:
-    """Node rows -> the hidden state blob (one per objective part)."""
+    """Node rows -> the hidden state blob (one per objective part). Needs no
+    blocking lists, so it aggregates the nodes directly."""
     m = markers(prefix)
-    t = concat_by_pos(nodes, NODE_KEY, "pos", node_state_json(nodes), ",", part_rows)
+    t = concat_by_pos(nodes, NODE_KEY, "pos", node_state_json(), ",", part_rows)
     return t.select(*NODE_KEY, "part",
                     F.concat(F.lit(m["nodes_start"] + "["), "text", F.lit("]" + m["nodes_end"])).alias("blob"))
 

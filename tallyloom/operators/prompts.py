@@ -4,10 +4,11 @@ The job stops at prompt rows and resumes at reply rows (``decode_replies``);
 the model call sits between the two and is not part of this package. Every
 prompt is built from one snapshot of the notes.
 
-Per-repo texts (memory, hooks) are joined by repo. Their size is checked: a
-text is inlined only under ``inline_cap`` characters, so a prompt row never
-grows with the corpus; above it the prompt carries a ``{{memory:<repo>}}``
-reference that the sender resolves from the digest table. The join itself is
+Per-repo texts (memory, hooks) are joined by repo. Their size is checked
+first with an aggregate: a text is built and inlined only under
+``inline_cap`` characters, so neither a collect nor a prompt row grows with
+the corpus; above it the prompt carries a ``{{memory:<repo>}}`` reference that
+the sender resolves from the (part-split) digest table. The join itself is
 left to AQE, which broadcasts the per-repo side only when its runtime size is
 under the broadcast threshold.
 """
@@ -52,33 +53,48 @@ def render_template(template: str, cols: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
+def _small_text(df: DataFrame, order: list, piece: Column, sep: str, inline_cap: int) -> DataFrame:
+    """Per repo: ``chars`` (an aggregate, always computed) and ``text`` -- the
+    ordered concatenation, built only for repos whose total is proven under
+    ``inline_cap``; a collect over such a repo is bounded by the cap."""
+    d = df.withColumn("_piece", piece)
+    sizes = d.groupBy("repo").agg(
+        (F.sum(F.length("_piece")) + F.greatest(F.count(F.lit(1)) - 1, F.lit(0)) * len(sep))
+        .cast("bigint").alias("chars"))
+    small = sizes.filter(F.col("chars") <= inline_cap)
+    keyed = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)], F.col("_piece").alias("_p"))
+    text = (d.join(small.select("repo"), "repo", "left_semi").groupBy("repo")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["_p"]), sep)
+                 .alias("text")))
+    return sizes.join(text, "repo", "left")
+
+
 def memory_table(scanned: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
     """Per repo: the memory text for prompts and how it was chosen. The full
     digest when under the cap, else the routing index when under the cap,
-    else a reference."""
-    piece_len = F.length(F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
-                                  F.col("content"), F.lit("\n\n")))
-    sizes = scanned.groupBy("repo").agg(F.sum(piece_len).cast("bigint").alias("digest_chars"))
-    small = sizes.filter(F.col("digest_chars") <= inline_cap).select("repo")
-    digest = nt.notes_digest(scanned.join(small, "repo", "left_semi")).filter(F.col("part") == 0) \
-        .select("repo", F.col("digest").alias("_digest"))
-    idx = nt.routing_index_text(scanned).groupBy("repo").agg(
-        F.count(F.lit(1)).alias("_np"), F.max(F.when(F.col("part") == 0, F.col("index_text"))).alias("_idx"))
-    j = sizes.join(digest, "repo", "left").join(idx, "repo", "left")
-    use_idx = (F.col("_np") == 1) & (F.length("_idx") <= inline_cap)
-    mode = F.when(F.col("_digest").isNotNull(), "digest").when(use_idx, "index").otherwise("reference")
+    else a ``{{memory:<repo>}}`` reference to the digest table."""
+    order = [F.col("rank"), nt.file_name()]
+    piece = F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
+                     F.col("content"), F.lit("\n\n"))
+    dig = _small_text(scanned, order, piece, "", inline_cap).select(
+        "repo", F.col("text").alias("_digest"))
+    header = nt.INDEX_HEADER + "\n"
+    idx = _small_text(nt.routing_rows(scanned), order, F.col("line"), "\n",
+                      inline_cap - len(header) - 1).select("repo", F.col("text").alias("_rows"))
+    j = dig.join(idx, "repo")
+    mode = (F.when(F.col("_digest").isNotNull(), "digest").when(F.col("_rows").isNotNull(), "index")
+            .otherwise("reference"))
     text = (F.when(F.col("_digest").isNotNull(), F.col("_digest"))
-            .when(use_idx, F.col("_idx"))
+            .when(F.col("_rows").isNotNull(), F.concat(F.lit(header), F.col("_rows"), F.lit("\n")))
             .otherwise(F.concat(F.lit("{{memory:"), F.col("repo"), F.lit("}}"))))
     return j.select("repo", mode.alias("memory_mode"), text.alias("memory"))
 
 
 def hooks_table(hooks: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
-    h = nt.hooks_concat(hooks).groupBy("repo").agg(
-        F.count(F.lit(1)).alias("_np"), F.max(F.when(F.col("part") == 0, F.col("hooks"))).alias("_h"))
-    ok = (F.col("_np") == 1) & (F.length("_h") <= inline_cap)
-    return h.select("repo", F.when(ok, F.col("_h")).otherwise(
-        F.concat(F.lit("{{hooks:"), F.col("repo"), F.lit("}}"))).alias("hooks"))
+    h = hooks.filter(F.col("path").endswith(".md") & (F.col("path") != "README.md"))
+    t = _small_text(h, [F.col("path")], F.col("text"), "\n\n", inline_cap)
+    return t.select("repo", F.coalesce("text", F.concat(F.lit("{{hooks:"), F.col("repo"), F.lit("}}")))
+                    .alias("hooks"))
 
 
 def learn_context(plans: DataFrame, close_events: DataFrame, prs: DataFrame, comments: DataFrame,

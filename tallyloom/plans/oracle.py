@@ -651,14 +651,14 @@ idx AS (SELECT repo, '| File | Title | Read when |' || chr(10) || '|------|-----
         FROM routing GROUP BY repo),
 memory AS (SELECT s.repo,
                   CASE WHEN digest_chars <= 100000 THEN 'digest'
-                       WHEN n_notes <= 2000 AND length(index_text) <= 100000 THEN 'index' ELSE 'reference' END AS memory_mode,
+                       WHEN length(index_text) <= 100000 THEN 'index' ELSE 'reference' END AS memory_mode,
                   CASE WHEN digest_chars <= 100000 THEN digest
-                       WHEN n_notes <= 2000 AND length(index_text) <= 100000 THEN index_text
+                       WHEN length(index_text) <= 100000 THEN index_text
                        ELSE '{{{{memory:' || s.repo || '}}}}' END AS memory
            FROM sizes s JOIN idx USING (repo)),
 hk AS (SELECT repo, string_agg(text, chr(10) || chr(10) ORDER BY path) AS hooks, count(*) AS n
        FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md' GROUP BY repo),
-hooks_t AS (SELECT repo, CASE WHEN n <= 2000 AND length(hooks) <= 100000 THEN hooks
+hooks_t AS (SELECT repo, CASE WHEN length(hooks) <= 100000 THEN hooks
                               ELSE '{{{{hooks:' || repo || '}}}}' END AS hooks FROM hk),
 ctx AS (
   SELECT u.repo, u.issue, u.issue_title, u.issue_body, l.pr_number, l.pr_title, coalesce(l.pr_body, '') AS pr_body,
