@@ -24,8 +24,22 @@ from tallyloom.session import shared_dir
 ColLike = str | Column
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
 def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range partitions for ``df``: at least the shuffle-partition setting, and
+    enough that each holds about ``TARGET_PARTITION_BYTES`` by the optimizer's
+    size estimate (a metadata read, no job), at most 16x the setting; an
+    implausible estimate (joins are bounded by a product) keeps the setting."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: keep the setting
+        return base
+    if est >= 1 << 50:  # no usable estimate (e.g. a join's product bound)
+        return base
+    return max(base, min(-(-est // TARGET_PARTITION_BYTES), 16 * base))
 
 
 def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],

@@ -193,14 +193,20 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
     m = _merge_actions(actions)
     src = (notes.filter(F.col("category").isin(list(categories)))
            .select(*NOTE_KEY, F.col("source_issues").alias("src_issues")))
-    m = m.join(src, NOTE_KEY, "left")
-    per_target = m.groupBy("repo", F.col("target_category").alias("category"),
-                           F.col("target_slug").alias("slug")).agg(
-        F.count(F.lit(1)).alias("n_sources"),
-        F.flatten(F.collect_list(F.coalesce("src_issues", F.array().cast("array<bigint>")))).alias("add_issues"),
+    m = (m.join(src, NOTE_KEY, "left")
+         .select("repo", F.col("target_category").alias("category"), F.col("target_slug").alias("slug"),
+                 "pos", "target_updated_body", "src_issues"))
+    # last body-carrying merge per target (partial aggregate), then the count
+    # of ids-only merges after it: two passes, no per-target position list
+    last_body = m.groupBy(*NOTE_KEY).agg(
         F.max(F.when(F.col("target_updated_body").isNotNull(),
-                     F.struct("pos", "target_updated_body"))).alias("b"),
-        F.collect_list("pos").alias("_poss"))
+                     F.struct("pos", "target_updated_body"))).alias("b"))
+    per_target = m.join(last_body, NOTE_KEY).groupBy(*NOTE_KEY).agg(
+        F.count(F.lit(1)).alias("n_sources"),
+        F.array_distinct(F.flatten(F.collect_set(F.coalesce("src_issues", F.array().cast("array<bigint>")))))
+        .alias("add_issues"),
+        F.first("b").alias("b"),
+        F.count_if(F.col("b").isNull() | (F.col("pos") > F.col("b.pos"))).alias("_after"))
     tgt = with_content(notes).select(*NOTE_KEY, "content")
     j = per_target.join(tgt, NOTE_KEY)  # target must exist
     existing = T.fm_issues(F.col("content"))
@@ -213,7 +219,7 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
     # an ids-only merge keeps the text after the header (leading newlines
     # dropped) and appends one newline. So the result is the last body (or the
     # original text) plus one newline per ids-only merge after it.
-    after = F.size(F.filter("_poss", lambda p: p > F.coalesce(F.col("b.pos"), F.lit(-(1 << 62)))))
+    after = F.col("_after").cast("int")
     base = F.when(new_body.isNotNull(), F.concat(new_body, F.lit("\n"))) \
             .otherwise(F.regexp_replace(T.fm_rest(F.col("content")), r"\A\n+", ""))
     content = F.concat(header, F.lit("\n"), base, F.repeat(F.lit("\n"), after))
