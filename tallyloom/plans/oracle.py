@@ -723,3 +723,22 @@ SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED, O
         FROM unblocked u JOIN obj_bodies ob ON ob.repo = u.repo AND ob.objective = u.objective)
 SELECT repo, objective, pos, node_id, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
 FROM p"""
+
+
+# ---- extra outputs ------------------------------------------------------------------------------
+
+SQL["dangling_dependencies"] = with_(nodes_cte(), EDGES) + """
+SELECT e.repo, e.objective, e.pos, e.node_id, e.dep_pos, e.dep_id FROM edges e
+WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.repo = e.repo AND n.objective = e.objective AND n.node_id = e.dep_id)"""
+
+SQL["note_issue_index"] = with_(NOTES_BASE, SCANNED) + """
+SELECT repo, issue, count(*) AS n_notes FROM (SELECT repo, unnest(source_issues) AS issue FROM scanned)
+GROUP BY repo, issue"""
+
+SQL["visible_body"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + """
+SELECT t.repo, t.objective,
+       '## Goal' || chr(10) || concat('Deliver objective ', t.objective) || chr(10) || chr(10) || '## Roadmap'
+       || chr(10) || chr(10) || t.tbl || chr(10)
+       || CASE WHEN t.objective % 2 = 0 THEN chr(10) || chr(10) || '## Notes' || chr(10) || 'Keep scope small.'
+               ELSE '' END AS body
+FROM tables t"""
