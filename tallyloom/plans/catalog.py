@@ -315,7 +315,7 @@ AS_OF_EVENTS = fx.AS_OF_EVENTS
 
 def _stored_bodies(spark, d):
     """Objective bodies after a roadmap rewrite: they carry the state blob."""
-    n = fx.nodes(spark, d)
+    n = fx.nodes(spark, d, checkpoint=True)
     return ex.rewrite_roadmap(fx.objective_bodies(spark, d, n), n)
 
 
@@ -492,7 +492,7 @@ def q_learn_prompt(spark, d):
 
 @query("node_plan_prompt")
 def q_node_plan_prompt(spark, d):
-    n = fx.nodes(spark, d)
+    n = fx.nodes(spark, d, checkpoint=True)
     return _sha_out(pr.node_plan_prompt(graph.unblocked_nodes(n), fx.objective_bodies(spark, d, n)),
                     ["repo", "objective", "pos", "node_id"])
 

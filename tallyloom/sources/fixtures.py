@@ -33,7 +33,7 @@ def _category_of(doc_id: Column) -> Column:
 
 # ---- F1 / F1s: objective nodes ----------------------------------------------
 
-def nodes(spark: SparkSession, sf_dir: str, small: bool = False, checkpoint: bool = True) -> DataFrame:
+def nodes(spark: SparkSession, sf_dir: str, small: bool = False, checkpoint: bool = False) -> DataFrame:
     """F1 (objective = customer) or F1s (objective = orderkey div 3)."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
     if small:
@@ -65,10 +65,13 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False, checkpoint: boo
         F.when(F.col("o_orderstatus") == "F",
                F.concat(F.lit("https://host/"), F.col("repo"), F.lit("/pull/"), F.col("node_id"))).alias("pr_url"),
         F.filter(F.array(F.col("_d1"), F.col("_d3"), dangling), lambda x: x.isNotNull()).alias("depends_on"))
-    # The node table is read several times by every graph job; write it once
-    # (reliable checkpoint in the shared folder) so each use is a plain scan.
+    # The derivation is deterministic, so re-reading it is correct; a caller
+    # that feeds the table to many consumers (the rewrite family reads it four
+    # times) can write it once with a reliable checkpoint in the shared folder.
+    if not checkpoint:
+        return out
     shared_dir(spark)
-    return out.checkpoint(eager=True) if checkpoint else out
+    return out.checkpoint(eager=True)
 
 
 # ---- F2: issues ---------------------------------------------------------------
