@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.functions import text as T
-from tallyloom.functions.strict_json import strict_decode
+from tallyloom.functions.strict_json import OPT_STR, OPT_STR_LIST, OPT_UINT, STR, STR_LIST, strict_decode
+
+# Field types the decoders accept (a typed decoder's rules: required text,
+# optional text, lists of text; tripwires default to empty when absent).
+NODE_TYPES = {"id": STR, "description": STR, "status": STR, "plan_issue": OPT_UINT, "pr_url": OPT_STR,
+              "depends_on": OPT_STR_LIST}
+LEARNING_TYPES = {"category": STR, "slug": STR, "title": STR, "body": STR, "read_when": STR_LIST,
+                  "tripwires": r"MISSING|ARRAY<VOID>|ARRAY<OBJECT<.*action: STRING.*warning: STRING.*>>"}
+ACTION_TYPES = {"action": STR, "category": STR, "slug": STR, "reason": OPT_STR, "target_category": OPT_STR,
+                "target_slug": OPT_STR, "target_updated_body": OPT_STR}
 from tallyloom.operators import graph
 
 
@@ -58,7 +67,7 @@ def load_node_state(bodies: DataFrame, keys=("repo", "objective"),
     d = strict_decode(d, "_span", schemas.NODE_STATE, ["id", "description", "status"],
                       lambda x: x["status"].isin(*T.NODE_STATUSES)
                       & (x["plan_issue"].isNull() | (x["plan_issue"] >= 0)),
-                      items="_items", reason="_why")
+                      items="_items", reason="_why", types=NODE_TYPES)
     d = d.withColumn("reason", F.when(F.col("_span").isNull(), F.lit("no marker"))
                      .when(F.col("_why").isNotNull(), F.concat(F.lit("bad state: "), F.col("_why"))))
     rejects = reject_rows(d, keys, F.col("reason"))
@@ -89,9 +98,12 @@ def decode_replies(replies: DataFrame, key: str = "id", kind: str = "learnings")
     d = replies.select(key, T.json_payload(F.col("reply")).alias("_span"))
     if kind == "learnings":
         d = strict_decode(d, "_span", schemas.LEARNING_ITEM, ["category", "slug", "title", "read_when", "body"],
-                          items="_items")
+                          lambda x: F.forall(F.coalesce(x["tripwires"], F.array()),
+                                             lambda t: t["action"].isNotNull() & t["warning"].isNotNull()),
+                          items="_items", types=LEARNING_TYPES)
     else:
-        d = strict_decode(d, "_span", schemas.AUDIT_ACTION, ["action", "category", "slug"], items="_items")
+        d = strict_decode(d, "_span", schemas.AUDIT_ACTION, ["action", "category", "slug"], items="_items",
+                          types=ACTION_TYPES)
     rejects = reject_rows(d, [key], F.col("reason"))
     rows = d.select(key, F.posexplode_outer("_items").alias("item_pos", "it")).where(F.col("it").isNotNull())
     if kind == "learnings":

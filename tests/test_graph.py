@@ -99,6 +99,8 @@ def test_decode_node_state_strict(spark):
         "lone": m + '{"id":"a","description":"x","status":"done"} -->',
         "missing_id": m + '[{"description":"x","status":"done"}] -->',
         "bad_status": m + '[{"id":"a","description":"x","status":"started"}] -->',
+        "number_id": m + '[{"id":1,"description":"x","status":"done"}] -->',
+        "null_deps": m + '[{"id":"a","description":"x","status":"done","depends_on":null}] -->',
         "none": "no blob here",
     }
     df = spark.createDataFrame(list(cases.items()), "objective string, body string").withColumn("repo", F.lit("r"))

@@ -72,12 +72,17 @@ def test_decode_replies_strict(spark):
              (4, good[:-1]), (5, good + " trailing ]"),
              (6, '{"category":"patterns","slug":"s","title":"t","read_when":["w"],"body":"b"}'),
              (7, '[{"category":"patterns","slug":"s","read_when":["w"],"body":"b"}]'), (8, "nothing"),
-             (9, good.replace('"body":"b"}', '"body":"b"}, {"slug": 1}'))]
+             (9, good.replace('"body":"b"}', '"body":"b"}, {"slug": 1}')),
+             (10, good.replace('"slug":"s"', '"slug":5')),
+             (11, good.replace('"body":"b"}', '"body":"b","tripwires":[{"action":"a"}]}')),
+             (12, good.replace('"body":"b"}', '"body":"b","tripwires":null}')),
+             (13, good.replace('"body":"b"}', '"body":"b","extra":1,"tripwires":[{"action":"a","warning":"w"}]}'))]
     rows, rej = ex.decode_replies(spark.createDataFrame(cases, "id long, reply string"))
-    assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3, 13]
     reasons = {r.id: r.reason for r in rej.collect()}
     assert reasons[8] == "no json array" and reasons[7] == "missing or invalid field"
-    assert set(reasons) == {4, 5, 6, 7, 8, 9}
+    assert reasons[10] == "wrong json type"  # a number where text is required
+    assert set(reasons) == {4, 5, 6, 7, 8, 9, 10, 11, 12}
     acts, arej = ex.decode_replies(spark.createDataFrame(
         [(1, '[{"action":"keep","category":"c","slug":"s"}]'), (2, '[{"action":"keep"}]')],
         "id long, reply string"), kind="actions")
