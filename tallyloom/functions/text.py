@@ -193,8 +193,11 @@ def closing_ref(body) -> Column:
 
 
 def branch_ref(branch) -> Column:
-    """First run of digits in a branch name."""
-    return _digits_to_bigint(F.regexp_extract(F.coalesce(_c(branch), F.lit("")), r"([0-9]+)", 1))
+    """First run of digits in a branch name that parses as a number (a run too
+    long for a number is passed over)."""
+    runs = F.regexp_extract_all(F.coalesce(_c(branch), F.lit("")), F.lit(r"([0-9]+)"), 1)
+    nums = F.filter(F.transform(runs, lambda r: r.try_cast("bigint")), lambda x: x.isNotNull())
+    return F.try_element_at(nums, F.lit(1))
 
 
 def missing_sections(body) -> Column:
@@ -308,11 +311,14 @@ def iso_date(d) -> Column:
 
 def age_label(created, as_of) -> Column:
     """``today`` / ``1 day ago`` / ``N days ago`` in whole days between the
-    date part of ``created`` and ``as_of``; malformed input comes back as is."""
+    date part of ``created`` (text before ``T``) and ``as_of``. The date part
+    counts when exactly three of its ``-``-separated pieces are whole numbers
+    (other pieces are skipped); otherwise the input comes back as is."""
     s = _c(created).cast("string")
-    date_part = F.substring_index(s, "T", 1)
-    date_part = F.substring_index(date_part, " ", 1)
-    d = F.when(date_part.rlike(r"\A[0-9]+-[0-9]+-[0-9]+\z"), F.try_to_date(date_part, "y-M-d"))
+    pieces = F.split(F.substring_index(s, "T", 1), "-", -1)
+    nums = F.filter(pieces, lambda p: p.rlike(r"\A\+?[0-9]+\z"))
+    d = F.when(F.size(nums) == 3, F.try_to_date(F.array_join(
+        F.transform(nums, lambda p: F.regexp_replace(p, r"\A\+", "")), "-"), "y-M-d"))
     n = F.datediff(_c(as_of), d)
     label = (F.when(n == 0, F.lit("today"))
              .when(n == 1, F.lit("1 day ago"))

@@ -118,7 +118,8 @@ def decode_replies(replies: DataFrame, key: str = "id", kind: str = "learnings")
 
 def age_histogram(dated: DataFrame, ts_col: str, as_of: str) -> DataFrame:
     """Count of items per age label (``today``, ``1 day ago``, ``N days ago``)."""
-    age = T.age_label(F.col(ts_col).cast("string"), F.lit(as_of).cast("date"))
+    iso = F.date_format(F.col(ts_col), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    age = T.age_label(iso, F.lit(as_of).cast("date"))
     return dated.select(age.alias("age")).groupBy("age").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -50,6 +50,7 @@ def test_closing_ref(spark):
 def test_branch_ref(spark):
     assert one(spark, T.branch_ref(_t()), "feat-123-x-9") == 123
     assert one(spark, T.branch_ref(_t()), "main") is None
+    assert one(spark, T.branch_ref(_t()), "b-" + "9" * 30 + "-42") == 42
 
 
 def test_missing_sections(spark):
@@ -127,6 +128,8 @@ def test_age_label_and_dates(spark):
     assert one(spark, T.age_label(_t(), as_of), "2024-01-01") == "30 days ago"
     assert one(spark, T.age_label(_t(), as_of), "2024-02-02") == "-2 days ago"
     assert one(spark, T.age_label(_t(), as_of), "not-a-date") == "not-a-date"
+    assert one(spark, T.age_label(_t(), as_of), "2024-01-30 10:00") == "2024-01-30 10:00"  # no T: 2 numbers
+    assert one(spark, T.age_label(_t(), as_of), "2024-x-01-30") == "1 day ago"  # unparsable piece skipped
     assert one(spark, T.age_label(_t(), as_of), "1970-01-01").endswith(" days ago")
     iso = one(spark, T.iso_date(F.lit("2024-03-05").cast("date")), "x")
     assert len(iso) == 10 and iso[4] == "-" and iso[7] == "-"
