@@ -223,8 +223,10 @@ def fm_list(content, field: str) -> Column:
     """``- item`` lines after the ``field:`` line; blank lines skipped, the
     first other line ends the list."""
     c = _c(content)
-    block_pat = (r"(?dmU)^[^\S\n]*" + java_quote(field) + r":[^\n]*(?:\n|\z)"
-                 r"((?:[^\S\n]*(?:- [^\n]*\S[^\S\n]*)?(?:\n|\z))*)")
+    f = java_quote(field)
+    # a repeated ``field:`` line inside the list keeps the list open
+    block_pat = (r"(?dmU)^[^\S\n]*" + f + r":[^\n]*(?:\n|\z)"
+                 r"((?:[^\S\n]*(?:- [^\n]*\S[^\S\n]*|" + f + r":[^\n]*)?(?:\n|\z))*)")
     block = F.regexp_extract(c, block_pat, 1)
     items = F.regexp_extract_all(block, F.lit(r"(?dmU)^[^\S\n]*- ([^\n]*\S)[^\S\n]*$"), 1)
     items = F.transform(items, lambda s: strip_quotes(F.regexp_replace(s, r"\A(?:- )+", "")))

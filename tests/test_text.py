@@ -71,6 +71,7 @@ def test_front_matter_fields(spark):
     assert one(spark, T.fm_list(_t(), "read_when"), NOTE) == ["editing a", "b"]
     assert one(spark, T.fm_list(_t(), "tripwires"), NOTE) == []
     assert one(spark, T.fm_list(_t(), "nothing"), NOTE) == []
+    assert one(spark, T.fm_list(_t(), "k"), "k:\n- a\nk:\n  - b\nother: 1\n- c") == ["a", "b"]
     assert one(spark, T.fm_issues(_t()), NOTE) == [3, 1, 7]
     assert one(spark, T.fm_issues(_t()), "source_issues: []") == []
     assert one(spark, T.fm_issues(_t()), "source_issues: [5]") == [5]
