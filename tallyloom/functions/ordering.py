@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import shared_dir
+from tallyloom.session import materialize
 
 ColLike = str | Column
 
@@ -58,13 +58,12 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     The count table has at most partitions + keys rows.
     """
     n = num_partitions or _num_partitions(df)
-    shared_dir(df.sparkSession)
     sort_cols = [*keys, *order]
     ranged = (df.repartitionByRange(n, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "ordinal")
     stats = (ranged.groupBy(*keys, "_pid")
              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base")))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

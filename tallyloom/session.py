@@ -69,3 +69,22 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared folder for one write."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    The input is persisted (memory and disk) for the duration of the eager
+    checkpoint, so it is computed once: the checkpoint's count fills the cache
+    and the checkpoint write reads it; the cache is dropped right after. Later
+    readers, and task retries after a lost executor, read the checkpoint files.
+    ``name`` is kept for logs and call sites.
+    """
+    from pyspark import StorageLevel
+
+    shared_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.ordering import ordinal_by_numeric
 from tallyloom.functions.text import CATEGORIES, PLAN_SECTIONS, markers
-from tallyloom.session import shared_dir
+from tallyloom.session import materialize
 from tallyloom.sources.tables import read_table
 
 AS_OF_EVENTS = "2024-01-30"
@@ -67,11 +67,10 @@ def nodes(spark: SparkSession, sf_dir: str, small: bool = False, checkpoint: boo
         F.filter(F.array(F.col("_d1"), F.col("_d3"), dangling), lambda x: x.isNotNull()).alias("depends_on"))
     # The derivation is deterministic, so re-reading it is correct; a caller
     # that feeds the table to many consumers (the rewrite family reads it four
-    # times) can write it once with a reliable checkpoint in the shared folder.
+    # times) can write it once to the shared folder.
     if not checkpoint:
         return out
-    shared_dir(spark)
-    return out.checkpoint(eager=True)
+    return materialize(out, "nodes")
 
 
 # ---- F2: issues ---------------------------------------------------------------
