@@ -15,7 +15,7 @@ from tallyloom.functions.ordering import ordered_text_parts
 from tallyloom.operators import extract as ex
 from tallyloom.operators import graph
 from tallyloom.operators.issues import LEARNED_LABEL
-from tallyloom.session import shared_dir
+from tallyloom.session import materialize
 
 NODE_KEY = ["repo", "objective", "pos"]
 
@@ -88,8 +88,7 @@ def create_objectives(drafts: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> tupl
     the rendered table and node state; no roadmap / no nodes -> rejects."""
     nodes, rejects = ex.extract_roadmaps(drafts)
     # parsed nodes feed the table, the blob and the blocking join: parse once
-    shared_dir(drafts.sparkSession)
-    nodes = nodes.checkpoint(eager=True)
+    nodes = materialize(nodes, "roadmap-nodes")
     created = ex.rewrite_roadmap(drafts.join(nodes.select("repo", "objective").distinct(),
                                              ["repo", "objective"], "left_semi"), nodes, prefix)
     return created, rejects
