@@ -317,10 +317,14 @@ def age_label(created, as_of) -> Column:
     counts when exactly three of its ``-``-separated pieces are whole numbers
     (other pieces are skipped); otherwise the input comes back as is."""
     s = _c(created).cast("string")
-    pieces = F.split(F.substring_index(s, "T", 1), "-", -1)
+    part = F.substring_index(s, "T", 1)
+    # fast path for the usual Y-M-D text; the piece-skipping rule only runs
+    # for other inputs (CASE evaluates one branch per row)
+    pieces = F.split(part, "-", -1)
     nums = F.filter(pieces, lambda p: p.rlike(r"\A\+?[0-9]+\z"))
-    d = F.when(F.size(nums) == 3, F.try_to_date(F.array_join(
+    slow = F.when(F.size(nums) == 3, F.try_to_date(F.array_join(
         F.transform(nums, lambda p: F.regexp_replace(p, r"\A\+", "")), "-"), "y-M-d"))
+    d = F.when(part.rlike(r"\A[0-9]+-[0-9]+-[0-9]+\z"), F.try_to_date(part, "y-M-d")).otherwise(slow)
     n = F.datediff(_c(as_of), d)
     label = (F.when(n == 0, F.lit("today"))
              .when(n == 1, F.lit("1 day ago"))
