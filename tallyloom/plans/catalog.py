@@ -12,7 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import text as T
+from tallyloom.operators import extract as ex
 from tallyloom.operators import graph
+from tallyloom.operators import issues as iss
+from tallyloom.operators import lifecycle as lc
+from tallyloom.operators import notes as nt
+from tallyloom.operators import prompts as pr
 from tallyloom.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +86,6 @@ def q_state_comment(spark, d):
 
 # ---- 2.1 / 2.4 / 2.5 / 2.7 issue tables ------------------------------------------
 
-from tallyloom.operators import issues as iss  # noqa: E402
 
 AS_OF_ISSUES = "1998-12-31"
 
@@ -136,9 +141,8 @@ def q_linked_pr(spark, d):
 
 @query("pr_for_branch")
 def q_pr_for_branch(spark, d):
-    from tallyloom.functions.text import first_line
     return iss.pr_for_branch(fx.pull_requests(spark, d)).select(
-        "repo", "head_ref", "number", "title", first_line(F.col("body")).alias("first_line"))
+        "repo", "head_ref", "number", "title", T.first_line(F.col("body")).alias("first_line"))
 
 
 @query("scan_comments")
@@ -179,8 +183,6 @@ def q_closed_only(spark, d):
 
 # ---- 2.1 / 2.2 / 2.3 / 2.5 / 2.6 / 2.8 / 2.9 notes ----------------------------------------
 
-from tallyloom.functions import text as T  # noqa: E402
-from tallyloom.operators import notes as nt  # noqa: E402
 
 AS_OF_NOTES = "2024-02-01"
 
@@ -308,7 +310,6 @@ def q_marker_span(spark, d):
 
 # ---- 2.3 text extraction jobs ----------------------------------------------------------
 
-from tallyloom.operators import extract as ex  # noqa: E402
 
 AS_OF_EVENTS = fx.AS_OF_EVENTS
 
@@ -368,8 +369,6 @@ def q_truncation_report(spark, d):
 
 # ---- 2.4 / 2.6 / 2.9 life cycle, 2.11 prompts -----------------------------------------------
 
-from tallyloom.operators import lifecycle as lc  # noqa: E402
-from tallyloom.operators import prompts as pr  # noqa: E402
 
 
 def _sha_out(df: DataFrame, keys) -> DataFrame:
