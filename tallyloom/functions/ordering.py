@@ -43,7 +43,8 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
-                         name: str = "ord", num_partitions: int | None = None) -> DataFrame:
+                         name: str = "ord", num_partitions: int | None = None,
+                         keep_partition: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``keys`` group.
 
     ``order`` must be a total order inside each group (add tie-breakers).
@@ -70,8 +71,8 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     stats = stats.select(*keys, "_pid", "_base",
                          F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     out = ranged.join(stats, [*keys, "_pid"])
-    return (out.withColumn(name, (F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint"))
-            .drop("_pid", "_mid", "_base", "_off"))
+    out = out.withColumn(name, (F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint"))
+    return out.drop("_mid", "_base", "_off") if keep_partition else out.drop("_pid", "_mid", "_base", "_off")
 
 
 def ordinal_by_numeric(df: DataFrame, keys: Sequence[str], num_col: str, name: str = "ord",

@@ -11,9 +11,6 @@ T0 = dt.datetime(2024, 1, 1)
 
 def events(spark, rows):
     return spark.createDataFrame(
-        [("r", issue, T0 + dt.timedelta(days=day), seq, ct, num, num if ct == "PullRequest" else None, st, 0)
-         for issue, day, seq, ct, num, st in rows], schemas.CLOSE_EVENTS.add("closer_id_dummy", "long")
-    ).drop("closer_id_dummy") if False else spark.createDataFrame(
         [("r", issue, T0 + dt.timedelta(days=day), seq, ct, num, num if ct == "PullRequest" else None, st, 0)
          for issue, day, seq, ct, num, st in rows],
         "repo string, issue long, closed_at timestamp_ntz, seq int, closer_type string, closer_id long, "

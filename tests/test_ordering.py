@@ -35,3 +35,14 @@ def test_ordered_text_parts(spark):
              ordered_text_parts(df, ["g"], ["i"], F.col("s"), ",", 3).collect()}
     assert parts == {("a", 0): (3, "x1,x2,x3"), ("a", 1): (3, "x4,x5,x6"), ("a", 2): (1, "x7"),
                      ("b", 0): (1, "y")}
+
+
+def test_hot_key_spreads_over_range_partitions(spark):
+    """Half of all rows share one key; they land in several range partitions,
+    so no single task numbers the whole hot group."""
+    df = _data(spark)
+    got = ordinal_within_group(df, ["k"], ["v"], "o", num_partitions=6, keep_partition=True)
+    spread = got.filter("k = 0").select("_pid").distinct().count()
+    assert spread >= 3
+    biggest = got.groupBy("_pid").count().agg(F.max("count")).first()[0]
+    assert biggest < 10000  # no partition holds the whole hot group (10000 rows)
