@@ -24,6 +24,8 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # checkpoint files of DataFrames that are gone are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # AQE merges small shuffle partitions; the text jobs are CPU-bound per row,
     # so keep small shuffles spread over the cores (no effect on large data,
     # whose partitions are far above this floor).
