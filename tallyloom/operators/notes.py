@@ -76,11 +76,23 @@ def ordered_notes(scanned: DataFrame) -> DataFrame:
     return ordinal_within_group(scanned, ["repo"], [F.col("rank"), file_name()], "ord")
 
 
-def notes_digest(scanned: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
-    """``### [cat/slug]\\ncontent\\n\\n`` per note, concatenated in read order."""
+def _with_empty_repos(parts: DataFrame, repos: DataFrame | None, text: str, empty: str) -> DataFrame:
+    """Give every listed repo without notes one part 0 holding ``empty``."""
+    if repos is None:
+        return parts
+    missing = repos.select("repo").distinct().join(parts.select("repo"), "repo", "left_anti")
+    filler = missing.select("repo", F.lit(0).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("n_items"),
+                            F.lit(None).cast("bigint").alias("first_ord"), F.lit(empty).alias(text))
+    return parts.unionByName(filler)
+
+
+def notes_digest(scanned: DataFrame, part_rows: int = PART_NOTES, repos: DataFrame | None = None) -> DataFrame:
+    """``### [cat/slug]\ncontent\n\n`` per note, concatenated in read order;
+    a listed repo without notes gets the empty text."""
     piece = F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
                      F.col("content"), F.lit("\n\n"))
-    return ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], piece, "", part_rows, "digest")
+    parts = ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], piece, "", part_rows, "digest")
+    return _with_empty_repos(parts, repos, "digest", "")
 
 
 def hooks_concat(hooks: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
@@ -102,13 +114,16 @@ def routing_rows(scanned: DataFrame, root: str = MEMORY_ROOT) -> DataFrame:
                                            F.lit(" | "), F.col("read_when"), F.lit(" |")))
 
 
-def routing_index_text(scanned: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
-    """The index table per repo (header on part 0)."""
+def routing_index_text(scanned: DataFrame, part_rows: int = PART_NOTES,
+                       repos: DataFrame | None = None) -> DataFrame:
+    """The index table per repo (header on part 0); a listed repo without
+    notes gets ``_No learnings yet._``."""
     t = ordered_text_parts(routing_rows(scanned), ["repo"], [F.col("rank"), file_name()],
                            F.col("line"), "\n", part_rows, "rows")
-    return t.select("repo", "part", "n_items",
-                    F.when(F.col("part") == 0, F.concat(F.lit(INDEX_HEADER + "\n"), "rows", F.lit("\n")))
-                    .otherwise(F.concat("rows", F.lit("\n"))).alias("index_text"))
+    t = t.select("repo", "part", "n_items", "first_ord",
+                 F.when(F.col("part") == 0, F.concat(F.lit(INDEX_HEADER + "\n"), "rows", F.lit("\n")))
+                 .otherwise(F.concat("rows", F.lit("\n"))).alias("index_text"))
+    return _with_empty_repos(t, repos, "index_text", NO_LEARNINGS + "\n").drop("first_ord")
 
 
 def note_catalog(scanned: DataFrame) -> DataFrame:

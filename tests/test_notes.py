@@ -60,6 +60,11 @@ def test_routing_index(spark):
                     ("@memory/tripwires/a.md", "T", "when x")]
     txt = nt.routing_index_text(sc).first().index_text
     assert txt.startswith("| File | Title | Read when |\n|------|-------|-----------|\n| @memory/patterns/a.md")
+    repos = spark.createDataFrame([("r",), ("empty",)], "repo string")
+    got = {r.repo: r.index_text for r in nt.routing_index_text(sc, repos=repos).collect()}
+    assert got["empty"] == "_No learnings yet._\n" and got["r"] == txt
+    dig = {r.repo: r.digest for r in nt.notes_digest(sc, repos=repos).collect()}
+    assert dig["empty"] == "" and dig["r"].startswith("### [patterns/a]\n---\n")
 
 
 def actions_df(spark, rows):
