@@ -67,7 +67,8 @@ def scan_notes(files: DataFrame, categories=T.CATEGORIES) -> DataFrame:
     their category rank (the read order is rank, then file name)."""
     f = files.select("repo", F.regexp_extract("path", r"(?:^|/)([^/]+)/[^/]+$", 1).alias("category"),
                      F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("slug"), "path", "content")
-    f = f.filter(F.col("path").endswith(".md") & F.col("category").isin(list(categories)))
+    # a ``.md`` extension needs a non-empty name before it (".md" alone has none)
+    f = f.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & F.col("category").isin(list(categories)))
     return f.withColumn("rank", category_rank(categories).cast("bigint"))
 
 
@@ -98,7 +99,7 @@ def notes_digest(scanned: DataFrame, part_rows: int = PART_NOTES, repos: DataFra
 def hooks_concat(hooks: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
     """Prompt-hook texts in path order, ``.md`` only, README.md skipped,
     joined by a blank line."""
-    h = hooks.filter(F.col("path").endswith(".md") & (F.col("path") != "README.md"))
+    h = hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
     return ordered_text_parts(h, ["repo"], ["path"], F.col("text"), "\n\n", part_rows, "hooks")
 
 

@@ -91,7 +91,7 @@ def memory_table(scanned: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
 
 
 def hooks_table(hooks: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
-    h = hooks.filter(F.col("path").endswith(".md") & (F.col("path") != "README.md"))
+    h = hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
     t = _small_text(h, [F.col("path")], F.col("text"), "\n\n", inline_cap)
     return t.select("repo", F.coalesce("text", F.concat(F.lit("{{hooks:"), F.col("repo"), F.lit("}}")))
                     .alias("hooks"))

@@ -149,6 +149,7 @@ def test_read_note_folder(spark, tmp_path):
         d.mkdir(parents=True, exist_ok=True)
         (d / f"{slug}.md").write_text(text)
     (base / "r1" / "patterns" / "skip.txt").write_text("not markdown")
+    (base / "r1" / "patterns" / ".md").write_text("no name, no extension")
     files = nt.read_note_folder(spark, str(base))
     sc = nt.scan_notes(files)
     got = sorted((r.repo, r.category, r.slug, r.content) for r in sc.collect())
