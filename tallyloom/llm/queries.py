@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_quality
+from tallyloom.session import scratch_path
+
+from . import html_text, line_quality, mixing, packing, substring_dedup, warc
 from .frames import read
 
 
+def op1_substring_dedup(spark, sf_dir):
+    out = substring_dedup.dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op3_html_text(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_line_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return line_quality.measure(docs).select(
@@ -15,6 +26,33 @@ def op5_line_quality(spark, sf_dir):
         "kept", "lost_chars")
 
 
+def op6_warc(spark, sf_dir):
+    path = scratch_path(spark, "llm-warc")
+    warc.write(read(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    whole = warc.assemble(warc.read(spark, path)).filter("capture is not null")
+    rows = whole.select(
+        F.col("metadata.page_id").cast("long").alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"),
+        F.col("capture.payload_digest").alias("payload_digest"), F.col("capture.record_type").alias("record_type"),
+        F.col("capture.refers_to").alias("to"), "capture_id")
+    first = rows.filter("record_type = 'response'").select(F.col("capture_id").alias("to"), F.col("page_id").alias("refers_to"))
+    return (rows.drop("capture_id").join(first, "to", "left")
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+def op8_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return mixing.schedule(docs).select("doc_id", "source", "source_block", "slot")
+
+
+def op10_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_html_text": op3_html_text,
     "op5_line_quality": op5_line_quality,
+    "op6_warc": op6_warc,
+    "op8_mixing": op8_mixing,
+    "op10_packing": op10_packing,
 }
