@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import html_text, line_quality, mixing, packing, substring_dedup, warc
+from . import html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, warc
 from .frames import read
 
 
@@ -19,6 +19,10 @@ def op3_html_text(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_line_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return line_quality.measure(docs).select(
@@ -51,6 +55,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_html_text": op3_html_text,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_line_quality": op5_line_quality,
     "op6_warc": op6_warc,
     "op8_mixing": op8_mixing,
