@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import row_key, stored
+from .frames import free_name, row_key, stored
 from .tokens import _COEF, U64, Shingles, Words, as_long, mix, text_slices
 
 PERCENT = 90
@@ -192,27 +192,39 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(derived)
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id): one row per row of docs."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), row_key(key, text).alias("k"))
-    sets = stored(rows.select("k", "text").mapInArrow(_sets(n), "k long, fp long, n long")
-                  .dropDuplicates(["k"]), "sets")
+def _label(rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """rows (id, text, k) -> (id, k, fp, n) of every row, and (fp, component) of every set that holds words."""
+    sets = stored(rows.select("k", "text").mapInArrow(_sets(n), "k long, fp long, n long").dropDuplicates(["k"]), "sets")
     member = components(_links(rows.select("k", "text"), sets, n, percent))
     named = stored(rows.select("id", "k").join(sets, "k"), "named")
-    classes = (named.filter("n > 0").groupBy("fp").agg(F.min("id").alias("least"))
-               .join(member.withColumnRenamed("node", "fp"), "fp", "left")
+    classes = (named.filter("n > 0").select("fp").distinct().join(member.withColumnRenamed("node", "fp"), "fp", "left")
                .withColumn("component", F.coalesce("component", "fp")))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = classes.join(least, "component").select("fp", "component_id")
+    return named, classes
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text"), row_key(key, text).alias("k"))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id): one row per row of docs."""
+    named, classes = _label(_rows(docs, key, text), n, percent)
+    by_set = named.filter("n > 0").groupBy("fp").agg(F.min("id").alias("least")).join(classes, "fp")
+    least = by_set.groupBy("component").agg(F.min("least").alias("component_id"))
+    names = by_set.join(least, "component").select("fp", "component_id")
     out = named.join(names, "fp", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each component: its least key (and the first of equal rows); empty texts all stay."""
-    found = join(docs, key, text, n, percent)
-    keep = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_j_id")).distinct()
-    return docs.join(keep, docs[key].eqNullSafe(keep["_j_id"])).drop("_j_id")
-
-
+    """docs with one row of each component: that of the least key, nulls last, and of equal rows one.
+    Rows without words are linked with nothing and all stay."""
+    k = free_name(docs, "_j_k")
+    named, classes = _label(_rows(docs, key, text), n, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "k")).alias("first")
+    by_set = named.filter("n > 0").groupBy("fp").agg(first).join(classes, "fp")
+    keep = by_set.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.k").alias(k))
+    some = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    full = docs.filter(some).withColumn(k, row_key(key, text)).join(keep, k).dropDuplicates([k])
+    return full.select(*docs.columns).unionByName(docs.filter(~some))
