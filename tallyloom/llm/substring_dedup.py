@@ -37,7 +37,8 @@ from .tokens import Words, as_long, grams, span_hash, text_slices
 
 WINDOW = 35
 GRAM = 8
-HOT_SEGMENTS = 4_000
+#: About a million words, some 150 MB in a shard; beyond that a gram's windows go one by one.
+HOT_SEGMENTS = 20_000
 SHARD_WORDS = 300_000
 
 
