@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, warc
+from . import exact_topk, html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, warc
 from .frames import read
 
 
@@ -15,6 +15,10 @@ def op1_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_exact_topk(spark, sf_dir):
+    return exact_topk.search(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op3_html_text(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -54,6 +58,7 @@ def op10_packing(spark, sf_dir):
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_exact_topk": op2_exact_topk,
     "op3_html_text": op3_html_text,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_quality": op5_line_quality,
