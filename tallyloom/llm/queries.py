@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import exact_topk, html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, warc
+from . import exact_topk, html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, toxicity, warc
 from .frames import read
 
 
@@ -52,6 +52,14 @@ def op8_mixing(spark, sf_dir):
     return mixing.schedule(docs).select("doc_id", "source", "source_block", "slot")
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    lexicon, weights = toxicity.learn(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    out = toxicity.score(docs, lexicon, weights)
+    return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -64,5 +72,6 @@ QUERIES = {
     "op5_line_quality": op5_line_quality,
     "op6_warc": op6_warc,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
