@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import exact_topk, html_text, jaccard_join, line_quality, mixing, packing, substring_dedup, toxicity, warc
+from . import exact_topk, html_text, jaccard_join, katz, line_quality, mixing, packing, substring_dedup, toxicity, warc
 from .frames import read
 
 
@@ -47,6 +47,13 @@ def op6_warc(spark, sf_dir):
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op7_katz(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    out = katz.score(docs, katz.train(docs.filter(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_mixing(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
     return mixing.schedule(docs).select("doc_id", "source", "source_block", "slot")
@@ -71,6 +78,7 @@ QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_quality": op5_line_quality,
     "op6_warc": op6_warc,
+    "op7_katz": op7_katz,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
