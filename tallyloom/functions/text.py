@@ -101,31 +101,6 @@ def extract_section(body, heading: str) -> Column:
     return F.when(pos > 0, section)
 
 
-def parse_roadmap_nodes(text) -> Column:
-    """Bullet lines ``- id: description (depends: a, b)`` -> array of
-    struct(id, description, depends_on); other lines are skipped."""
-    def one(line):
-        t = trim_ws(line)
-        rest = F.substring(t, 3, 1 << 30)
-        sep = F.instr(rest, ": ")
-        node_id = trim_ws(F.substring(rest, F.lit(1), sep - 1))
-        dd = F.substring(rest, sep + 2, F.lit(1 << 30))
-        has_deps = F.instr(dd, "(depends:") > 0
-        desc = F.when(has_deps, trim_ws(F.regexp_extract(dd, r"(?s)\A(.*)\(depends:", 1))) \
-                .otherwise(trim_ws(dd))
-        deps_part = F.regexp_replace(ltrim_ws(F.regexp_extract(dd, r"(?s)\(depends:((?:(?!\(depends:).)*)\z", 1)),
-                                     r"\)+\z", "")
-        deps = F.filter(F.transform(F.split(deps_part, ",", -1), lambda s: trim_ws(s)), lambda s: s != "")
-        deps = F.when(has_deps, deps).otherwise(F.array().cast("array<string>"))
-        ok = t.startswith("- ") & (sep > 0)
-        return F.struct(ok.alias("ok"), node_id.alias("id"), desc.alias("description"),
-                        deps.alias("depends_on"))
-    parsed = F.transform(lines(text), one)
-    return F.transform(F.filter(parsed, lambda x: x["ok"]),
-                       lambda x: F.struct(x["id"].alias("id"), x["description"].alias("description"),
-                                          x["depends_on"].alias("depends_on")))
-
-
 _BULLET = r"(?sU)\A\s*- .*: .*\S"
 
 
@@ -307,10 +282,6 @@ def first_line(body) -> Column:
     return F.regexp_replace(F.substring_index(b, "\n", 1), r"\r\z", "")
 
 
-def iso_date(d) -> Column:
-    return F.date_format(_c(d), "yyyy-MM-dd")
-
-
 def age_label(created, as_of) -> Column:
     """``today`` / ``1 day ago`` / ``N days ago`` in whole days between the
     date part of ``created`` (text before ``T``) and ``as_of``. The date part

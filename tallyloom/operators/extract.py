@@ -91,11 +91,12 @@ def section_coverage(plan_bodies: DataFrame) -> DataFrame:
         F.count_if(~F.array_contains("_miss", F.col("section"))).alias("n_present"))
 
 
-def decode_replies(replies: DataFrame, key: str = "id", kind: str = "learnings") -> tuple[DataFrame, DataFrame]:
+def decode_replies(replies: DataFrame, key: str | list[str] = "id", kind: str = "learnings") -> tuple[DataFrame, DataFrame]:
     """Model replies -> learning rows (or audit-action rows). The JSON array is
     taken from the reply (optional code fence, first ``[`` to last ``]``) and
     strictly decoded; a faulty reply goes to rejects with a reason."""
-    d = replies.select(key, T.json_payload(F.col("reply")).alias("_span"))
+    keys = [key] if isinstance(key, str) else list(key)
+    d = replies.select(*keys, T.json_payload(F.col("reply")).alias("_span"))
     if kind == "learnings":
         d = strict_decode(d, "_span", schemas.LEARNING_ITEM, ["category", "slug", "title", "read_when", "body"],
                           lambda x: F.forall(F.coalesce(x["tripwires"], F.array()),
@@ -104,15 +105,15 @@ def decode_replies(replies: DataFrame, key: str = "id", kind: str = "learnings")
     else:
         d = strict_decode(d, "_span", schemas.AUDIT_ACTION, ["action", "category", "slug"], items="_items",
                           types=ACTION_TYPES)
-    rejects = reject_rows(d, [key], F.col("reason"))
-    rows = d.select(key, F.posexplode_outer("_items").alias("item_pos", "it")).where(F.col("it").isNotNull())
+    rejects = reject_rows(d, keys, F.col("reason"))
+    rows = d.select(*keys, F.posexplode_outer("_items").alias("item_pos", "it")).where(F.col("it").isNotNull())
     if kind == "learnings":
-        rows = rows.select(key, F.col("item_pos").cast("bigint").alias("item_pos"), "it.category", "it.slug",
+        rows = rows.select(*keys, F.col("item_pos").cast("bigint").alias("item_pos"), "it.category", "it.slug",
                            "it.title", "it.read_when",
                            F.coalesce("it.tripwires", F.array().cast("array<struct<action:string,warning:string>>"))
                            .alias("tripwires"), "it.body")
     else:
-        rows = rows.select(key, F.col("item_pos").cast("bigint").alias("item_pos"), "it.*")
+        rows = rows.select(*keys, F.col("item_pos").cast("bigint").alias("item_pos"), "it.*")
     return rows, rejects
 
 

@@ -25,8 +25,8 @@ def scan_issues(issues: DataFrame) -> DataFrame:
 
 
 def open_plans_topk(issues: DataFrame, label: str = PLAN_LABEL, state: str = "OPEN",
-                    k: int | None = OPEN_LIST_CAP) -> DataFrame:
-    """Issues in ``state`` carrying ``label``; at most ``k`` per repo, newest
+                    k: int | None = None) -> DataFrame:
+    """Issues in ``state`` carrying ``label``; all, or at most ``k`` per repo, newest
     first (created_at desc, number desc). ``row_number <= k`` plans as a
     partial + final WindowGroupLimit, so a hot repo sends at most k rows per
     map task through the shuffle."""
@@ -54,14 +54,21 @@ def latest_close_event(close_events: DataFrame) -> DataFrame:
             .select("repo", "issue", "e.*"))
 
 
-def linked_pr(close_events: DataFrame, prs: DataFrame) -> DataFrame:
-    """Merged PR that closed the issue: take the *last* close event, *then*
-    require a merged PR closer (filtering first would pick older merges)."""
+def linked_keys(close_events: DataFrame) -> DataFrame:
+    """(repo, issue, pr_number, closed_at) of issues closed by a merged PR: take
+    the *last* close event, *then* require a merged PR closer (filtering first
+    would pick older merges)."""
     last = latest_close_event(close_events)
     merged = last.filter((F.col("closer_type") == "PullRequest") & (F.col("pr_state") == "MERGED"))
+    return merged.select("repo", "issue", "pr_number", "closed_at")
+
+
+def linked_pr(close_events: DataFrame, prs: DataFrame) -> DataFrame:
+    """Merged PR that closed the issue, with its texts. They come by a shuffle
+    join: estimates of text columns are not to be trusted with a broadcast."""
     p = prs.select("repo", F.col("number").alias("pr_number"), F.col("title").alias("pr_title"),
                    F.col("body").alias("pr_body"), "head_ref", "diff")
-    return merged.select("repo", "issue", "pr_number", "closed_at").join(p, ["repo", "pr_number"])
+    return linked_keys(close_events).join(p.hint("merge"), ["repo", "pr_number"])
 
 
 def pr_for_branch(prs: DataFrame, branches: DataFrame | None = None) -> DataFrame:
@@ -134,7 +141,7 @@ def listing_line(number: Column, title: Column, age: Column) -> Column:
     return F.concat(F.lit("#"), padded, F.lit(" "), title, F.lit(" ("), age, F.lit(")"))
 
 
-def plan_listing(issues: DataFrame, as_of: str, label: str = PLAN_LABEL, k: int = OPEN_LIST_CAP) -> DataFrame:
+def plan_listing(issues: DataFrame, as_of: str, label: str = PLAN_LABEL, k: int | None = None) -> DataFrame:
     top = open_plans_topk(issues, label, "OPEN", k)
     age = T.age_label(F.date_format("created_at", "yyyy-MM-dd"), F.lit(as_of).cast("date"))
     return top.select("repo", "number", "rank", listing_line(F.col("number"), F.col("title"), age).alias("line"))
@@ -146,6 +153,6 @@ def closed_only(issues: DataFrame, label: str = PLAN_LABEL) -> DataFrame:
     f = issues.filter(F.array_contains("labels", label))
     ok = F.col("state") == "CLOSED"
     return f.select("repo", "number", F.when(ok, "accepted").otherwise("rejected").alias("outcome"),
-                    F.when(~ok, F.concat(F.lit("issue #"), F.col("number").cast("string"),
-                                         F.lit(" is not closed (state: "), F.col("state"), F.lit(")")))
+                    F.when(~ok, F.concat(F.lit("#"), F.col("number").cast("string"),
+                                         F.lit(" has state "), F.col("state")))
                     .alias("reason"))

@@ -26,8 +26,8 @@ def plan_guard(requests: DataFrame) -> DataFrame:
     has = F.col("plan_issue").isNotNull()
     return requests.select(
         *NODE_KEY, "node_id", F.when(has, "rejected").otherwise("accepted").alias("outcome"),
-        F.when(has, F.concat(F.lit("node "), F.col("node_id"), F.lit(" already has plan issue #"),
-                             F.col("plan_issue").cast("string"), F.lit(" — cannot create another")))
+        F.when(has, F.concat(F.lit("plan #"), F.col("plan_issue").cast("string"), F.lit(" holds node "),
+                             F.col("node_id")))
         .alias("reason"))
 
 
@@ -67,7 +67,19 @@ def finish_nodes(nodes: DataFrame, landed: DataFrame) -> DataFrame:
     return j.select("repo", "objective", "node_id", "plan", "pos", outcome.alias("outcome"))
 
 
+def apply_started(nodes: DataFrame, created: DataFrame) -> DataFrame:
+    """The new node snapshot: every node, the started ones in progress with their plan number."""
+    started, _ = start_nodes(nodes, created)
+    now = started.select(*NODE_KEY, F.col("plan_issue").alias("_plan"))
+    j = nodes.join(now, NODE_KEY, "left")
+    on = F.col("_plan").isNotNull()
+    new = {"status": F.when(on, "in_progress").otherwise(F.col("status")),
+           "plan_issue": F.coalesce("_plan", "plan_issue")}
+    return j.select(*[new[c].alias(c) if c in new else F.col(c) for c in nodes.columns])
+
+
 def apply_finished(nodes: DataFrame, finished: DataFrame) -> DataFrame:
+    """The new node snapshot: every node, the finished ones done."""
     done = finished.filter(F.col("outcome") == "marked_done").select(*NODE_KEY).distinct() \
         .withColumn("_done", F.lit(True))
     j = nodes.join(done, NODE_KEY, "left")
@@ -100,22 +112,41 @@ def create_plans(drafts: DataFrame) -> DataFrame:
     return drafts.withColumn("missing", miss).withColumn("n_missing", F.size("missing").cast("bigint"))
 
 
-def attach_conversation(plans: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> DataFrame:
-    """Comment rows carrying the planning conversation, for non-empty ones."""
+def attach_conversation(turns: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> DataFrame:
+    """Comment rows carrying the planning conversation: one for each turn that
+    holds text, in turn order (``seq``), the first behind the sentinel. A row
+    a turn keeps a conversation of any length out of a single text."""
     s = T.markers(prefix)["conversation"]
-    return (plans.filter(F.col("conversation").isNotNull() & (F.col("conversation") != ""))
-            .select("repo", F.col("number").alias("issue"),
-                    F.concat(F.lit(s + "\n"), F.col("conversation")).alias("body")))
+    told = turns.filter(F.col("conversation").isNotNull() & (F.col("conversation") != ""))
+    first = told.groupBy("repo", "number").agg(F.min("seq").alias("_first"))
+    body = F.when(F.col("seq") == F.col("_first"), F.concat(F.lit(s + "\n"), F.col("conversation"))).otherwise(
+        F.col("conversation"))
+    return (told.join(first, ["repo", "number"])
+            .select("repo", F.col("number").alias("issue"), F.col("seq").cast("bigint").alias("seq"), body.alias("body")))
 
 
 def mark_learned(issues: DataFrame, learned: DataFrame, label: str = LEARNED_LABEL) -> DataFrame:
     """Add the learned label to issues that produced at least one item (an
     issue with zero items stays unlabelled and comes back next run)."""
-    keys = [c for c in ("repo", "number") if c in learned.columns]
-    j = issues.join(learned.select(*keys).distinct(), keys, "left_semi")
+    _needs_repo(learned)
+    j = issues.join(learned.select("repo", "number").distinct(), ["repo", "number"], "left_semi")
     return j.withColumn("labels", F.array_union("labels", F.array(F.lit(label))))
 
 
+def apply_learned(issues: DataFrame, learned: DataFrame, label: str = LEARNED_LABEL) -> DataFrame:
+    """The new issue snapshot: every issue, the learned ones labelled."""
+    _needs_repo(learned)
+    mark = learned.select("repo", "number").distinct().withColumn("_learned", F.lit(True))
+    j = issues.join(mark, ["repo", "number"], "left")
+    labels = F.when(F.col("_learned"), F.array_union("labels", F.array(F.lit(label)))).otherwise(F.col("labels"))
+    return j.select(*[labels.alias(c) if c == "labels" else F.col(c) for c in issues.columns])
+
+
+def _needs_repo(df: DataFrame) -> None:
+    if "repo" not in df.columns:
+        raise ValueError("issue numbers belong to a repo: the rows need a repo column")
+
+
 def batch_summary(outcomes: DataFrame) -> DataFrame:
     """learned / nothing found / failed per repo; failures never stop a batch."""
     return outcomes.groupBy("repo", "outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
 from tallyloom.functions.ordering import ordered_text_parts, ordinal_within_group
-from tallyloom.sources.fixtures import render_note_content
+from tallyloom.functions.note_text import render_note_content
 
 # ---- fixed values ------------------------------------------------------------
 EMPTY_READ_WHEN = "—"
@@ -87,20 +87,28 @@ def _with_empty_repos(parts: DataFrame, repos: DataFrame | None, text: str, empt
     return parts.unionByName(filler)
 
 
+def digest_piece() -> Column:
+    """One note in a digest: ``### [cat/slug]``, the file text, a blank line."""
+    return F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
+                    F.col("content"), F.lit("\n\n"))
+
+
+def hook_texts(hooks: DataFrame) -> DataFrame:
+    """Hook files that count: ``.md``, not README.md."""
+    return hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
+
+
 def notes_digest(scanned: DataFrame, part_rows: int = PART_NOTES, repos: DataFrame | None = None) -> DataFrame:
     """``### [cat/slug]\ncontent\n\n`` per note, concatenated in read order;
     a listed repo without notes gets the empty text."""
-    piece = F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
-                     F.col("content"), F.lit("\n\n"))
-    parts = ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], piece, "", part_rows, "digest")
+    parts = ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], digest_piece(), "", part_rows, "digest")
     return _with_empty_repos(parts, repos, "digest", "")
 
 
 def hooks_concat(hooks: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
     """Prompt-hook texts in path order, ``.md`` only, README.md skipped,
     joined by a blank line."""
-    h = hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
-    return ordered_text_parts(h, ["repo"], ["path"], F.col("text"), "\n\n", part_rows, "hooks")
+    return ordered_text_parts(hook_texts(hooks), ["repo"], ["path"], F.col("text"), "\n\n", part_rows, "hooks")
 
 
 def routing_rows(scanned: DataFrame, root: str = MEMORY_ROOT) -> DataFrame:
@@ -191,7 +199,8 @@ def with_content(notes: DataFrame) -> DataFrame:
     """Notes with their Markdown ``content`` (rendered when not stored)."""
     if "content" in notes.columns:
         return notes
-    return notes.join(render_notes(notes).select(*NOTE_KEY, "content"), NOTE_KEY)
+    return notes.withColumn("content", render_note_content(*[F.col(c) for c in (
+        "title", "read_when", "tripwires", "last_updated", "source_issues", "body")]))
 
 
 def _merge_actions(actions: DataFrame) -> DataFrame:
@@ -240,7 +249,7 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
             .otherwise(F.regexp_replace(T.fm_rest(F.col("content")), r"\A\n+", ""))
     content = F.concat(header, F.lit("\n"), base, F.repeat(F.lit("\n"), after))
     return j.select(*NOTE_KEY, "n_sources", ids.alias("source_issues"), new_body.isNotNull().alias("body_replaced"),
-                    content.alias("content"))
+                    content.alias("content"), new_body.alias("new_body"))
 
 
 def orphan_merges(notes: DataFrame, actions: DataFrame) -> DataFrame:
@@ -270,17 +279,17 @@ def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep"
 
 
 def apply_compaction(notes: DataFrame, actions: DataFrame, as_of: str, on_orphan: str = "keep") -> DataFrame:
-    """New snapshot: merged targets replaced, removed keys dropped."""
-    notes = with_content(notes)
-    merged = compact_merge(notes, actions, as_of).select(*NOTE_KEY, F.col("content").alias("_new"),
-                                                         F.col("source_issues").alias("_ids"))
+    """New snapshot of the typed columns: merged targets with their new body,
+    ids and date, removed keys dropped. Files are rendered from it
+    (``render_notes``); a stored ``content`` column is left out, as it would be
+    stale."""
+    merged = compact_merge(notes, actions, as_of).select(
+        *NOTE_KEY, F.lit(True).alias("_hit"), F.col("new_body").alias("_body"), F.col("source_issues").alias("_ids"))
     removed = compact_delete(notes, actions, on_orphan)
     out = notes.join(merged, NOTE_KEY, "left").join(removed.select(*NOTE_KEY), NOTE_KEY, "left_anti")
-    return out.select(*[c for c in notes.columns if c not in ("content", "source_issues", "last_updated")],
-                      F.coalesce("_new", "content").alias("content"),
-                      F.coalesce("_ids", "source_issues").alias("source_issues"),
-                      F.when(F.col("_new").isNotNull(), F.lit(as_of).cast("date"))
-                      .otherwise(F.col("last_updated")).alias("last_updated"))
+    new = {"body": F.coalesce("_body", "body"), "source_issues": F.coalesce("_ids", "source_issues"),
+           "last_updated": F.when(F.col("_hit"), F.lit(as_of).cast("date")).otherwise(F.col("last_updated"))}
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in notes.columns if c != "content"])
 
 
 def action_counts(actions: DataFrame) -> DataFrame:

@@ -1,16 +1,15 @@
-"""Prompt rows for the outside language model, and the context they need.
+"""Prompt segments for the outside language model, and the context they need.
 
 The job stops at prompt rows and resumes at reply rows (``decode_replies``);
 the model call sits between the two and is not part of this package. Every
 prompt is built from one snapshot of the notes.
 
-Per-repo texts (memory, hooks) are joined by repo. Their size is checked
-first with an aggregate: a text is built and inlined only under
-``inline_cap`` characters, so neither a collect nor a prompt row grows with
-the corpus; above it the prompt carries a ``{{memory:<repo>}}`` reference that
-the sender resolves from the (part-split) digest table. The join itself is
-left to AQE, which broadcasts the per-repo side only when its runtime size is
-under the broadcast threshold.
+A prompt is a list of ordered segments. Texts of the issue and its change are
+segments of their own rows; the notes and hooks of a repo, which every prompt of
+the repo holds, are one ordered segment table per repo (``repo_segments``) with
+all their text. A prompt refers to it by key and never copies it, at any size:
+the sender writes, for a ``memory`` or ``hooks`` segment, the repo's rows of that
+kind in (rank, name) order.
 """
 
 from __future__ import annotations
@@ -24,22 +23,23 @@ from tallyloom.functions import text as T
 from tallyloom.operators import issues as iss
 from tallyloom.operators import notes as nt
 
-INLINE_CAP = 100_000
-
-LEARN_TEMPLATE = (
+#: Before the notes, and after notes and hooks.
+LEARN_HEAD = (
     "Extract reusable learnings from a finished piece of work.\n\n"
     "## Issue: {issue_title}\n\n{issue_body}\n\n"
     "## Merged change: {pr_title}\n\n{pr_body}\n\n"
     "## Diff\n{diff}\n{conversation_section}\n"
-    "## Existing notes\n{memory}\n{hooks_section}\n---\n\n"
+    "## Existing notes\n")
+LEARN_TAIL = (
+    "\n---\n\n"
     "Reply with a JSON array of objects with keys category, slug, title, read_when, "
     "tripwires and body; return an empty array when nothing clears the bar.")
 
 NODE_TEMPLATE = (
-    "Write a plan for one node of an objective.\n\n"
-    "## Objective: {objective_title}\n\n{objective_body}\n\n"
-    "## Node\nID: {node_id}\nDescription: {description}\n\n"
-    "Cover: why, background, approach, acceptance criteria, scope, edge cases and risks, key files.")
+    "Plan the work of one node.\n\n"
+    "## Node {node_id}\n{description}\n\n"
+    "## Part of: {objective_title}\n\n{objective_body}\n\n"
+    "The plan says what to do and why, how it is checked, what it leaves out and where it can go wrong.")
 
 
 def render_template(template: str, cols: dict[str, Column]) -> Column:
@@ -53,90 +53,61 @@ def render_template(template: str, cols: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
-def _small_text(df: DataFrame, order: list, piece: Column, sep: str, inline_cap: int) -> DataFrame:
-    """Per repo: ``chars`` (an aggregate, always computed) and ``text`` -- the
-    ordered concatenation, built only for repos whose total is proven under
-    ``inline_cap``; a collect over such a repo is bounded by the cap."""
-    d = df.withColumn("_piece", piece)
-    sizes = d.groupBy("repo").agg(
-        (F.sum(F.length("_piece")) + F.greatest(F.count(F.lit(1)) - 1, F.lit(0)) * len(sep))
-        .cast("bigint").alias("chars"))
-    small = sizes.filter(F.col("chars") <= inline_cap)
-    keyed = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)], F.col("_piece").alias("_p"))
-    text = (d.join(small.select("repo"), "repo", "left_semi").groupBy("repo")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["_p"]), sep)
-                 .alias("text")))
-    return sizes.join(text, "repo", "left")
-
-
-def memory_table(scanned: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
-    """Per repo: the memory text for prompts and how it was chosen. The full
-    digest when under the cap, else the routing index when under the cap,
-    else a ``{{memory:<repo>}}`` reference to the digest table."""
-    order = [F.col("rank"), nt.file_name()]
-    piece = F.concat(F.lit("### ["), F.col("category"), F.lit("/"), F.col("slug"), F.lit("]\n"),
-                     F.col("content"), F.lit("\n\n"))
-    dig = _small_text(scanned, order, piece, "", inline_cap).select(
-        "repo", F.col("text").alias("_digest"))
-    header = nt.INDEX_HEADER + "\n"
-    idx = _small_text(nt.routing_rows(scanned), order, F.col("line"), "\n",
-                      inline_cap - len(header) - 1).select("repo", F.col("text").alias("_rows"))
-    j = dig.join(idx, "repo")
-    mode = (F.when(F.col("_digest").isNotNull(), "digest").when(F.col("_rows").isNotNull(), "index")
-            .otherwise("reference"))
-    text = (F.when(F.col("_digest").isNotNull(), F.col("_digest"))
-            .when(F.col("_rows").isNotNull(), F.concat(F.lit(header), F.col("_rows"), F.lit("\n")))
-            .otherwise(F.concat(F.lit("{{memory:"), F.col("repo"), F.lit("}}"))))
-    return j.select("repo", mode.alias("memory_mode"), text.alias("memory"))
-
-
-def hooks_table(hooks: DataFrame, inline_cap: int = INLINE_CAP) -> DataFrame:
-    h = hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
-    t = _small_text(h, [F.col("path")], F.col("text"), "\n\n", inline_cap)
-    return t.select("repo", F.coalesce("text", F.concat(F.lit("{{hooks:"), F.col("repo"), F.lit("}}")))
-                    .alias("hooks"))
+def repo_segments(scanned: DataFrame, hooks: DataFrame) -> DataFrame:
+    """(repo, kind, rank, name, text): every note and every hook text of each repo."""
+    memory = scanned.select("repo", F.lit("memory").alias("kind"), "rank", nt.file_name().alias("name"), nt.digest_piece().alias("text"))
+    rules = nt.hook_texts(hooks).select("repo", F.lit("hooks").alias("kind"), F.lit(0).cast("bigint").alias("rank"),
+                                        F.col("path").alias("name"), F.concat("text", F.lit("\n\n")).alias("text"))
+    return memory.unionByName(rules)
 
 
 def learn_context(plans: DataFrame, close_events: DataFrame, prs: DataFrame, comments: DataFrame,
-                  scanned_notes: DataFrame, hooks: DataFrame, prefix: str = T.DEFAULT_PREFIX,
-                  inline_cap: int = INLINE_CAP) -> tuple[DataFrame, DataFrame]:
-    """One row per closed plan with every prompt input. A plan without a merged
-    closing PR becomes a reject row."""
+                  prefix: str = T.DEFAULT_PREFIX) -> tuple[DataFrame, DataFrame]:
+    """One row per closed plan with its own prompt inputs. A plan without a
+    merged closing PR becomes a reject row. Keys are matched first; the texts
+    of the PRs that matched come last, by a shuffle join."""
     p = plans.select("repo", F.col("number").alias("issue"), F.col("title").alias("issue_title"),
                      F.coalesce("body", F.lit("")).alias("issue_body"))
-    linked = iss.linked_pr(close_events, prs).select("repo", "issue", "pr_number", "pr_title", "pr_body", "diff")
-    j = p.join(linked, ["repo", "issue"], "left")
-    rejects = j.filter(F.col("pr_number").isNull()).select(
-        "repo", "issue", F.concat(F.lit("no merged PR found that closes #"), F.col("issue").cast("string"))
-        .alias("reason"))
+    there = prs.select("repo", F.col("number").alias("pr_number"))
+    keys = (p.select("repo", "issue").join(iss.linked_keys(close_events).drop("closed_at"), ["repo", "issue"])
+            .join(there, ["repo", "pr_number"]))
+    rejects = p.select("repo", "issue").join(keys, ["repo", "issue"], "left_anti").withColumn(
+        "reason", F.concat(F.lit("#"), F.col("issue").cast("string"), F.lit(" has no merged change")))
+    texts = prs.select("repo", F.col("number").alias("pr_number"), F.col("title").alias("pr_title"),
+                       F.coalesce("body", F.lit("")).alias("pr_body"), F.coalesce("diff", F.lit("")).alias("diff"))
     conv = iss.conversation_of(comments, prefix).select("repo", "issue", "conversation")
-    ctx = (j.filter(F.col("pr_number").isNotNull())
-           .join(conv, ["repo", "issue"], "left")
-           .join(memory_table(scanned_notes, inline_cap), "repo", "left")
-           .join(hooks_table(hooks, inline_cap), "repo", "left"))
-    return ctx.select("repo", "issue", "issue_title", "issue_body", "pr_number", "pr_title",
-                      F.coalesce("pr_body", F.lit("")).alias("pr_body"), F.coalesce("diff", F.lit("")).alias("diff"),
-                      F.coalesce("conversation", F.lit("")).alias("conversation"),
-                      F.coalesce("memory_mode", F.lit("none")).alias("memory_mode"),
-                      F.coalesce("memory", F.lit("")).alias("memory"),
-                      F.coalesce("hooks", F.lit("")).alias("hooks")), rejects
-
-
-def learn_prompt(ctx: DataFrame, template: str = LEARN_TEMPLATE, cap: int = T.TEXT_CAP) -> DataFrame:
-    """Prompt text per context row: diff and conversation capped; an empty
-    memory reads ``_none yet_``; empty conversation or hooks drop their
-    section."""
-    conv = T.truncate_text(F.col("conversation"), cap)
-    conv_sec = F.when(conv == "", F.lit("")).otherwise(F.concat(
-        F.lit("\n## Planning conversation\n"), conv, F.lit(f"\n*(cut at {cap} characters)*\n")))
-    hooks_sec = F.when(F.col("hooks") == "", F.lit("")).otherwise(F.concat(
-        F.lit("\n## Project rules\n"), F.col("hooks"), F.lit("\n")))
-    cols = {"issue_title": F.col("issue_title"), "issue_body": F.col("issue_body"),
-            "pr_title": F.col("pr_title"), "pr_body": F.col("pr_body"),
-            "diff": T.truncate_text(F.col("diff"), cap), "conversation_section": conv_sec,
-            "memory": F.when(F.col("memory") == "", F.lit(nt.NONE_YET)).otherwise(F.col("memory")),
-            "hooks_section": hooks_sec}
-    return ctx.select("repo", "issue", "pr_number", "memory_mode", render_template(template, cols).alias("prompt"))
+    ctx = (keys.join(p.hint("merge"), ["repo", "issue"]).join(conv.hint("merge"), ["repo", "issue"], "left")
+           .join(texts.hint("merge"), ["repo", "pr_number"]))
+    return ctx.select("repo", "issue", "issue_title", "issue_body", "pr_number", "pr_title", "pr_body", "diff",
+                      F.coalesce("conversation", F.lit("")).alias("conversation")), rejects
+
+
+def learn_prompt(ctx: DataFrame, segments: DataFrame, cap: int | None = None) -> DataFrame:
+    """(repo, issue, seg, kind, text): the segments of each plan's prompt.
+
+    Kind ``text`` holds its text; ``memory`` and ``hooks`` stand for the repo's
+    rows of ``repo_segments`` (a repo without notes has a text that says so, one
+    without hooks has no such segment). ``cap`` cuts diff and conversation, by
+    default nothing is cut."""
+    cut = (lambda c: c) if cap is None else (lambda c: T.truncate_text(c, cap))
+    conv = cut(F.col("conversation"))
+    conv_sec = F.when(conv == "", F.lit("")).otherwise(F.concat(F.lit("\n## Planning conversation\n"), conv, F.lit("\n")))
+    cols = {c: F.col(c) for c in ("issue_title", "issue_body", "pr_title", "pr_body")}
+    head = render_template(LEARN_HEAD, cols | {"diff": cut(F.col("diff")), "conversation_section": conv_sec})
+    has = segments.groupBy("repo").agg(F.max(F.col("kind") == "memory").alias("_memory"),
+                                       F.max(F.col("kind") == "hooks").alias("_hooks"))
+    none = F.lit(None).cast("string")
+
+    def seg(n, kind, text):
+        return F.struct(F.lit(n).cast("bigint").alias("seg"), kind.alias("kind"), text.alias("text"))
+
+    memory = F.coalesce("_memory", F.lit(False))
+    parts = F.array(seg(1, F.lit("text"), head),
+                    seg(2, F.when(memory, "memory").otherwise("text"), F.when(memory, none).otherwise(F.lit(nt.NONE_YET))),
+                    seg(3, F.when(F.coalesce("_hooks", F.lit(False)), "hooks"), none),
+                    seg(4, F.lit("text"), F.lit(LEARN_TAIL)))
+    return (ctx.join(has, "repo", "left").select("repo", "issue", F.explode(parts).alias("p"))
+            .select("repo", "issue", "p.*").filter(F.col("kind").isNotNull()))
 
 
 def node_plan_prompt(unblocked: DataFrame, objective_bodies: DataFrame,

@@ -173,7 +173,7 @@ def q_plan_links(spark, d):
 
 @query("plan_listing")
 def q_plan_listing(spark, d):
-    return iss.plan_listing(fx.issues(spark, d), AS_OF_ISSUES)
+    return iss.plan_listing(fx.issues(spark, d), AS_OF_ISSUES, k=iss.OPEN_LIST_CAP)
 
 
 @query("closed_only")
@@ -378,7 +378,7 @@ def _sha_out(df: DataFrame, keys) -> DataFrame:
 
 @query("plan_guard")
 def q_plan_guard(spark, d):
-    return lc.plan_guard(fx.nodes(spark, d).filter(F.col("status") != "done"))
+    return lc.plan_guard(fx.nodes(spark, d))
 
 
 def _created_urls(unblocked: DataFrame) -> DataFrame:
@@ -425,19 +425,23 @@ def q_create_plans(spark, d):
 @query("attach_conversation")
 def q_attach_conversation(spark, d):
     i = fx.issues(spark, d).select("repo", "number")
-    cv = fx.read_table(spark, d, "conversations", ["conv_id", "turn", "text"]).filter(F.col("turn") == 0)
-    plans = i.join(cv, i.number == cv.conv_id).select("repo", "number", F.col("text").alias("conversation"))
-    return lc.attach_conversation(plans)
+    cv = fx.read_table(spark, d, "conversations", ["conv_id", "turn", "text"])
+    turns = i.join(cv, i.number == cv.conv_id).select("repo", "number", F.col("turn").alias("seq"),
+                                                      F.col("text").alias("conversation"))
+    return lc.attach_conversation(turns)
 
 
 def _decoded(spark, d):
-    return ex.decode_replies(fx.replies(spark, d))
+    """Replies to issues, keyed by (repo, issue)."""
+    asked = fx.issues(spark, d).select("repo", F.col("number").alias("issue"))
+    told = asked.join(fx.replies(spark, d).withColumnRenamed("id", "issue"), "issue")
+    return ex.decode_replies(told, key=["repo", "issue"])
 
 
 @query("mark_learned")
 def q_mark_learned(spark, d):
     rows, _ = _decoded(spark, d)
-    learned = rows.select(F.col("id").alias("number")).distinct()
+    learned = rows.select("repo", F.col("issue").alias("number")).distinct()
     return lc.mark_learned(fx.issues(spark, d), learned).select(
         "repo", "number", F.array_join("labels", ",").alias("labels"))
 
@@ -445,12 +449,14 @@ def q_mark_learned(spark, d):
 def _outcomes(spark, d):
     i = fx.issues(spark, d)
     plans = iss.unlearned_plans(i).select("repo", F.col("number").alias("issue"))
-    linked = iss.linked_pr(fx.close_events(spark, d), fx.pull_requests(spark, d)).select(
+    numbers = fx.pull_requests(spark, d).select("repo", F.col("number").alias("pr_number"))
+    linked = iss.linked_keys(fx.close_events(spark, d)).join(numbers, ["repo", "pr_number"]).select(
         "repo", "issue", F.lit(True).alias("_pr"))
     rows, rej = _decoded(spark, d)
-    got = rows.select(F.col("id").alias("issue")).distinct().withColumn("_ok", F.lit(True))
-    bad = rej.select(F.col("id").alias("issue")).withColumn("_bad", F.lit(True))
-    j = plans.join(linked, ["repo", "issue"], "left").join(got, "issue", "left").join(bad, "issue", "left")
+    key = ["repo", "issue"]
+    got = rows.select(*key).distinct().withColumn("_ok", F.lit(True))
+    bad = rej.select(*key).withColumn("_bad", F.lit(True))
+    j = plans.join(linked, key, "left").join(got, key, "left").join(bad, key, "left")
     outcome = (F.when(F.col("_pr").isNull() | F.col("_bad").isNotNull(), "failed")
                .when(F.col("_ok").isNotNull(), "learned").otherwise("nothing_found"))
     return j.select("repo", F.col("issue").alias("number"), outcome.alias("outcome"))
@@ -470,23 +476,62 @@ def q_issue_list_text(spark, d):
 def _context(spark, d):
     i = fx.issues(spark, d)
     return pr.learn_context(iss.unlearned_plans(i), fx.close_events(spark, d), fx.pull_requests(spark, d),
-                            fx.comments(spark, d), _scanned(spark, d), fx.hooks(spark, d))
+                            fx.comments(spark, d))
+
+
+def _sha(c):
+    return F.sha2(F.col(c), 256).alias(f"{c}_sha")
 
 
 @query("learn_context")
 def q_learn_context(spark, d):
     ctx, _ = _context(spark, d)
-    return ctx.select("repo", "issue", "pr_number", "memory_mode",
-                      F.length("conversation").cast("bigint").alias("conversation_chars"),
-                      F.length("diff").cast("bigint").alias("diff_chars"),
-                      F.length("memory").cast("bigint").alias("memory_chars"),
-                      F.length("hooks").cast("bigint").alias("hooks_chars"))
+    return ctx.select("repo", "issue", "pr_number", _sha("issue_title"), _sha("issue_body"), _sha("pr_title"),
+                      _sha("pr_body"), _sha("conversation"), _sha("diff"))
+
+
+@query("learn_context_rejects")
+def q_learn_context_rejects(spark, d):
+    return _context(spark, d)[1]
 
 
 @query("learn_prompt")
 def q_learn_prompt(spark, d):
     ctx, _ = _context(spark, d)
-    return _sha_out(pr.learn_prompt(ctx), ["repo", "issue", "pr_number", "memory_mode"])
+    parts = pr.learn_prompt(ctx, _repo_segments(spark, d))
+    return parts.select("repo", "issue", "seg", "kind", F.length("text").cast("bigint").alias("n_chars"), _sha("text"))
+
+
+def _repo_segments(spark, d):
+    return pr.repo_segments(_scanned(spark, d), fx.hooks(spark, d))
+
+
+@query("repo_segments")
+def q_repo_segments(spark, d):
+    """All note and hook texts that the prompts refer to."""
+    return _repo_segments(spark, d).select("repo", "kind", "rank", "name", F.length("text").cast("bigint").alias("n_chars"),
+                                           _sha("text"))
+
+
+@query("start_nodes_snapshot")
+def q_start_nodes_snapshot(spark, d):
+    n = fx.nodes(spark, d)
+    return _nodes_out(lc.apply_started(n, _created_urls(graph.unblocked_nodes(n))))
+
+
+@query("finish_nodes_snapshot")
+def q_finish_nodes_snapshot(spark, d):
+    i, n = fx.issues(spark, d), fx.nodes(spark, d)
+    landed = i.filter((F.col("state") == "CLOSED") & F.array_contains("labels", "plan"))
+    return _nodes_out(lc.apply_finished(n, lc.finish_nodes(n, landed)))
+
+
+@query("learned_snapshot")
+def q_learned_snapshot(spark, d):
+    rows, _ = _decoded(spark, d)
+    learned = rows.select("repo", F.col("issue").alias("number"))
+    return lc.apply_learned(fx.issues(spark, d), learned).select(
+        "repo", "number", "state", F.array_join("labels", ",").alias("labels"))
 
 
 @query("node_plan_prompt")

@@ -247,7 +247,7 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY repo ORDER BY created_at DE
 
 SQL["closed_only"] = with_(ISSUES) + """
 SELECT repo, number, CASE WHEN state = 'CLOSED' THEN 'accepted' ELSE 'rejected' END AS outcome,
-       CASE WHEN state <> 'CLOSED' THEN concat('issue #', number, ' is not closed (state: ', state, ')') END AS reason
+       CASE WHEN state <> 'CLOSED' THEN concat('#', number, ' has state ', state) END AS reason
 FROM issues WHERE list_contains(labels, 'plan')"""
 
 
@@ -549,9 +549,8 @@ UNBLOCKED = """unblocked AS (
 
 SQL["plan_guard"] = with_(nodes_cte()) + """
 SELECT repo, objective, pos, node_id, CASE WHEN plan_issue IS NOT NULL THEN 'rejected' ELSE 'accepted' END AS outcome,
-       CASE WHEN plan_issue IS NOT NULL THEN concat('node ', node_id, ' already has plan issue #', plan_issue,
-                                                    ' — cannot create another') END AS reason
-FROM nodes WHERE status <> 'done'"""
+       CASE WHEN plan_issue IS NOT NULL THEN concat('plan #', plan_issue, ' holds node ', node_id) END AS reason
+FROM nodes"""
 
 SQL["start_nodes"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED) + """
 SELECT repo, objective, pos, node_id, 'in_progress' AS status, CAST(node_id AS BIGINT) + 2000000 AS plan_issue,
@@ -590,9 +589,11 @@ SELECT doc_id, concat('Draft ', doc_id) AS title, CAST(""" + " + ".join(
 FROM plan_bodies"""
 
 SQL["attach_conversation"] = with_(ISSUES) + """
-SELECT i.repo, i.number AS issue, '<!-- loom:conversation -->' || chr(10) || c.text AS body
+SELECT i.repo, i.number AS issue, CAST(c.turn AS BIGINT) AS seq,
+       CASE WHEN c.turn = min(c.turn) OVER (PARTITION BY i.repo, i.number)
+            THEN '<!-- loom:conversation -->' || chr(10) ELSE '' END || c.text AS body
 FROM issues i JOIN conversations c ON c.conv_id = i.number
-WHERE c.turn = 0 AND c.text IS NOT NULL AND c.text <> ''"""
+WHERE c.text IS NOT NULL AND c.text <> ''"""
 
 ACCEPTED = """accepted AS (SELECT doc_id AS id FROM labels
                      WHERE doc_id % 5 IN (0, 1, 2) AND NOT (doc_id % 2 = 0 AND quality = 0)),
@@ -640,66 +641,79 @@ linked AS (SELECT l.repo, l.issue, l.pr_number, p.title AS pr_title, p.body AS p
            WHERE l.closer_type = 'PullRequest' AND l.pr_state = 'MERGED'),
 conv AS (SELECT repo, issue, {trim_ws("arg_min(text, seq)")} AS conversation FROM comments
          WHERE role = 'assistant' GROUP BY repo, issue),
-sizes AS (SELECT repo, sum(length('### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10)))
-                 AS digest_chars,
-                 string_agg('### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10), ''
-                            ORDER BY rank, fname) AS digest
-          FROM scanned GROUP BY repo),
-idx AS (SELECT repo, '| File | Title | Read when |' || chr(10) || '|------|-------|-----------|' || chr(10)
-               || string_agg('| ' || file || ' | ' || title || ' | ' || read_when || ' |', chr(10) ORDER BY rank, fname)
-               || chr(10) AS index_text, count(*) AS n_notes
-        FROM routing GROUP BY repo),
-memory AS (SELECT s.repo,
-                  CASE WHEN digest_chars <= 100000 THEN 'digest'
-                       WHEN length(index_text) <= 100000 THEN 'index' ELSE 'reference' END AS memory_mode,
-                  CASE WHEN digest_chars <= 100000 THEN digest
-                       WHEN length(index_text) <= 100000 THEN index_text
-                       ELSE '{{{{memory:' || s.repo || '}}}}' END AS memory
-           FROM sizes s JOIN idx USING (repo)),
-hk AS (SELECT repo, string_agg(text, chr(10) || chr(10) ORDER BY path) AS hooks, count(*) AS n
-       FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md' GROUP BY repo),
-hooks_t AS (SELECT repo, CASE WHEN length(hooks) <= 100000 THEN hooks
-                              ELSE '{{{{hooks:' || repo || '}}}}' END AS hooks FROM hk),
 ctx AS (
   SELECT u.repo, u.issue, u.issue_title, u.issue_body, l.pr_number, l.pr_title, coalesce(l.pr_body, '') AS pr_body,
-         coalesce(l.diff, '') AS diff, coalesce(c.conversation, '') AS conversation,
-         coalesce(m.memory_mode, 'none') AS memory_mode, coalesce(m.memory, '') AS memory,
-         coalesce(h.hooks, '') AS hooks
+         coalesce(l.diff, '') AS diff, coalesce(c.conversation, '') AS conversation
   FROM unlearned u JOIN linked l ON l.repo = u.repo AND l.issue = u.issue
-  LEFT JOIN conv c ON c.repo = u.repo AND c.issue = u.issue
-  LEFT JOIN memory m ON m.repo = u.repo
-  LEFT JOIN hooks_t h ON h.repo = u.repo)"""
+  LEFT JOIN conv c ON c.repo = u.repo AND c.issue = u.issue),
+segments AS (
+  SELECT repo, 'memory' AS kind, rank, fname AS name,
+         '### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10) AS text FROM scanned
+  UNION ALL
+  SELECT repo, 'hooks', 0, path, text || chr(10) || chr(10) FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md')"""
 
 CTX_CTES = (ISSUES, CLOSE_EVENTS, LATEST, PRS, COMMENTS, NOTES_BASE, SCANNED, ROUTING, HOOKS, CONTEXT)
 
 SQL["learn_context"] = with_(*CTX_CTES) + """
-SELECT repo, issue, pr_number, memory_mode, CAST(length(conversation) AS BIGINT) AS conversation_chars,
-       CAST(length(diff) AS BIGINT) AS diff_chars, CAST(length(memory) AS BIGINT) AS memory_chars,
-       CAST(length(hooks) AS BIGINT) AS hooks_chars
+SELECT repo, issue, pr_number, sha256(issue_title) AS issue_title_sha, sha256(issue_body) AS issue_body_sha,
+       sha256(pr_title) AS pr_title_sha, sha256(pr_body) AS pr_body_sha, sha256(conversation) AS conversation_sha,
+       sha256(diff) AS diff_sha
 FROM ctx"""
 
+SQL["learn_context_rejects"] = with_(*CTX_CTES) + """
+SELECT repo, issue, concat('#', issue, ' has no merged change') AS reason FROM unlearned u
+WHERE NOT EXISTS (SELECT 1 FROM linked l WHERE l.repo = u.repo AND l.issue = u.issue)"""
+
+SQL["repo_segments"] = with_(*CTX_CTES) + """
+SELECT repo, kind, CAST(rank AS BIGINT) AS rank, name, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha
+FROM segments"""
+
 
 def _learn_prompt_sql() -> str:
-    from tallyloom.operators.prompts import LEARN_TEMPLATE
-    conv = "left(conversation, 8000)"
-    fields = {
-        "issue_title": "issue_title", "issue_body": "issue_body", "pr_title": "pr_title", "pr_body": "pr_body",
-        "diff": "left(diff, 8000)",
-        "conversation_section": f"CASE WHEN {conv} = '' THEN '' ELSE chr(10) || '## Planning conversation' || chr(10) "
-                                f"|| {conv} || chr(10) || '*(cut at 8000 characters)*' || chr(10) END",
-        "memory": "CASE WHEN memory = '' THEN '_none yet_' ELSE memory END",
-        "hooks_section": "CASE WHEN hooks = '' THEN '' ELSE chr(10) || '## Project rules' || chr(10) || hooks "
-                         "|| chr(10) END",
-    }
-    return sql_template(LEARN_TEMPLATE, fields)
-
-
-SQL["learn_prompt"] = with_(*CTX_CTES) + f"""
-, p AS (SELECT repo, issue, pr_number, memory_mode, {_learn_prompt_sql()} AS prompt FROM ctx)
-SELECT repo, issue, pr_number, memory_mode, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
+    from tallyloom.operators.prompts import LEARN_HEAD, LEARN_TAIL
+    fields = {c: c for c in ("issue_title", "issue_body", "pr_title", "pr_body", "diff")}
+    fields["conversation_section"] = (
+        "CASE WHEN conversation = '' THEN '' ELSE chr(10) || '## Planning conversation' || chr(10) || conversation "
+        "|| chr(10) END")
+    return f"""
+, p AS (SELECT repo, issue, 1 AS seg, 'text' AS kind, {sql_template(LEARN_HEAD, fields)} AS text FROM ctx
+        UNION ALL SELECT c.repo, issue, 2, CASE WHEN s.repo IS NULL THEN 'text' ELSE 'memory' END,
+                         CASE WHEN s.repo IS NULL THEN '_none yet_' END
+                  FROM ctx c LEFT JOIN (SELECT DISTINCT repo FROM segments WHERE kind = 'memory') s ON s.repo = c.repo
+        UNION ALL SELECT c.repo, issue, 3, 'hooks', NULL
+                  FROM ctx c JOIN (SELECT DISTINCT repo FROM segments WHERE kind = 'hooks') s ON s.repo = c.repo
+        UNION ALL SELECT repo, issue, 4, 'text', {sql_template(LEARN_TAIL, {})} FROM ctx)
+SELECT repo, issue, CAST(seg AS BIGINT) AS seg, kind, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha
 FROM p"""
 
 
+SQL["learn_prompt"] = with_(*CTX_CTES) + _learn_prompt_sql()
+
+_NODE_OUT = ("repo, objective, pos, node_id, description, {status} AS status, {plan} AS plan_issue, pr_url, "
+             "array_to_string(depends_on, ',') AS depends_on")
+
+SQL["start_nodes_snapshot"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED) + """
+, go AS (SELECT repo, objective, pos FROM unblocked WHERE CAST(node_id AS BIGINT) % 50 <> 0)
+SELECT """ + _NODE_OUT.format(
+    status="CASE WHEN (repo, objective, pos) IN (SELECT (repo, objective, pos) FROM go) THEN 'in_progress' ELSE status END",
+    plan="CASE WHEN (repo, objective, pos) IN (SELECT (repo, objective, pos) FROM go) "
+         "THEN CAST(node_id AS BIGINT) + 2000000 ELSE plan_issue END") + " FROM nodes"
+
+SQL["finish_nodes_snapshot"] = with_(nodes_cte(), FIRST, ISSUES) + """
+, go AS (SELECT f.repo, f.objective, f.pos FROM issues i JOIN first_nodes f
+         ON f.repo = i.repo AND f.objective = i.o_custkey AND f.node_id = CAST(i.o_orderkey AS VARCHAR)
+         WHERE i.state = 'CLOSED' AND list_contains(i.labels, 'plan') AND i.o_orderkey % 2 = 0 AND i.o_orderkey % 26 <> 5)
+SELECT """ + _NODE_OUT.format(
+    status="CASE WHEN (repo, objective, pos) IN (SELECT (repo, objective, pos) FROM go) THEN 'done' ELSE status END",
+    plan="plan_issue") + " FROM nodes"
+
+SQL["learned_snapshot"] = with_(ISSUES, ACCEPTED) + """
+SELECT repo, number, state, array_to_string(
+         CASE WHEN number IN (SELECT id FROM accepted) AND NOT list_contains(labels, 'learned')
+              THEN list_append(labels, 'learned') ELSE labels END, ',') AS labels
+FROM issues"""
+
+
 def _node_prompt_sql() -> str:
     from tallyloom.operators.prompts import NODE_TEMPLATE
     return sql_template(NODE_TEMPLATE, {"objective_title": "concat('Objective ', u.objective)",

@@ -18,7 +18,7 @@ PULL_REQUESTS = StructType([
 CLOSE_EVENTS = StructType([
     StructField("repo", S), StructField("issue", L), StructField("closed_at", TimestampNTZType()),
     StructField("seq", IntegerType()), StructField("closer_type", S), StructField("pr_number", L),
-    StructField("pr_state", S), StructField("actor", L)])
+    StructField("pr_state", S), StructField("actor", L), StructField("closer_id", L)])
 
 COMMENTS = StructType([
     StructField("repo", S), StructField("issue", L), StructField("seq", L), StructField("body", S)])

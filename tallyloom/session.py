@@ -19,9 +19,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Static broadcast only below 32 MB of *estimated* size; AQE re-checks
-    # the runtime size of every join side before converting to broadcast.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast from *estimated* sizes, which can be wrong by orders of
+    # magnitude for built texts; AQE broadcasts a side by its measured size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # checkpoint files of DataFrames that are gone are removed by the cleaner
@@ -55,11 +55,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and snapshot tables.
 
-    Taken from ``spark.checkpoint.dir``; a fresh local folder is set only when
-    the session has none (local tests).
+    Taken from ``spark.checkpoint.dir``. In local mode a fresh local folder is
+    set when the session has none; on a cluster that is an error, since
+    executors cannot read a folder of the driver's machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tallyloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

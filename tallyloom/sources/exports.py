@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 S, L = StringType(), LongType()
+CORRUPT = "_corrupt"
 LABEL = StructType([StructField("name", S)])
 ISSUE_EXPORT = StructType([
     StructField("repo", S), StructField("number", L), StructField("title", S), StructField("body", S),
@@ -36,13 +37,28 @@ COMMENT_EXPORT = StructType([
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    df = spark.read.schema(schema).json(path, recursiveFileLookup=True)
+    df = _lines(spark, path, schema)
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def _lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    # parsed by from_json over the text lines, so that a broken line can be told from a line of nulls
+    full = StructType([*schema.fields, StructField(CORRUPT, S)])
+    df = spark.read.text(path, recursiveFileLookup=True)
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-    return df.withColumn("repo", F.coalesce(F.col("repo"), folder))
+    df = df.filter(F.trim("value") != "").select(
+        F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"), folder.alias("_folder"))
+    return df.select("j.*", "_folder").withColumn("repo", F.coalesce("repo", "_folder")).drop("_folder")
+
+
+def read_export_rejects(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """(repo, line) of the lines that are no JSON object of the export."""
+    return _lines(spark, path, schema).filter(F.col(CORRUPT).isNotNull()).select("repo", F.col(CORRUPT).alias("line"))
 
 
 def _ts(c: Column) -> Column:
-    return F.to_timestamp_ntz(F.regexp_replace(c, r"Z\z", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    """UTC time with or without a fraction; null where the text is none."""
+    return F.regexp_replace(c, r"Z\z", "").try_cast("timestamp_ntz")
 
 
 def read_issue_export(spark: SparkSession, path: str) -> DataFrame:

@@ -59,9 +59,12 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -
     out.write(bytearray(f"{version}\n".encode()))
     out.close()
     ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER}")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
+    # one atomic step: readers see the old pointer or the new one
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(ptr.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(tmp, ptr, how)
     return version
 
 

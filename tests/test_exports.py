@@ -35,3 +35,19 @@ def test_exports_round_trip(spark, tmp_path):
     assert iss.linked_pr(ev, prs).count() == 0  # last event was a manual close
     conv = iss.conversation_of(ex.read_comment_export(spark, str(tmp_path / "comments"))).first()
     assert (conv.repo, conv.issue, conv.seq, conv.conversation) == ("acme", 1, 1, "plan talk")
+
+
+def test_bad_lines_and_times(spark, tmp_path):
+    p = tmp_path / "issues" / "acme"
+    p.mkdir(parents=True)
+    (p / "part.json").write_text('{"number": 1, "createdAt": "2024-01-05T10:00:00.123Z", "state": "OPEN"}\n'
+                                 '{"number": 2, "createdAt": "yesterday", "state": "OPEN"}\n{"number": 3, broken\n\n')
+    got = {r.number: str(r.created_at) for r in ex.read_issue_export(spark, str(tmp_path / "issues")).collect()}
+    assert got == {1: "2024-01-05 10:00:00.123000", 2: "None"}
+    bad = ex.read_export_rejects(spark, str(tmp_path / "issues"), ex.ISSUE_EXPORT).collect()
+    assert [(r.repo, r.line) for r in bad] == [("acme", '{"number": 3, broken')]
+
+
+def test_close_events_schema_serves_the_operator(spark):
+    from tallyloom import schemas
+    assert iss.latest_close_event(spark.createDataFrame([], schemas.CLOSE_EVENTS)).count() == 0

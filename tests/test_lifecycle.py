@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
@@ -20,7 +21,7 @@ def test_plan_guard_and_start(spark):
     n = nodes_df(spark, [("a", "pending", [], None), ("b", "in_progress", [], 7), ("c", "pending", [], None)])
     g = {r.node_id: (r.outcome, r.reason) for r in lc.plan_guard(n).collect()}
     assert g["a"] == ("accepted", None)
-    assert g["b"] == ("rejected", "node b already has plan issue #7 — cannot create another")
+    assert g["b"] == ("rejected", "plan #7 holds node b")
     created = spark.createDataFrame([("r", 1, 1, "https://h/r/issues/55"), ("r", 1, 3, "https://h/r/issues/new")],
                                     "repo string, objective long, pos long, url string")
     started, rej = lc.start_nodes(n, created)
@@ -53,10 +54,12 @@ def test_create_plans_attach_mark_learned(spark):
                                    "doc_id long, title string, body string")
     got = {r.doc_id: r.n_missing for r in lc.create_plans(drafts).collect()}
     assert got == {1: 5, 2: 7}
-    plans = spark.createDataFrame([("r", 5, "we talked"), ("r", 6, ""), ("r", 7, None)],
-                                  "repo string, number long, conversation string")
-    c = lc.attach_conversation(plans).collect()
-    assert [(r.issue, r.body) for r in c] == [(5, "<!-- loom:conversation -->\nwe talked")]
+    turns = spark.createDataFrame([("r", 5, 0, None), ("r", 5, 1, "we talked"), ("r", 5, 2, "more"), ("r", 6, 0, ""),
+                                   ("q", 5, 0, "elsewhere")], "repo string, number long, seq long, conversation string")
+    c = lc.attach_conversation(turns).orderBy("repo", "issue", "seq").collect()
+    mark = "<!-- loom:conversation -->\n"
+    assert [(r.repo, r.issue, r.seq, r.body) for r in c] == [
+        ("q", 5, 0, mark + "elsewhere"), ("r", 5, 1, mark + "we talked"), ("r", 5, 2, "more")]
     issues = spark.createDataFrame(
         [("r", 1, "t", "", "CLOSED", dt.datetime(2024, 1, 1), ["plan"], "u"),
          ("r", 2, "t", "", "CLOSED", dt.datetime(2024, 1, 1), ["plan", "learned"], "u"),
@@ -64,6 +67,12 @@ def test_create_plans_attach_mark_learned(spark):
     learned = spark.createDataFrame([("r", 1), ("r", 2)], "repo string, number long")
     got = {r.number: list(r.labels) for r in lc.mark_learned(issues, learned).collect()}
     assert got == {1: ["plan", "learned"], 2: ["plan", "learned"]}
+    # two repos share numbers: only the learned repo's issue is labelled, and the snapshot keeps every issue
+    both = issues.unionByName(issues.withColumn("repo", F.lit("q")))
+    after = {(r.repo, r.number): list(r.labels) for r in lc.apply_learned(both, learned).collect()}
+    assert len(after) == 6 and after["q", 1] == ["plan"] and after["r", 1] == ["plan", "learned"]
+    with pytest.raises(ValueError):
+        lc.mark_learned(both, learned.drop("repo"))
 
 
 def test_batch_summary_and_issue_list(spark):
@@ -76,36 +85,40 @@ def test_batch_summary_and_issue_list(spark):
     assert t == {"r": "#1, #3", "q": "#9"}
 
 
-def _ctx(spark, conversation="", memory="", hooks="", diff="d"):
-    return spark.createDataFrame(
-        [("r", 1, "Issue", "body", 10, "PR", "pr body", diff, conversation, "digest", memory, hooks)],
+def _prompts(spark, notes=(), hooks=(), conversation="", diff="d", **how):
+    ctx = spark.createDataFrame(
+        [("r", 1, "Issue", "body", 10, "PR", "pr body", diff, conversation)],
         "repo string, issue long, issue_title string, issue_body string, pr_number long, pr_title string, "
-        "pr_body string, diff string, conversation string, memory_mode string, memory string, hooks string")
-
-
-def test_learn_prompt_sections(spark):
-    p = pr.learn_prompt(_ctx(spark)).first().prompt
-    assert "## Issue: Issue\n\nbody\n\n## Merged change: PR\n\npr body\n\n## Diff\nd\n" in p
-    assert "## Existing notes\n_none yet_\n" in p
-    assert "Planning conversation" not in p and "Project rules" not in p
-    p = pr.learn_prompt(_ctx(spark, conversation="c" * 9000, memory="M", hooks="H", diff="x" * 9000)).first().prompt
-    assert "\n## Planning conversation\n" + "c" * 8000 + "\n" in p and "c" * 8001 not in p
-    assert "x" * 8000 in p and "x" * 8001 not in p
-    assert "## Existing notes\nM\n" in p and "\n## Project rules\nH\n" in p
-
-
-def test_memory_table_caps(spark):
-    notes = spark.createDataFrame(
-        [("r", "patterns", f"s{i}", "T", ["w"], [], dt.date(2024, 1, 1), [1], "x" * 50) for i in range(5)],
-        schemas.NOTES)
-    sc = nt.scan_notes(nt.render_notes(notes))
-    modes = {cap: pr.memory_table(sc, cap).first().memory_mode for cap in (100_000, 400, 10)}
-    assert modes == {100_000: "digest", 400: "index", 10: "reference"}
-    assert pr.memory_table(sc, 10).first().memory == "{{memory:r}}"
+        "pr_body string, diff string, conversation string")
+    rows = spark.createDataFrame([("r", "patterns", s, "T", ["w"], [], dt.date(2024, 1, 1), [1], b) for s, b in notes],
+                                 schemas.NOTES)
+    rules = spark.createDataFrame(list(hooks), "repo string, path string, text string")
+    segments = pr.repo_segments(nt.scan_notes(nt.render_notes(rows)), rules)
+    return pr.learn_prompt(ctx, segments, **how).orderBy("seg").collect(), segments
+
+
+def test_learn_prompt_segments(spark):
+    p, _ = _prompts(spark)
+    assert [(r.seg, r.kind) for r in p] == [(1, "text"), (2, "text"), (4, "text")]
+    assert "## Issue: Issue\n\nbody\n\n## Merged change: PR\n\npr body\n\n## Diff\nd\n" in p[0].text
+    assert p[1].text == "_none yet_" and "Planning conversation" not in p[0].text
+    p, _ = _prompts(spark, conversation="c" * 9000, diff="x" * 9000)  # nothing is cut by default
+    assert "\n## Planning conversation\n" + "c" * 9000 + "\n" in p[0].text and "x" * 9000 in p[0].text
+    p, _ = _prompts(spark, conversation="c" * 9000, diff="x" * 9000, cap=8000)
+    assert "x" * 8001 not in p[0].text and "c" * 8001 not in p[0].text
+
+
+def test_prompts_refer_to_all_notes_at_any_size(spark):
+    notes = [(f"s{i}", "y" * 60_000 + f" body {i}") for i in range(5)]
+    p, segments = _prompts(spark, notes, [("r", "b.md", "H"), ("r", "README.md", "no")])
+    assert [(r.kind, r.text is None) for r in p] == [("text", False), ("memory", True), ("hooks", True), ("text", False)]
+    rows = segments.orderBy("kind", "rank", "name").collect()
+    assert [(r.kind, r.name) for r in rows] == [("hooks", "b.md")] + [("memory", f"s{i}.md") for i in range(5)]
+    assert all(f"body {i}" in r.text for i, r in enumerate(rows[1:]))
 
 
 def test_node_plan_prompt(spark):
     n = nodes_df(spark, [("a", "pending", [], None)])
     bodies = spark.createDataFrame([("r", 1, "Objective 1", "goal text")], "repo string, objective long, title string, body string")
     p = pr.node_plan_prompt(n, bodies).first().prompt
-    assert "## Objective: Objective 1\n\ngoal text\n\n## Node\nID: a\nDescription: da" in p
+    assert "## Node a\nda\n\n## Part of: Objective 1\n\ngoal text\n" in p

@@ -102,6 +102,20 @@ def test_compact_merge_and_delete(spark):
     assert sorted(r.slug for r in snap.collect()) == ["d", "e"]
 
 
+def test_compaction_keeps_the_merged_body(spark):
+    notes = notes_df(spark, [note("patterns", "a", [1]), note("patterns", "b", [2])])
+    acts = actions_df(spark, [(1, "merge_into", "patterns", "a", "patterns", "b", "merged text")])
+    snap = nt.apply_compaction(nt.with_content(notes), acts, AS_OF)
+    row = snap.first()
+    assert (snap.count(), row.slug, row.body, list(row.source_issues)) == (1, "b", "merged text", [1, 2])
+    assert "merged text" in nt.render_notes(snap).first().content
+    items = spark.createDataFrame([("r", "patterns", "new", "T", ["w"], [], "b", 5, 1)],
+                                  "repo string, category string, slug string, title string, read_when array<string>, "
+                                  "tripwires array<struct<action:string,warning:string>>, body string, issue long, pos long")
+    after = nt.upsert_notes(snap, items, AS_OF)
+    assert "merged text" in {r.slug: r.content for r in nt.render_notes(after).collect()}["b"]
+
+
 def test_compact_chain_uses_snapshot_ids(spark):
     notes = notes_df(spark, [note("patterns", "a", [1]), note("patterns", "b", [2]), note("patterns", "c", [3])])
     acts = actions_df(spark, [(1, "merge_into", "patterns", "a", "patterns", "b", None),

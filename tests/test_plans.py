@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tallyloom.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # driver columns no operator uses: a scan that reads them is not pruned
@@ -19,9 +19,9 @@ def plan_of(spark, df, mode="formatted"):
     return spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_forbidden_operators(spark, name):
-    plan = plan_of(spark, queries()[name](spark, SF))
+    plan = plan_of(spark, QUERIES[name](spark, SF))
     bad = [op for op in FORBIDDEN if op in plan]
     assert not bad, f"{name}: {bad}"
     unpruned = [c for c in NEVER_READ if re.search(rf"\b{c}\b", plan)]
@@ -29,12 +29,19 @@ def test_no_forbidden_operators(spark, name):
 
 
 def test_topk_uses_window_group_limit(spark):
-    plan = plan_of(spark, queries()["list_open_plans"](spark, SF))
+    plan = plan_of(spark, QUERIES["list_open_plans"](spark, SF))
     assert plan.count("WindowGroupLimit") >= 2  # partial (before the shuffle) and final
 
 
 def test_scans_are_pruned_and_filtered(spark):
-    plan = plan_of(spark, queries()["list_open_plans"](spark, SF))
+    plan = plan_of(spark, QUERIES["list_open_plans"](spark, SF))
     assert "o_totalprice" not in plan  # column pruning reaches the scan
-    plan = plan_of(spark, queries()["linked_pr"](spark, SF))
+    plan = plan_of(spark, QUERIES["linked_pr"](spark, SF))
     assert "l_quantity" not in plan and "l_extendedprice" not in plan
+
+
+@pytest.mark.parametrize("name", ["learn_context", "learn_prompt", "linked_pr", "batch_summary"])
+def test_no_text_is_broadcast(spark, name):
+    plan = plan_of(spark, QUERIES[name](spark, SF))
+    for part in re.findall(r"BroadcastExchange\nInput[^\n]*", plan):
+        assert not re.search(r"\b(diff|body|content|text|pr_body|issue_body)#", part), part
