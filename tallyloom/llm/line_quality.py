@@ -119,9 +119,10 @@ def clean(docs: DataFrame, text: str = "text", **rules) -> DataFrame:
     """The kept documents, their failing lines removed; columns as in docs."""
     # A filter on kept would be pushed below the columns it is made of and work them out again inside lambdas;
     # a filter on a generated column stays where it is.
-    done, new = measure(docs, text, **rules), free_name(docs, "_q_text")
-    out = done.select("*", F.explode_outer(F.when(F.col("kept"), F.array("clean_text"))).alias(new)).filter(F.col(new).isNotNull())
-    cols = [F.col(new).alias(c) if c == text else
-            F.length(new).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
-            for c in docs.columns]
-    return out.select(*cols)
+    safe = {c: f"_q_{i}" for i, c in enumerate(docs.columns)}
+    done = measure(docs.withColumnsRenamed(safe), safe[text], **rules)
+    out = done.select("*", F.explode_outer(F.when(F.col("kept"), F.array("clean_text"))).alias("_q_text"))
+    out = out.filter(F.col("_q_text").isNotNull())
+    new = F.col("_q_text")
+    return out.select(*[(new if c == text else F.length(new).cast(docs.schema[c].dataType) if c == "n_chars"
+                         else F.col(safe[c])).alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ BLOCK_CHARS = 65_536
 PERIOD = 1024
 MAX_STREAMS = 256
 TEMPER = 0.5
-ROWS_A_BUCKET = 50_000
+ROWS_A_BUCKET = 5_000
 REST = "r"
 
 

@@ -38,11 +38,13 @@ def op6_warc(spark, sf_dir):
     path = scratch_path(spark, "llm-warc")
     warc.write(read(spark, sf_dir, "pages", "page_id", "url", "html"), path)
     whole = warc.assemble(warc.read(spark, path)).filter("capture is not null")
+    whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))  # repeated rows
     rows = whole.select(
         F.col("metadata.page_id").cast("long").alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"),
         F.col("capture.payload_digest").alias("payload_digest"), F.col("capture.record_type").alias("record_type"),
         F.col("capture.refers_to").alias("to"), "capture_id")
-    first = rows.filter("record_type = 'response'").select(F.col("capture_id").alias("to"), F.col("page_id").alias("refers_to"))
+    first = (rows.filter("record_type = 'response'").groupBy(F.col("capture_id").alias("to"))
+             .agg(F.max("page_id").alias("refers_to")))
     return (rows.drop("capture_id").join(first, "to", "left")
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 

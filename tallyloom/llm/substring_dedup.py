@@ -100,7 +100,8 @@ def _contents(window: int, single: bool):
                         if single:
                             for off in range(x["n_win"]):
                                 s, e = w.starts[p + off], w.ends[p + off + window - 1]
-                                out.append((x["gram"], x["seg"], weight, data[s:e].tobytes(), off))
+                                # gathered by content later: one form of white space
+                                out.append((x["gram"], x["seg"], weight, b" ".join(data[s:e].tobytes().split()), off))
                         else:
                             s, e = w.starts[p], w.ends[p + x["n_win"] + window - 2]
                             out.append((x["gram"], x["seg"], weight, data[s:e].tobytes(), 0))

@@ -9,9 +9,11 @@ Content-Length, so payloads may hold the separator themselves.
 Each capture has a request, a response or revisit, and a metadata record; the
 first and last name the capture in WARC-Concurrent-To, and ``assemble`` joins on
 it. Of captures with equal payloads of at least ``min_bytes`` the first by
-(page id, nulls last; then row) is the response and the others are revisits that
-refer to it. Null payloads are empty, null page ids have no page-id field and
-come back null, repeated rows are captures of their own. Runs of
+(page id, nulls last; then URL) is the response and the others are revisits that
+refer to it. Record ids are made from page id, URL and payload, so that they do
+not change when a task runs again; repeated rows are captures with one id, which
+``assemble`` counts. Null payloads are empty, null page ids have no page-id field
+and come back null. Runs of
 control characters in a URL become %0A. Empty tables give no rows.
 """
 
@@ -23,8 +25,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import free_name
-
 CRLF = "\r\n"
 GAP = "\r\n\r\n"
 MIN_BYTES = 100
@@ -52,29 +52,31 @@ def _header(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value)
 
 
-def plan_captures(pages: DataFrame, key: str = "page_id", payload: str = "html",
+def plan_captures(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html",
                   min_bytes: int = MIN_BYTES) -> DataFrame:
-    """pages with payload (never null), digest, n_bytes, rid (record id) and refers (the response's record id)."""
-    row = free_name(pages, "_w_row")
-    df = pages.withColumn(row, F.monotonically_increasing_id())
-    df = df.withColumn("payload", F.coalesce(F.col(payload), F.lit("")))
+    """pages with payload (never null), digest, n_bytes, rid (record id) and refers (the response's record id);
+    the key and url columns must not be named so."""
+    df = pages.withColumn("payload", F.coalesce(F.col(payload), F.lit("")))
     df = df.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
     df = df.withColumn("n_bytes", F.octet_length("payload").cast("long"))
-    order = F.struct(F.col(key).isNull().alias("z"), F.col(key).alias("k"), F.col(row).alias("r"))
+    order = F.struct(F.col(key).isNull().alias("z"), F.col(key).alias("k"), F.col(url).alias("u"))
     first = (df.filter(F.col("n_bytes") >= min_bytes).groupBy("digest")
              .agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    df = df.withColumn("rid", _urn(F.lit("capture"), F.col(key).cast("string"), F.col(row).cast("string")))
-    df = df.join(first, "digest", "left")
-    refers = F.when(F.col("first").isNotNull() & (F.col("first.r") != F.col(row)),
-                    _urn(F.lit("capture"), F.col("first.k").cast("string"), F.col("first.r").cast("string")))
-    return df.withColumn("refers", refers).drop("first", row)
+
+    def rid(k, u):
+        null = F.concat(k.isNull().cast("string"), u.isNull().cast("string"))
+        return _urn(F.lit("capture"), null, k.cast("string"), u, F.col("digest"))
+
+    df = df.join(first, "digest", "left").withColumn("rid", rid(F.col(key), F.col(url)))
+    to = rid(F.col("first.k"), F.col("first.u"))
+    return df.withColumn("refers", F.when(F.col("first").isNotNull() & (to != F.col("rid")), to)).drop("first")
 
 
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
           min_bytes: int = MIN_BYTES) -> None:
     """Write request, response or revisit, and metadata records of every row as gzipped WARC files under path."""
     pages = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(payload).alias("p"))
-    df = plan_captures(pages, "k", "p", min_bytes)
+    df = plan_captures(pages, "k", "u", "p", min_bytes)
     rid, digest = F.col("rid"), F.concat(F.lit("sha256:"), F.col("digest"))
     clean = F.when(F.col("u").rlike(r"[\x00-\x1f\x7f]"), F.regexp_replace("u", r"[\x00-\x1f\x7f]+", "%0A")).otherwise(F.col("u"))
     target = _header("WARC-Target-URI", clean)
@@ -168,11 +170,12 @@ def read(spark, path: str, with_payload: bool = False) -> DataFrame:
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: capture, request and metadata structs, joined through concurrent-to.
 
-    Records whose capture is missing stay, with a null capture. Equal parts of
-    one capture that occur twice count once (the smallest record id).
+    Records whose capture is missing stay, with a null capture. ``copies`` says how
+    many times the capture stands in the archives (repeated rows).
     """
     kinds = {"capture": ("response", "revisit"), "request": ("request",), "metadata": ("metadata",)}
     of = {"capture": ["record_id", "record_type", "refers_to", "target_uri", "date", "payload_digest", "payload_bytes",
                       "payload"], "request": ["record_id", "target_uri", "date"], "metadata": ["record_id", "page_id"]}
     return (records.withColumn("capture_id", F.coalesce("concurrent_to", "record_id")).groupBy("capture_id")
-            .agg(*[F.min(F.when(F.col("record_type").isin(*kinds[k]), F.struct(*of[k]))).alias(k) for k in kinds]))
+            .agg(*[F.min(F.when(F.col("record_type").isin(*kinds[k]), F.struct(*of[k]))).alias(k) for k in kinds],
+                 F.count_if(F.col("record_type").isin(*kinds["capture"])).alias("copies")))
