@@ -155,6 +155,10 @@ def _tokens(w: Words, hashes: np.ndarray, cls: np.ndarray):
     return at, row, (before << _BITS) | kind
 
 
+def _sum(row: np.ndarray, x: np.ndarray, rows: int) -> np.ndarray:
+    return np.bincount(row, x, rows).astype(float) if len(row) else np.zeros(rows)
+
+
 def _count_words(batches):
     for batch in batches:
         for _, _, data, offs in text_slices(batch.column(0)):
@@ -227,12 +231,12 @@ def _score(sent, id_type: pa.DataType, scalars: dict):
                 k = batch.column(1).slice(at, rows).to_numpy()
                 place, row, key = _tokens(w, s["hash"], s["cls"])
                 word_row, here = w.row_of_word(), place >= 0
-                base = np.bincount(word_row[here], s["base_log"][place[here]], rows) + scalars["end_base"]
+                base = _sum(word_row[here], s["base_log"][place[here]], rows) + scalars["end_base"]
                 known = np.bincount(word_row[here], minlength=rows) + scalars["end_known"]
-                score = np.bincount(word_row[here], s["inner_log"][place[here]], rows)
+                score = _sum(word_row[here], s["inner_log"][place[here]], rows)
                 spot = np.minimum(np.searchsorted(s["pair"], key), max(len(s["pair"]) - 1, 0))
                 found = s["pair"][spot] == key if len(s["pair"]) else np.zeros(len(key), bool)
-                score += np.bincount(row[found], s["pair_log"][spot[found]] if found.any() else None, rows)
+                score += _sum(row[found], s["pair_log"][spot[found]], rows)
                 tokens = np.diff(w.offs) + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(rows, _ROW, np.int32)), as_long(k), as_long(k), pa.array(np.ones(rows, np.int64)),
