@@ -8,10 +8,10 @@ only entries that agree at that position, and every other block of a list is
 skipped by its key, whatever single n-grams (a passage in a third of all texts)
 the sets have in common.
 
-Answers come from set relations. In each list the set that shares most parts
-with others leads; it alone is compared with every other entry, which gives the
-link and the difference of the two sets. All other pairs of a list are derived
-from the leader's answers: |y ^ z| follows from the sizes of the differences to
+Answers come from set relations. Sets that lists connect are a family, led by
+the set that shares most parts with others; it alone is compared with every
+other one, which gives the link and the difference of the two sets. All other
+pairs of a family are derived from the leader's answers: |y ^ z| follows from the sizes of the differences to
 the leader and what these have in common, so pairs already linked through the
 leader are skipped, and two sets that both fail it can link only where the first
 n-grams of their differences (added before removed) agree. Nothing is sampled or
@@ -157,13 +157,16 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     width = lists.groupBy("key").agg(F.count("*").alias("width"))
     central = lists.join(width, "key").groupBy("fp").agg(F.sum("width").alias("shares"))
     leader = lists.join(central, "fp").groupBy("key").agg(F.max(F.struct("shares", "fp")).alias("top"))
-    stars = stored(lists.join(leader.select("key", F.col("top.fp").alias("r")), "key").filter("fp <> r")
-                   .select("r", F.col("fp").alias("y")).distinct(), "stars")
-    needed = stars.select(F.explode(F.array("r", "y")).alias("fp")).distinct()
-    one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(needed, "fp")
-    content = stored(docs.join(one_row, "k").select("fp", "text").dropDuplicates(["fp"]), "contents")
-    pairs = (stars.join(content.select(F.col("fp").alias("y"), F.col("text").alias("y_text")), "y")
-             .join(content.select(F.col("fp").alias("r"), F.col("text").alias("r_text")), "r"))
+    stars = (lists.join(leader.select("key", F.col("top.fp").alias("r")), "key").filter("fp <> r")
+             .select("r", F.col("fp").alias("y")).distinct())
+    # sets that lists connect are a family; its leader alone is compared with each, so every text moves once
+    family = components(stars, "r", "y").withColumnRenamed("node", "fp").join(central, "fp")
+    head = family.groupBy("component").agg(F.max(F.struct("shares", "fp")).alias("top"))
+    placed = (family.join(head, "component").select("fp", F.col("top.fp").alias("r"))
+              .join(sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")), "fp"))
+    content = stored(docs.join(placed, "k").dropDuplicates(["k"]).select("fp", "r", "text"), "contents")
+    pairs = (content.filter("fp <> r").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
+             .join(content.filter("fp = r").select("r", F.col("text").alias("r_text")), "r"))
     star = stored(pairs.select("r", "y", "r_text", "y_text").mapInArrow(
         _compare(n, percent), "r long, y long, n_y long, linked boolean, apart array<long>"), "star")
     # Pairs of sets that meet under one leader, at least one of which fails it. With d the size of a difference to the
