@@ -24,22 +24,14 @@ from tallyloom.session import materialize
 ColLike = str | Column
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+ROWS_A_PARTITION = 2_000_000
 
 
-def _num_partitions(df: DataFrame) -> int:
-    """Range partitions for ``df``: at least the shuffle-partition setting, and
-    enough that each holds about ``TARGET_PARTITION_BYTES`` by the optimizer's
-    size estimate (a metadata read, no job), at most 16x the setting; an
-    implausible estimate (joins are bounded by a product) keeps the setting."""
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # estimate unavailable: keep the setting
-        return base
-    if est >= 1 << 50:  # no usable estimate (e.g. a join's product bound)
-        return base
-    return max(base, min(-(-est // TARGET_PARTITION_BYTES), 16 * base))
+def _num_partitions(keys: DataFrame) -> int:
+    """Range partitions for a table of sort keys: the shuffle setting, or as
+    many as hold ``ROWS_A_PARTITION`` rows each, whatever the table's size."""
+    base = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-keys.count() // ROWS_A_PARTITION))
 
 
 def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
@@ -48,9 +40,10 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     """Add ``name`` = 1-based position of each row inside its ``keys`` group.
 
     ``order`` must be a total order inside each group (add tie-breakers).
-    Keys must be non-null.
+    Keys and order columns must be non-null.
 
-    Plan: range exchange on (keys, order) and a sort inside each range
+    Only keys and order columns are numbered; the ordinal is joined back, so
+    texts are neither sorted nor checkpointed. Plan: range exchange on (keys, order) and a sort inside each range
     partition; every row is tagged with its partition and its position in it
     (``monotonically_increasing_id``). Range bounds come from a seeded sample
     tied to the exchange, so the tagged rows are written once with a reliable
@@ -58,9 +51,11 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     the same tags, and a lost executor re-reads them instead of re-sampling.
     The count table has at most partitions + keys rows.
     """
-    n = num_partitions or _num_partitions(df)
-    sort_cols = [*keys, *order]
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    places = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    df = df.withColumns(places)
+    sort_cols = [*keys, *places]
+    small = df.select(*sort_cols)
+    ranged = (small.repartitionByRange(num_partitions or _num_partitions(small), *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
@@ -71,8 +66,9 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     stats = stats.select(*keys, "_pid", "_base",
                          F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     out = ranged.join(stats, [*keys, "_pid"])
-    out = out.withColumn(name, (F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint"))
-    return out.drop("_mid", "_base", "_off") if keep_partition else out.drop("_pid", "_mid", "_base", "_off")
+    ordinal = (F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint").alias(name)
+    out = df.join(out.select(*sort_cols, "_pid", ordinal), sort_cols).drop(*places)
+    return out if keep_partition else out.drop("_pid")
 
 
 def ordinal_by_numeric(df: DataFrame, keys: Sequence[str], num_col: str, name: str = "ord",

@@ -72,8 +72,8 @@ def linked_pr(close_events: DataFrame, prs: DataFrame) -> DataFrame:
 
 
 def pr_for_branch(prs: DataFrame, branches: DataFrame | None = None) -> DataFrame:
-    """Newest PR (highest number) per (repo, head branch)."""
-    best = (prs.groupBy("repo", "head_ref")
+    """Newest open PR (highest number) per (repo, head branch)."""
+    best = (prs.filter(F.col("state") == "OPEN").groupBy("repo", "head_ref")
             .agg(F.max(F.struct("number", "title", "body")).alias("p"))
             .select("repo", "head_ref", "p.number", "p.title", "p.body"))
     if branches is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
-from tallyloom.functions.ordering import ordered_text_parts
+from tallyloom.functions.ordering import concat_by_ordinal, ordinal_by_numeric
 from tallyloom.operators import extract as ex
 from tallyloom.operators import graph
 from tallyloom.operators.issues import LEARNED_LABEL
@@ -154,5 +154,6 @@ def batch_summary(outcomes: DataFrame) -> DataFrame:
 
 def issue_list_text(df: DataFrame, part_rows: int = 5_000) -> DataFrame:
     """``#1, #2`` per repo in number order (parts of at most ``part_rows``)."""
-    return ordered_text_parts(df, ["repo"], ["number"], F.concat(F.lit("#"), F.col("number").cast("string")),
-                              ", ", part_rows, "issues")
+    ranked = ordinal_by_numeric(df, ["repo"], "number", "_ord")  # a unique number in its repo
+    return concat_by_ordinal(ranked, ["repo"], "_ord", F.concat(F.lit("#"), F.col("number").cast("string")),
+                             ", ", part_rows, "issues")

@@ -13,7 +13,7 @@ ISSUES = StructType([
 
 PULL_REQUESTS = StructType([
     StructField("repo", S), StructField("number", L), StructField("head_ref", S),
-    StructField("body", S), StructField("title", S), StructField("diff", S)])
+    StructField("body", S), StructField("title", S), StructField("diff", S), StructField("state", S)])
 
 CLOSE_EVENTS = StructType([
     StructField("repo", S), StructField("issue", L), StructField("closed_at", TimestampNTZType()),

@@ -73,7 +73,7 @@ def read_pr_export(spark: SparkSession, path: str) -> DataFrame:
     """Pull requests -> ``schemas.PULL_REQUESTS``."""
     df = _read(spark, path, PR_EXPORT)
     return df.select("repo", "number", F.col("headRefName").alias("head_ref"), "body", "title",
-                     F.coalesce("diff", F.lit("")).alias("diff"))
+                     F.coalesce("diff", F.lit("")).alias("diff"), "state")
 
 
 def read_close_event_export(spark: SparkSession, path: str) -> DataFrame:

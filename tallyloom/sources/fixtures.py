@@ -257,7 +257,8 @@ def pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one PR per part in every repo: a generator over a fixed list, not a join
     return p.select(F.explode(F.array(*[F.lit(r) for r in REPOS])).alias("repo"),
                     F.col("p_partkey").alias("number"), head.alias("head_ref"), body.alias("body"),
-                    F.col("p_name").alias("title"), diff.alias("diff"))
+                    F.col("p_name").alias("title"), diff.alias("diff"),
+                    F.when(F.col("p_partkey") % 3 == 0, "MERGED").otherwise("OPEN").alias("state"))
 
 
 # ---- F10: model replies ---------------------------------------------------------------------

@@ -18,7 +18,7 @@ def events(spark, rows):
 
 
 def prs(spark):
-    return spark.createDataFrame([("r", 10, "feat-1", "Closes #1", "PR ten", "diff")], schemas.PULL_REQUESTS)
+    return spark.createDataFrame([("r", 10, "feat-1", "Closes #1", "PR ten", "diff", "OPEN")], schemas.PULL_REQUESTS)
 
 
 def test_linked_pr_last_event_then_filter(spark):
@@ -31,6 +31,12 @@ def test_linked_pr_last_event_then_filter(spark):
     assert last == {1: "User", 2: "PullRequest"}
 
 
+def test_pr_for_branch_takes_open_ones(spark):
+    p = spark.createDataFrame([("r", 1, "b", "x", "first", "", "OPEN"), ("r", 2, "b", "x", "second", "", "MERGED"),
+                               ("r", 3, "c", "x", "third", "", "CLOSED")], schemas.PULL_REQUESTS)
+    assert [(r.head_ref, r.number) for r in iss.pr_for_branch(p).collect()] == [("b", 1)]
+
+
 def issues_df(spark, rows):
     return spark.createDataFrame(
         [("r", n, f"t{n}", body, state, T0 + dt.timedelta(days=day), labels, f"https://h/r/issues/{n}")
@@ -54,8 +60,8 @@ def test_resolve_ref_and_plan_links(spark):
     df = issues_df(spark, [(1, "Objective: #3 (node 1.1)", "OPEN", 0, ["plan"]),
                            (2, "Objective: #99 (node 1.2)", "CLOSED", 0, ["plan"]),
                            (3, None, "OPEN", 0, ["objective"])])
-    p = spark.createDataFrame([("r", 10, "main", "fixes #1", "t", ""), ("r", 11, "feat-2-x", "none", "t", ""),
-                               ("r", 12, "main", "none", "t", "")], schemas.PULL_REQUESTS)
+    p = spark.createDataFrame([("r", 10, "main", "fixes #1", "t", "", "OPEN"), ("r", 11, "feat-2-x", "none", "t", "", "OPEN"),
+                               ("r", 12, "main", "none", "t", "", "OPEN")], schemas.PULL_REQUESTS)
     got = {r.pr_number: (r.ref_issue, r.ref_source, r.outcome) for r in iss.resolve_ref(p, df).collect()}
     assert got == {10: (1, "body", "open_issue"), 11: (2, "branch", "fallback_open_plans"),
                    12: (None, None, "fallback_open_plans")}
