@@ -124,8 +124,9 @@ def _entries(n: int, percent: int):
 
 
 def _compare(n: int, percent: int):
-    """(r, y, r_text, y_text) -> sizes, link, difference of y to r: added n-grams, then removed ones."""
-    names = ["r", "y", "n_y", "linked", "apart"]
+    """(r, y, r_text, y_text) -> size of y, link, size of the difference, and if that is not above the size of y
+    the difference itself: added n-grams, then removed ones."""
+    names = ["r", "y", "n_y", "linked", "d", "apart"]
 
     def run(batches):
         for batch in batches:
@@ -134,46 +135,40 @@ def _compare(n: int, percent: int):
                 for _, rows, data, offs in text_slices(batch.column(col)):
                     s = Shingles(Words(data, offs, lower=True), n)
                     out.extend(s.hash[s.offs[i]:s.offs[i + 1]] for i in range(rows))
-            size, linked, apart = [], [], []
+            size, linked, far, apart = [], [], [], []
             for x, y in zip(left, right, strict=True):
                 both = np.intersect1d(x, y, assume_unique=True)
                 added, removed = np.setdiff1d(y, both, assume_unique=True), np.setdiff1d(x, both, assume_unique=True)
                 size.append(len(y))
                 linked.append(100 * len(both) >= percent * (len(x) + len(added)))
-                apart.append(np.concatenate([added, removed]).view(np.int64))
+                far.append(len(added) + len(removed))
+                apart.append(np.concatenate([added, removed]).view(np.int64) if far[-1] <= len(y) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()),
-                 pa.array(apart, pa.list_(pa.int64()))], names=names)
+                 pa.array(far, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=names)
 
     return run
 
 
-def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) between set fingerprints that give the right components."""
-    texts = docs.select("text").filter("text is not null")
-    entries = texts.mapInArrow(_entries(n, percent), "key long, fp long")
-    shared = entries.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
-    lists = stored(entries.join(shared, "key").distinct(), "lists")
-    width = lists.groupBy("key").agg(F.count("*").alias("width"))
-    central = lists.join(width, "key").groupBy("fp").agg(F.sum("width").alias("shares"))
-    leader = lists.join(central, "fp").groupBy("key").agg(F.max(F.struct("shares", "fp")).alias("top"))
-    stars = (lists.join(leader.select("key", F.col("top.fp").alias("r")), "key").filter("fp <> r")
-             .select("r", F.col("fp").alias("y")).distinct())
-    # sets that lists connect are a family; its leader alone is compared with each, so every text moves once
-    family = components(stars, "r", "y").withColumnRenamed("node", "fp").join(central, "fp")
+def _families(lists: DataFrame) -> DataFrame:
+    """(fp, r) of every set in a list: lists connect sets to families, led by the set with the most shares in lists."""
+    width = lists.groupBy("key").agg(F.count("*").alias("width"), F.min("fp").alias("hub"))
+    met = lists.join(width, "key")
+    shares = met.groupBy("fp").agg(F.sum("width").alias("shares"))
+    ties = met.filter("fp <> hub").select("hub", "fp").distinct()
+    family = components(ties, "hub", "fp").withColumnRenamed("node", "fp").join(shares, "fp")
     head = family.groupBy("component").agg(F.max(F.struct("shares", "fp")).alias("top"))
-    placed = (family.join(head, "component").select("fp", F.col("top.fp").alias("r"))
-              .join(sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")), "fp"))
-    content = stored(docs.join(placed, "k").dropDuplicates(["k"]).select("fp", "r", "text"), "contents")
-    pairs = (content.filter("fp <> r").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
-             .join(content.filter("fp = r").select("r", F.col("text").alias("r_text")), "r"))
-    star = stored(pairs.select("r", "y", "r_text", "y_text").mapInArrow(
-        _compare(n, percent), "r long, y long, n_y long, linked boolean, apart array<long>"), "star")
-    # Pairs of sets that meet under one leader, at least one of which fails it. With d the size of a difference to the
-    # leader, a link needs |dy & dz| >= (dy + dz - most) / 2 >= least; of any order of the difference's n-grams the
-    # first d - least + 1 of both sets then share one.
+    return family.join(head, "component").select("fp", F.col("top.fp").alias("r"))
+
+
+def _derived(star: DataFrame, percent: int) -> DataFrame:
+    """Links among sets of one leader, at least one of which fails it, from their differences to it.
+
+    With d the size of a difference, a link needs |dy & dz| >= (dy + dz - most) / 2 >= least; of any order
+    of the difference's n-grams the first d - least + 1 of both sets then share one.
+    """
     d, most = F.size("apart"), F.floor(F.col("n_y") * (100 - percent) / percent)
-    least = F.when(F.col("linked"), F.floor(d * (2 * percent) / (2 * (100 + percent)))).otherwise(d - most)
+    least = F.when(F.col("linked"), F.floor(d * percent / (100 + percent))).otherwise(d - most)
     open_stars = star.filter("not linked").select("r").distinct()
     heads = (star.join(open_stars, "r").filter(d > 0)
              .select("r", "y", "n_y", "linked", d.alias("d"),
@@ -188,11 +183,41 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     common = F.size(F.array_intersect("a.apart", "b.apart"))
     gap = F.size("a.apart") + F.size("b.apart") - 2 * common
     total = F.col("a.n_y") + F.col("b.n_y")
-    derived = (meet.join(a, (F.col("a.r") == meet["r"]) & (F.col("a.y") == meet["y"]))
-               .join(b, (F.col("b.r") == meet["r"]) & (F.col("b.y") == meet["z"]))
-               .filter(100 * (total - gap) >= percent * (total + gap))
-               .select(F.col("a.y").alias("a"), F.col("b.y").alias("b")))
-    return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(derived)
+    return (meet.join(a, (F.col("a.r") == meet["r"]) & (F.col("a.y") == meet["y"]))
+            .join(b, (F.col("b.r") == meet["r"]) & (F.col("b.y") == meet["z"]))
+            .filter(100 * (total - gap) >= percent * (total + gap))
+            .select(F.col("a.y").alias("a"), F.col("b.y").alias("b")))
+
+
+def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between set fingerprints that give the right components."""
+    texts = docs.select("text").filter("text is not null")
+    entries = texts.mapInArrow(_entries(n, percent), "key long, fp long")
+    shared = entries.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
+    lists = stored(entries.join(shared, "key").distinct(), "lists")
+    one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(lists.select("fp").distinct(), "fp")
+    content = stored(docs.join(one_row, "k").dropDuplicates(["k"]).select("fp", "text"), "contents")
+    links, part = None, lists
+    while True:
+        family = stored(_families(part), "family")
+        led = content.join(family, "fp")
+        pairs = (led.filter("fp <> r").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
+                 .join(led.filter("fp = r").select("r", F.col("text").alias("r_text")), "r"))
+        star = stored(pairs.select("r", "y", "r_text", "y_text").mapInArrow(
+            _compare(n, percent), "r long, y long, n_y long, linked boolean, d long, apart array<long>"), "star")
+        close = star.filter("apart is not null")
+        found = star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(_derived(close, percent))
+        links = found if links is None else links.unionByName(found)
+        # A set that differs from its leader by more than its own size says little about others. Whatever it links with
+        # differs from the leader by nearly as much; all such sets go on to the next round, under leaders of their own.
+        rest = star.filter(F.col("d") * percent * 100 > F.col("n_y") * (percent * percent - 100 * (100 - percent)))
+        if star.filter("apart is null").isEmpty():
+            return links
+        left = part.join(rest.select(F.col("y").alias("fp")).distinct(), "fp", "left_semi")
+        many = left.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
+        part = stored(left.join(many, "key").select("key", "fp"), "lists")
+        if part.isEmpty():
+            return links
 
 
 def _label(rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
