@@ -194,6 +194,7 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     texts = docs.select("text").filter("text is not null")
     entries = texts.mapInArrow(_entries(n, percent), "key long, fp long")
     shared = entries.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
+    shared = stored(shared, "shared")  # a join of two plain shuffles is one whose large keys Spark can split
     lists = stored(entries.join(shared, "key").distinct(), "lists")
     one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(lists.select("fp").distinct(), "fp")
     content = stored(docs.join(one_row, "k").dropDuplicates(["k"]).select("fp", "text"), "contents")
