@@ -123,9 +123,9 @@ def _entries(n: int, percent: int):
     return run
 
 
-def _compare(n: int, percent: int):
-    """(r, y, r_text, y_text) -> size of y, link, size of the difference, and if that is not above the size of y
-    the difference itself: added n-grams, then removed ones."""
+def _compare(n: int, percent: int, above: int | None):
+    """(r, y, r_text, y_text) -> size of y, link, size of the difference, and the difference itself: added n-grams,
+    then removed ones; null where it is more than ``above`` times the size of y."""
     names = ["r", "y", "n_y", "linked", "d", "apart"]
 
     def run(batches):
@@ -142,7 +142,7 @@ def _compare(n: int, percent: int):
                 size.append(len(y))
                 linked.append(100 * len(both) >= percent * (len(x) + len(added)))
                 far.append(len(added) + len(removed))
-                apart.append(np.concatenate([added, removed]).view(np.int64) if far[-1] <= len(y) else None)
+                apart.append(np.concatenate([added, removed]).view(np.int64) if above is None or far[-1] <= above * len(y) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()),
                  pa.array(far, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=names)
@@ -198,27 +198,30 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     lists = stored(entries.join(shared, "key").distinct(), "lists")
     one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(lists.select("fp").distinct(), "fp")
     content = stored(docs.join(one_row, "k").dropDuplicates(["k"]).select("fp", "text"), "contents")
-    links, part = None, lists
-    while True:
-        family = stored(_families(part), "family")
-        led = content.join(family, "fp")
-        pairs = (led.filter("fp <> r").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
-                 .join(led.filter("fp = r").select("r", F.col("text").alias("r_text")), "r"))
-        star = stored(pairs.select("r", "y", "r_text", "y_text").mapInArrow(
-            _compare(n, percent), "r long, y long, n_y long, linked boolean, d long, apart array<long>"), "star")
-        close = star.filter("apart is not null")
-        found = star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(_derived(close, percent))
-        links = found if links is None else links.unionByName(found)
-        # A set that differs from its leader by more than its own size says little about others. Whatever it links with
-        # differs from the leader by nearly as much; all such sets go on to the next round, under leaders of their own.
-        rest = star.filter(F.col("d") * percent * 100 > F.col("n_y") * (percent * percent - 100 * (100 - percent)))
-        if star.filter("apart is null").isEmpty():
-            return links
-        left = part.join(rest.select(F.col("y").alias("fp")).distinct(), "fp", "left_semi")
-        many = left.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
-        part = stored(left.join(many, "key").select("key", "fp"), "lists")
-        if part.isEmpty():
-            return links
+
+    def compared(led: DataFrame, above: int | None) -> DataFrame:
+        """(r, y) with what _compare says of them; led: (fp, r)."""
+        own = content.join(led.filter("fp <> r"), "fp").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
+        lead = content.join(led.select(F.col("r").alias("fp")).distinct(), "fp").select(
+            F.col("fp").alias("r"), F.col("text").alias("r_text"))
+        return stored(own.join(lead, "r").select("r", "y", "r_text", "y_text").mapInArrow(
+            _compare(n, percent, above), "r long, y long, n_y long, linked boolean, d long, apart array<long>"), "star")
+
+    def links_of(star: DataFrame) -> DataFrame:
+        known = star.filter("apart is not null")
+        return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(_derived(known, percent))
+
+    star = compared(_families(lists), 1)
+    # A set that differs from its leader by more than its own size says little about others. Whatever it links with
+    # differs from the leader by nearly as much: those sets' lists get a leader each, and all differences are kept.
+    rest = star.filter(F.col("d") * percent * 100 > F.col("n_y") * (percent * percent - 100 * (100 - percent)))
+    left = lists.join(rest.select(F.col("y").alias("fp")).distinct(), "fp", "left_semi")
+    shares = left.join(left.groupBy("key").agg(F.count("*").alias("width")).filter("width > 1"), "key")
+    central = shares.groupBy("fp").agg(F.sum("width").alias("shares"))
+    top = shares.select("key", "fp").join(central, "fp").groupBy("key").agg(F.max(F.struct("shares", "fp")).alias("top"))
+    again = stored(shares.select("key", "fp").join(top.select("key", F.col("top.fp").alias("r")), "key")
+                   .filter("fp <> r").select("fp", "r").distinct(), "again")
+    return stored(links_of(star), "links").unionByName(stored(links_of(compared(again, None)), "links"))
 
 
 def _label(rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
