@@ -72,3 +72,21 @@ def test_empty(spark):
 def test_discounts():
     d = katz.discounts({1: 100, 2: 40, 3: 20, 4: 12, 5: 8, 6: 5})
     assert all(0 < x < 1 for x in d[1:]) and katz.discounts({})[1:] == [0.5, 0.75, 1 - 0.5 / 3, 0.875, 0.9]
+
+
+@pytest.mark.parametrize("sent_share", [1, 5, 200, 1_000_000])
+def test_all_pairs_are_kept_whatever_is_sent(spark, sent_share):
+    rows = list(enumerate(texts(5, 50))) + [(None, "never seen words w1 never")]
+    train = [r for r in rows[:-1] if r[0] % 5]
+    got = katz.score(docs(spark, rows), katz.train(docs(spark, train), sent_share=sent_share)).collect()
+    want = brute([t for _, t in train], rows, 10**9, 10**9)
+    got = {r.doc_id: r.score for r in got}
+    for w in want:
+        assert got[w[0]] == pytest.approx(w[5], rel=1e-6)
+
+
+def test_words_below_one_in_100_000_have_pairs(spark):
+    train = [(0, "x y " * 110_000), (1, "rare pair")]
+    got = katz.score(docs(spark, [(0, "rare pair"), (1, "pair rare")]), katz.train(docs(spark, train))).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert score[0] > score[1] + 1
