@@ -8,9 +8,9 @@ of its weight at every slot. Quotas are whole numbers, so the schedule repeats
 every q slots: one period, a table of at most ``period`` rows whatever the data,
 is planned from the weights and joined to the numbered blocks.
 
-Weights: a mapping, or, by default, source size to the power ``temper``. At most
-``MAX_STREAMS`` sources, the largest, have a stream of their own; all others
-share one more. Null sources are a stream. No row is dropped: a source that ends
+Weights: a mapping, or, by default, source size to the power ``temper``. Every
+source has a stream of its own, null sources too; those that a mapping does not
+name have equal parts of its least weight. No row is dropped: a source that ends
 leaves its slots empty and the others keep their order. Within a source rows
 stand in hash order of (key, text), equal rows side by side. Null texts and
 empty texts have no characters and lie in the block that starts with them. An
@@ -30,10 +30,8 @@ from .frames import free_name
 
 BLOCK_CHARS = 65_536
 PERIOD = 1024
-MAX_STREAMS = 256
 TEMPER = 0.5
 ROWS_A_BUCKET = 5_000
-REST = "r"
 
 
 def quotas(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -76,24 +74,20 @@ def schedule(docs: DataFrame, source: str = "source", key: str = "doc_id", text:
     df = df.withColumn(n["s"], _stream(source))
     size = F.coalesce(F.length(F.col(text)), F.lit(0)).cast("long")
     sizes = df.groupBy(n["s"]).agg(F.sum(size).alias("chars"), F.count("*").alias("rows"))
-    largest = sizes.orderBy(F.desc("chars"), n["s"]).limit(MAX_STREAMS).collect()
-    whole = sizes.agg(F.sum("chars"), F.sum("rows"), F.count("*")).first()
+    whole = sizes.agg(F.sum("chars"), F.sum("rows")).first()
+    chars = {r[0]: r[1] for r in sizes.select(n["s"], "chars").toLocalIterator()}
     if weights is None:
-        goal = {r[0]: float(max(r[1], 1)) ** temper for r in largest}
-        if whole[2] > len(largest):
-            goal[REST] = float(max(whole[0] - sum(r[1] for r in largest), 1)) ** temper
+        goal = {k: float(max(v, 1)) ** temper for k, v in chars.items()}
     else:
-        goal = {"n" if s is None else f"s{s}": w for s, w in weights.items() if w > 0}
-        if any(r[0] not in goal for r in largest) or whole[2] > len(largest):
-            goal[REST] = min(goal.values(), default=1.0)
-    quota = quotas(goal or {REST: 1.0}, period)
+        goal = {"n" if k is None else f"s{k}": w for k, w in weights.items() if w > 0}
+        others, least = [k for k in chars if k not in goal], min(goal.values(), default=1.0)
+        goal |= {k: Fraction(least) / len(others) for k in others}
+    quota = quotas(goal or {"n": 1.0}, period)
     q = sum(quota.values())
     plan = json.dumps([{"s": s, "e": quota[s], "slots": v} for s, v in one_period(quota).items()])
     table = (df.sparkSession.range(1)
              .select(F.inline(F.from_json(F.lit(plan), "array<struct<s:string,e:int,slots:array<int>>>")))
              .toDF(n["s"], n["e"], n["slots"]))
-    named = F.col(n["s"]).isin([s for s in quota if s != REST])
-    df = df.withColumn(n["s"], F.when(named, F.col(n["s"])).otherwise(F.lit(REST)))
     df = df.withColumn(n["h"], F.xxhash64(F.col(key).cast("string"), F.col(text))).withColumn(n["size"], size)
     # running sums in two levels: inside hash buckets of bounded rows, then over the buckets' sums
     buckets = max(1, -(-(whole[1] or 0) // ROWS_A_BUCKET))

@@ -39,3 +39,11 @@ def test_weights_rest_and_empty(spark):
     df = docs(spark, [(i, "abc", f"s{i % 5}") for i in range(50)], ", source string")
     assert mixing.schedule(df, weights={"s0": 3.0, "s1": 1.0}, block_chars=6).count() == 50
     assert mixing.schedule(df.limit(0)).count() == 0
+
+
+def test_every_source_has_its_own_stream(spark):
+    df = docs(spark, [(i, "abc", f"s{i % 300:03}") for i in range(600)], ", source string")
+    got = mixing.schedule(df, block_chars=3).collect()
+    places = {(r.source, r.source_block): r.slot for r in got}
+    assert len(places) == len(set(places.values())) == 600
+    assert {block for _, block in places} == {0, 1}  # no source's blocks are numbered among another's
