@@ -1,4 +1,6 @@
 from collections import Counter
+from fractions import Fraction
+from itertools import islice
 
 from llm_helpers import docs
 from tallyloom.llm import mixing
@@ -47,3 +49,26 @@ def test_every_source_has_its_own_stream(spark):
     places = {(r.source, r.source_block): r.slot for r in got}
     assert len(places) == len(set(places.values())) == 600
     assert {block for _, block in places} == {0, 1}  # no source's blocks are numbered among another's
+
+
+def test_one_block_from_the_target_weight_over_the_whole_schedule(spark):
+    cases = [dict.fromkeys(range(20), 1.0), {0: 0.5} | dict.fromkeys(range(1, 51), 0.01), {0: 0.9999, 1: 0.0001},
+             {i: (i + 1) ** 0.5 for i in range(60)}, {i: 1 / (i + 1) for i in range(100)}]
+    for weights in cases:
+        total, end = sum(Fraction(w) for w in weights.values()), 11_000
+        want = {s: Fraction(w) / total for s, w in weights.items()}
+        done = dict.fromkeys(weights, 0)
+        for s, i, t in islice(mixing.slots(weights, dict.fromkeys(weights, end)), end):
+            assert i == done[s] and i / want[s] - 1 < t < (i + 1) / want[s]  # within its window
+            done[s] += 1
+            assert -1 < done[s] - (t + 1) * want[s] < 1
+            if t % 500 == 0:
+                assert all(abs(done[k] - (t + 1) * want[k]) < 1 for k in want)
+    rows = [(i, "x" * 10, f"s{i % 20:02}") for i in range(6_000)]
+    got = mixing.schedule(docs(spark, rows, ", source string"), block_chars=10).collect()
+    order = [r.source for r in sorted(got, key=lambda r: r.slot)]
+    assert sorted(r.slot for r in got) == list(range(6_000))
+    done = Counter()
+    for t, s in enumerate(order, 1):
+        done[s] += 1
+        assert max(abs(done[f"s{j:02}"] - t / 20) for j in range(20)) < 1
