@@ -141,6 +141,12 @@ def marker_span(text, start: str, end: str) -> Column:
     return F.when(t.rlike(pat), F.regexp_extract(t, pat, 1))
 
 
+def marker_spans(text, start: str, end: str) -> Column:
+    """All texts between a ``start`` and the first ``end`` after it, in order."""
+    pat = "(?s)" + java_quote(start) + "(.*?)" + java_quote(end)
+    return F.regexp_extract_all(_c(text), F.lit(pat), F.lit(1))
+
+
 _OBJ_REF = r"(?dmU)^[^\S\n]*Objective: #([0-9]+) \(node (.*?)\)*[^\S\n]*$"
 
 

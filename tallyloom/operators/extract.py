@@ -5,12 +5,13 @@ stops on a bad row. Only built-in functions are used (no Python UDF).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.functions import text as T
 from tallyloom.functions.strict_json import OPT_STR, OPT_STR_LIST, OPT_UINT, STR, STR_LIST, strict_decode
+from tallyloom.session import materialize
 
 # Field types the decoders accept (a typed decoder's rules: required text,
 # optional text, lists of text; tripwires default to empty when absent).
@@ -57,24 +58,38 @@ def extract_roadmaps(bodies: DataFrame, keys=("repo", "objective")) -> tuple[Dat
 
 def load_node_state(bodies: DataFrame, keys=("repo", "objective"),
                     prefix: str = T.DEFAULT_PREFIX) -> tuple[DataFrame, DataFrame]:
-    """Stored objective bodies -> current node rows. The blob is the text
-    between the first start marker and the first end marker after it; one bad
-    element rejects the objective's whole list (``bad state: ...``); no blob
-    -> ``no marker``."""
+    """Stored objective bodies -> current node rows. An objective is one row, or
+    one row for each ``part``; each row may hold several blobs, a blob being the
+    text between a start marker and the first end marker after it. All blobs
+    are decoded and numbered on in (part, place) order. One bad element rejects
+    the objective's whole list (``bad state: ...``), as does a row without a
+    blob (``no marker``); the reason is that of the first faulty part.
+
+    The decoded parts are read three times (rejects, node counts of earlier
+    parts, nodes), so they are checkpointed: each is parsed once."""
     keys = list(keys)
     m = T.markers(prefix)
-    d = bodies.select(*keys, T.marker_span(F.col("body"), m["nodes_start"], m["nodes_end"]).alias("_span"))
+    part = F.col("part") if "part" in bodies.columns else F.lit(0)
+    d = bodies.select(*keys, part.cast("bigint").alias("_part"),
+                      F.posexplode_outer(T.marker_spans(F.col("body"), m["nodes_start"], m["nodes_end"]))
+                      .alias("_n", "_span"))
     d = strict_decode(d, "_span", schemas.NODE_STATE, ["id", "description", "status"],
                       lambda x: x["status"].isin(*T.NODE_STATUSES)
                       & (x["plan_issue"].isNull() | (x["plan_issue"] >= 0)),
                       items="_items", reason="_why", types=NODE_TYPES)
     d = d.withColumn("reason", F.when(F.col("_span").isNull(), F.lit("no marker"))
                      .when(F.col("_why").isNotNull(), F.concat(F.lit("bad state: "), F.col("_why"))))
-    rejects = reject_rows(d, keys, F.col("reason"))
-    # posexplode_outer + a filter on its output: a plain posexplode makes the
-    # optimizer infer a size filter on the input and push the decode downward
-    nodes = (d.select(*keys, F.posexplode_outer("_items").alias("_i", "n")).where(F.col("n").isNotNull())
-             .select(*keys, (F.col("_i") + 1).cast("bigint").alias("pos"), F.col("n.id").alias("node_id"),
+    place = ["_part", "_n"]
+    d = materialize(d.select(*keys, *place, "_items", "reason"), "node-state")
+    rejects = (d.where(F.col("reason").isNotNull()).groupBy(*keys)
+               .agg(F.min_by("reason", F.struct(*place)).alias("reason")))
+    # a row for each part, not for each node
+    before = Window.partitionBy(*keys).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (d.where(F.col("reason").isNull()).select(*keys, *place, F.size("_items").alias("_size"))
+               .select(*keys, *place, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off")))
+    nodes = (d.join(rejects.select(*keys), keys, "left_anti").join(offsets, [*keys, *place])
+             .select(*keys, "_off", F.posexplode("_items").alias("_i", "n"))
+             .select(*keys, (F.col("_off") + F.col("_i") + 1).cast("bigint").alias("pos"), F.col("n.id").alias("node_id"),
                      F.col("n.description").alias("description"), F.col("n.status").alias("status"),
                      F.col("n.plan_issue").alias("plan_issue"), F.col("n.pr_url").alias("pr_url"),
                      F.coalesce(F.col("n.depends_on"), F.array().cast("array<string>")).alias("depends_on")))
@@ -136,26 +151,33 @@ def truncation_report(texts: DataFrame, group: str, text_col: str, cap: int = T.
 
 
 def rewrite_roadmap(bodies: DataFrame, nodes: DataFrame, prefix: str = T.DEFAULT_PREFIX,
-                    keys=("repo", "objective")) -> DataFrame:
+                    keys=("repo", "objective"), part_rows: int = graph.PART_NODES) -> DataFrame:
     """Replace the ``## Roadmap`` part of each body with the rendered table and
-    the state blob; other sections are kept; no heading -> appended. One body
-    is one issue text, so its table and blob are built as a single part."""
+    the state blob; other sections are kept; no heading -> appended.
+
+    The output has a row for each ``part`` of at most ``part_rows`` nodes. Part 0
+    is the body with the first part of table and blob; later parts hold only
+    theirs. Of bodies that are in parts already, part 0 is rewritten and the
+    later ones are replaced."""
     keys = list(keys)
-    big = 1 << 30
-    rendered = graph.render_objectives(nodes, prefix=prefix, part_rows=big).select(*keys, "table", "blob")
+    if "part" in bodies.columns:
+        bodies = bodies.filter(F.col("part") == 0).drop("part")
+    rendered = graph.render_objectives(nodes, prefix=prefix, part_rows=part_rows).select(*keys, "part", "table", "blob")
     j = bodies.join(rendered, keys, "left")
+    part = F.coalesce("part", F.lit(0).cast("bigint"))
+    later = F.concat("table", F.lit("\n\n"), "blob")
     new_content = F.concat(F.lit("\n"), F.coalesce("table", F.lit(graph.ROADMAP_HEADER)), F.lit("\n\n"),
                            F.coalesce("blob", F.lit(T.markers(prefix)["nodes_start"] + "[]" + T.markers(prefix)["nodes_end"])))
     b = F.coalesce(F.col("body"), F.lit(""))
     hp = F.instr(b, "## Roadmap")
-    tail = F.substring(b, hp, F.lit(big))
+    tail = F.substring(b, hp, F.length(b))
     nl = F.instr(tail, "\n")
     before = F.when(nl > 0, F.substring(b, F.lit(1), hp - 1 + nl)).otherwise(b)
-    rest = F.when(nl > 0, F.substring(b, hp + nl, F.lit(big))).otherwise(F.lit(""))
+    rest = F.when(nl > 0, F.substring(b, hp + nl, F.length(b))).otherwise(F.lit(""))
     e = F.instr(rest, "\n## ")
-    after = F.when(e > 0, F.substring(rest, e + 1, F.lit(big))).otherwise(F.lit(""))
+    after = F.when(e > 0, F.substring(rest, e + 1, F.length(rest))).otherwise(F.lit(""))
     replaced = F.when(after == "", F.concat(before, new_content)).otherwise(
         F.concat(before, new_content, F.lit("\n\n"), after))
     appended = F.concat(T.rtrim_ws(b), F.lit("\n\n## Roadmap"), new_content)
-    return j.select(*keys, *[c for c in bodies.columns if c not in keys and c != "body"],
-                    F.when(hp > 0, replaced).otherwise(appended).alias("body"))
+    return j.select(*keys, *[c for c in bodies.columns if c not in keys and c != "body"], part.alias("part"),
+                    F.when(part > 0, later).when(hp > 0, replaced).otherwise(appended).alias("body"))

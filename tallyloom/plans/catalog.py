@@ -332,6 +332,14 @@ def q_load_node_state(spark, d):
     return _nodes_out(nodes)
 
 
+@query("node_state_round_trip")
+def q_node_state_round_trip(spark, d):
+    """State blobs in parts of three nodes, read back."""
+    blobs = graph.state_comment(fx.nodes(spark, d), part_rows=3).withColumnRenamed("blob", "body")
+    nodes, _ = ex.load_node_state(blobs)
+    return _nodes_out(nodes)
+
+
 @query("rewrite_roadmap")
 def q_rewrite_roadmap(spark, d):
     return _stored_bodies(spark, d).select("repo", "objective", "title", "body")

@@ -500,6 +500,8 @@ FROM nodes"""
 
 SQL["load_node_state"] = with_(nodes_cte()) + f"SELECT {NODE_COLS} FROM nodes"
 
+SQL["node_state_round_trip"] = SQL["load_node_state"]
+
 SQL["rewrite_roadmap"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + f"""
 SELECT t.repo, t.objective, concat('Objective ', t.objective) AS title, {rewritten_body_sql()} AS body
 FROM tables t JOIN blobs b USING (repo, objective)"""

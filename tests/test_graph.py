@@ -120,3 +120,31 @@ def test_extract_roadmaps_rejects(spark):
     assert [(r.pos, r.node_id, list(r.depends_on)) for r in nodes.orderBy("pos").collect()] == [
         (1, "1.1", []), (2, "1.2", ["1.1"])]
     assert {r.objective: r.reason for r in rej.collect()} == {2: "no section", 3: "no nodes"}
+
+
+def test_state_in_parts_round_trips(spark):
+    rows = [("r", o, i, f"n{i}", f"d{i}", "pending", i, None, [f"n{i - 1}"] if i > 1 else [])
+            for o, n in ((1, 7), (2, 2)) for i in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "repo string, objective long, pos long, node_id string, description string, "
+                                     "status string, plan_issue long, pr_url string, depends_on array<string>")
+    want = sorted((r[1], r[2], r[3], r[6], r[8]) for r in rows)
+
+    def read(bodies):
+        back, rej = ex.load_node_state(bodies)
+        assert rej.count() == 0
+        return sorted((r.objective, r.pos, r.node_id, r.plan_issue, list(r.depends_on)) for r in back.collect())
+
+    blobs = graph.state_comment(df, part_rows=2).withColumnRenamed("blob", "body")
+    assert read(blobs) == want
+    one_text = blobs.groupBy("repo", "objective").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "body"))), lambda x: x["body"]), "\n").alias("body"))
+    assert read(one_text) == want
+    bodies = spark.createDataFrame([("r", 1, "## Goal\ng\n\n## Roadmap\n- 1.1: x\n\n## Notes\nkeep"), ("r", 2, "text")],
+                                   "repo string, objective long, body string")
+    once = ex.rewrite_roadmap(bodies, df, part_rows=2)
+    assert sorted((r.objective, r.part) for r in once.collect()) == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 0)]
+    assert read(once) == want and read(ex.rewrite_roadmap(once, df, part_rows=3)) == want
+    bad = blobs.withColumn("body", F.when((F.col("objective") == 1) & (F.col("part") == 2), F.lit("<!-- loom:nodes [1] -->"))
+                           .otherwise(F.col("body")))
+    back, rej = ex.load_node_state(bad)
+    assert {r.objective for r in back.collect()} == {2} and [r.objective for r in rej.collect()] == [1]
