@@ -36,9 +36,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """A table read from files, in ranges of the order in which its rows were written.
+
+    Spark deals files to read tasks by size, so that order is lost between files.
+    """
+    order = {"_file": F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long"),
+             "_name": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
+    placed = docs.select("*", *[c.alias(n) for n, c in order.items()])
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document in a sequence of at most 2048 tokens."""
-    return packing.pack(docs)
+    """One row per piece of a document in a sequence of at most 2048 tokens, packed in the order of the mix."""
+    return packing.pack(in_written_order(docs))
 
 
 STAGES = [

@@ -41,3 +41,15 @@ def test_stages(spark):
         pieces[r.doc_id] += r.length
         assert r.length <= 2048
     assert set(pieces) == set(mixed)
+
+
+def test_packing_receives_the_order_of_the_mix(spark, monkeypatch):
+    rows = [(i, "x" * (i * 20), f"s{i % 3}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = ["source", "doc_id"]
+    written = stored(df.repartitionByRange(6, *order).sortWithinPartitions(*order), "test-order")
+    monkeypatch.setattr(cp.packing, "pack", lambda docs: docs)
+    got = cp.packing_stage(spark, written, SF)
+    assert got.columns == df.columns
+    assert [r.doc_id for r in got.collect()] == [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
+    assert [r.doc_id for r in written.collect()] != [r.doc_id for r in got.collect()]  # files are read by size
