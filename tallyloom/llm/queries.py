@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import exact_topk, html_text, jaccard_join, katz, line_quality, mixing, packing, substring_dedup, toxicity, warc
+from . import conversation_repair, exact_topk, html_text, jaccard_join, katz, line_quality, mixing, packing, substring_dedup, toxicity, warc
 from .frames import read
 
 
@@ -73,6 +73,19 @@ def op10_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    talks = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    report, repaired = conversation_repair.repair(conversation_repair.damaged(talks))
+    hashes = conversation_repair.digests(repaired).withColumnRenamed("conv", "_conv")
+    full = report.join(hashes, F.col("conv").eqNullSafe(F.col("_conv")), "left")
+    out = talks.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().join(
+        full, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -84,4 +97,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
 }
