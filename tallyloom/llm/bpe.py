@@ -2,13 +2,15 @@
 
 The vocabulary file is named by a parameter and found on each executor; it is
 never shipped or trained. Ids equal those of the ``tokenizers`` library with
-``add_special_tokens=False`` and special strings taken as ordinary text.
+``add_special_tokens=False`` in its default state: where a text holds the string of an
+added token, that token stands for it.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 
@@ -27,15 +29,19 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _ranks(path: str) -> dict[bytes, int]:
-    """Token bytes -> id. In this format ids follow the merge order."""
+def _vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """(token bytes -> id, string of an added token -> id). In this format ids follow the merge order."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = spec.get("added_tokens", ())
+    if any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{path}: only plain added tokens are supported")
+    special = {t["content"]: t["id"] for t in added}
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in plain}
     shown |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
-    return {bytes(shown[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    tokens = {bytes(shown[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    return tokens, special
 
 
 class _Chunks(dict):
@@ -67,11 +73,21 @@ class Encoder:
     def __init__(self, name: str):
         import tiktoken
 
-        self._whole = tiktoken.Encoding("llm-pack", pat_str=PATTERN, mergeable_ranks=_ranks(vocabulary_path(name)),
+        ranks, added = _vocabulary(vocabulary_path(name))
+        self.size = 1 + max([*ranks.values(), *added.values()])
+        self._added = {s: i.to_bytes(4, "little") for s, i in added.items()}
+        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(longest_first)})") if added else None
+        self._whole = tiktoken.Encoding("llm-pack", pat_str=PATTERN, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
         self._chunks = _Chunks(self._whole)
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self._added):
+            return b"".join(self._added.get(x) or self._plain(x) for x in self._cut.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         if first and not first[-1].isspace():
             try:

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import scratch_path
 
-from . import conversation_repair, exact_topk, html_text, jaccard_join, katz, line_quality, mixing, packing, substring_dedup, toxicity, warc
+from . import (
+    conversation_repair, exact_topk, html_text, jaccard_join, katz, line_quality, mixing, packing, substring_dedup,
+    token_files, toxicity, warc, whitening,
+)
 from .frames import read
 
 
@@ -86,6 +89,18 @@ def op11_conversation_repair(spark, sf_dir):
                       F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
 
 
+def op12_token_files(spark, sf_dir):
+    path = scratch_path(spark, "llm-tokens")
+    token_files.write(read(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return token_files.read(spark, path)
+
+
+def op13_whitening(spark, sf_dir):
+    out = whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    # a sum beyond a long (some 10^9 fitted vectors) is null here; the operator's column holds it
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -98,4 +113,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_files": op12_token_files,
+    "op13_whitening": op13_whitening,
 }
