@@ -201,17 +201,19 @@ def fm_field(content, field: str) -> Column:
 
 
 def fm_list(content, field: str) -> Column:
-    """``- item`` lines after the ``field:`` line; blank lines skipped, the
-    first other line ends the list."""
+    """``- item`` lines after the first ``field:`` line; blank lines and repeated
+    ``field:`` lines are skipped, the first other line ends the list. The lines
+    are an array, so a list of any length is one pass over it."""
     c = _c(content)
-    f = java_quote(field)
-    # a repeated ``field:`` line inside the list keeps the list open
-    block_pat = (r"(?dmU)^[^\S\n]*" + f + r":[^\n]*(?:\n|\z)"
-                 r"((?:[^\S\n]*(?:- [^\n]*\S[^\S\n]*|" + f + r":[^\n]*)?(?:\n|\z))*)")
-    block = F.regexp_extract(c, block_pat, 1)
-    items = F.regexp_extract_all(block, F.lit(r"(?dmU)^[^\S\n]*- ([^\n]*\S)[^\S\n]*$"), 1)
-    items = F.transform(items, lambda s: strip_quotes(F.regexp_replace(s, r"\A(?:- )+", "")))
-    return F.when(c.rlike(block_pat), items).otherwise(F.array().cast("array<string>"))
+    key = field + ":"
+    rows = F.transform(F.split(c, "\n", -1), trim_ws)
+    head = F.array_position(F.transform(rows, lambda t: t.startswith(key)), True)
+    tail = F.slice(rows, (head + 1).cast("int"), F.greatest(F.size(rows) - head, F.lit(0)).cast("int"))
+    ends = F.array_position(F.transform(tail, lambda t: ~((t == "") | t.startswith("- ") | t.startswith(key))), True)
+    items = F.filter(F.slice(tail, 1, F.when(ends > 0, ends - 1).otherwise(F.size(tail)).cast("int")),
+                     lambda t: t.startswith("- "))
+    items = F.transform(items, lambda t: strip_quotes(F.regexp_replace(t, r"\A(?:- )++", "")))
+    return F.when(head > 0, items).otherwise(F.array().cast("array<string>"))
 
 
 def fm_issues(content) -> Column:

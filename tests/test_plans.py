@@ -24,7 +24,8 @@ def test_no_forbidden_operators(spark, name):
     plan = plan_of(spark, QUERIES[name](spark, SF))
     bad = [op for op in FORBIDDEN if op in plan]
     assert not bad, f"{name}: {bad}"
-    unpruned = [c for c in NEVER_READ if re.search(rf"\b{c}\b", plan)]
+    scanned = " ".join(re.findall(r"ReadSchema: [^\n]*", plan))
+    unpruned = [c for c in NEVER_READ if re.search(rf"\b{c}:", scanned)]
     assert not unpruned, f"{name} reads unused columns {unpruned}"
 
 

@@ -140,3 +140,12 @@ def test_age_label_and_dates(spark):
                  ("1970-12-31", 364)]:
         assert one(spark, F.unix_date(F.lit(d).cast("date")), "x") == n
     assert one(spark, F.date_from_unix_date(F.lit(11016)), "x") == dt.date(2000, 2, 29)
+
+
+def test_fm_list_of_any_length(spark):
+    lines = [x for i in range(50_000) for x in (f'  - "item {i}"', "")]
+    text = "---\nread_when:\n" + "\n".join(lines) + "\ntripwires: []\n  - not ours\n---\n"
+    got = one(spark, T.fm_list(F.col("t"), "read_when"), text)
+    assert got == [f"item {i}" for i in range(50_000)]
+    assert one(spark, T.fm_list(F.col("t"), "read_when"), "read_when:\n- - a\n\r\nread_when: x\n\t- b \n-\n- c") == ["a", "b"]
+    assert one(spark, T.fm_list(F.col("t"), "read_when"), "x\n" * 100_000) == []
