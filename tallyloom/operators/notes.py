@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import text as T
 from tallyloom.functions.ordering import ordered_text_parts, ordinal_within_group
 from tallyloom.functions.note_text import render_note_content
+from tallyloom.sources.note_files import published_folders
 
 # ---- fixed values ------------------------------------------------------------
 EMPTY_READ_WHEN = "—"
@@ -52,14 +53,22 @@ def render_notes(notes: DataFrame) -> DataFrame:
                         content.alias("content"))
 
 
+NOTE_FILE = "repo string, path string, content string"
+
+
 def read_note_folder(spark, root: str) -> DataFrame:
     """Markdown note files under ``root/<repo>/<category>/<slug>.md`` as a files
-    table (repo, path, content); each file is one row (whole text)."""
-    df = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
-    fp = F.col("_metadata.file_path")
-    return df.select(F.regexp_extract(fp, r"([^/]+)/[^/]+/[^/]+$", 1).alias("repo"),
-                     F.regexp_extract(fp, r"([^/]+/[^/]+)$", 1).alias("path"),
-                     F.col("value").alias("content"))
+    table (repo, path, content); each file is one row (whole text; Spark's scans
+    pass over files of no bytes, which hold no note). Of a folder that
+    ``note_files`` wrote, the published files."""
+    folders = published_folders(spark, root)
+    if folders == []:
+        return spark.createDataFrame([], NOTE_FILE)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md")
+    df = reader.load(folders or root)
+    return df.select(F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1).alias("repo"),
+                     F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("path"),
+                     F.col("content").cast("string").alias("content"))
 
 
 def scan_notes(files: DataFrame, categories=T.CATEGORIES) -> DataFrame:

@@ -19,7 +19,9 @@ from tallyloom.operators import issues as iss
 from tallyloom.operators import lifecycle as lc
 from tallyloom.operators import notes as nt
 from tallyloom.operators import prompts as pr
+from tallyloom.session import scratch_path
 from tallyloom.sources import fixtures as fx
+from tallyloom.sources import note_files, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +201,13 @@ def _tw_txt(c):
     return F.array_join(F.transform(c, lambda t: F.concat(t["action"], F.lit("=>"), t["warning"])), "|")
 
 
+def _notes_out(df: DataFrame) -> DataFrame:
+    return df.select(*nt.NOTE_KEY, "title", F.array_join("read_when", "|").alias("read_when"),
+                     _tw_txt(F.col("tripwires")).alias("tripwires"),
+                     F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"),
+                     _ids_txt(F.col("source_issues")).alias("source_issues"), "body")
+
+
 @query("render_notes")
 def q_render_notes(spark, d):
     return nt.render_notes(fx.notes(spark, d))
@@ -209,6 +218,46 @@ def q_scan_notes(spark, d):
     return _scanned(spark, d).select("repo", "category", "slug", "rank", "content")
 
 
+@query("note_files")
+def q_note_files(spark, d):
+    """All notes written as files, then read back from them."""
+    root = scratch_path(spark, "notes")
+    note_files.write_note_files(nt.render_notes(fx.notes(spark, d)), root)
+    return nt.scan_notes(nt.read_note_folder(spark, root)).select("repo", "category", "slug", "rank", "path", "content")
+
+
+def _stored_notes(spark, d):
+    """The note table as a versioned snapshot, a partition for each repo and category."""
+    root = scratch_path(spark, "note-table")
+    snapshots.write_snapshot(fx.notes(spark, d).drop("content"), root, ["repo", "category"])
+    return root
+
+
+def _upserted(spark, d):
+    """A snapshot of the notes, then a version in which a quarter of the learning items (those of
+    the repos r0 and r4) changed only the partitions they touch."""
+    root = _stored_notes(spark, d)
+    items = fx.learning_items(spark, d).filter(F.col("repo").isin("r0", "r4"))
+    touched = items.select("repo", "category").distinct()
+    now = nt.upsert_notes(snapshots.read_snapshot(spark, root, 1, touched), items, AS_OF_NOTES)
+    snapshots.replace_partitions(now.drop("change"), root, touched, 1)
+    return root
+
+
+@query("upsert_snapshot")
+def q_upsert_snapshot(spark, d):
+    return _notes_out(snapshots.read_snapshot(spark, _upserted(spark, d)))
+
+
+@query("snapshot_partitions")
+def q_snapshot_partitions(spark, d):
+    """Which partitions the second version shares with the first, with their rows."""
+    root = _upserted(spark, d)
+    old = snapshots.partition_files(spark, root, 1).select("repo", "category", F.col("folder").alias("_old"))
+    return snapshots.partition_files(spark, root, 2).join(old, ["repo", "category"], "left").select(
+        "repo", "category", "rows", F.coalesce(F.col("folder") == F.col("_old"), F.lit(False)).alias("shared"))
+
+
 @query("ordered_notes")
 def q_ordered_notes(spark, d):
     return nt.ordered_notes(_scanned(spark, d)).select("repo", "category", "slug", "ord")

@@ -305,6 +305,9 @@ SELECT repo, category, slug, category || '/' || slug || '.md' AS path, content F
 
 SQL["scan_notes"] = with_(NOTES_BASE, SCANNED) + "SELECT repo, category, slug, CAST(rank AS BIGINT) AS rank, content FROM scanned"
 
+SQL["note_files"] = with_(NOTES_BASE, SCANNED) + """
+SELECT repo, category, slug, CAST(rank AS BIGINT) AS rank, category || '/' || fname AS path, content FROM scanned"""
+
 SQL["ordered_notes"] = with_(NOTES_BASE, SCANNED) + """
 SELECT repo, category, slug, CAST(row_number() OVER (PARTITION BY repo ORDER BY rank, fname) AS BIGINT) AS ord
 FROM scanned"""
@@ -379,6 +382,18 @@ SELECT coalesce(a.repo, o.repo) AS repo, coalesce(a.category, o.category) AS cat
        CASE WHEN a.slug IS NULL THEN 'unchanged' WHEN o.slug IS NULL THEN 'insert' ELSE 'update' END AS change
 FROM agg a FULL OUTER JOIN old o ON a.repo = o.repo AND a.category = o.category AND a.slug = o.slug"""
 
+SQL["upsert_snapshot"] = SQL["upsert_notes"].replace(
+    "FROM items GROUP BY ALL)", "FROM items WHERE repo IN ('r0', 'r4') GROUP BY ALL)").replace(
+    """,
+       CASE WHEN a.slug IS NULL THEN 'unchanged' WHEN o.slug IS NULL THEN 'insert' ELSE 'update' END AS change""", "")
+
+SQL["snapshot_partitions"] = with_(NOTES_BASE, ITEMS) + """
+, hit AS (SELECT DISTINCT repo, category, slug FROM items WHERE repo IN ('r0', 'r4'))
+, keys AS (SELECT repo, category, slug FROM notes UNION SELECT repo, category, slug FROM hit)
+SELECT k.repo, k.category, count(*) AS rows,
+       (k.repo, k.category) NOT IN (SELECT (repo, category) FROM hit) AS shared
+FROM keys k GROUP BY k.repo, k.category"""
+
 ACTIONS = f"""actions AS (
   SELECT n.repo, l.doc_id AS pos,
          CASE WHEN toxic = 1 THEN 'delete' WHEN quality = 0 THEN 'merge_into' ELSE 'keep' END AS action,

@@ -76,6 +76,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def travels(module: str) -> None:
+    """Task classes of a module travel with their tasks: executors need not have this package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def materialize(df, name: str):
     """Cut lineage with a reliable checkpoint in the shared folder.
 
