@@ -6,10 +6,13 @@ ordinal is computed instead from a range partitioning on ``(key, order)``: a hot
 key is spread over many range partitions, each partition numbers its own rows,
 and a small per-(key, partition) count table supplies the offsets.
 
-Ordered text (digests, tables, JSON blobs) is then aggregated per
-``(key, part)`` where ``part = (ordinal - 1) // part_rows``, so no single
-output value or task grows with the data. A group under ``part_rows`` rows is
-one part, identical to a plain ``string_agg(... ORDER BY ...)``.
+Ordered text (digests, indexes, prompts) is cut into parts of a fixed number of
+characters: every piece gets its place in the whole text of its group by a
+prefix sum of lengths, taken the same way, and a piece that crosses a border is
+split there. So every part but the last has the same size whatever the sizes of
+the pieces, no output value or task grows with the data, and the parts of a
+group, joined, are the plain ``string_agg(... ORDER BY ...)``. Short rows of
+bounded size (tables, JSON blobs) go by ``(ordinal - 1) div part_rows``.
 """
 
 from __future__ import annotations
@@ -51,23 +54,38 @@ def ordinal_within_group(df: DataFrame, keys: Sequence[str], order: Sequence[Col
     the same tags, and a lost executor re-reads them instead of re-sampling.
     The count table has at most partitions + keys rows.
     """
+    return _placed(df, keys, order, name, num_partitions, keep_partition)
+
+
+def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name: str, num_partitions: int | None = None,
+            keep_partition: bool = False, size: Column | None = None) -> DataFrame:
+    """Positions as ``ordinal_within_group``; with ``size`` also ``_before``, the sum of the sizes before each row."""
     places = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
     df = df.withColumns(places)
     sort_cols = [*keys, *places]
-    small = df.select(*sort_cols)
+    small = df.select(*sort_cols, *([] if size is None else [size.cast("bigint").alias("_size")]))
     ranged = (small.repartitionByRange(num_partitions or _num_partitions(small), *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = materialize(ranged, "ordinal")
     stats = (ranged.groupBy(*keys, "_pid")
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base")))
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"),
+                  *([] if size is None else [F.sum("_size").alias("_sum")])))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = {"_off": "_cnt"} if size is None else {"_off": "_cnt", "_ahead": "_sum"}
     stats = stats.select(*keys, "_pid", "_base",
-                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    out = ranged.join(stats, [*keys, "_pid"])
-    ordinal = (F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint").alias(name)
-    out = df.join(out.select(*sort_cols, "_pid", ordinal), sort_cols).drop(*places)
+                         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in ahead.items()])
+    out = ranged
+    if size is not None:
+        # a range partition bounds the rows of one key here
+        inside = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("_in", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    out = out.join(stats, [*keys, "_pid"])
+    found = [(F.col("_mid") - F.col("_base") + F.col("_off") + 1).cast("bigint").alias(name)]
+    if size is not None:
+        found.append((F.col("_ahead") + F.col("_in")).cast("bigint").alias("_before"))
+    out = df.join(out.select(*sort_cols, "_pid", *found), sort_cols).drop(*places)
     return out if keep_partition else out.drop("_pid")
 
 
@@ -108,14 +126,38 @@ def concat_by_ordinal(df: DataFrame, keys: Sequence[str], ord_col: str, piece: C
                                  lambda x: x["_piece"]), sep).alias(text_name))
 
 
-def ordered_text_parts(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
-                       piece: ColLike, sep: str, part_rows: int,
-                       text_name: str = "text") -> DataFrame:
-    """Concatenate ``piece`` per group in ``order``, split into numbered parts.
-
-    Returns ``keys + [part, n_items, first_ord, <text_name>]``; ``part`` is
-    0-based and each part holds at most ``part_rows`` pieces.
-    """
-    piece_col = F.col(piece) if isinstance(piece, str) else piece
-    ranked = ordinal_within_group(df.withColumn("_p", piece_col), keys, order, "_ord")
-    return concat_by_ordinal(ranked, keys, "_ord", F.col("_p"), sep, part_rows, text_name)
+PART_CHARS = 1_000_000
+
+
+def ordered_text_parts(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], piece: ColLike, sep: str = "",
+                       part_chars: int = PART_CHARS, text_name: str = "text", lead: str = "") -> DataFrame:
+    """Concatenate ``piece`` per group in ``order``, cut into numbered parts.
+
+    The whole text of a group is ``lead``, then its pieces joined by ``sep``.
+    Returns ``keys + [part, n_items, first_ord, <text_name>]``: part k (0-based)
+    holds characters k * part_chars and on, at most part_chars of them (four
+    times as many bytes at most); ``n_items`` counts the pieces that begin in it.
+    The same layout holds at every size. Null pieces are empty."""
+    piece_col = F.coalesce(F.col(piece) if isinstance(piece, str) else piece, F.lit(""))
+    d = _placed(df.withColumn("_p", piece_col), keys, order, "_ord", size=F.length("_p"))
+    first = F.col("_ord") == 1
+    # the text between pieces belongs to the piece after it
+    d = d.withColumn("_p", F.concat(F.when(first, F.lit(lead)).otherwise(F.lit(sep)), "_p")).withColumn(
+        "_start", F.when(first, F.lit(0)).otherwise(
+            F.col("_before") + F.lit(len(lead)) + (F.col("_ord") - 2) * F.lit(len(sep))).cast("bigint"))
+    d = d.withColumn("_end", F.col("_start") + F.length("_p"))
+    size = F.lit(part_chars).cast("bigint")
+
+    def part_of(c):
+        return F.floor(c / size).cast("bigint")
+
+    d = d.select(*keys, "_ord", "_start", "_end", "_p", F.explode(F.sequence(
+        part_of(F.col("_start")), part_of(F.greatest(F.col("_end") - 1, F.col("_start"))))).alias("part"))
+    low = F.greatest(F.col("_start"), F.col("part") * size)
+    high = F.least(F.col("_end"), (F.col("part") + 1) * size)
+    slice_ = F.substring(F.col("_p"), (low - F.col("_start") + 1).cast("int"), (high - low).cast("int"))
+    return d.groupBy(*keys, "part").agg(
+        F.count_if(part_of(F.col("_start")) == F.col("part")).alias("n_items"),
+        F.min("_ord").alias("first_ord"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("_ord").alias("o"), slice_.alias("p")))),
+                                 lambda x: x["p"]), "").alias(text_name))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
+from tallyloom.functions import ordering
 from tallyloom.functions.ordering import ordered_text_parts, ordinal_within_group
 from tallyloom.functions.note_text import render_note_content
 from tallyloom.sources.note_files import published_folders
@@ -26,9 +27,8 @@ NONE_YET = "_none yet_"
 
 NOTE_KEY = ["repo", "category", "slug"]
 MEMORY_ROOT = "memory"
-# Repo-level texts (digest, index, audit prompt) are split into parts of at
-# most this many notes; a repo under the cap is one part.
-PART_NOTES = 2_000
+# Repo-level texts (digest, index, audit prompt) are cut into parts of this many characters.
+PART_CHARS = ordering.PART_CHARS
 
 
 def category_rank(categories=T.CATEGORIES) -> Column:
@@ -107,17 +107,17 @@ def hook_texts(hooks: DataFrame) -> DataFrame:
     return hooks.filter(F.col("path").rlike(r"(?:^|/)[^/]+\.md$") & (F.col("path") != "README.md"))
 
 
-def notes_digest(scanned: DataFrame, part_rows: int = PART_NOTES, repos: DataFrame | None = None) -> DataFrame:
+def notes_digest(scanned: DataFrame, part_chars: int = PART_CHARS, repos: DataFrame | None = None) -> DataFrame:
     """``### [cat/slug]\ncontent\n\n`` per note, concatenated in read order;
     a listed repo without notes gets the empty text."""
-    parts = ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], digest_piece(), "", part_rows, "digest")
+    parts = ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], digest_piece(), "", part_chars, "digest")
     return _with_empty_repos(parts, repos, "digest", "")
 
 
-def hooks_concat(hooks: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
+def hooks_concat(hooks: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """Prompt-hook texts in path order, ``.md`` only, README.md skipped,
     joined by a blank line."""
-    return ordered_text_parts(hook_texts(hooks), ["repo"], ["path"], F.col("text"), "\n\n", part_rows, "hooks")
+    return ordered_text_parts(hook_texts(hooks), ["repo"], ["path"], F.col("text"), "\n\n", part_chars, "hooks")
 
 
 def routing_rows(scanned: DataFrame, root: str = MEMORY_ROOT) -> DataFrame:
@@ -132,15 +132,12 @@ def routing_rows(scanned: DataFrame, root: str = MEMORY_ROOT) -> DataFrame:
                                            F.lit(" | "), F.col("read_when"), F.lit(" |")))
 
 
-def routing_index_text(scanned: DataFrame, part_rows: int = PART_NOTES,
+def routing_index_text(scanned: DataFrame, part_chars: int = PART_CHARS,
                        repos: DataFrame | None = None) -> DataFrame:
-    """The index table per repo (header on part 0); a listed repo without
-    notes gets ``_No learnings yet._``."""
+    """The index table per repo (its text begins with the header); a listed repo
+    without notes gets ``_No learnings yet._``."""
     t = ordered_text_parts(routing_rows(scanned), ["repo"], [F.col("rank"), file_name()],
-                           F.col("line"), "\n", part_rows, "rows")
-    t = t.select("repo", "part", "n_items", "first_ord",
-                 F.when(F.col("part") == 0, F.concat(F.lit(INDEX_HEADER + "\n"), "rows", F.lit("\n")))
-                 .otherwise(F.concat("rows", F.lit("\n"))).alias("index_text"))
+                           F.concat("line", F.lit("\n")), "", part_chars, "index_text", lead=INDEX_HEADER + "\n")
     return _with_empty_repos(t, repos, "index_text", NO_LEARNINGS + "\n").drop("first_ord")
 
 
@@ -164,12 +161,12 @@ def notes_by_issue(catalog: DataFrame) -> DataFrame:
             .groupBy("repo", "issue").agg(F.count(F.lit(1)).alias("n_notes")))
 
 
-def audit_prompt(scanned: DataFrame, part_rows: int = PART_NOTES) -> DataFrame:
+def audit_prompt(scanned: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """All notes of a repo as audit text: ``### cat/slug\\ncontent\\n`` joined by
     a newline, in read order; repos without notes get no row."""
     piece = F.concat(F.lit("### "), F.col("category"), F.lit("/"), F.col("slug"), F.lit("\n"),
                      F.col("content"), F.lit("\n"))
-    return ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], piece, "\n", part_rows, "files")
+    return ordered_text_parts(scanned, ["repo"], [F.col("rank"), file_name()], piece, "\n", part_chars, "files")
 
 
 # ---- state updates --------------------------------------------------------------

@@ -268,6 +268,12 @@ def q_notes_digest(spark, d):
     return nt.notes_digest(_scanned(spark, d)).select("repo", "part", "n_items", "digest")
 
 
+@query("notes_digest_parts")
+def q_notes_digest_parts(spark, d):
+    """The digest in small parts: notes longer than a part span several."""
+    return nt.notes_digest(_scanned(spark, d), part_chars=1500).select("repo", "part", "n_items", "digest")
+
+
 @query("hooks_concat")
 def q_hooks_concat(spark, d):
     return nt.hooks_concat(fx.hooks(spark, d)).select("repo", "part", "n_items", "hooks")
@@ -279,6 +285,14 @@ def q_routing_index(spark, d):
                                                       "read_when", "line")
 
 
+@query("routing_index_text")
+def q_routing_index_text(spark, d):
+    """Each repo's index text, in small parts; repos without notes say so."""
+    size = fx.read_table(spark, d, "part", ["p_size"])
+    repos = size.select(F.concat(F.lit("r"), (F.col("p_size") % 12).cast("string")).alias("repo"))
+    return nt.routing_index_text(_scanned(spark, d), part_chars=700, repos=repos)
+
+
 @query("note_catalog")
 def q_note_catalog(spark, d):
     c = nt.note_catalog(_scanned(spark, d))
@@ -292,6 +306,11 @@ def q_audit_prompt(spark, d):
     return nt.audit_prompt(_scanned(spark, d)).select("repo", "part", "n_items", "files")
 
 
+@query("audit_prompt_parts")
+def q_audit_prompt_parts(spark, d):
+    return nt.audit_prompt(_scanned(spark, d), part_chars=2048).select("repo", "part", "n_items", "files")
+
+
 @query("union_issues")
 def q_union_issues(spark, d):
     items = fx.learning_items(spark, d)

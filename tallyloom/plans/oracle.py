@@ -300,6 +300,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY {order}) AS ord FR
 GROUP BY repo, part"""
 
 
+def text_parts_sql(src: str, piece: str, sep: str, order: str, out: str, size: int = 1_000_000, lead: str = "''") -> str:
+    """The whole text of each repo, then its characters k * size and on."""
+    return f"""
+, pieces AS (SELECT repo, row_number() OVER w AS ord,
+                    CASE WHEN row_number() OVER w = 1 THEN {lead} ELSE {sep} END || coalesce({piece}, '') AS p
+             FROM {src} WINDOW w AS (PARTITION BY repo ORDER BY {order}))
+, begins AS (SELECT repo, coalesce(sum(length(p)) OVER (PARTITION BY repo ORDER BY ord
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {size} AS part FROM pieces)
+, whole AS (SELECT repo, string_agg(p, '' ORDER BY ord) AS t FROM pieces GROUP BY repo)
+, parts AS (SELECT repo, CAST(unnest(range(0, (length(t) + {size} - 1) // {size})) AS BIGINT) AS part, t FROM whole)
+, cut AS (SELECT p.repo, p.part, (SELECT count(*) FROM begins b WHERE b.repo = p.repo AND b.part = p.part) AS n_items,
+                 substr(t, p.part * {size} + 1, {size}) AS {out}
+          FROM parts p)
+SELECT repo, part, n_items, {out} FROM cut"""
+
+
 SQL["render_notes"] = with_(NOTES_BASE) + """
 SELECT repo, category, slug, category || '/' || slug || '.md' AS path, content FROM notes"""
 
@@ -312,9 +328,10 @@ SQL["ordered_notes"] = with_(NOTES_BASE, SCANNED) + """
 SELECT repo, category, slug, CAST(row_number() OVER (PARTITION BY repo ORDER BY rank, fname) AS BIGINT) AS ord
 FROM scanned"""
 
-SQL["notes_digest"] = with_(NOTES_BASE, SCANNED) + parts_sql(
-    "scanned", "'### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10)",
-    "''", "rank, fname", "digest")
+DIGEST = ("scanned", "'### [' || category || '/' || slug || ']' || chr(10) || content || chr(10) || chr(10)",
+          "''", "rank, fname", "digest")
+SQL["notes_digest"] = with_(NOTES_BASE, SCANNED) + text_parts_sql(*DIGEST)
+SQL["notes_digest_parts"] = with_(NOTES_BASE, SCANNED) + text_parts_sql(*DIGEST, size=1500)
 
 HOOKS = """hooks AS (
   SELECT concat('r', doc_id % 10) AS repo,
@@ -323,7 +340,7 @@ HOOKS = """hooks AS (
   FROM documents)"""
 
 SQL["hooks_concat"] = with_(HOOKS) + """, h AS (SELECT * FROM hooks WHERE path LIKE '%.md' AND path <> 'README.md')
-""" + parts_sql("h", "text", "chr(10) || chr(10)", "path", "hooks")
+""" + text_parts_sql("h", "text", "chr(10) || chr(10)", "path", "hooks")
 
 ROUTING = """routing AS (
   SELECT repo, category, slug, rank, fname, '@memory/' || category || '/' || slug || '.md' AS file,
@@ -336,15 +353,21 @@ SELECT repo, category, slug, file, title, read_when,
        '| ' || file || ' | ' || title || ' | ' || read_when || ' |' AS line
 FROM routing"""
 
+SQL["routing_index_text"] = with_(NOTES_BASE, SCANNED, ROUTING) + text_parts_sql(
+    "routing", "'| ' || file || ' | ' || title || ' | ' || read_when || ' |' || chr(10)", "''", "rank, fname", "index_text",
+    size=700, lead="'| File | Title | Read when |' || chr(10) || '|------|-------|-----------|' || chr(10)") + """
+UNION ALL SELECT repo, 0, 0, '_No learnings yet._' || chr(10)
+FROM (SELECT DISTINCT concat('r', p_size % 12) AS repo FROM part) WHERE repo NOT IN (SELECT repo FROM routing)"""
+
 SQL["note_catalog"] = with_(NOTES_BASE, SCANNED) + """
 SELECT repo, category, slug, title, array_to_string(read_when, '|') AS read_when,
        strftime(last_updated, '%Y-%m-%d') AS last_updated, array_to_string(source_issues, ',') AS source_issues,
        body
 FROM scanned"""
 
-SQL["audit_prompt"] = with_(NOTES_BASE, SCANNED) + parts_sql(
-    "scanned", "'### ' || category || '/' || slug || chr(10) || content || chr(10)", "chr(10)",
-    "rank, fname", "files")
+AUDIT = ("scanned", "'### ' || category || '/' || slug || chr(10) || content || chr(10)", "chr(10)", "rank, fname", "files")
+SQL["audit_prompt"] = with_(NOTES_BASE, SCANNED) + text_parts_sql(*AUDIT)
+SQL["audit_prompt_parts"] = with_(NOTES_BASE, SCANNED) + text_parts_sql(*AUDIT, size=2048)
 
 ITEMS = f"""items AS (
   SELECT concat('r', doc_id % 10) AS repo, doc_id AS issue, doc_id AS pos,
