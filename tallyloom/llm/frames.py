@@ -25,9 +25,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _row_hash(key: str, text: str, seed: int) -> Column:
+    # hashes pass over nulls, so what is null is hashed as well
+    k, t = F.col(key).cast("string"), F.col(text)
+    return F.xxhash64(F.lit(seed), k.isNull(), t.isNull(), k, t)
+
+
 def row_key(key: str, text: str) -> Column:
-    """A key of a row by its content: repeated rows share it, and so their result."""
-    return F.xxhash64(F.col(key).cast("string"), F.col(text))
+    """A key of 16 bytes of a row by its content: repeated rows share it, and so their result."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(_row_hash(key, text, seed)), 16, "0") for seed in (1, 2)]))
+
+
+def short_row_key(key: str, text: str) -> Column:
+    """The same in 8 bytes, for tables with a row key on every n-gram."""
+    return _row_hash(key, text, 1)
 
 
 def free_name(df: DataFrame, name: str) -> str:

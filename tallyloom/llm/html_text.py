@@ -18,6 +18,7 @@ named like a result column is replaced.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 _TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[!?/][^>]*+>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>)""")
 _ATTR = re.compile(r"""([a-zA-Z][\w-]*)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 _RAW = frozenset("script style textarea title xmp iframe noframes noembed".split())
-_DROP = frozenset("script style textarea title head nav aside footer form noscript iframe svg math button select template "
+_DROP = frozenset("script style textarea title head nav aside footer form iframe svg button select template "
                   "dialog menu object canvas audio video map datalist xmp noframes noembed".split())
 _BLOCK = frozenset("html body address article aside blockquote center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr li main menu nav ol p pre section summary "
@@ -36,17 +37,18 @@ _ENDS_P = _BLOCK - frozenset("html body head script style template svg math butt
                              "datalist textarea title noscript iframe xmp noframes noembed".split())
 _SELF_CLOSING = {"li": ("ol", "ul", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                  "th": ("tr", "table"), "p": ("div", "article", "section", "td", "th", "li", "main", "body", "blockquote")}
+_PAIRED = {"td": ("td", "th"), "th": ("td", "th"), "dd": ("dd", "dt"), "dt": ("dd", "dt")}
 _PARAGRAPH = frozenset("p pre blockquote td th li dd dt h1 h2 h3 h4 h5 h6 figcaption summary caption address".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar "
                    "tablist".split())
 #: Words of class and id values that mark a part as not the article.
-_NOISE = frozenset("ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs byline cookie "
+_NOISE = frozenset("ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs cookie "
                    "cookies consent gdpr notice notices comment comments commentlist respond reply replies disqus footer foot "
                    "header masthead menu menus nav navbar navigation navi pager pagination popup modal overlay promo promos "
                    "promotion related recommend recommended recommendations share sharing shares social sidebar side aside "
                    "sponsor sponsored sponsors subscribe subscription newsletter signup login search skip tags tagcloud "
-                   "toolbar widget widgets hidden copyright legal disclaimer outbrain taboola alert toast".split())
+                   "toolbar widget widgets hidden copyright disclaimer outbrain taboola alert toast".split())
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
@@ -56,11 +58,12 @@ LONG_PARAGRAPH = 80
 
 
 class _Node:
-    __slots__ = ("chars", "drop", "kept", "links", "parent", "score", "tag")
+    __slots__ = ("chars", "drop", "in_article", "kept", "links", "parent", "score", "tag")
 
     def __init__(self, tag, parent, drop):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.score, self.chars, self.links, self.kept = 0.0, 0, 0, False
+        self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
 
 
 def _noise(tag: str, attrs: str, inside_article: bool) -> bool:
@@ -85,9 +88,16 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
     """Block nodes, and runs of text between block borders: (node, text, link characters)."""
     root = _Node("#root", None, False)
     nodes, runs, stack = [root], [], [root]
+    opened: dict[str, int] = defaultdict(int)  # open elements by tag: a stack is searched only for what is in it
+    endless: set[str] = set()  # inline tags that are not closed any more
     text: list[str] = []
     links, link_chars, at, n = 0, 0, 0, len(html)
 
+    def cut(k):
+        for x in stack[k:]:
+            opened[x.tag] -= 1
+        del stack[k:]
+
     def flush():
         nonlocal link_chars
         if text:
@@ -122,17 +132,20 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
             text.append(" ")
             continue
         if tag not in _BLOCK:
-            if not close and tag not in _VOID and attrs and _noise(tag, attrs, True) and _hides_inline(attrs):
+            if not close and tag not in _VOID and attrs and tag not in endless and _noise(tag, attrs, True) and _hides_inline(attrs):
                 end = re.compile(rf"(?i)</{re.escape(tag)}\s*>").search(html, at)
-                at = end.end() if end else at
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(tag)
             continue
         flush()
         links = 0
         if close:
             stop = _SELF_CLOSING.get(tag, ())
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k].tag in stop:
                     break
@@ -141,11 +154,10 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
             for own in {"p", tag} if tag in _SELF_CLOSING else ("p",):
                 if own == "p" and tag not in _ENDS_P:
                     continue
-                stop = _SELF_CLOSING[own]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == own or own in ("td", "th") and stack[k].tag in ("td", "th") \
-                            or own in ("dd", "dt") and stack[k].tag in ("dd", "dt"):
-                        del stack[k:]
+                stop, same = _SELF_CLOSING[own], _PAIRED.get(own, (own,))
+                for k in range(len(stack) - 1, 0, -1) if any(opened[x] > 0 for x in same) else ():
+                    if stack[k].tag in same:
+                        cut(k)
                         break
                     if stack[k].tag in stop:
                         break
@@ -158,12 +170,12 @@ def _parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
             continue
         if attrs.endswith("/") and tag in ("svg", "math"):
             continue
-        in_article = any(x.tag in ("article", "main") for x in stack) if tag == "header" else False
-        node = _Node(tag, up, up.drop or _noise(tag, attrs, in_article))
+        node = _Node(tag, up, up.drop or _noise(tag, attrs, up.in_article))
         if up.tag == "header" and not up.drop and tag not in _HEADING and tag != "hgroup":
             node.drop = True
         nodes.append(node)
         stack.append(node)
+        opened[tag] += 1
     flush()
     return nodes, runs
 
@@ -182,16 +194,14 @@ def main_text(html: str | None) -> str:
         return ""
     for node, run, links in runs:
         points = 1 + run.count(",") + run.count("，") + min(len(run) // 100, 3) if len(run) >= 25 else 0.2
-        up, share = node.parent if node.tag in _PARAGRAPH and node.parent else node, 1.0
-        while up is not None:
-            up.score += points * share
-            share /= 2
-            up = up.parent
-        up = node
-        while up is not None:
-            up.chars += len(run)
-            up.links += links
-            up = up.parent
+        (node.parent if node.tag in _PARAGRAPH and node.parent else node).score += points
+        node.chars += len(run)
+        node.links += links
+    for x in reversed(nodes):  # children come after their parents
+        if x.parent is not None:
+            x.parent.score += x.score / 2
+            x.parent.chars += x.chars
+            x.parent.links += x.links
 
     def worth(x: _Node) -> float:
         return x.score * (1 - x.links / x.chars) if x.chars else 0.0
@@ -213,14 +223,9 @@ def main_text(html: str | None) -> str:
                 density = x.links / x.chars
                 x.kept = (worth(x) >= floor and density < 0.5 if x.tag not in _PARAGRAPH
                           else density < 0.25 and (x.chars >= LONG_PARAGRAPH or x.tag == "h1"))
-    out = []
-    for node, run, links in runs:
-        up, linked = node, links * 2 > len(run) and node.tag == "li"
-        while up is not None and not up.kept:
-            up = up.parent
-        if up is not None and not linked:
-            out.append(run)
-    return " ".join(out)
+    for x in nodes:
+        x.kept = x.kept or x.parent is not None and x.parent.kept
+    return " ".join(run for node, run, _ in runs if node.kept)
 
 
 def _column(batches):

@@ -226,7 +226,7 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
 
 def _label(rows: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """rows (id, text, k) -> (id, k, fp, n) of every row, and (fp, component) of every set that holds words."""
-    sets = stored(rows.select("k", "text").mapInArrow(_sets(n), "k long, fp long, n long").dropDuplicates(["k"]), "sets")
+    sets = stored(rows.select("k", "text").mapInArrow(_sets(n), "k binary, fp long, n long").dropDuplicates(["k"]), "sets")
     member = components(_links(rows.select("k", "text"), sets, n, percent))
     named = stored(rows.select("id", "k").join(sets, "k"), "named")
     classes = (named.filter("n > 0").select("fp").distinct().join(member.withColumnRenamed("node", "fp"), "fp", "left")

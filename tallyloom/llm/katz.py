@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import row_key, stored
+from .frames import short_row_key, stored
 from .tokens import Words, as_long, mix, text_slices
 
 TOP = 5
@@ -303,7 +303,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     scalars = {"end_base": float(np.log10((model.ends + 0.5) / denominator)), "end_known": int(model.ends > 0),
                "edge_log": float(np.log10(model.p1(np.array([model.ends])))[0]) + model.start_alpha,
                "rest_alpha": model.rest_alpha}
-    rows = docs.select(F.col(key).alias("id"), row_key(key, text).alias("k"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("id"), short_row_key(key, text).alias("k"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType
     asked = rows.mapInArrow(_score(spark.sparkContext.broadcast(sent), to_arrow_type(kind), scalars),
                             _ASK.format(kind.simpleString()))

@@ -139,7 +139,7 @@ def schedule(docs: DataFrame, source: str = "source", key: str = "doc_id", text:
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     df = df.withColumn(n["own"], F.sum(n["size"]).over(inside) - F.col(n["size"]))
     df = df.join(sums, [n["s"], n["b"]])
-    block = F.floor((F.col(n["before"]) + F.col(n["own"])) / F.lit(block_chars)).cast("long")
+    block = F.expr(f"(`{n['before']}` + `{n['own']}`) div {int(block_chars)}")
     df = df.withColumn("source_block", block).join(table, [n["s"], "source_block"])
     return df.select(*[c for c in docs.columns if c not in ("source_block", "slot")], "source_block", "slot")
 

@@ -48,6 +48,8 @@ def op6_warc(spark, sf_dir):
         F.col("capture.refers_to").alias("to"), "capture_id")
     first = (rows.filter("record_type = 'response'").groupBy(F.col("capture_id").alias("to"))
              .agg(F.max("page_id").alias("refers_to")))
+    # captures that refer to none have a key of their own each, that no capture has
+    rows = rows.withColumn("to", F.coalesce("to", F.concat(F.lit("none "), F.col("capture_id"))))
     return (rows.drop("capture_id").join(first, "to", "left")
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 

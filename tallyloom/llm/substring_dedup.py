@@ -158,7 +158,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
                    hot_segments: int = HOT_SEGMENTS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(k, spans): row keys with the word intervals [from, to) that repeated windows cover."""
     rows = docs.select(row_key(key, text).alias("k"), F.col(text).alias("text")).filter("text is not null")
-    segs = rows.mapInArrow(_segments(window, gram), "k long, start int, n_win int, gram long, seg long")
+    segs = rows.mapInArrow(_segments(window, gram), "k binary, start int, n_win int, gram long, seg long")
     # stored first: a join of two plain shuffles is one whose large keys Spark can split
     often = stored(segs.groupBy("gram").count().filter("count > 1").select("gram"), "often")
     places = stored(segs.join(often, "gram"), "places")

@@ -1,12 +1,17 @@
 """Vectorised word hashing over Arrow text columns (numpy, no Python strings).
 
 A word is a maximal run of bytes outside ``\\x20 \\x09-\\x0D``. Every word gets
-a 64-bit hash of its bytes; n-grams combine word hashes. Inside a task work goes
-in slices of a few megabytes of text, so memory does not depend on the batch.
+a 64-bit hash: up to ``TABLED`` bytes the sum of a random number for each byte and
+its place (tabulation hashing), beyond that BLAKE2. n-grams are random linear
+combinations of word hashes; spans of any length a polynomial modulo the prime
+2^61 - 1, whose values, unlike those modulo 2^64, no pattern of words makes
+collide. Inside a task work goes in slices of a few megabytes of text, so memory
+does not depend on the batch.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,16 +21,17 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240611)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+TABLED = 64
+_TABLE = _rng.integers(0, 2**64, TABLED * 256, dtype=U64)
 _COEF = _rng.integers(1, 2**63, 64, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _BASE = U64(0x9E3779B97F4A7C15)
-_BASE_INV = U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_PRIME = 2**61 - 1
+_POINT = int(_rng.integers(2**60, 2**61 - 1))
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
-_BYTE_LOW = _BYTE[_LOW]
-_pow = {"n": 0}
+_pow: dict = {"n": 0}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,14 +45,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x below 2^64 modulo the prime."""
+    p = U64(_PRIME)
+    x = (x & p) + (x >> U64(61))
+    return np.where(x >= p, x - p, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for a and b below it."""
+    low = U64(2**31 - 1)
+    ah, al, bh, bl = a >> U64(31), a & low, b >> U64(31), b & low
+    mid = ah * bl + al * bh
+    return _reduced(_reduced(U64(2) * ah * bh + (mid >> U64(30)) + ((mid & U64(2**30 - 1)) << U64(31))) + _reduced(al * bl))
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the point and of its inverse, at least n of each."""
     if _pow["n"] < n:
-        m = max(n, SLICE_BYTES + 1)
-        for name, base in (("p", _BASE), ("i", _BASE_INV)):
-            a = np.full(m, base, U64)
-            a[0] = 1
-            _pow[name] = np.multiply.accumulate(a)
-        _pow["n"] = m
+        m = max(n, SLICE_BYTES // 2 + 1)
+        for name, base in (("p", _POINT), ("i", pow(_POINT, -1, _PRIME))):
+            a, step = np.ones(1, U64), base
+            while len(a) < m:
+                a = np.concatenate([a, _times(a, np.full(len(a), step, U64))])
+                step = step * step % _PRIME
+            _pow[name] = a
+        _pow["n"] = len(_pow["p"])
     return _pow["p"], _pow["i"]
 
 
@@ -95,11 +119,18 @@ class Words:
         self.starts = np.flatnonzero(word & before)
         self.ends = np.flatnonzero(word & after) + 1
         self.offs = np.searchsorted(self.starts, offs)
-        p, inv = _powers(n)
+        size = self.ends - self.starts
+        own = _LOW[data] if lower else data
+        place = np.zeros(n, np.int32)
+        place[self.starts] = self.starts
+        place = np.arange(n, dtype=np.int32) - np.maximum.accumulate(place)
         sums = np.zeros(n + 1, U64)
-        np.cumsum((_BYTE_LOW if lower else _BYTE)[data] * p[:n], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * inv[self.starts]
-        self.hash = mix(h + (self.ends - self.starts).astype(U64) * _BASE)
+        np.cumsum(_TABLE[(np.minimum(place, TABLED - 1) << 8) | own], out=sums[1:])
+        h = sums[self.ends] - sums[self.starts]
+        for k in np.flatnonzero(size > TABLED):
+            whole = own[self.starts[k]:self.ends[k]].tobytes()
+            h[k] = int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little")
+        self.hash = mix(h + size.astype(U64) * _BASE)
 
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offs) - 1), np.diff(self.offs))
@@ -119,9 +150,15 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
 def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Order-dependent hash of h[start:end] for many spans."""
     p, inv = _powers(len(h) + 1)
-    sums = np.zeros(len(h) + 1, U64)
-    np.cumsum(mix(h ^ _COEF[5]) * p[:len(h)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inv[start] + (end - start).astype(U64) * _COEF[6])
+    terms = _times(_reduced(mix(h ^ _COEF[5])), p[:len(h)])
+    halves = []
+    for part in (terms & U64(2**31 - 1), terms >> U64(31)):  # sums of halves do not overflow
+        sums = np.zeros(len(h) + 1, U64)
+        np.cumsum(part, out=sums[1:])
+        halves.append(_reduced(sums[end] - sums[start]))
+    low, high = halves
+    value = _times(_reduced(low + _times(high, np.full(len(high), 2**31, U64))), inv[start])
+    return mix(value + (end - start).astype(U64) * _COEF[6])
 
 
 def as_long(x: np.ndarray) -> pa.Array:

@@ -39,6 +39,8 @@ THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7)
 WINDOW = 6
 CACHE_WORDS = 300_000
+#: States of the automaton kept in a worker.
+MAX_STATES = 100_000
 #: Signs and digits used for letters.
 _FOLD = str.maketrans("013457@$", "oieastas")
 _SPLIT = re.compile(r"[\W_]+")
@@ -65,6 +67,10 @@ class Lexicon:
                     self.end.append(None)
                 at = self.child[at][c]
             self.end[at] = t
+        self._forget()
+
+    def _forget(self) -> None:
+        """Begin the automaton anew: states are made as words need them, and bounded in number."""
         self._states: dict[frozenset, int] = {}
         self._sets: list[frozenset] = []
         self._moves: list[dict[str, int]] = []
@@ -112,6 +118,8 @@ class Lexicon:
 
     def fuzzy(self, word: str) -> str | None:
         """The nearest term within its edits, if any."""
+        if len(self._sets) > MAX_STATES:
+            self._forget()
         k = self._start
         for c in word:
             nxt = self._moves[k].get(c)
@@ -136,7 +144,7 @@ class Lexicon:
             folded = p.translate(_FOLD)
             if folded in self.terms:
                 return 2, self.terms[folded], folded
-            if 4 <= len(folded) <= 30 and (t := self.fuzzy(folded)):
+            if len(folded) >= 4 and (t := self.fuzzy(folded)):
                 return 2, self.terms[t], t
         return None
 

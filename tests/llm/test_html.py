@@ -32,3 +32,28 @@ def test_column(spark):
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in extract(df).collect()]
     assert got == [(1, "u", "a", 1), (None, None, "", 0), (1, "u", "a", 1)]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_the_article_keeps_its_linked_lists_formulas_and_byline():
+    page = f"""<article><h1>Title</h1><p class="byline">By A. Writer</p><p>{LONG}</p><ul><li><a href=a>First source</a></li>
+    <li><a href=b>Second source</a></li></ul><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>
+    <noscript><p>Shown without scripts.</p></noscript><section class="legal"><p>{LONG}</p></section>
+    <ul class="menu"><li><a href=c>no</a></li></ul></article><nav><ul><li><a href=d>no</a></li></ul></nav>"""
+    want = f"Title By A. Writer {LONG} First source Second source {LONG} x=2 Shown without scripts. {LONG}"
+    assert main_text(page) == want
+
+
+def test_time_is_proportional_to_nesting_and_tags():
+    import time
+
+    def took(page):
+        t = time.process_time()
+        main_text(page)
+        return time.process_time() - t
+
+    for make in (lambda n: "<div>" * n + f"<p>{LONG}", lambda n: "<div>" * n + "</section>" * n + LONG,
+                 lambda n: "<b hidden>x" * n, lambda n: "<div>" * n + "<p>a" * n, lambda n: "<li><div>" * n + "</ul>" * n,
+                 lambda n: "<td><div>" * n + "<tr>" * n, lambda n: "<div>" * n + "<header>" * n):
+        small, large = (min(took(make(n)) for _ in range(2)) for n in (5_000, 50_000))
+        assert large < 25 * small + 0.2
+    assert main_text("<div>" * 100_000 + LONG) == LONG
