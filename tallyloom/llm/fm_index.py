@@ -72,7 +72,7 @@ def _suffix_order(symbols: np.ndarray, longest: int) -> tuple[np.ndarray, list[n
     while True:
         key = rank * (n + 1)
         key[:n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # the order of equal keys does not matter
         sorted_key = key[order]
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.concatenate([[0], sorted_key[1:] != sorted_key[:-1]]))

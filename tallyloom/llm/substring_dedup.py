@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from .fm_index import FMIndex
 from .frames import free_name, row_key, stored
-from .tokens import Words, as_long, grams, span_hash, text_slices
+from .tokens import U64, Words, as_long, grams, span_hash, text_slices
 
 WINDOW = 35
 GRAM = 8
@@ -82,6 +82,28 @@ def _segments(window: int, gram: int):
     return run
 
 
+def _least_grams(window: int, gram: int):
+    """How many segments each least gram has, summed over a batch."""
+
+    def run(batches):
+        for batch in batches:
+            found = [np.zeros(0, U64)]
+            for _, _, data, offs in text_slices(batch.column(0)):
+                w = Words(data, offs, lower=False)
+                g = grams(w.hash, gram)
+                least = _least_gram(g, window - gram + 1)
+                row = w.row_of_word()[:len(least)]
+                p = np.flatnonzero(np.arange(len(least)) + window <= w.offs[1:][row])
+                row, least = row[p], least[p]
+                new = np.ones(len(p), bool)
+                new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+                found.append(g[least[new]])
+            h, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([as_long(h), pa.array(n.astype(np.int64))], names=["gram", "count"])
+
+    return run
+
+
 def _contents(window: int, single: bool):
     """Text of the segments asked for; single: of each of their windows."""
     names = ["a", "b", "weight", "content", "off"]
@@ -158,9 +180,10 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
                    hot_segments: int = HOT_SEGMENTS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(k, spans): row keys with the word intervals [from, to) that repeated windows cover."""
     rows = docs.select(row_key(key, text).alias("k"), F.col(text).alias("text")).filter("text is not null")
+    grams_of = rows.select("text").mapInArrow(_least_grams(window, gram), "gram long, count long")
     segs = rows.mapInArrow(_segments(window, gram), "k binary, start int, n_win int, gram long, seg long")
     # stored first: a join of two plain shuffles is one whose large keys Spark can split
-    often = stored(segs.groupBy("gram").count().filter("count > 1").select("gram"), "often")
+    often = stored(grams_of.groupBy("gram").agg(F.sum("count").alias("n")).filter("n > 1").select("gram"), "often")
     places = stored(segs.join(often, "gram"), "places")
     kinds = places.groupBy("gram", "seg").agg(F.count("*").alias("n"), F.min(F.struct("k", "start", "n_win")).alias("at"))
     hot = stored(kinds.groupBy("gram").count().filter(F.col("count") > hot_segments).select("gram"), "hot")
