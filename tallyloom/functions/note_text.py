@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import iso_date
+
 # ---- fixed values: the layout of a note file -----------------------------------
 def render_note_content(title: Column, read_when: Column, tripwires: Column, last_updated: Column,
                         source_issues: Column, body: Column) -> Column:
@@ -18,5 +20,5 @@ def render_note_content(title: Column, read_when: Column, tripwires: Column, las
     issues_txt = F.concat(F.lit("["), F.array_join(F.transform(source_issues, lambda x: x.cast("string")), ", "),
                           F.lit("]"))
     return F.concat(F.lit("---\n"), title_line, F.lit("read_when:\n"), rw, tw,
-                    F.lit('last_updated: "'), F.date_format(last_updated, "yyyy-MM-dd"), F.lit('"\n'),
+                    F.lit('last_updated: "'), iso_date(last_updated), F.lit('"\n'),
                     F.lit("source_issues: "), issues_txt, F.lit("\n---\n\n"), body, F.lit("\n"))

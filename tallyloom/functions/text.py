@@ -43,6 +43,7 @@ def markers(prefix: str = DEFAULT_PREFIX) -> dict[str, str]:
         "nodes_start": f"<!-- {prefix}:nodes ",
         "nodes_end": " -->",
         "conversation": f"<!-- {prefix}:conversation -->",
+        "conversation_more": f"<!-- {prefix}:conversation more -->",
         "block_start": f"<!-- {prefix}:start -->",
         "block_end": f"<!-- {prefix}:end -->",
     }
@@ -269,6 +270,11 @@ def id_from_url(url) -> Column:
     return _digits_to_bigint(F.when(last.rlike(r"\A[0-9]+\z"), last).otherwise(F.lit("")))
 
 
+def iso_date(c) -> Column:
+    """A date (or time) as ``yyyy-MM-dd``."""
+    return F.date_format(_c(c), "yyyy-MM-dd")
+
+
 def conversation_text(body, prefix: str = DEFAULT_PREFIX) -> Column:
     """Remove the first conversation sentinel, then trim."""
     s = markers(prefix)["conversation"]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
+from tallyloom.session import materialize
 
 # ---- fixed values (per-call caps of the source tool's list calls) ----------
 OPEN_LIST_CAP = 50
@@ -81,14 +82,33 @@ def pr_for_branch(prs: DataFrame, branches: DataFrame | None = None) -> DataFram
     return best
 
 
+def conversation_parts(comments: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> DataFrame:
+    """(repo, issue, first_seq, seq, text): the comments of each issue's planning conversation. It
+    begins with the first comment (by seq) that contains the sentinel, which is removed, and goes
+    on in the comments behind the mark for more, up to the next one with a sentinel."""
+    m = T.markers(prefix)
+    more_mark = F.col("body").startswith(m["conversation_more"] + "\n")
+    heads = comments.filter(F.col("body").contains(m["conversation"]) & ~more_mark)
+    first = heads.groupBy("repo", "issue").agg(F.min("seq").alias("first_seq"))
+    later = (heads.select("repo", "issue", "seq").join(first, ["repo", "issue"]).filter(F.col("seq") > F.col("first_seq"))
+             .groupBy("repo", "issue").agg(F.min("seq").alias("_until")))
+    spans = first.join(later, ["repo", "issue"], "left")
+    marked = comments.filter(F.col("body").contains(m["conversation"]) | more_mark)
+    mine = marked.join(spans, ["repo", "issue"]).filter(
+        (F.col("seq") >= F.col("first_seq")) & (F.col("_until").isNull() | (F.col("seq") < F.col("_until"))))
+    more = F.substring(F.col("body"), F.lit(len(m["conversation_more"]) + 2), F.length("body"))
+    i = F.instr("body", m["conversation"])
+    head = F.concat(F.substring(F.col("body"), F.lit(1), i - 1),
+                    F.substring(F.col("body"), i + F.lit(len(m["conversation"])), F.length("body")))
+    return mine.select("repo", "issue", "first_seq", "seq",
+                       F.when(F.col("seq") == F.col("first_seq"), head).otherwise(more).alias("text"))
+
+
 def conversation_of(comments: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> DataFrame:
-    """First comment (by seq) containing the conversation sentinel, with the
-    sentinel removed and the text trimmed."""
-    s = T.markers(prefix)["conversation"]
-    first = (comments.filter(F.col("body").contains(s))
-             .groupBy("repo", "issue").agg(F.min(F.struct("seq", "body")).alias("c")))
-    return first.select("repo", "issue", F.col("c.seq").alias("seq"),
-                        T.conversation_text(F.col("c.body"), prefix).alias("conversation"))
+    """Each issue's planning conversation as one trimmed text (``conversation_parts`` has it in parts)."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "")
+    return conversation_parts(comments, prefix).groupBy("repo", "issue").agg(
+        F.min("first_seq").alias("seq"), T.trim_ws(text).alias("conversation"))
 
 
 def resolve_ref(prs: DataFrame, issues: DataFrame) -> DataFrame:
@@ -105,19 +125,37 @@ def resolve_ref(prs: DataFrame, issues: DataFrame) -> DataFrame:
                                           "open_issue").otherwise("fallback_open_plans"))
 
 
-def reference_edges(issues: DataFrame, prs: DataFrame) -> DataFrame:
+def open_plan_lists(issues: DataFrame, k: int = OPEN_LIST_CAP, label: str = PLAN_LABEL) -> DataFrame:
+    """(repo, rank, number, title): the open-plan list of each repo, newest first, at most k rows a repo."""
+    return open_plans_topk(issues, label, "OPEN", k).select("repo", "rank", "number", "title")
+
+
+def resolve_with_lists(prs: DataFrame, issues: DataFrame, k: int = OPEN_LIST_CAP) -> tuple[DataFrame, DataFrame]:
+    """(refs, lists). refs: ``resolve_ref`` and, where a PR falls back, ``list_repo``, the repo
+    whose list (in lists) stands for it; outcome ``no_open_plans`` where that list is empty.
+    A list is held once, however many PRs refer to it."""
+    lists = materialize(open_plan_lists(issues, k), "open-plans")
+    some = lists.filter("rank = 1").select("repo", F.col("repo").alias("_list"))
+    refs = resolve_ref(prs, issues).join(some, "repo", "left")
+    falls = F.col("outcome") == "fallback_open_plans"
+    return refs.withColumn("list_repo", F.when(falls, F.col("_list"))).withColumn(
+        "outcome", F.when(falls & F.col("_list").isNull(), "no_open_plans").otherwise(F.col("outcome"))).drop("_list"), lists
+
+
+def reference_edges(issues: DataFrame, prs: DataFrame, nodes: DataFrame) -> DataFrame:
     """All textual references as one edge table (kind, repo, from, to), each
-    matched against existing issues of the same repo."""
-    oref = T.objective_ref(F.col("body"))
-    e_obj = issues.select(F.lit("objective").alias("kind"), "repo", F.col("number").alias("from_number"),
-                          oref["objective"].alias("to_number")).filter(F.col("to_number").isNotNull())
-    e_url = issues.select(F.lit("url").alias("kind"), "repo", F.col("number").alias("from_number"),
-                          T.id_from_url(F.col("url")).alias("to_number"))
-    e_close = prs.select(F.lit("closes").alias("kind"), "repo", F.col("number").alias("from_number"),
-                         T.closing_ref(F.col("body")).alias("to_number")).filter(F.col("to_number").isNotNull())
-    e_branch = prs.select(F.lit("branch").alias("kind"), "repo", F.col("number").alias("from_number"),
-                          T.branch_ref(F.col("head_ref")).alias("to_number")).filter(F.col("to_number").isNotNull())
-    edges = e_obj.unionByName(e_url).unionByName(e_close).unionByName(e_branch)
+    matched against existing issues of the same repo: plan to objective by its
+    body, PR to issue by its body and by its branch, plan to PR by the address
+    its node holds. Every table is scanned once for its edges."""
+    def edges_of(df, number, **kinds):
+        found = F.array(*[F.struct(F.lit(k).alias("kind"), to.alias("to_number")) for k, to in kinds.items()])
+        return df.select("repo", number.alias("from_number"), F.inline(found)).filter(F.col("to_number").isNotNull())
+
+    edges = edges_of(issues, F.col("number"), objective=T.objective_ref(F.col("body"))["objective"])
+    edges = edges.unionByName(edges_of(prs, F.col("number"), closes=T.closing_ref(F.col("body")),
+                                       branch=T.branch_ref(F.col("head_ref"))))
+    edges = edges.unionByName(edges_of(nodes.filter(F.col("pr_url").isNotNull()), F.col("plan_issue"),
+                                       url=T.id_from_url(F.col("pr_url"))))
     known = issues.select("repo", F.col("number").alias("to_number"), F.lit(True).alias("matched"))
     return (edges.join(known, ["repo", "to_number"], "left")
             .withColumn("matched", F.coalesce("matched", F.lit(False))))

@@ -7,15 +7,16 @@ write (new issues, comments, changed nodes) together with reject rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as T
-from tallyloom.functions.ordering import concat_by_ordinal, ordinal_by_numeric
+from tallyloom.functions.ordering import concat_by_ordinal, ordered_text_parts, ordinal_by_numeric
 from tallyloom.operators import extract as ex
 from tallyloom.operators import graph
 from tallyloom.operators.issues import LEARNED_LABEL
 from tallyloom.session import materialize
+from tallyloom.sources import snapshots
 
 NODE_KEY = ["repo", "objective", "pos"]
 
@@ -112,17 +113,23 @@ def create_plans(drafts: DataFrame) -> DataFrame:
     return drafts.withColumn("missing", miss).withColumn("n_missing", F.size("missing").cast("bigint"))
 
 
-def attach_conversation(turns: DataFrame, prefix: str = T.DEFAULT_PREFIX) -> DataFrame:
-    """Comment rows carrying the planning conversation: one for each turn that
-    holds text, in turn order (``seq``), the first behind the sentinel. A row
-    a turn keeps a conversation of any length out of a single text."""
-    s = T.markers(prefix)["conversation"]
+#: Characters of one comment, below what code hosts take.
+COMMENT_CHARS = 60_000
+
+
+def attach_conversation(turns: DataFrame, prefix: str = T.DEFAULT_PREFIX, sep: str = "\n\n",
+                        comment_chars: int = COMMENT_CHARS) -> DataFrame:
+    """Comment rows (repo, issue, seq, body) that carry each issue's whole planning conversation:
+    the texts of its turns, in turn order (``seq``), joined by ``sep``; empty ones are left out.
+
+    A conversation longer than a comment is cut into several. The first stands behind the
+    sentinel, the others behind a mark of their own; ``conversation_of`` reads them as one."""
+    m = T.markers(prefix)
     told = turns.filter(F.col("conversation").isNotNull() & (F.col("conversation") != ""))
-    first = told.groupBy("repo", "number").agg(F.min("seq").alias("_first"))
-    body = F.when(F.col("seq") == F.col("_first"), F.concat(F.lit(s + "\n"), F.col("conversation"))).otherwise(
-        F.col("conversation"))
-    return (told.join(first, ["repo", "number"])
-            .select("repo", F.col("number").alias("issue"), F.col("seq").cast("bigint").alias("seq"), body.alias("body")))
+    parts = ordered_text_parts(told, ["repo", "number"], ["seq"], "conversation", sep, comment_chars, "text")
+    mark = F.when(F.col("part") == 0, m["conversation"]).otherwise(m["conversation_more"])
+    return parts.select("repo", F.col("number").alias("issue"), F.col("part").alias("seq"),
+                        F.concat(mark, F.lit("\n"), "text").alias("body"))
 
 
 def mark_learned(issues: DataFrame, learned: DataFrame, label: str = LEARNED_LABEL) -> DataFrame:
@@ -152,6 +159,40 @@ def batch_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("repo", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+class BatchFailed(RuntimeError):
+    """A batch was published, and some of its issues failed."""
+
+    def __init__(self, version: int, counts: dict[str, int]):
+        super().__init__(f"{counts['failed']} issue(s) failed")
+        self.version, self.counts = version, counts
+
+
+def publish_outcomes(outcomes: DataFrame, root: str, raise_on_failure: bool = True) -> tuple[int, dict[str, int]]:
+    """Write a batch's outcomes (repo, number, outcome) as the next version under root; returns
+    the version and the counts of the whole batch (learned, nothing_found, failed).
+
+    The counts are observed while the rows are written, so there is no second pass. Failures
+    never stop a batch: they raise ``BatchFailed`` after it is published."""
+    seen = Observation()
+    kinds = ("learned", "nothing_found", "failed")
+    watched = outcomes.observe(seen, *[F.count_if(F.col("outcome") == k).alias(k) for k in kinds])
+    version = snapshots.write_snapshot(watched, root)
+    counts = {k: int(seen.get[k] or 0) for k in kinds}
+    if counts["failed"] and raise_on_failure:
+        raise BatchFailed(version, counts)
+    return version, counts
+
+
+def land_nodes(nodes: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Landable nodes with what became of their plan: a learned plan and one with nothing to
+    learn finish their node, a failed one (or one without outcome) leaves it as it is."""
+    told = outcomes.select("repo", F.col("number").alias("plan_issue"), "outcome")
+    j = graph.landable_nodes(nodes).join(told, ["repo", "plan_issue"], "left")
+    done = F.col("outcome").isin("learned", "nothing_found")
+    return j.select(*NODE_KEY, "node_id", "plan_issue", F.coalesce("outcome", F.lit("not_run")).alias("outcome"),
+                    F.when(done, "done").otherwise(F.col("status")).alias("status"))
+
+
 def issue_list_text(df: DataFrame, part_rows: int = 5_000) -> DataFrame:
     """``#1, #2`` per repo in number order (parts of at most ``part_rows``)."""
     ranked = ordinal_by_numeric(df, ["repo"], "number", "_ord")  # a unique number in its repo

@@ -16,6 +16,7 @@ from tallyloom.functions import text as T
 from tallyloom.functions import ordering
 from tallyloom.functions.ordering import ordered_text_parts, ordinal_within_group
 from tallyloom.functions.note_text import render_note_content
+from tallyloom.session import materialize
 from tallyloom.sources.note_files import published_folders
 
 # ---- fixed values ------------------------------------------------------------
@@ -214,13 +215,69 @@ def _merge_actions(actions: DataFrame) -> DataFrame:
                           & F.col("target_slug").isNotNull())
 
 
-def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T.CATEGORIES) -> DataFrame:
+def merge_targets(notes: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(finals, cycles) of merge chains. finals: (repo, category, slug, final_category,
+    final_slug, hops) for every note that is merged on: the last note of the chain its
+    first merge into an existing note begins. cycles: the notes on a circle of merges,
+    and ``leads_to`` false; or those whose chain runs into one, and ``leads_to`` true.
+
+    Pointer jumping: every round doubles the hops of every pointer, so a chain of n
+    merges takes log2(n) rounds. A pointer that has not ended after more hops than
+    there are merges is on its way round a circle, and points at a note of it."""
+    there = notes.select("repo", F.col("category").alias("target_category"), F.col("slug").alias("target_slug"))
+    ok = _merge_actions(actions).join(there, ["repo", "target_category", "target_slug"], "left_semi")
+    first = ok.groupBy(*NOTE_KEY).agg(F.min(F.struct("pos", "target_category", "target_slug")).alias("t"))
+    edges = materialize(first.select("repo", F.struct("category", "slug").alias("node"),
+                                     F.struct("t.target_category", "t.target_slug").alias("to")), "merge-edges")
+    edges = edges.select("repo", "node", F.struct(F.col("to.target_category").alias("category"),
+                                                  F.col("to.target_slug").alias("slug")).alias("to"))
+    total, at, reach, moved = edges.count(), edges.withColumn("hops", F.lit(1).cast("bigint")), 1, True
+    while moved and reach <= total:
+        onward = at.select("repo", F.col("node").alias("to"), F.col("to").alias("_next"), F.col("hops").alias("_more"))
+        at = materialize(at.select("repo", "node", "to", "hops").join(onward, ["repo", "to"], "left").select(
+            "repo", "node", F.coalesce("_next", "to").alias("to"),
+            (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"),
+            F.col("_next").isNotNull().alias("_moved")), "merge-pointers")
+        moved, reach = not at.filter("_moved").isEmpty(), 2 * reach
+    ended = at.join(edges.select("repo", F.col("node").alias("to")), ["repo", "to"], "left_anti")
+    finals = ended.select("repo", "node.category", "node.slug", F.col("to.category").alias("final_category"),
+                          F.col("to.slug").alias("final_slug"), "hops")
+    stuck = at.join(edges.select("repo", F.col("node").alias("to")), ["repo", "to"], "left_semi")
+    circle = stuck.select("repo", F.col("to").alias("node"), F.lit(True).alias("_on")).distinct()
+    cycles = stuck.join(circle, ["repo", "node"], "left").select(
+        "repo", "node.category", "node.slug", F.col("_on").isNull().alias("leads_to"))
+    return finals, cycles
+
+
+def follow_chains(notes: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(actions, cycles): merges whose target is merged on itself go to the end of its chain, without their
+    body (that was written for a note that goes); merges into or on a circle become ``keep``."""
+    finals, cycles = merge_targets(notes, actions)
+    end = finals.select("repo", F.col("category").alias("target_category"), F.col("slug").alias("target_slug"),
+                        "final_category", "final_slug")
+    bad = cycles.select("repo", F.col("category").alias("target_category"), F.col("slug").alias("target_slug"),
+                        F.lit(True).alias("_bad"))
+    key = ["repo", "target_category", "target_slug"]
+    j = actions.join(end, key, "left").join(bad, key, "left")
+    merge, on = F.col("action") == "merge_into", F.col("final_slug").isNotNull()
+    new = {"action": F.when(merge & F.col("_bad"), "keep").otherwise(F.col("action")),
+           "target_category": F.when(merge & on, F.col("final_category")).otherwise(F.col("target_category")),
+           "target_slug": F.when(merge & on, F.col("final_slug")).otherwise(F.col("target_slug")),
+           "target_updated_body": F.when(~(merge & on), F.col("target_updated_body"))}
+    return j.select(*[new[c].alias(c) if c in new else F.col(c) for c in actions.columns]), cycles
+
+
+def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T.CATEGORIES,
+                  chains: str = "snapshot") -> DataFrame:
     """Pass 1: merge sources into existing targets. Source ids are read from the
-    snapshot (chains do not carry ids further); several sources union their
+    snapshot (chains do not carry ids further; with ``chains="follow"`` a source
+    goes to the end of its chain, see ``follow_chains``); several sources union their
     ids; the body becomes the last non-null ``target_updated_body``. The target
     content is edited like a file: header lines ``last_updated`` and
     ``source_issues`` are replaced (never added), the body kept or replaced.
     Returns one row per changed target."""
+    if chains == "follow":
+        actions, _ = follow_chains(notes, actions)
     m = _merge_actions(actions)
     src = (notes.filter(F.col("category").isin(list(categories)))
            .select(*NOTE_KEY, F.col("source_issues").alias("src_issues")))
@@ -284,11 +341,14 @@ def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep"
             .select(*NOTE_KEY, F.col("a.action").alias("removed_by")))
 
 
-def apply_compaction(notes: DataFrame, actions: DataFrame, as_of: str, on_orphan: str = "keep") -> DataFrame:
+def apply_compaction(notes: DataFrame, actions: DataFrame, as_of: str, on_orphan: str = "keep",
+                     chains: str = "snapshot") -> DataFrame:
     """New snapshot of the typed columns: merged targets with their new body,
     ids and date, removed keys dropped. Files are rendered from it
     (``render_notes``); a stored ``content`` column is left out, as it would be
     stale."""
+    if chains == "follow":
+        actions, _ = follow_chains(notes, actions)
     merged = compact_merge(notes, actions, as_of).select(
         *NOTE_KEY, F.lit(True).alias("_hit"), F.col("new_body").alias("_body"), F.col("source_issues").alias("_ids"))
     removed = compact_delete(notes, actions, on_orphan)
@@ -318,6 +378,16 @@ def audit_coverage(scanned: DataFrame, actions: DataFrame) -> DataFrame:
                      issue.alias("issue")).filter(F.col("issue").isNotNull()))
 
 
+def source_issue_rows(notes: DataFrame) -> DataFrame:
+    """(repo, category, slug, issue): a note's source issues as rows, for notes that gather them without bound."""
+    return notes.select(*NOTE_KEY, F.explode("source_issues").alias("issue")).distinct()
+
+
+def upsert_source_issues(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The issue rows after a batch of learning items: a set union, no array of a hot note's issues anywhere."""
+    return rows.unionByName(items.select(*NOTE_KEY, "issue")).distinct()
+
+
 def content_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Expected files missing or different in ``actual``; extras ignored."""
     a = actual.select("path", F.sha2("content", 256).alias("_h"))

@@ -35,11 +35,9 @@ LEARN_TAIL = (
     "Reply with a JSON array of objects with keys category, slug, title, read_when, "
     "tripwires and body; return an empty array when nothing clears the bar.")
 
-NODE_TEMPLATE = (
-    "Plan the work of one node.\n\n"
-    "## Node {node_id}\n{description}\n\n"
-    "## Part of: {objective_title}\n\n{objective_body}\n\n"
-    "The plan says what to do and why, how it is checked, what it leaves out and where it can go wrong.")
+#: Before and after the objective's title and body.
+NODE_HEAD = "Plan the work of one node.\n\n## Node {node_id}\n{description}\n\n## Part of: "
+NODE_TAIL = "\n\nThe plan says what to do and why, how it is checked, what it leaves out and where it can go wrong."
 
 
 def render_template(template: str, cols: dict[str, Column]) -> Column:
@@ -110,11 +108,19 @@ def learn_prompt(ctx: DataFrame, segments: DataFrame, cap: int | None = None) ->
             .select("repo", "issue", "p.*").filter(F.col("kind").isNotNull()))
 
 
-def node_plan_prompt(unblocked: DataFrame, objective_bodies: DataFrame,
-                     template: str = NODE_TEMPLATE) -> DataFrame:
-    """One prompt per unblocked node, with its objective's title and body."""
-    o = objective_bodies.select("repo", "objective", F.col("title").alias("objective_title"),
-                                F.coalesce("body", F.lit("")).alias("objective_body"))
-    j = unblocked.select("repo", "objective", "pos", "node_id", "description").join(o, ["repo", "objective"])
-    cols = {k: F.col(k) for k in ("objective_title", "objective_body", "node_id", "description")}
-    return j.select("repo", "objective", "pos", "node_id", render_template(template, cols).alias("prompt"))
+def objective_segments(objective_bodies: DataFrame) -> DataFrame:
+    """(repo, objective, kind, text): title and body of every objective, once."""
+    return objective_bodies.select("repo", "objective", F.lit("objective").alias("kind"),
+                                   F.concat("title", F.lit("\n\n"), F.coalesce("body", F.lit(""))).alias("text"))
+
+
+def node_plan_prompt(unblocked: DataFrame) -> DataFrame:
+    """(repo, objective, pos, node_id, seg, kind, text): the segments of the prompt of each unblocked node.
+
+    Kind ``text`` holds its text; ``objective`` stands for the objective's row of
+    ``objective_segments``. No prompt copies a body, so the output grows with the nodes alone."""
+    head = render_template(NODE_HEAD, {k: F.col(k) for k in ("node_id", "description")})
+    parts = [("text", head), ("objective", F.lit(None).cast("string")), ("text", F.lit(NODE_TAIL))]
+    segs = F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("seg"), F.lit(kind).alias("kind"), text.alias("text"))
+                     for i, (kind, text) in enumerate(parts)])
+    return unblocked.select("repo", "objective", "pos", "node_id", F.inline(segs))

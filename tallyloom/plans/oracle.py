@@ -80,23 +80,30 @@ GROUP BY n.repo, n.objective"""
 
 SQL["close_comment"] = with_(nodes_cte(small=True)) + """
 , done AS (SELECT repo, objective FROM nodes GROUP BY ALL HAVING bool_and(status = 'done'))
-SELECT n.repo, n.objective, CAST(0 AS BIGINT) AS part,
-       'All nodes completed — closing objective.' || chr(10) || chr(10) ||
+SELECT n.repo, n.objective, CAST((pos - 1) // 10000 AS BIGINT) AS part,
+       CASE WHEN (pos - 1) // 10000 = 0 THEN 'All nodes completed — closing objective.' || chr(10) || chr(10) ELSE '' END ||
        string_agg(concat('- ', node_id, ' ', description), chr(10) ORDER BY pos) AS comment
 FROM nodes n JOIN done USING (repo, objective)
-GROUP BY n.repo, n.objective"""
+GROUP BY n.repo, n.objective, (pos - 1) // 10000"""
+
+
 
-SQL["roadmap_table"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED) + f"""
+def roadmap_table_sql(part_rows: int) -> str:
+    return with_(nodes_cte(), FIRST, EDGES, BLOCKED) + f"""
 , bl AS (SELECT repo, objective, pos, string_agg(dep_id, ', ' ORDER BY dep_pos) AS blocked FROM blocked GROUP BY ALL)
 , rows AS (
-  SELECT n.repo, n.objective, n.pos,
+  SELECT n.repo, n.objective, n.pos, CAST((n.pos - 1) // {part_rows} AS BIGINT) AS part,
          '| ' || concat_ws(' | ', node_id, description, status,
                 CASE WHEN plan_issue IS NOT NULL THEN concat('#', plan_issue) ELSE '' END,
                 coalesce(pr_url, ''), coalesce(bl.blocked, '')) || ' |' AS row
   FROM nodes n LEFT JOIN bl USING (repo, objective, pos))
-SELECT repo, objective, CAST(0 AS BIGINT) AS part,
-       {ROADMAP_HEADER_SQL} || chr(10) || string_agg(row, chr(10) ORDER BY pos) AS "table"
-FROM rows GROUP BY repo, objective"""
+SELECT repo, objective, part,
+       CASE WHEN part = 0 THEN {ROADMAP_HEADER_SQL} || chr(10) ELSE '' END || string_agg(row, chr(10) ORDER BY pos) AS "table"
+FROM rows GROUP BY repo, objective, part"""
+
+
+SQL["roadmap_table"] = roadmap_table_sql(10_000)
+SQL["roadmap_table_parts"] = roadmap_table_sql(4)
 
 NODE_JSON_SQL = """'{"id":"' || node_id || '","description":"' || description || '","status":"' || status || '"'
   || CASE WHEN plan_issue IS NOT NULL THEN concat(',"plan_issue":', plan_issue) ELSE '' END
@@ -105,9 +112,9 @@ NODE_JSON_SQL = """'{"id":"' || node_id || '","description":"' || description ||
   || ']}'"""
 
 SQL["state_comment"] = with_(nodes_cte()) + f"""
-SELECT repo, objective, CAST(0 AS BIGINT) AS part,
+SELECT repo, objective, CAST((pos - 1) // 10000 AS BIGINT) AS part,
        '<!-- loom:nodes [' || string_agg({NODE_JSON_SQL}, ',' ORDER BY pos) || '] -->' AS blob
-FROM nodes GROUP BY repo, objective"""
+FROM nodes GROUP BY repo, objective, (pos - 1) // 10000"""
 
 
 # ---- issue tables -----------------------------------------------------------------
@@ -215,6 +222,27 @@ SQL["conversation_of"] = with_(COMMENTS) + f"""
 SELECT repo, issue, min(seq) AS seq, {trim_ws("arg_min(text, seq)")} AS conversation
 FROM comments WHERE role = 'assistant' GROUP BY repo, issue"""
 
+SQL["conversation_parts"] = with_(COMMENTS) + """
+SELECT repo, issue, min(seq) AS seq, chr(10) || arg_min(text, seq) AS text
+FROM comments WHERE role = 'assistant' GROUP BY repo, issue"""
+
+OPEN_LISTS = """lists AS (SELECT repo, rank, number, title FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY repo ORDER BY created_at DESC, number DESC) AS BIGINT) AS rank
+  FROM issues WHERE state = 'OPEN' AND list_contains(labels, 'plan')) WHERE rank <= 50)"""
+
+SQL["open_plan_lists"] = with_(ISSUES, OPEN_LISTS) + "SELECT repo, rank, number, title FROM lists"
+
+SQL["resolve_ref_lists"] = with_(PRS, ISSUES, OPEN_LISTS) + """
+, heads AS (SELECT repo, count(*) AS n_listed, arg_min(number, rank) AS newest FROM lists GROUP BY repo)
+, refs AS (SELECT p.repo, p.number AS pr_number, coalesce(p.body_ref, p.branch_ref) AS ref_issue,
+                  i.state IS NOT NULL AND i.state <> 'CLOSED' AS found
+           FROM pull_requests p LEFT JOIN issues i ON i.repo = p.repo AND i.number = coalesce(p.body_ref, p.branch_ref))
+SELECT r.repo, pr_number, ref_issue,
+       CASE WHEN found THEN 'open_issue' WHEN h.repo IS NULL THEN 'no_open_plans' ELSE 'fallback_open_plans' END AS outcome,
+       CASE WHEN NOT found THEN h.repo END AS list_repo, CASE WHEN NOT found THEN n_listed END AS n_listed,
+       CASE WHEN NOT found THEN newest END AS newest
+FROM refs r LEFT JOIN heads h ON h.repo = r.repo"""
+
 SQL["resolve_ref"] = with_(PRS, ISSUES) + """
 SELECT p.repo, p.number AS pr_number, coalesce(p.body_ref, p.branch_ref) AS ref_issue,
        CASE WHEN p.body_ref IS NOT NULL THEN 'body' WHEN p.branch_ref IS NOT NULL THEN 'branch' END AS ref_source,
@@ -222,10 +250,10 @@ SELECT p.repo, p.number AS pr_number, coalesce(p.body_ref, p.branch_ref) AS ref_
        CASE WHEN i.state IS NOT NULL AND i.state <> 'CLOSED' THEN 'open_issue' ELSE 'fallback_open_plans' END AS outcome
 FROM pull_requests p LEFT JOIN issues i ON i.repo = p.repo AND i.number = coalesce(p.body_ref, p.branch_ref)"""
 
-SQL["reference_edges"] = with_(ISSUES, PRS) + """
+SQL["reference_edges"] = with_(ISSUES, PRS, nodes_cte()) + """
 , edges AS (
   SELECT 'objective' AS kind, repo, number AS from_number, o_custkey AS to_number FROM issues WHERE o_orderkey % 2 = 0 AND o_orderkey % 26 <> 5
-  UNION ALL SELECT 'url', repo, number, number FROM issues
+  UNION ALL SELECT 'url', repo, plan_issue, CAST(node_id AS BIGINT) FROM nodes WHERE pr_url IS NOT NULL
   UNION ALL SELECT 'closes', repo, number, body_ref FROM pull_requests WHERE body_ref IS NOT NULL
   UNION ALL SELECT 'branch', repo, number, branch_ref FROM pull_requests WHERE branch_ref IS NOT NULL)
 SELECT e.kind, e.repo, e.from_number, e.to_number, i.number IS NOT NULL AS matched
@@ -451,6 +479,68 @@ SELECT repo, category, slug, n_sources, array_to_string(ids, ',') AS source_issu
                         "coalesce(b_body, body)") + """ || repeat(chr(10), CAST(k AS INTEGER)) AS content
 FROM j"""
 
+CHAINS = """first_merge AS (SELECT a.repo, a.category, a.slug, arg_min(a.target_category, a.pos) AS tc, arg_min(a.target_slug, a.pos) AS ts
+  FROM actions a JOIN notes n ON n.repo = a.repo AND n.category = a.target_category AND n.slug = a.target_slug
+  WHERE a.action = 'merge_into' GROUP BY ALL),
+walk AS (SELECT repo, category, slug, tc, ts, CAST(1 AS BIGINT) AS hops FROM first_merge
+  UNION ALL SELECT w.repo, w.category, w.slug, e.tc, e.ts, w.hops + 1
+  FROM walk w JOIN first_merge e ON e.repo = w.repo AND e.category = w.tc AND e.slug = w.ts),
+finals AS (SELECT * FROM walk w WHERE NOT EXISTS (
+  SELECT 1 FROM first_merge e WHERE e.repo = w.repo AND e.category = w.tc AND e.slug = w.ts))"""
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["merge_chains"] = recursive(with_(NOTES_BASE, ACTIONS, CHAINS)) + """
+SELECT repo, category, slug, tc AS final_category, ts AS final_slug, hops FROM finals"""
+
+SQL["compact_merge_chains"] = recursive(with_(NOTES_BASE, ACTIONS, CHAINS)) + """
+, m AS (SELECT a.repo, coalesce(f.tc, a.target_category) AS category, coalesce(f.ts, a.target_slug) AS slug,
+               CASE WHEN f.ts IS NULL THEN a.target_updated_body END AS new_body, s.source_issues AS src
+        FROM actions a
+        LEFT JOIN finals f ON f.repo = a.repo AND f.category = a.target_category AND f.slug = a.target_slug
+        LEFT JOIN notes s ON s.repo = a.repo AND s.category = a.category AND s.slug = a.slug
+        WHERE a.action = 'merge_into' AND a.target_category IS NOT NULL AND a.target_slug IS NOT NULL)
+, t AS (SELECT repo, category, slug, count(*) AS n_sources, flatten(list(coalesce(src, []::BIGINT[]))) AS ids,
+               bool_or(new_body IS NOT NULL) AS body_replaced
+        FROM m GROUP BY repo, category, slug)
+SELECT repo, category, slug, n_sources,
+       array_to_string(list_sort(list_distinct(list_concat(n.source_issues, t.ids))), ',') AS source_issues, body_replaced
+FROM t JOIN notes n USING (repo, category, slug)"""
+
+SQL["source_issue_rows"] = with_(NOTES_BASE, ITEMS) + """
+SELECT repo, category, slug, unnest(source_issues) AS issue FROM notes
+UNION SELECT repo, category, slug, issue FROM items"""
+
+SQL["decode_actions"] = with_(NOTES_BASE, ACTIONS) + """
+SELECT repo, pos // 160 AS reply_no,
+       CAST(row_number() OVER (PARTITION BY repo, pos // 160 ORDER BY pos) - 1 AS BIGINT) AS item_pos,
+       action, category, slug, reason, target_category, target_slug, target_updated_body
+FROM actions WHERE (pos // 160) % 5 <> 4"""
+
+SQL["action_rejects"] = with_(NOTES_BASE, ACTIONS) + """
+SELECT DISTINCT repo, pos // 160 AS reply_no, 'no json array' AS reason FROM actions WHERE (pos // 160) % 5 = 4"""
+
+SQL["audit_to_compaction"] = with_(NOTES_BASE, ACTIONS) + """
+, acc AS (SELECT * FROM actions WHERE (pos // 160) % 5 <> 4)
+, m AS (SELECT a.*, s.source_issues AS src FROM acc a
+        JOIN notes n ON n.repo = a.repo AND n.category = a.target_category AND n.slug = a.target_slug
+        LEFT JOIN notes s ON s.repo = a.repo AND s.category = a.category AND s.slug = a.slug
+        WHERE a.action = 'merge_into')
+, t AS (SELECT repo, target_category AS category, target_slug AS slug, flatten(list(coalesce(src, []::BIGINT[]))) AS ids,
+               arg_max(target_updated_body, pos) FILTER (WHERE target_updated_body IS NOT NULL) AS new_body
+        FROM m GROUP BY ALL)
+, gone AS (SELECT repo, category, slug FROM acc WHERE action = 'delete' UNION SELECT repo, category, slug FROM m)
+SELECT n.repo, n.category, n.slug,
+       array_to_string(CASE WHEN t.slug IS NULL THEN n.source_issues
+                            ELSE list_sort(list_distinct(list_concat(n.source_issues, t.ids))) END, ',') AS source_issues,
+       CASE WHEN t.slug IS NULL THEN strftime(n.last_updated, '%Y-%m-%d') ELSE '2024-02-01' END AS last_updated,
+       coalesce(t.new_body, n.body) AS body
+FROM notes n LEFT JOIN t ON t.repo = n.repo AND t.category = n.category AND t.slug = n.slug
+WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.repo = n.repo AND g.category = n.category AND g.slug = n.slug)"""
+
 SQL["compact_delete"] = with_(NOTES_BASE, ACTIONS) + """
 SELECT a.repo, a.category, a.slug, arg_min(a.action, a.pos) AS removed_by
 FROM actions a JOIN notes n USING (repo, category, slug)
@@ -487,6 +577,16 @@ SELECT e.path, CASE WHEN a.path IS NULL THEN 'missing' WHEN sha256(a.content) <>
                     ELSE 'current' END AS status
 FROM expected e LEFT JOIN actual a USING (path)"""
 
+TREE = "concat('t', lpad(CAST(doc_id % 64 AS VARCHAR), 2, '0'))"
+SQL["tree_drift"] = f"""
+SELECT concat({TREE}, '/', doc_id, '.md') AS path,
+       CASE WHEN doc_id % 64 = 3 AND doc_id % 2 = 1 THEN 'missing' WHEN doc_id % 64 = 5 AND doc_id % 3 = 0 THEN 'stale'
+            ELSE 'current' END AS status
+FROM documents"""
+
+SQL["tree_nodes"] = f"""
+SELECT DISTINCT {TREE} AS prefix FROM documents WHERE doc_id % 64 = 3 OR doc_id % 64 = 5 AND doc_id % 3 = 0"""
+
 SECTION_SQL = ("'<!-- loom:start -->' || chr(10) || '## Memory' || chr(10) || chr(10) || "
                "CASE WHEN has_index THEN '@memory/index.md' ELSE '_No learnings yet._' END || chr(10) || chr(10) "
                "|| '<!-- loom:end -->'")
@@ -510,24 +610,32 @@ FROM pages"""
 
 # ---- text extraction jobs -----------------------------------------------------------------
 
-TABLES = f"""bl AS (SELECT repo, objective, pos, string_agg(dep_id, ', ' ORDER BY dep_pos) AS blocked
+def tables_cte(part_rows: int = 10_000) -> str:
+    """Rendered table and state blob of each objective's parts."""
+    return f"""bl AS (SELECT repo, objective, pos, string_agg(dep_id, ', ' ORDER BY dep_pos) AS blocked
                FROM blocked GROUP BY ALL),
 tables AS (
-  SELECT n.repo, n.objective,
-         {ROADMAP_HEADER_SQL} || chr(10) || string_agg('| ' || concat_ws(' | ', node_id, description, status,
+  SELECT n.repo, n.objective, CAST((n.pos - 1) // {part_rows} AS BIGINT) AS part,
+         CASE WHEN (n.pos - 1) // {part_rows} = 0 THEN {ROADMAP_HEADER_SQL} || chr(10) ELSE '' END
+         || string_agg('| ' || concat_ws(' | ', node_id, description, status,
                 CASE WHEN plan_issue IS NOT NULL THEN concat('#', plan_issue) ELSE '' END,
                 coalesce(pr_url, ''), coalesce(bl.blocked, '')) || ' |', chr(10) ORDER BY n.pos) AS tbl
-  FROM nodes n LEFT JOIN bl USING (repo, objective, pos) GROUP BY n.repo, n.objective),
+  FROM nodes n LEFT JOIN bl USING (repo, objective, pos) GROUP BY n.repo, n.objective, (n.pos - 1) // {part_rows}),
 blobs AS (
-  SELECT repo, objective, '<!-- loom:nodes [' || string_agg({NODE_JSON_SQL}, ',' ORDER BY pos) || '] -->' AS blob
-  FROM nodes GROUP BY repo, objective)"""
+  SELECT repo, objective, CAST((pos - 1) // {part_rows} AS BIGINT) AS part,
+         '<!-- loom:nodes [' || string_agg({NODE_JSON_SQL}, ',' ORDER BY pos) || '] -->' AS blob
+  FROM nodes GROUP BY repo, objective, (pos - 1) // {part_rows})"""
 
 
-def rewritten_body_sql() -> str:
-    return """'## Goal' || chr(10) || concat('Deliver objective ', t.objective) || chr(10) || chr(10) || '## Roadmap'
+TABLES = tables_cte()
+REWRITTEN = """
+SELECT t.repo, t.objective, part, concat('Objective ', t.objective) AS title,
+  CASE WHEN part > 0 THEN t.tbl || chr(10) || chr(10) || b.blob ELSE
+  '## Goal' || chr(10) || concat('Deliver objective ', t.objective) || chr(10) || chr(10) || '## Roadmap'
   || chr(10) || chr(10) || t.tbl || chr(10) || chr(10) || b.blob
   || CASE WHEN t.objective % 2 = 0 THEN chr(10) || chr(10) || '## Notes' || chr(10) || 'Keep scope small.' || chr(10)
-          ELSE '' END"""
+          ELSE '' END END AS body
+FROM tables t JOIN blobs b USING (repo, objective, part)"""
 
 
 SQL["extract_roadmaps"] = with_(nodes_cte()) + """
@@ -540,9 +648,8 @@ SQL["load_node_state"] = with_(nodes_cte()) + f"SELECT {NODE_COLS} FROM nodes"
 
 SQL["node_state_round_trip"] = SQL["load_node_state"]
 
-SQL["rewrite_roadmap"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + f"""
-SELECT t.repo, t.objective, concat('Objective ', t.objective) AS title, {rewritten_body_sql()} AS body
-FROM tables t JOIN blobs b USING (repo, objective)"""
+SQL["rewrite_roadmap"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + REWRITTEN
+SQL["rewrite_roadmap_parts"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, tables_cte(3)) + REWRITTEN
 
 SECTIONS = [("Why", "**Why"), ("Background", "**Background"), ("Approach", "**Approach"),
             ("Acceptance criteria", "**Acceptance criteria"), ("Scope", "**Scope"),
@@ -600,7 +707,9 @@ FROM unblocked WHERE CAST(node_id AS BIGINT) % 50 <> 0"""
 
 SQL["finish_nodes"] = with_(nodes_cte(), FIRST, ISSUES) + """
 SELECT i.repo, i.o_custkey AS objective, CAST(i.o_orderkey AS VARCHAR) AS node_id, i.number AS plan, f.pos,
-       CASE WHEN f.pos IS NOT NULL THEN 'marked_done' ELSE 'node_not_found' END AS outcome
+       CASE WHEN f.pos IS NOT NULL THEN 'marked_done'
+            WHEN (i.repo, i.o_custkey) IN (SELECT (repo, objective) FROM nodes) THEN 'node_not_found'
+            ELSE 'objective_not_found' END AS outcome
 FROM issues i LEFT JOIN first_nodes f
   ON f.repo = i.repo AND f.objective = i.o_custkey AND f.node_id = CAST(i.o_orderkey AS VARCHAR)
 WHERE i.state = 'CLOSED' AND list_contains(i.labels, 'plan') AND i.o_orderkey % 2 = 0 AND i.o_orderkey % 26 <> 5"""
@@ -615,9 +724,7 @@ nodes AS (SELECT repo, objective, pos, node_id, description, 'pending' AS status
                  CAST(NULL AS VARCHAR) AS pr_url, list_filter(depends_on, lambda x: NOT starts_with(x, 'x')) AS depends_on
           FROM nodes0)"""
 
-SQL["create_objectives"] = with_(PENDING_NODES, FIRST, EDGES, BLOCKED, TABLES) + f"""
-SELECT t.repo, t.objective, concat('Objective ', t.objective) AS title, {rewritten_body_sql()} AS body
-FROM tables t JOIN blobs b USING (repo, objective)"""
+SQL["create_objectives"] = with_(PENDING_NODES, FIRST, EDGES, BLOCKED, TABLES) + REWRITTEN
 
 SQL["create_plans"] = with_(PLAN_BODIES) + """
 SELECT doc_id, concat('Draft ', doc_id) AS title, CAST(""" + " + ".join(
@@ -628,12 +735,17 @@ SELECT doc_id, concat('Draft ', doc_id) AS title, CAST(""" + " + ".join(
     for i, (n, p) in enumerate(SECTIONS)) + """) AS missing
 FROM plan_bodies"""
 
-SQL["attach_conversation"] = with_(ISSUES) + """
-SELECT i.repo, i.number AS issue, CAST(c.turn AS BIGINT) AS seq,
-       CASE WHEN c.turn = min(c.turn) OVER (PARTITION BY i.repo, i.number)
-            THEN '<!-- loom:conversation -->' || chr(10) ELSE '' END || c.text AS body
-FROM issues i JOIN conversations c ON c.conv_id = i.number
-WHERE c.text IS NOT NULL AND c.text <> ''"""
+TOLD = """told AS (SELECT i.repo, i.number AS issue, string_agg(c.text, chr(10) || chr(10) ORDER BY c.turn) AS t
+  FROM issues i JOIN conversations c ON c.conv_id = i.number
+  WHERE c.text IS NOT NULL AND c.text <> '' GROUP BY i.repo, i.number)"""
+
+SQL["attach_conversation"] = with_(ISSUES, TOLD) + """
+, parts AS (SELECT repo, issue, t, CAST(unnest(range(0, (length(t) + 699) // 700)) AS BIGINT) AS seq FROM told)
+SELECT repo, issue, seq, CASE WHEN seq = 0 THEN '<!-- loom:conversation -->' ELSE '<!-- loom:conversation more -->' END
+       || chr(10) || substr(t, seq * 700 + 1, 700) AS body
+FROM parts"""
+
+SQL["conversation_round_trip"] = with_(ISSUES, TOLD) + f"SELECT repo, issue, {trim_ws('t')} AS conversation FROM told"
 
 ACCEPTED = """accepted AS (SELECT doc_id AS id FROM labels
                      WHERE doc_id % 5 IN (0, 1, 2) AND NOT (doc_id % 2 = 0 AND quality = 0)),
@@ -656,6 +768,34 @@ outcomes AS (
 SQL["batch_summary"] = with_(ISSUES, CLOSE_EVENTS, LATEST, ACCEPTED, OUTCOMES) + """
 SELECT repo, outcome, count(*) AS n FROM outcomes GROUP BY repo, outcome"""
 
+SQL["batch_status"] = with_(ISSUES, CLOSE_EVENTS, LATEST, ACCEPTED, OUTCOMES) + """
+SELECT CAST(1 AS BIGINT) AS version, count(*) FILTER (WHERE outcome = 'learned') AS n_learned,
+       count(*) FILTER (WHERE outcome = 'nothing_found') AS n_nothing_found,
+       count(*) FILTER (WHERE outcome = 'failed') AS n_failed,
+       CASE WHEN count(*) FILTER (WHERE outcome = 'failed') > 0
+            THEN concat(count(*) FILTER (WHERE outcome = 'failed'), ' issue(s) failed') ELSE 'ok' END AS status
+FROM outcomes"""
+
+SQL["land_nodes"] = with_(nodes_cte(), ISSUES, ACCEPTED) + """
+, told AS (SELECT repo, number + 1000000 AS plan_issue,
+                  CASE WHEN number IN (SELECT id FROM rejected) THEN 'failed'
+                       WHEN number IN (SELECT id FROM accepted) THEN 'learned' ELSE 'nothing_found' END AS outcome
+           FROM issues WHERE state = 'OPEN' AND number % 4 <> 3)
+SELECT n.repo, n.objective, n.pos, n.node_id, n.plan_issue, coalesce(t.outcome, 'not_run') AS outcome,
+       CASE WHEN t.outcome IN ('learned', 'nothing_found') THEN 'done' ELSE n.status END AS status
+FROM nodes n LEFT JOIN told t ON t.repo = n.repo AND t.plan_issue = n.plan_issue
+WHERE n.plan_issue IS NOT NULL AND n.status <> 'done'"""
+
+SQL["ledger_unlearned"] = with_(ISSUES, ACCEPTED) + """
+SELECT repo, number, title FROM issues
+WHERE state = 'CLOSED' AND list_contains(labels, 'plan') AND NOT list_contains(labels, 'learned')
+  AND number NOT IN (SELECT id FROM accepted)"""
+
+SQL["ledger_runs"] = with_(ISSUES, ACCEPTED) + """
+, n AS (SELECT count(*) FILTER (WHERE list_contains(labels, 'learned')) AS a,
+               count(*) FILTER (WHERE NOT list_contains(labels, 'learned') AND number IN (SELECT id FROM accepted)) AS b FROM issues)
+SELECT CAST(1 AS BIGINT) AS run, a AS told, a AS held FROM n UNION ALL SELECT 2, b, b FROM n UNION ALL SELECT 3, 0, 0"""
+
 SQL["issue_list_text"] = with_(ISSUES, CLOSE_EVENTS, LATEST, ACCEPTED, OUTCOMES) + """
 , l AS (SELECT * FROM outcomes WHERE outcome = 'learned')
 """ + parts_sql("l", "concat('#', number)", "', '", "number", "issues", 5000)
@@ -754,13 +894,6 @@ SELECT repo, number, state, array_to_string(
 FROM issues"""
 
 
-def _node_prompt_sql() -> str:
-    from tallyloom.operators.prompts import NODE_TEMPLATE
-    return sql_template(NODE_TEMPLATE, {"objective_title": "concat('Objective ', u.objective)",
-                                        "objective_body": "ob.body", "node_id": "u.node_id",
-                                        "description": "u.description"})
-
-
 OBJ_BODIES = """obj_bodies AS (
   SELECT repo, objective, '## Goal' || chr(10) || concat('Deliver objective ', objective) || chr(10) || chr(10)
          || '## Roadmap' || chr(10)
@@ -772,11 +905,42 @@ OBJ_BODIES = """obj_bodies AS (
                             ELSE '' END AS body
   FROM nodes GROUP BY repo, objective)"""
 
-SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED, OBJ_BODIES) + f"""
-, p AS (SELECT u.repo, u.objective, u.pos, u.node_id, {_node_prompt_sql()} AS prompt
-        FROM unblocked u JOIN obj_bodies ob ON ob.repo = u.repo AND ob.objective = u.objective)
-SELECT repo, objective, pos, node_id, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
-FROM p"""
+def _node_plan_sql() -> str:
+    from tallyloom.operators.prompts import NODE_HEAD, NODE_TAIL
+    head = sql_template(NODE_HEAD, {"node_id": "node_id", "description": "description"})
+    return f"""
+SELECT repo, objective, pos, node_id, CAST(1 AS BIGINT) AS seg, 'text' AS kind, {head} AS text FROM unblocked
+UNION ALL SELECT repo, objective, pos, node_id, 2, 'objective', NULL FROM unblocked
+UNION ALL SELECT repo, objective, pos, node_id, 3, 'text', {sql_template(NODE_TAIL, {})} FROM unblocked"""
+
+
+SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED) + _node_plan_sql()
+
+SQL["objective_segments"] = with_(nodes_cte(), OBJ_BODIES) + """
+, s AS (SELECT repo, objective, concat('Objective ', objective) || chr(10) || chr(10) || body AS text FROM obj_bodies)
+SELECT repo, objective, 'objective' AS kind, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha FROM s"""
+
+SQL["iso_date"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY day"
+
+
+# ---- exports ----------------------------------------------------------------------------------------
+
+SQL["issue_export"] = with_(ISSUES) + """
+SELECT repo, number, title, body, state, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created,
+       array_to_string(labels, ',') AS labels, url FROM issues"""
+
+SQL["pr_export"] = with_(PRS) + """
+SELECT repo, number, head_ref, body, title, CAST(length(diff) AS BIGINT) AS diff_chars,
+       CASE WHEN p_partkey % 3 = 0 THEN 'MERGED' ELSE 'OPEN' END AS state FROM pull_requests"""
+
+SQL["close_event_export"] = with_(CLOSE_EVENTS) + """
+SELECT repo, issue, strftime(closed_at, '%Y-%m-%d %H:%M:%S') AS closed_at,
+       CAST(row_number() OVER (PARTITION BY repo, issue ORDER BY closed_at, seq, closer_id, actor) AS BIGINT) AS seq,
+       closer_type, pr_number, pr_state
+FROM close_events"""
+
+SQL["comment_export"] = with_(COMMENTS) + """
+SELECT repo, issue, CAST(row_number() OVER (PARTITION BY repo, issue ORDER BY seq) - 1 AS BIGINT) AS seq, body FROM comments"""
 
 
 # ---- extra outputs ------------------------------------------------------------------------------
@@ -790,9 +954,9 @@ SELECT repo, issue, count(*) AS n_notes FROM (SELECT repo, unnest(source_issues)
 GROUP BY repo, issue"""
 
 SQL["visible_body"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, TABLES) + """
-SELECT t.repo, t.objective,
+SELECT t.repo, t.objective, part, CASE WHEN part > 0 THEN t.tbl || chr(10) ELSE
        '## Goal' || chr(10) || concat('Deliver objective ', t.objective) || chr(10) || chr(10) || '## Roadmap'
        || chr(10) || chr(10) || t.tbl || chr(10)
        || CASE WHEN t.objective % 2 = 0 THEN chr(10) || chr(10) || '## Notes' || chr(10) || 'Keep scope small.'
-               ELSE '' END AS body
+               ELSE '' END END AS body
 FROM tables t"""

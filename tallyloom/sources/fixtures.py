@@ -324,3 +324,65 @@ def manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("doc_id") % 10 == 1, F.concat(F.col("text"), F.lit(" (edited)")))
         .otherwise(F.col("text")).alias("content"))
     return expected, actual
+
+
+# ---- F14: a large tree, two of whose 64 subtrees differ ---------------------------------------
+
+def trees(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    i, sub = F.col("doc_id"), F.col("doc_id") % 64
+    path = F.concat(F.lit("t"), F.lpad(sub.cast("string"), 2, "0"), F.lit("/"), i.cast("string"), F.lit(".md"))
+    expected = d.select(path.alias("path"), F.col("text").alias("content"))
+    edited = F.when((sub == 5) & (i % 3 == 0), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    return expected, d.filter(~((sub == 3) & (i % 2 == 1))).select(path.alias("path"), edited.alias("content"))
+
+
+# ---- F15: the auditor's replies ------------------------------------------------------------------
+
+def audit_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reply for each repo and 16 documents: the actions as a JSON array; every fifth reply is cut off."""
+    a = audit_actions(spark, sf_dir)
+    item = F.to_json(F.struct("action", "category", "slug", "reason", "target_category", "target_slug", "target_updated_body"))
+    no = F.expr("pos div 160")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("j")))), lambda x: x["j"]), ",\n")
+    rows = a.withColumn("reply_no", no).groupBy("repo", "reply_no").agg(text.alias("t"))
+    full = F.concat(F.lit("Audit:\n["), "t", F.lit("]"))
+    return rows.select("repo", "reply_no", F.when(F.col("reply_no") % 5 == 4, F.left(full, F.length(full) - 3))
+                       .otherwise(full).alias("reply"))
+
+
+# ---- F16: exports of the code host: (repo, line) with one object a line --------------------------
+
+def _utc(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def issue_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = F.transform("labels", lambda x: F.struct(x.alias("name")))
+    return issues(spark, sf_dir).select("repo", F.struct(
+        "number", "title", "body", "state", _utc("created_at").alias("createdAt"), labels.alias("labels"), "url").alias("line"))
+
+
+def pr_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pull_requests(spark, sf_dir).select("repo", F.struct(
+        "number", "title", "body", "state", F.col("head_ref").alias("headRefName"), "diff").alias("line"))
+
+
+def close_event_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timelines as a host gives them: the events of an issue in order."""
+    e = close_events(spark, sf_dir)
+    closer = F.when(F.col("closer_type") == "PullRequest", F.struct(
+        F.col("closer_type").alias("__typename"), F.col("pr_number").alias("number"), F.col("pr_state").alias("state")))
+    order = F.struct("closed_at", "seq", "closer_id", "actor")
+    nodes_ = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), _utc("closed_at").alias("createdAt"),
+                                                              closer.alias("closer")))),
+                         lambda x: F.struct(x["createdAt"].alias("createdAt"), x["closer"].alias("closer")))
+    return (e.groupBy("repo", F.col("issue").alias("number")).agg(nodes_.alias("nodes"))
+            .select("repo", F.struct("number", F.struct("nodes").alias("timelineItems")).alias("line")))
+
+
+def comment_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = comments(spark, sf_dir)
+    body = F.transform(F.array_sort(F.collect_list(F.struct("seq", "body"))), lambda x: F.struct(x["body"].alias("body")))
+    return (c.groupBy("repo", F.col("issue").alias("number")).agg(body.alias("comments"))
+            .select("repo", F.struct("number", "comments").alias("line")))

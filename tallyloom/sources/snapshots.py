@@ -141,8 +141,8 @@ def _same(keys: Sequence[str], left: DataFrame, right: DataFrame):
 
 
 def _commit(spark: SparkSession, root: str, write: str, keys: Sequence[str], new: DataFrame,
-            touched: DataFrame | None, base: int, facts: dict) -> int:
-    """Claim the next version; ``touched`` partitions (all, if None) are replaced by ``new``."""
+            touched: DataFrame | None, base: int, facts: dict, append: bool = False) -> int:
+    """Claim the next version; ``touched`` partitions (all, if None) are replaced by ``new``, or get it as well."""
     root = root.rstrip("/")
     marks = f"{root}/{MANIFEST}/{write}-touched"
     if touched is not None:
@@ -150,7 +150,7 @@ def _commit(spark: SparkSession, root: str, write: str, keys: Sequence[str], new
         touched = spark.read.parquet(marks)
     while True:
         now = current_version(spark, root)
-        for v in range(base + 1, now + 1):  # versions since the rows were computed
+        for v in range(base + 1, now + 1) if not append else ():  # versions since the rows were computed
             other = log_entry(spark, root, v)
             if touched is None or other["touched"] is None:
                 raise Conflict(f"version {v} of {root} replaced all partitions, or this write does")
@@ -161,7 +161,8 @@ def _commit(spark: SparkSession, root: str, write: str, keys: Sequence[str], new
         rows = new
         if touched is not None and now:
             old = partition_files(spark, root, now)
-            rows = old.join(touched, _same(keys, old, touched), "left_anti").unionByName(new)
+            kept = old if append else old.join(touched, _same(keys, old, touched), "left_anti")
+            rows = kept.unionByName(new)
         rows.coalesce(1 + _estimate(spark, root, now)).write.mode("overwrite").parquet(f"{root}/{MANIFEST}/{name}")
         entry = {"manifest": name, "touched": None if touched is None else f"{write}-touched", "data": write, **facts}
         if claim(spark, _entry(root, now + 1), json.dumps(entry)):
@@ -197,6 +198,22 @@ def replace_partitions(df: DataFrame, root: str, touched: DataFrame, base: int)
                    {"keys": keys, "schema": facts["schema"]})
 
 
+def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
+    """The next version: all rows of the newest one and those of ``df``. Appends never conflict with each other."""
+    spark = df.sparkSession
+    now = current_version(spark, root)
+    if not now:
+        try:
+            return write_snapshot(df, root, partition_by, base=0)
+        except Conflict:
+            return append(df, root, partition_by)
+    facts, write = log_entry(spark, root, now), uuid.uuid4().hex[:12]
+    keys = facts["keys"] or [WHOLE]
+    new = _write_files(df, root, facts["keys"], write)
+    return _commit(spark, root, write, keys, new, new.select(*keys).distinct(), now,
+                   {"keys": facts["keys"], "schema": facts["schema"]}, append=True)
+
+
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None,
                   partitions: DataFrame | None = None) -> DataFrame:
     """Read the newest version, or a given one; all of it, or the named partitions only."""
