@@ -17,6 +17,7 @@ from tallyloom.functions import ordering
 from tallyloom.functions.ordering import ordered_text_parts, ordinal_within_group
 from tallyloom.functions.note_text import render_note_content
 from tallyloom.session import materialize
+from tallyloom.sources.bucketed import dealt
 from tallyloom.sources.note_files import published_folders
 
 # ---- fixed values ------------------------------------------------------------
@@ -177,16 +178,17 @@ def union_issues(*arrays: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.array(*arrays))))
 
 
-def upsert_notes(notes: DataFrame, items: DataFrame, as_of: str) -> DataFrame:
+def upsert_notes(notes: DataFrame, items: DataFrame, as_of: str, buckets: int | None = None) -> DataFrame:
     """Learning items into notes, keyed (repo, category, slug). The last item
     (by ``pos``) replaces every field; source issues accumulate; touched notes
     get ``last_updated = as_of``. Returns the new snapshot with a ``change``
-    column (insert / update / unchanged)."""
+    column (insert / update / unchanged). ``buckets`` tells that notes is a
+    table in so many buckets of its key: it is then joined where it lies."""
     last = F.max_by(F.struct("title", "read_when", "tripwires", "body"), "pos")
     agg = items.groupBy(*NOTE_KEY).agg(last.alias("it"), F.collect_set("issue").alias("new_issues"))
     old = notes.select(*NOTE_KEY, "title", "read_when", "tripwires", "last_updated", "source_issues", "body",
                        F.lit(True).alias("_old"))
-    j = old.join(agg, NOTE_KEY, "full_outer")
+    j = old.join(dealt(agg, NOTE_KEY, buckets), NOTE_KEY, "full_outer")
     touched = F.col("it").isNotNull()
     empty = F.array().cast("array<bigint>")
 
@@ -268,7 +270,7 @@ def follow_chains(notes: DataFrame, actions: DataFrame) -> tuple[DataFrame, Data
 
 
 def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T.CATEGORIES,
-                  chains: str = "snapshot") -> DataFrame:
+                  chains: str = "snapshot", buckets: int | None = None) -> DataFrame:
     """Pass 1: merge sources into existing targets. Source ids are read from the
     snapshot (chains do not carry ids further; with ``chains="follow"`` a source
     goes to the end of its chain, see ``follow_chains``); several sources union their
@@ -281,7 +283,7 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
     m = _merge_actions(actions)
     src = (notes.filter(F.col("category").isin(list(categories)))
            .select(*NOTE_KEY, F.col("source_issues").alias("src_issues")))
-    m = (m.join(src, NOTE_KEY, "left")
+    m = (dealt(m, NOTE_KEY, buckets).join(src, NOTE_KEY, "left")
          .select("repo", F.col("target_category").alias("category"), F.col("target_slug").alias("slug"),
                  "pos", "target_updated_body", "src_issues"))
     # last body-carrying merge per target (partial aggregate), then the count
@@ -296,7 +298,7 @@ def compact_merge(notes: DataFrame, actions: DataFrame, as_of: str, categories=T
         F.first("b").alias("b"),
         F.count_if(F.col("b").isNull() | (F.col("pos") > F.col("b.pos"))).alias("_after"))
     tgt = with_content(notes).select(*NOTE_KEY, "content")
-    j = per_target.join(tgt, NOTE_KEY)  # target must exist
+    j = dealt(per_target, NOTE_KEY, buckets).join(tgt, NOTE_KEY)  # target must exist
     existing = T.fm_issues(F.col("content"))
     ids = union_issues(existing, F.col("add_issues"))
     ids_txt = F.concat(F.lit("["), F.array_join(F.transform(ids, lambda x: x.cast("string")), ", "), F.lit("]"))
@@ -327,7 +329,7 @@ def orphan_merges(notes: DataFrame, actions: DataFrame) -> DataFrame:
                     .otherwise("target missing").alias("reason"))
 
 
-def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep") -> DataFrame:
+def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep", buckets: int | None = None) -> DataFrame:
     """Pass 2: remove deleted notes and merge sources. ``on_orphan='drop'``
     reproduces the source tool (a merge source goes even when its merge had no
     target); ``'keep'`` keeps such sources. Each existing file counts once, for
@@ -337,7 +339,7 @@ def compact_delete(notes: DataFrame, actions: DataFrame, on_orphan: str = "keep"
         orphans = orphan_merges(notes, actions).select(*NOTE_KEY, "pos")
         rm = rm.join(orphans, [*NOTE_KEY, "pos"], "left_anti")
     first = rm.groupBy(*NOTE_KEY).agg(F.min(F.struct("pos", "action")).alias("a"))
-    return (first.join(notes.select(*NOTE_KEY), NOTE_KEY)
+    return (dealt(first, NOTE_KEY, buckets).join(notes.select(*NOTE_KEY), NOTE_KEY)
             .select(*NOTE_KEY, F.col("a.action").alias("removed_by")))
 
 
@@ -366,12 +368,12 @@ def action_counts(actions: DataFrame) -> DataFrame:
                                        F.count_if(a == "merge_into").alias("n_merge"))
 
 
-def audit_coverage(scanned: DataFrame, actions: DataFrame) -> DataFrame:
+def audit_coverage(scanned: DataFrame, actions: DataFrame, buckets: int | None = None) -> DataFrame:
     """Every audited note should get exactly one action: report notes with
     none, notes with several, and actions naming no note."""
     per = actions.groupBy(*NOTE_KEY).agg(F.count(F.lit(1)).alias("n_actions"))
     n = scanned.select(*NOTE_KEY, F.lit(True).alias("_n"))
-    j = n.join(per, NOTE_KEY, "full_outer")
+    j = n.join(dealt(per, NOTE_KEY, buckets), NOTE_KEY, "full_outer")
     issue = (F.when(F.col("_n").isNull(), "unknown_file").when(F.col("n_actions").isNull(), "no_action")
              .when(F.col("n_actions") > 1, "repeated"))
     return (j.select(*NOTE_KEY, F.coalesce("n_actions", F.lit(0)).cast("bigint").alias("n_actions"),
@@ -390,10 +392,10 @@ def upsert_source_issues(rows: DataFrame, items: DataFrame) -> DataFrame:
 
 def content_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Expected files missing or different in ``actual``; extras ignored."""
-    a = actual.select("path", F.sha2("content", 256).alias("_h"))
+    a = actual.select("path", F.sha2("content", 256).alias("_h"), F.lit(True).alias("_there"))
     e = expected.select("path", F.sha2("content", 256).alias("_e"))
     j = e.join(a, "path", "left")
-    return j.select("path", F.when(F.col("_h").isNull(), "missing").when(F.col("_h") != F.col("_e"), "stale")
+    return j.select("path", F.when(F.col("_there").isNull(), "missing").when(~F.col("_h").eqNullSafe(F.col("_e")), "stale")
                     .otherwise("current").alias("status"))
 
 

@@ -22,7 +22,7 @@ from tallyloom.operators import prompts as pr
 from tallyloom.operators import trees
 from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import fixtures as fx
-from tallyloom.sources import exports, ledger, note_files, snapshots
+from tallyloom.sources import bucketed, exports, ledger, note_files, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -227,11 +227,11 @@ def _tw_txt(c):
     return F.array_join(F.transform(c, lambda t: F.concat(t["action"], F.lit("=>"), t["warning"])), "|")
 
 
-def _notes_out(df: DataFrame) -> DataFrame:
+def _notes_out(df: DataFrame, *more: str) -> DataFrame:
     return df.select(*nt.NOTE_KEY, "title", F.array_join("read_when", "|").alias("read_when"),
                      _tw_txt(F.col("tripwires")).alias("tripwires"),
                      F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"),
-                     _ids_txt(F.col("source_issues")).alias("source_issues"), "body")
+                     _ids_txt(F.col("source_issues")).alias("source_issues"), "body", *more)
 
 
 @query("render_notes")
@@ -349,11 +349,7 @@ def q_union_issues(spark, d):
 
 @query("upsert_notes")
 def q_upsert_notes(spark, d):
-    u = nt.upsert_notes(fx.notes(spark, d), fx.learning_items(spark, d), AS_OF_NOTES)
-    return u.select(*nt.NOTE_KEY, "title", F.array_join("read_when", "|").alias("read_when"),
-                    _tw_txt(F.col("tripwires")).alias("tripwires"),
-                    F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"),
-                    _ids_txt(F.col("source_issues")).alias("source_issues"), "body", "change")
+    return _notes_out(nt.upsert_notes(fx.notes(spark, d), fx.learning_items(spark, d), AS_OF_NOTES), "change")
 
 
 @query("compact_merge")
@@ -363,6 +359,40 @@ def q_compact_merge(spark, d):
                     "body_replaced", "content")
 
 
+BUCKETS = 16
+
+
+def _bucketed_notes(spark, d):
+    """The note table in buckets of its key, as a table of the session's catalog."""
+    df = fx.notes(spark, d)
+    path = scratch_path(spark, "notes_in_buckets")
+    return bucketed.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, nt.NOTE_KEY, BUCKETS)
+
+
+@query("upsert_notes_bucketed")
+def q_upsert_notes_bucketed(spark, d):
+    u = nt.upsert_notes(_bucketed_notes(spark, d), fx.learning_items(spark, d), AS_OF_NOTES, BUCKETS)
+    return _notes_out(u, "change")
+
+
+@query("compact_merge_bucketed")
+def q_compact_merge_bucketed(spark, d):
+    m = nt.compact_merge(_bucketed_notes(spark, d), fx.audit_actions(spark, d), AS_OF_NOTES, buckets=BUCKETS)
+    return m.select(*nt.NOTE_KEY, "n_sources", _ids_txt(F.col("source_issues")).alias("source_issues"),
+                    "body_replaced", "content")
+
+
+@query("compact_delete_bucketed")
+def q_compact_delete_bucketed(spark, d):
+    return nt.compact_delete(_bucketed_notes(spark, d), fx.audit_actions(spark, d), on_orphan="drop", buckets=BUCKETS)
+
+
+@query("audit_coverage_bucketed")
+def q_audit_coverage_bucketed(spark, d):
+    known = _bucketed_notes(spark, d).filter(F.col("category").isin(T.CATEGORIES))
+    return nt.audit_coverage(known, fx.audit_actions(spark, d), BUCKETS)
+
+
 @query("compact_merge_chains")
 def q_compact_merge_chains(spark, d):
     """Merges that follow their chains to the end."""

@@ -563,6 +563,9 @@ SELECT * FROM (
   FROM scanned s FULL OUTER JOIN per p ON s.repo = p.repo AND s.category = p.category AND s.slug = p.slug)
 WHERE issue IS NOT NULL"""
 
+for _name in ("upsert_notes", "compact_merge", "compact_delete", "audit_coverage"):
+    SQL[f"{_name}_bucketed"] = SQL[_name]
+
 SQL["action_counts"] = with_(NOTES_BASE, ACTIONS) + """
 SELECT repo, count(*) FILTER (WHERE action = 'keep') AS n_keep, count(*) FILTER (WHERE action = 'delete') AS n_delete,
        count(*) FILTER (WHERE action = 'merge_into') AS n_merge

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
+from tallyloom.operators import issues as iss
 from tallyloom.operators import lifecycle as lc
 from tallyloom.operators import notes as nt
 from tallyloom.operators import prompts as pr
+from tallyloom.session import scratch_path
+from tallyloom.sources import snapshots
 
 
 def nodes_df(spark, rows, objective=1):
@@ -57,9 +60,11 @@ def test_create_plans_attach_mark_learned(spark):
     turns = spark.createDataFrame([("r", 5, 0, None), ("r", 5, 1, "we talked"), ("r", 5, 2, "more"), ("r", 6, 0, ""),
                                    ("q", 5, 0, "elsewhere")], "repo string, number long, seq long, conversation string")
     c = lc.attach_conversation(turns).orderBy("repo", "issue", "seq").collect()
-    mark = "<!-- loom:conversation -->\n"
+    mark, more = "<!-- loom:conversation -->\n", "<!-- loom:conversation more -->\n"
     assert [(r.repo, r.issue, r.seq, r.body) for r in c] == [
-        ("q", 5, 0, mark + "elsewhere"), ("r", 5, 1, mark + "we talked"), ("r", 5, 2, "more")]
+        ("q", 5, 0, mark + "elsewhere"), ("r", 5, 0, mark + "we talked\n\nmore")]
+    c = lc.attach_conversation(turns, comment_chars=6).filter("repo = 'r'").orderBy("seq").collect()
+    assert [r.body for r in c] == [mark + "we tal", more + "ked\n\nm", more + "ore"]
     issues = spark.createDataFrame(
         [("r", 1, "t", "", "CLOSED", dt.datetime(2024, 1, 1), ["plan"], "u"),
          ("r", 2, "t", "", "CLOSED", dt.datetime(2024, 1, 1), ["plan", "learned"], "u"),
@@ -118,7 +123,55 @@ def test_prompts_refer_to_all_notes_at_any_size(spark):
 
 
 def test_node_plan_prompt(spark):
-    n = nodes_df(spark, [("a", "pending", [], None)])
+    n = nodes_df(spark, [("a", "pending", [], None), ("b", "pending", [], None)])
     bodies = spark.createDataFrame([("r", 1, "Objective 1", "goal text")], "repo string, objective long, title string, body string")
-    p = pr.node_plan_prompt(n, bodies).first().prompt
-    assert "## Node a\nda\n\n## Part of: Objective 1\n\ngoal text\n" in p
+    shared = pr.objective_segments(bodies).collect()
+    assert [(r.kind, r.text) for r in shared] == [("objective", "Objective 1\n\ngoal text")]
+    p = pr.node_plan_prompt(n).filter("node_id = 'a'").orderBy("seg").collect()
+    assert [(r.seg, r.kind) for r in p] == [(1, "text"), (2, "objective"), (3, "text")] and p[1].text is None
+    whole = "".join(r.text or shared[0].text for r in p)
+    assert "## Node a\nda\n\n## Part of: Objective 1\n\ngoal text\n" in whole
+
+
+def talk(rows):
+    return [("r", 1, k, body) for k, body in enumerate(rows)]
+
+
+def test_conversations_read_all_their_parts(spark):
+    mark, more = "<!-- loom:conversation -->", "<!-- loom:conversation more -->"
+    cases = [
+        (["hi", f"intro {mark}\nfirst ", f"{more}\nsecond", "other", f"{more}\nthird\n"], "intro \nfirst secondthird"),
+        ([f"{mark}\none", f"{mark}\ntwo", f"{more}\nnot ours"], "one"),
+        ([f"{more}\nno head before", f"{mark}\none", f"{more}\n quoting {mark} here"], "one quoting " + mark + " here"),
+        (["nothing"], None)]
+    for rows, want in cases:
+        df = spark.createDataFrame(talk(rows), "repo string, issue long, seq long, body string")
+        got = [r.conversation for r in iss.conversation_of(df).collect()]
+        assert got == ([] if want is None else [want])
+    turns = spark.createDataFrame([("r", 1, k, f"turn {k} " + "é" * k + "\n") for k in range(40)],
+                                  "repo string, number long, seq long, conversation string")
+    told = lc.attach_conversation(turns, comment_chars=17)
+    assert told.count() > 10
+    want = "\n\n".join(f"turn {k} " + "é" * k + "\n" for k in range(40)).strip()
+    assert iss.conversation_of(told).first().conversation == want
+
+
+def test_a_batch_is_published_before_its_failures_raise(spark):
+    rows = spark.createDataFrame([("r", 1, "learned"), ("r", 2, "failed"), ("q", 2, "failed"), ("q", 3, "nothing_found")],
+                                 "repo string, number long, outcome string")
+    root = scratch_path(spark, "batch-test")
+    with pytest.raises(lc.BatchFailed, match=r"2 issue\(s\) failed") as e:
+        lc.publish_outcomes(rows, root)
+    assert e.value.counts == {"learned": 1, "nothing_found": 1, "failed": 2}
+    assert snapshots.read_snapshot(spark, root, e.value.version).count() == 4
+    assert lc.publish_outcomes(rows.filter("outcome <> 'failed'"), root)[1]["failed"] == 0
+    assert lc.publish_outcomes(rows.limit(0), root)[1] == {"learned": 0, "nothing_found": 0, "failed": 0}
+
+
+def test_landing_leaves_failed_nodes(spark):
+    n = nodes_df(spark, [("a", "in_progress", [], 1), ("b", "in_progress", [], 2), ("c", "in_progress", [], 3),
+                         ("d", "in_progress", [], 4), ("e", "done", [], 5), ("f", "pending", [], None)])
+    told = spark.createDataFrame([("r", 1, "learned"), ("r", 2, "nothing_found"), ("r", 3, "failed"), ("q", 4, "learned")],
+                                 "repo string, number long, outcome string")
+    assert {r.node_id: (r.outcome, r.status) for r in lc.land_nodes(n, told).collect()} == {
+        "a": ("learned", "done"), "b": ("nothing_found", "done"), "c": ("failed", "in_progress"), "d": ("not_run", "in_progress")}

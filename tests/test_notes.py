@@ -124,6 +124,45 @@ def test_compact_chain_uses_snapshot_ids(spark):
     assert m == {"b": [1, 2], "c": [2, 3]}
 
 
+def test_compact_chains_followed_to_their_end(spark):
+    names = "abcdefghuvwxy"
+    notes = notes_df(spark, [note("patterns", s, [i]) for i, s in enumerate(names)])
+    to = lambda pos, s, t, body=None: (pos, "merge_into", "patterns", s, "patterns", t, body)
+    acts = actions_df(spark, [
+        to(1, "a", "b", "for b"), to(2, "b", "c"), to(3, "c", "d", "for d"),  # a -> b -> c -> d
+        to(4, "e", "d"), to(5, "f", "gone"), to(6, "g", "f"),                 # f keeps: its target is absent
+        to(7, "u", "v"), to(8, "v", "w"), to(9, "w", "u"), to(10, "x", "u"),  # a circle, and one that leads to it
+        to(11, "y", "y")])                                                    # into itself
+    finals, cycles = nt.merge_targets(notes, acts)
+    assert {r.slug: (r.final_slug, r.hops) for r in finals.collect()} == {
+        "a": ("d", 3), "b": ("d", 2), "c": ("d", 1), "e": ("d", 1), "g": ("f", 1)}
+    assert {r.slug: r.leads_to for r in cycles.collect()} == {"u": False, "v": False, "w": False, "x": True, "y": False}
+    m = {r.slug: r for r in nt.compact_merge(notes, acts, AS_OF, chains="follow").collect()}
+    assert set(m) == {"d", "f"}
+    assert list(m["d"].source_issues) == [0, 1, 2, 3, 4] and m["d"].new_body == "for d" and m["d"].n_sources == 4
+    left = nt.apply_compaction(notes, acts, AS_OF, chains="follow")
+    assert sorted(r.slug for r in left.collect()) == ["d", "f", "h", "u", "v", "w", "x", "y"]
+
+
+def test_long_merge_chain(spark):
+    n = 37
+    notes = notes_df(spark, [note("patterns", f"s{i}", [i]) for i in range(n)])
+    acts = actions_df(spark, [(i, "merge_into", "patterns", f"s{i}", "patterns", f"s{i + 1}", None) for i in range(n - 1)])
+    finals, cycles = nt.merge_targets(notes, acts)
+    assert {(r.final_slug, r.hops) for r in finals.collect()} == {(f"s{n - 1}", h) for h in range(1, n)}
+    assert cycles.count() == 0
+    only = nt.compact_merge(notes, acts, AS_OF, chains="follow").first()
+    assert (only.slug, list(only.source_issues)) == (f"s{n - 1}", list(range(n)))
+
+
+def test_source_issues_as_rows(spark):
+    notes = notes_df(spark, [note("patterns", "a", [1, 2])])
+    items = items_df(spark, [(2, 1, "patterns", "a", "T", [], [], ""), (3, 2, "patterns", "a", "T", [], [], ""),
+                             (3, 3, "testing", "b", "T", [], [], "")])
+    rows = nt.upsert_source_issues(nt.source_issue_rows(notes), items)
+    assert sorted((r.slug, r.issue) for r in rows.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 3)]
+
+
 def test_audit_coverage(spark):
     sc = _scanned(spark, [note("patterns", "a", [1]), note("patterns", "b", [1]), note("patterns", "c", [1])])
     acts = actions_df(spark, [(1, "keep", "patterns", "b", None, None, None),
