@@ -89,6 +89,28 @@ def _placed(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name:
     return out if keep_partition else out.drop("_pid")
 
 
+def last_flagged(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, name: str) -> DataFrame:
+    """Add ``name`` = the ``order`` columns (a struct) of the last flagged row at or before each
+    row of its ``keys`` group, null where there is none.
+
+    Rows must be unique in keys and order. As with ordinals, rows are placed in ranges of (keys,
+    order), and each range takes over what the ranges before it end with, so a hot group is
+    spread over many tasks."""
+    cols = [*keys, *order]
+    ranged = (df.select(*cols, F.coalesce(flag, F.lit(False)).alias("_f"))
+              .repartitionByRange(*cols).sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "ranges")
+    own = F.struct(*order)
+    inside = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ranged.groupBy(*keys, "_pid").agg(F.max(F.when(F.col("_f"), own)).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_over", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    found = ranged.withColumn("_in", F.last(F.when(F.col("_f"), own), ignorenulls=True).over(inside)).join(
+        ends, [*keys, "_pid"]).select(*cols, F.coalesce("_in", "_over").alias(name))
+    return df.join(found, cols)
+
+
 def ordinal_by_numeric(df: DataFrame, keys: Sequence[str], num_col: str, name: str = "ord",
                        bucket_width: int = 1 << 16) -> DataFrame:
     """Exact 1-based position inside ``keys`` for a *unique, numeric* order

@@ -19,7 +19,7 @@ from tallyloom.operators import issues as iss
 from tallyloom.operators import lifecycle as lc
 from tallyloom.operators import notes as nt
 from tallyloom.operators import prompts as pr
-from tallyloom.operators import trees
+from tallyloom.operators import trees, views
 from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import fixtures as fx
 from tallyloom.sources import bucketed, exports, ledger, note_files, snapshots
@@ -319,6 +319,39 @@ def q_routing_index_text(spark, d):
     return nt.routing_index_text(_scanned(spark, d), part_chars=700, repos=repos)
 
 
+def _changed_notes(spark, d):
+    """The notes after the learning items of r0 and r4, less every ninth document's note of r4; the keys that changed."""
+    notes = fx.notes(spark, d).drop("content")
+    items = fx.learning_items(spark, d).filter(F.col("repo").isin("r0", "r4"))
+    gone = (F.col("repo") == "r4") & (F.substring("slug", 2, 20).cast("bigint") % 9 == 0)
+    after = nt.upsert_notes(notes, items, AS_OF_NOTES).drop("change").filter(~gone)
+    keys = items.select(*nt.NOTE_KEY).unionByName(notes.filter(gone).select(*nt.NOTE_KEY))
+    return notes, after, keys.distinct()
+
+
+@query("index_view")
+def q_index_view(spark, d):
+    """The index in parts, built once and then brought up to date from a change set."""
+    notes, after, keys = _changed_notes(spark, d)
+    root = scratch_path(spark, "index-view")
+    views.build(views.index_pieces(nt.scan_notes(nt.render_notes(notes))), root, digits=1)
+    changed = keys.filter(F.col("category").isin(T.CATEGORIES)).select("repo", "category", nt.file_name().alias("name"))
+    touched = after.join(changed.select("repo", "category").distinct(), ["repo", "category"], "left_semi")
+    views.update(views.index_pieces(nt.scan_notes(nt.render_notes(touched))), changed, root, digits=1)
+    return views.parts(spark, root).select("repo", "category", "start", "n_items", "text")
+
+
+@query("catalog_update")
+def q_catalog_update(spark, d):
+    """The note catalog brought up to date: only changed notes are parsed."""
+    notes, after, keys = _changed_notes(spark, d)
+    old = nt.note_catalog(nt.scan_notes(nt.render_notes(notes)))
+    out = views.update_catalog(old, nt.scan_notes(nt.render_notes(after)), keys)
+    return out.select("repo", "category", "slug", "title", F.array_join("read_when", "|").alias("read_when"),
+                      T.iso_date(F.col("last_updated")).alias("last_updated"),
+                      _ids_txt(F.col("source_issues")).alias("source_issues"))
+
+
 @query("note_catalog")
 def q_note_catalog(spark, d):
     c = nt.note_catalog(_scanned(spark, d))
@@ -516,6 +549,32 @@ def q_extract_roadmaps(spark, d):
     return _nodes_out(nodes)
 
 
+def _faulty(kinds: dict, column: str):
+    """The column with other texts where objective modulo 7 says so."""
+    out = F.col(column)
+    for k, text in kinds.items():
+        out = F.when(F.col("objective") % 7 == k, text).otherwise(out)
+    return out
+
+
+@query("roadmap_rejects")
+def q_roadmap_rejects(spark, d):
+    """Bodies without a roadmap, or with one that lists nothing."""
+    body = _faulty({3: F.replace("body", F.lit("## Roadmap"), F.lit("## Plan")),
+                    5: F.lit("## Goal\nx\n\n## Roadmap\nnothing listed yet\n")}, "body")
+    return ex.extract_roadmaps(fx.objective_bodies(spark, d).withColumn("body", body))[1]
+
+
+@query("node_state_rejects")
+def q_node_state_rejects(spark, d):
+    """Bodies without a state blob, or with one that is cut, of a wrong type or status."""
+    blobs = graph.state_comment(fx.nodes(spark, d)).withColumnRenamed("blob", "body")
+    body = _faulty({2: F.lit("no state here"), 3: F.lit('<!-- loom:nodes [{"id":"a" -->'),
+                    5: F.replace("body", F.lit('"id":"'), F.lit('"id":7,"was":"')),
+                    6: F.lit('<!-- loom:nodes [{"id":"a","description":"b","status":"lost","depends_on":[]}] -->')}, "body")
+    return ex.load_node_state(blobs.withColumn("body", body))[1]
+
+
 @query("load_node_state")
 def q_load_node_state(spark, d):
     nodes, _ = ex.load_node_state(_stored_bodies(spark, d))

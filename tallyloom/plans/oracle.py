@@ -438,6 +438,35 @@ SQL["upsert_snapshot"] = SQL["upsert_notes"].replace(
     """,
        CASE WHEN a.slug IS NULL THEN 'unchanged' WHEN o.slug IS NULL THEN 'insert' ELSE 'update' END AS change""", "")
 
+AFTER = """agg AS (SELECT repo, category, slug, arg_max(title, pos) AS title, arg_max(read_when, pos) AS read_when, list(issue) AS new
+          FROM items WHERE repo IN ('r0', 'r4') GROUP BY ALL),
+after AS (SELECT * FROM (
+  SELECT coalesce(a.repo, o.repo) AS repo, coalesce(a.category, o.category) AS category, coalesce(a.slug, o.slug) AS slug,
+         CASE WHEN a.slug IS NOT NULL THEN a.title ELSE o.title END AS title,
+         CASE WHEN a.slug IS NOT NULL THEN a.read_when ELSE o.read_when END AS read_when,
+         CASE WHEN a.slug IS NOT NULL THEN '2024-02-01' ELSE strftime(o.last_updated, '%Y-%m-%d') END AS last_updated,
+         CASE WHEN a.slug IS NOT NULL
+              THEN list_sort(list_distinct(list_concat(coalesce(o.source_issues, []::BIGINT[]), a.new)))
+              ELSE o.source_issues END AS source_issues
+  FROM agg a FULL OUTER JOIN notes o ON a.repo = o.repo AND a.category = o.category AND a.slug = o.slug)
+  WHERE category IN ('patterns', 'tripwires', 'architecture', 'testing')
+    AND NOT (repo = 'r4' AND CAST(substr(slug, 2) AS BIGINT) % 9 = 0))"""
+
+SQL["index_view"] = with_(NOTES_BASE, ITEMS, AFTER) + """
+, l AS (SELECT repo, category, slug || '.md' AS name,
+               '| @memory/' || category || '/' || slug || '.md | ' || coalesce(title, slug) || ' | '
+               || CASE WHEN len(read_when) = 0 THEN '—' ELSE array_to_string(read_when, '; ') END || ' |' || chr(10) AS line
+        FROM after)
+, s AS (SELECT *, coalesce(max(CASE WHEN md5(repo || '/' || category || '/' || name)[1] = '0' THEN name END)
+                           OVER (PARTITION BY repo, category ORDER BY name), '') AS start FROM l)
+SELECT repo, category, start, count(*) AS n_items, string_agg(line, '' ORDER BY name) AS text
+FROM s GROUP BY repo, category, start"""
+
+SQL["catalog_update"] = with_(NOTES_BASE, ITEMS, AFTER) + """
+SELECT repo, category, slug, title, array_to_string(read_when, '|') AS read_when, last_updated,
+       array_to_string(source_issues, ',') AS source_issues
+FROM after"""
+
 SQL["snapshot_partitions"] = with_(NOTES_BASE, ITEMS) + """
 , hit AS (SELECT DISTINCT repo, category, slug FROM items WHERE repo IN ('r0', 'r4'))
 , keys AS (SELECT repo, category, slug FROM notes UNION SELECT repo, category, slug FROM hit)
@@ -647,6 +676,16 @@ SELECT repo, objective, pos, node_id, description, 'pending' AS status, CAST(NUL
        array_to_string(list_filter(depends_on, lambda x: NOT starts_with(x, 'x')), ',') AS depends_on
 FROM nodes"""
 
+SQL["roadmap_rejects"] = with_(nodes_cte()) + """
+SELECT DISTINCT repo, objective, CASE WHEN objective % 7 = 3 THEN 'no section' ELSE 'no nodes' END AS reason
+FROM nodes WHERE objective % 7 IN (3, 5)"""
+
+SQL["node_state_rejects"] = with_(nodes_cte()) + """
+SELECT DISTINCT repo, objective, CASE objective % 7 WHEN 2 THEN 'no marker' WHEN 3 THEN 'bad state: malformed json'
+       WHEN 5 THEN 'bad state: wrong json type'
+       ELSE 'bad state: missing or invalid field' END AS reason
+FROM nodes WHERE objective % 7 IN (2, 3, 5, 6)"""
+
 SQL["load_node_state"] = with_(nodes_cte()) + f"SELECT {NODE_COLS} FROM nodes"
 
 SQL["node_state_round_trip"] = SQL["load_node_state"]
