@@ -2,8 +2,8 @@
 
 Two sets link when 100 * |x & y| >= percent * |x | y|. Equal sets are one set
 with its documents. A set is cut by hash value into as many parts as differences
-are allowed for its size class, and a few more, so linked sets share a part that
-holds words. Index lists are kept per part position and content: a probe meets
+are allowed for its size class, and more, so linked sets share a part that holds
+several words; smaller parts, which unrelated sets share, are not listed. Index lists are kept per part position and content: a probe meets
 only entries that agree at that position, and every other block of a list is
 skipped by its key, whatever single n-grams (a passage in a third of all texts)
 the sets have in common.
@@ -25,6 +25,8 @@ never is a component's name while another exists. An empty table gives no rows.
 
 from __future__ import annotations
 
+from math import ceil, exp, factorial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +38,11 @@ from .tokens import _COEF, U64, Shingles, Words, as_long, mix, text_slices
 
 PERCENT = 90
 GRAM = 3
-CLASS_RATIO = 1.6
+#: Largest to smallest set of a size class (more where linked sizes may lie further apart).
+CLASS_RATIO = 1.3
 SPARE_PARTS = 2
+#: The share of a set's parts that may be too small to be listed, and the most members asked of a listed part.
+SMALL_SHARE, MOST_LISTED = 0.06, 8
 
 
 def most_differences(a: int, b: int, percent: int) -> int:
@@ -45,6 +50,41 @@ def most_differences(a: int, b: int, percent: int) -> int:
     return (100 - percent) * (a + b) // (100 + percent)
 
 
+def part_rule(smallest: int, largest: int, percent: int) -> tuple[int, int, int]:
+    """(differences allowed, parts, members that a part needs to be listed) of a size class.
+
+    Linked sets agree in all parts but one for each difference. So if fewer parts than
+    the others are small, an agreeing part is not, and small parts need not be listed:
+    what few members they hold is what unrelated sets may share. The sizes of parts are
+    Poisson, which gives the small ones to expect."""
+    most = most_differences(largest, largest, percent)
+
+    def small(parts, least):  # of the smallest set's parts
+        mean = smallest / parts
+        return parts * sum(exp(-mean) * mean**k / factorial(k) for k in range(least))
+
+    for least in range(MOST_LISTED, 0, -1):
+        spare = SPARE_PARTS + ceil(2 * small(most + 1 + SPARE_PARTS, least))
+        parts = most + 1 + spare
+        if least == 1 or spare <= SPARE_PARTS + 2 * SMALL_SHARE * most and small(parts, least) <= 0.75 * spare:
+            return most, parts, least
+    raise AssertionError
+
+
+_known: dict = {}  # kept in a worker
+
+
+def part_rules(bounds: np.ndarray, percent: int) -> np.ndarray:
+    """The rules of all classes, a row each."""
+    rows = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        at = -(-lo * percent // 100), hi - 1, percent
+        if at not in _known:
+            _known[at] = part_rule(*at)
+        rows.append(_known[at])
+    return np.array(rows)
+
+
 def size_classes(largest: int, percent: int) -> list[int]:
     """Lower bounds of the size classes; sets of linkable sizes are in one class or neighbours."""
     bounds = [1]
@@ -64,8 +104,9 @@ def _part_keys(s: Shingles, rows: np.ndarray, bounds: np.ndarray, percent: int)
         cls = own + step
         use = np.ones(len(rows), bool) if step == 0 else 100 * size >= percent * bounds[cls]
         r, c = rows[use], cls[use]
-        most = (100 - percent) * 2 * (bounds[c + 1] - 1) // (100 + percent)
-        r, c, parts = r[most > 0], c[most > 0], most[most > 0] + 1 + SPARE_PARTS
+        rules = part_rules(bounds, percent)
+        r, c = r[rules[c, 0] > 0], c[rules[c, 0] > 0]
+        most, parts, least = rules[c].T
         if not len(r):
             continue
         n = s.offs[r + 1] - s.offs[r]
@@ -78,9 +119,12 @@ def _part_keys(s: Shingles, rows: np.ndarray, bounds: np.ndarray, percent: int)
         end = np.append(at[first[1:] - 1] + 1, at[-1] + 1)
         m, p = member[first], part[first]
         content = sums[end] - sums[at[first]]
-        full = np.bincount(m, minlength=len(r))
-        sparse = np.flatnonzero(parts - full > SPARE_PARTS)
-        for k in sparse:  # more empty parts than spare ones: they count as agreement too
+        big = end - at[first] >= least[m]
+        listed = np.bincount(m[big], minlength=len(r))
+        sparse = parts - listed > parts - most - 1  # more small parts than spare ones: they count as agreement too
+        keep = big | sparse[m]
+        m, p, content = m[keep], p[keep], content[keep]
+        for k in np.flatnonzero(sparse):
             empty = np.setdiff1d(np.arange(parts[k]), p[m == k])
             m, p = np.append(m, np.full(len(empty), k)), np.append(p, empty)
             content = np.append(content, np.zeros(len(empty), U64))
