@@ -11,11 +11,12 @@ the sets have in common.
 Answers come from set relations. Sets that lists connect are a family, led by
 the set that shares most parts with others; it alone is compared with every
 other one, which gives the link and the difference of the two sets. All other
-pairs of a family are derived from the leader's answers: |y ^ z| follows from the sizes of the differences to
-the leader and what these have in common, so pairs already linked through the
-leader are skipped, and two sets that both fail it can link only where the first
-n-grams of their differences (added before removed) agree. Nothing is sampled or
-capped; hot lists cost one row per entry.
+pairs of a family are derived from the leader's answers: |y ^ z| follows from the
+sizes of the differences to the leader and what these have in common, so pairs
+already linked through the leader are skipped, and two sets that both fail it can
+link only where the first n-grams of their differences (added before removed)
+agree; those pairs are confirmed from the texts. Nothing is sampled or capped; hot
+lists cost one row per entry.
 
 Sets and n-grams are compared by 64-bit hash. Documents without words are empty
 and linked with nothing; ones with fewer than n words have their whole sequence
@@ -167,29 +168,57 @@ def _entries(n: int, percent: int):
     return run
 
 
+def _shingles_of(col, n: int) -> list[np.ndarray]:
+    out = []
+    for _, rows, data, offs in text_slices(col):
+        s = Shingles(Words(data, offs, lower=True), n)
+        out.extend(s.hash[s.offs[i]:s.offs[i + 1]] for i in range(rows))
+    return out
+
+
+def _linked(both: int, x: int, y: int, percent: int) -> bool:
+    return 100 * both >= percent * (x + y - both)
+
+
 def _compare(n: int, percent: int, above: int | None):
-    """(r, y, r_text, y_text) -> size of y, link, size of the difference, and the difference itself: added n-grams,
-    then removed ones; null where it is more than ``above`` times the size of y."""
-    names = ["r", "y", "n_y", "linked", "d", "apart"]
+    """(r, y, r_text, y_text) -> size of y, link, size d of the difference, and its head; null where the difference is
+    more than ``above`` times the size of y.
+
+    The difference is in order: n-grams that y has and r lacks, then those it lacks. With most the largest difference of
+    sets linked with y, what links with y has least = d - most of the difference (for a linked y, d * percent / (100 +
+    percent)) in its own; of any order that all differences to r share, the first d - least + 1 of both then meet."""
+    names = ["r", "y", "n_y", "linked", "d", "head"]
 
     def run(batches):
         for batch in batches:
-            left, right = [], []
-            for col, out in ((2, left), (3, right)):
-                for _, rows, data, offs in text_slices(batch.column(col)):
-                    s = Shingles(Words(data, offs, lower=True), n)
-                    out.extend(s.hash[s.offs[i]:s.offs[i + 1]] for i in range(rows))
-            size, linked, far, apart = [], [], [], []
-            for x, y in zip(left, right, strict=True):
+            size, linked, far, head = [], [], [], []
+            for x, y in zip(_shingles_of(batch.column(2), n), _shingles_of(batch.column(3), n), strict=True):
                 both = np.intersect1d(x, y, assume_unique=True)
                 added, removed = np.setdiff1d(y, both, assume_unique=True), np.setdiff1d(x, both, assume_unique=True)
+                d = len(added) + len(removed)
+                near = _linked(len(both), len(x), len(y), percent)
+                least = d * percent // (100 + percent) if near else d - len(y) * (100 - percent) // percent
+                first = np.concatenate([added, removed])[:d - max(least, 1) + 1].view(np.int64)
                 size.append(len(y))
-                linked.append(100 * len(both) >= percent * (len(x) + len(added)))
-                far.append(len(added) + len(removed))
-                apart.append(np.concatenate([added, removed]).view(np.int64) if above is None or far[-1] <= above * len(y) else None)
+                linked.append(near)
+                far.append(d)
+                head.append(first if above is None or d <= above * len(y) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()),
-                 pa.array(far, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=names)
+                 pa.array(far, pa.int64()), pa.array(head, pa.list_(pa.int64()))], names=names)
+
+    return run
+
+
+def _confirm(n: int, percent: int):
+    """(a, b, a_text, b_text) -> those that link."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (_shingles_of(batch.column(k), n) for k in (2, 3))
+            hit = [_linked(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent) for a, b in zip(x, y, strict=True)]
+            keep = pa.array(hit, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -206,31 +235,17 @@ def _families(lists: DataFrame) -> DataFrame:
 
 
 def _derived(star: DataFrame, percent: int) -> DataFrame:
-    """Links among sets of one leader, at least one of which fails it, from their differences to it.
-
-    With d the size of a difference, a link needs |dy & dz| >= (dy + dz - most) / 2 >= least; of any order
-    of the difference's n-grams the first d - least + 1 of both sets then share one.
-    """
-    d, most = F.size("apart"), F.floor(F.col("n_y") * (100 - percent) / percent)
-    least = F.when(F.col("linked"), F.floor(d * percent / (100 + percent))).otherwise(d - most)
-    open_stars = star.filter("not linked").select("r").distinct()
-    heads = (star.join(open_stars, "r").filter(d > 0)
-             .select("r", "y", "n_y", "linked", d.alias("d"),
-                     F.explode(F.slice("apart", 1, (d - F.greatest(least, F.lit(1)) + 1).cast("int"))).alias("head")))
+    """(a, b): pairs of sets of one leader, at least one of which fails it, that its answers allow to link: the heads
+    of their differences to it meet, and neither their sizes nor those of the differences are too far apart."""
+    heads = star.select("r", "y", "n_y", "linked", "d", F.explode("head").alias("gram"))
     far = heads.filter("not linked")
     near = (100 - percent) / (100 + percent)
-    meet = (far.alias("f").join(heads.alias("h"), ["r", "head"])
+    total = F.col("f.n_y") + F.col("h.n_y")
+    return (far.alias("f").join(heads.alias("h"), ["r", "gram"])
             .filter("f.y <> h.y").filter("f.y < h.y or h.linked")
-            .filter(F.abs(F.col("f.d") - F.col("h.d")) <= (F.col("f.n_y") + F.col("h.n_y")) * near + 1)
-            .select("r", F.col("f.y").alias("y"), F.col("h.y").alias("z")).distinct())
-    a, b = star.alias("a"), star.alias("b")
-    common = F.size(F.array_intersect("a.apart", "b.apart"))
-    gap = F.size("a.apart") + F.size("b.apart") - 2 * common
-    total = F.col("a.n_y") + F.col("b.n_y")
-    return (meet.join(a, (F.col("a.r") == meet["r"]) & (F.col("a.y") == meet["y"]))
-            .join(b, (F.col("b.r") == meet["r"]) & (F.col("b.y") == meet["z"]))
-            .filter(100 * (total - gap) >= percent * (total + gap))
-            .select(F.col("a.y").alias("a"), F.col("b.y").alias("b")))
+            .filter(100 * F.least("f.n_y", "h.n_y") >= percent * F.greatest("f.n_y", "h.n_y"))
+            .filter(F.abs(F.col("f.d") - F.col("h.d")) <= total * near + 1)
+            .select(F.least("f.y", "h.y").alias("a"), F.greatest("f.y", "h.y").alias("b")).distinct())
 
 
 def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
@@ -249,15 +264,18 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
         lead = content.join(led.select(F.col("r").alias("fp")).distinct(), "fp").select(
             F.col("fp").alias("r"), F.col("text").alias("r_text"))
         return stored(own.join(lead, "r").select("r", "y", "r_text", "y_text").mapInArrow(
-            _compare(n, percent, above), "r long, y long, n_y long, linked boolean, d long, apart array<long>"), "star")
+            _compare(n, percent, above), "r long, y long, n_y long, linked boolean, d long, head array<long>"), "star")
 
     def links_of(star: DataFrame) -> DataFrame:
-        known = star.filter("apart is not null")
-        return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(_derived(known, percent))
+        pairs = _derived(star.filter("head is not null"), percent)
+        one, other = (content.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
+        told = pairs.join(one, "a").join(other, "b").select("a", "b", "a_text", "b_text")
+        return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(
+            told.mapInArrow(_confirm(n, percent), "a long, b long"))
 
     star = compared(_families(lists), 1)
     # A set that differs from its leader by more than its own size says little about others. Whatever it links with
-    # differs from the leader by nearly as much: those sets' lists get a leader each, and all differences are kept.
+    # differs from the leader by nearly as much: those sets' lists get a leader each, and all heads are kept.
     rest = star.filter(F.col("d") * percent * 100 > F.col("n_y") * (percent * percent - 100 * (100 - percent)))
     left = lists.join(rest.select(F.col("y").alias("fp")).distinct(), "fp", "left_semi")
     shares = left.join(left.groupBy("key").agg(F.count("*").alias("width")).filter("width > 1"), "key")

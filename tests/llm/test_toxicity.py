@@ -57,3 +57,26 @@ def test_nulls_and_no_labels(spark):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     out = tx.score(df, *tx.learn(df, none))
     assert [r.score for r in out.collect()] == [0.0] * 4 and tx.score(df.limit(0), *tx.learn(df, none)).count() == 0
+
+
+def test_long_words_and_bounded_states(monkeypatch):
+    long_term = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    lex = tx.Lexicon({long_term: 2.0, "idiot": 1.0}, {})
+    assert lex.judge(long_term[:20] + "x" + long_term[20:])[2] == long_term  # of any length
+    assert lex.judge("z" * 100_000) is None
+    monkeypatch.setattr(tx, "MAX_STATES", 5)
+    small = tx.Lexicon({long_term: 2.0, "idiot": 1.0}, {})
+    words = ["idiiot", "idio", "moron", long_term[1:], "idiots", "fine", "iidiott"]
+    assert [small.fuzzy(w) for w in words] == [lex.fuzzy(w) for w in words]
+    for w in words * 20:
+        small.fuzzy(w)
+    assert len(small._sets) < 500
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "you idiot", 1, 2, 3, 4), (2, "a kind word", 1, 2, 3, 4)]
+    df = docs(spark, rows, ", id long, y long, score long, half long")
+    lexicon, weights = tx.Lexicon({"idiot": 3.0}, {}), np.arange(tx.FEATURES + 1, dtype=float)
+    got = {r.doc_id: r.score for r in tx.score(df, lexicon, weights).collect()}
+    plain = {r.doc_id: r.score for r in tx.score(df.select("doc_id", "text"), lexicon, weights).collect()}
+    assert got == plain and got[1] > got[2]
