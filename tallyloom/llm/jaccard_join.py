@@ -39,6 +39,8 @@ from .tokens import _COEF, U64, Shingles, Words, as_long, mix, text_slices
 
 PERCENT = 90
 GRAM = 3
+#: Bits of the filter of shared keys that is sent to every task.
+MARK_BITS = 1 << 28
 #: Largest to smallest set of a size class (more where linked sizes may lie further apart).
 CLASS_RATIO = 1.3
 SPARE_PARTS = 2
@@ -151,23 +153,60 @@ def _sets(n: int):
     return run
 
 
-def _entries(n: int, percent: int):
+def _listed(col, n: int, percent: int):
+    """(keys, set fingerprints) of the index entries of a text column, slice by slice, each set once a slice."""
+    for _, _, data, offs in text_slices(col):
+        s = Shingles(Words(data, offs, lower=True), n)
+        fp = s.fingerprint()
+        _, rows = np.unique(fp, return_index=True)
+        rows = rows[np.diff(s.offs)[rows] > 0]
+        if len(rows):
+            bounds = np.array([*size_classes(int(np.diff(s.offs).max()) * 3 + 10, percent)])
+            r, key = _part_keys(s, rows, bounds, percent)
+            yield key, fp[r]
+
+
+def _key_counts(n: int, percent: int):
     def run(batches):
         for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
-                s = Shingles(Words(data, offs, lower=True), n)
-                fp = s.fingerprint()
-                _, rows = np.unique(fp, return_index=True)
-                rows = rows[np.diff(s.offs)[rows] > 0]
-                if not len(rows):
-                    continue
-                bounds = np.array([*size_classes(int(np.diff(s.offs).max()) * 3 + 10, percent)])
-                r, key = _part_keys(s, rows, bounds, percent)
-                yield pa.RecordBatch.from_arrays([as_long(key), as_long(fp[r])], names=["key", "fp"])
+            keys = np.concatenate([np.zeros(0, U64), *(key for key, _ in _listed(batch.column(0), n, percent))])
+            key, count = np.unique(keys, return_counts=True)
+            yield pa.RecordBatch.from_arrays([as_long(key), pa.array(count.astype(np.int64))], names=["key", "n"])
+
+    return run
+
+
+def _entries(n: int, percent: int, marks):
+    """The entries whose key may be among the marked ones."""
+    def run(batches):
+        bits = marks.value
+        last = U64(len(bits) * 64 - 1)
+        for batch in batches:
+            for key, fp in _listed(batch.column(0), n, percent):
+                some = np.ones(len(key), bool)
+                for at in (key & last, (key >> U64(32)) & last):
+                    some &= ((bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1)).astype(bool)
+                yield pa.RecordBatch.from_arrays([as_long(key[some]), as_long(fp[some])], names=["key", "fp"])
 
     return run
 
 
+def _marked(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of keys, which are hashes already: 16 bits a key, at most MARK_BITS in all. Only its words come
+    to the driver. Where it is too small for the keys more entries pass, and the join drops them."""
+    size = 1 << 16
+    while size < min(MARK_BITS, 16 * keys.count()):
+        size *= 2
+    places = F.array(F.col("key").bitwiseAND(F.lit(size - 1)),
+                     F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(size - 1)))
+    words = (keys.select(F.explode(places).alias("at"))
+             .groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
+             .toArrow())
+    out = np.zeros(size // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(U64)
+
+
 def _shingles_of(col, n: int) -> list[np.ndarray]:
     out = []
     for _, rows, data, offs in text_slices(col):
@@ -251,10 +290,13 @@ def _derived(star: DataFrame, percent: int) -> DataFrame:
 def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) between set fingerprints that give the right components."""
     texts = docs.select("text").filter("text is not null")
-    entries = texts.mapInArrow(_entries(n, percent), "key long, fp long")
-    shared = entries.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
-    shared = stored(shared, "shared")  # a join of two plain shuffles is one whose large keys Spark can split
-    lists = stored(entries.join(shared, "key").distinct(), "lists")
+    # keys alone first: those that stand once, most of them, are not sent again with their sets
+    twice = texts.mapInArrow(_key_counts(n, percent), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    twice = stored(twice.filter("n > 1").select("key"), "twice")  # a join of two plain shuffles is one whose large keys Spark can split
+    marks = docs.sparkSession.sparkContext.broadcast(_marked(twice))
+    met = stored(texts.mapInArrow(_entries(n, percent, marks), "key long, fp long").join(twice, "key").distinct(), "met")
+    shared = met.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
+    lists = stored(met.join(stored(shared, "shared"), "key"), "lists")
     one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(lists.select("fp").distinct(), "fp")
     content = stored(docs.join(one_row, "k").dropDuplicates(["k"]).select("fp", "text"), "contents")
 
