@@ -163,17 +163,12 @@ def _commit(spark: SparkSession, root: str, write: str, keys: Sequence[str], new
             old = partition_files(spark, root, now)
             kept = old if append else old.join(touched, _same(keys, old, touched), "left_anti")
             rows = kept.unionByName(new)
-        rows.coalesce(1 + _estimate(spark, root, now)).write.mode("overwrite").parquet(f"{root}/{MANIFEST}/{name}")
+        rows.write.mode("overwrite").parquet(f"{root}/{MANIFEST}/{name}")
         entry = {"manifest": name, "touched": None if touched is None else f"{write}-touched", "data": write, **facts}
         if claim(spark, _entry(root, now + 1), json.dumps(entry)):
             return now + 1
 
 
-def _estimate(spark: SparkSession, root: str, version: int) -> int:
-    """Files of the next manifest beyond one: a million partitions each."""
-    return 0 if not version else log_entry(spark, root, version).get("partitions", 0) // 1_000_000
-
-
 def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = (), base: int | None = None) -> int:
     """Write ``df`` as the whole next version and publish it. With ``base``, only if that is still the newest."""
     spark = df.sparkSession
