@@ -63,12 +63,13 @@ def learn_context(plans: DataFrame, close_events: DataFrame, prs: DataFrame, com
                   prefix: str = T.DEFAULT_PREFIX) -> tuple[DataFrame, DataFrame]:
     """One row per closed plan with its own prompt inputs. A plan without a
     merged closing PR becomes a reject row. Keys are matched first; the texts
-    of the PRs that matched come last, by a shuffle join."""
+    of the PRs that matched come last. PR rows are joined by a shuffle: a table
+    generated from a small one is estimated too small for a broadcast to be safe."""
     p = plans.select("repo", F.col("number").alias("issue"), F.col("title").alias("issue_title"),
                      F.coalesce("body", F.lit("")).alias("issue_body"))
     there = prs.select("repo", F.col("number").alias("pr_number"))
     keys = (p.select("repo", "issue").join(iss.linked_keys(close_events).drop("closed_at"), ["repo", "issue"])
-            .join(there, ["repo", "pr_number"]))
+            .join(there.hint("merge"), ["repo", "pr_number"]))
     rejects = p.select("repo", "issue").join(keys, ["repo", "issue"], "left_anti").withColumn(
         "reason", F.concat(F.lit("#"), F.col("issue").cast("string"), F.lit(" has no merged change")))
     texts = prs.select("repo", F.col("number").alias("pr_number"), F.col("title").alias("pr_title"),
