@@ -725,7 +725,7 @@ def _outcomes(spark, d):
     i = fx.issues(spark, d)
     plans = iss.unlearned_plans(i).select("repo", F.col("number").alias("issue"))
     numbers = fx.pull_requests(spark, d).select("repo", F.col("number").alias("pr_number"))
-    linked = iss.linked_keys(fx.close_events(spark, d)).join(numbers, ["repo", "pr_number"]).select(
+    linked = iss.linked_keys(fx.close_events(spark, d)).join(numbers.hint("merge"), ["repo", "pr_number"]).select(
         "repo", "issue", F.lit(True).alias("_pr"))
     rows, rej = _decoded(spark, d)
     key = ["repo", "issue"]

@@ -46,3 +46,30 @@ def test_no_text_is_broadcast(spark, name):
     plan = plan_of(spark, QUERIES[name](spark, SF))
     for part in re.findall(r"BroadcastExchange\nInput[^\n]*", plan):
         assert not re.search(r"\b(diff|body|content|text|pr_body|issue_body)#", part), part
+
+
+def subtrees(plan, root):
+    """The lines below each node of a plan tree whose line contains ``root``."""
+    rows = [(len(re.match(r"[\s:+|*()\d-]*", x).group()), x) for x in plan.splitlines() if x.strip()]
+    for i, (depth, line) in enumerate(rows):
+        if root in line:
+            below = []
+            for d, x in rows[i + 1:]:
+                if d <= depth:
+                    break
+                below.append(x)
+            yield below
+
+
+@pytest.mark.parametrize("name", ["batch_summary", "issue_list_text", "learn_context", "learn_context_rejects", "learn_prompt",
+                                  "linked_pr"])
+def test_generated_rows_are_not_broadcast(spark, name):
+    """Estimates leave out how many rows a generator makes of one: with Spark's own threshold, its rows go by a shuffle."""
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "10MB")
+    try:
+        plan = plan_of(spark, QUERIES[name](spark, SF), "simple")
+    finally:
+        spark.conf.set(key, was)
+    assert "Generate explode" in plan
+    assert not [x for below in subtrees(plan, "BroadcastExchange") for x in below if "Generate explode" in x and "r0" in x]
