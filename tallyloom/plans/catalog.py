@@ -876,8 +876,10 @@ def q_iso_date(spark, d):
 
 
 def _export(df: DataFrame, name: str) -> str:
+    """The export as JSON lines, compressed: diffs and comments are most of it."""
     path = scratch_path(df.sparkSession, f"export-{name}")
-    df.select(F.to_json(F.struct("repo", "line.*"), {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    lines = df.select(F.to_json(F.struct("repo", "line.*"), {"ignoreNullFields": "false"}).alias("value"))
+    lines.write.text(path, compression="gzip")
     return path
 
 

@@ -51,3 +51,24 @@ def test_bad_lines_and_times(spark, tmp_path):
 def test_close_events_schema_serves_the_operator(spark):
     from tallyloom import schemas
     assert iss.latest_close_event(spark.createDataFrame([], schemas.CLOSE_EVENTS)).count() == 0
+
+
+def test_exports_are_kept_compressed(spark):
+    """A host's export repeats itself from line to line: it is stored compressed, and read back whole."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tallyloom.plans import catalog
+    from tallyloom.sources import exports
+
+    diff = F.repeat(F.concat(F.lit("+line "), F.col("id").cast("string"), F.lit("\n")), 500)
+    prs = spark.range(200).select(F.lit("r").alias("repo"), F.struct(
+        F.col("id").alias("number"), F.lit("t").alias("title"), F.lit(None).cast("string").alias("body"),
+        F.lit("OPEN").alias("state"), F.lit("main").alias("headRefName"), diff.alias("diff")).alias("line"))
+    path = catalog._export(prs, "prs")
+    stored = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
+    back = exports.read_pr_export(spark, path)
+    texts = back.agg(F.sum(F.length("diff"))).first()[0]
+    assert stored * 10 < texts
+    assert back.select("number", "diff").exceptAll(prs.select("line.number", "line.diff")).count() == 0 and back.count() == 200
