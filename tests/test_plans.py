@@ -73,3 +73,18 @@ def test_generated_rows_are_not_broadcast(spark, name):
         spark.conf.set(key, was)
     assert "Generate explode" in plan
     assert not [x for below in subtrees(plan, "BroadcastExchange") for x in below if "Generate explode" in x and "r0" in x]
+
+
+def test_generated_pull_requests_are_spread(spark, tmp_path):
+    """Tasks go by the pull requests they make, not by the bytes of the narrow rows they make them of."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.sources import fixtures as fx
+
+    n = 60_000
+    spark.range(n).coalesce(1).select(
+        F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"),
+        F.lit(3).alias("p_size")).write.parquet(str(tmp_path / "part.parquet"))
+    prs = fx.pull_requests(spark, str(tmp_path))
+    made = prs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == n * len(fx.REPOS) and max(r["count"] for r in made) < 1.1 * fx.PRS_A_TASK
