@@ -37,6 +37,7 @@ LEARN_TAIL = (
 
 #: Before and after the objective's title and body.
 NODE_HEAD = "Plan the work of one node.\n\n## Node {node_id}\n{description}\n\n## Part of: "
+NODE_OBJECTIVE = "{objective_title}\n\n{objective_body}"
 NODE_TAIL = "\n\nThe plan says what to do and why, how it is checked, what it leaves out and where it can go wrong."
 
 
@@ -125,3 +126,14 @@ def node_plan_prompt(unblocked: DataFrame) -> DataFrame:
     segs = F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("seg"), F.lit(kind).alias("kind"), text.alias("text"))
                      for i, (kind, text) in enumerate(parts)])
     return unblocked.select("repo", "objective", "pos", "node_id", F.inline(segs))
+
+
+def node_plan_text(unblocked: DataFrame, objective_bodies: DataFrame) -> DataFrame:
+    """(repo, objective, pos, node_id, prompt): the whole prompt of each unblocked node, with its
+    objective's title and body. Bodies are joined by a shuffle: estimates of built texts are not to be trusted."""
+    o = objective_bodies.select("repo", "objective", F.col("title").alias("objective_title"),
+                                F.coalesce("body", F.lit("")).alias("objective_body"))
+    j = unblocked.select("repo", "objective", "pos", "node_id", "description").join(o.hint("merge"), ["repo", "objective"])
+    cols = {k: F.col(k) for k in ("objective_title", "objective_body", "node_id", "description")}
+    return j.select("repo", "objective", "pos", "node_id",
+                    render_template(NODE_HEAD + NODE_OBJECTIVE + NODE_TAIL, cols).alias("prompt"))

@@ -856,8 +856,10 @@ def q_learned_snapshot(spark, d):
 
 @query("node_plan_prompt")
 def q_node_plan_prompt(spark, d):
-    out = pr.node_plan_prompt(graph.unblocked_nodes(fx.nodes(spark, d)))
-    return out.select("repo", "objective", "pos", "node_id", "seg", "kind", "text")
+    """The whole prompt of each unblocked node; the bodies and the blocking join read the same stored nodes."""
+    n = fx.nodes(spark, d, checkpoint=True)
+    out = pr.node_plan_text(graph.unblocked_nodes(n), fx.objective_bodies(spark, d, n))
+    return out.select("repo", "objective", "pos", "node_id", F.length("prompt").cast("bigint").alias("prompt_chars"), _sha("prompt"))
 
 
 @query("objective_segments")

@@ -947,16 +947,19 @@ OBJ_BODIES = """obj_bodies AS (
                             ELSE '' END AS body
   FROM nodes GROUP BY repo, objective)"""
 
-def _node_plan_sql() -> str:
-    from tallyloom.operators.prompts import NODE_HEAD, NODE_TAIL
-    head = sql_template(NODE_HEAD, {"node_id": "node_id", "description": "description"})
-    return f"""
-SELECT repo, objective, pos, node_id, CAST(1 AS BIGINT) AS seg, 'text' AS kind, {head} AS text FROM unblocked
-UNION ALL SELECT repo, objective, pos, node_id, 2, 'objective', NULL FROM unblocked
-UNION ALL SELECT repo, objective, pos, node_id, 3, 'text', {sql_template(NODE_TAIL, {})} FROM unblocked"""
+
+def _node_prompt_sql() -> str:
+    from tallyloom.operators.prompts import NODE_HEAD, NODE_OBJECTIVE, NODE_TAIL
+    return sql_template(NODE_HEAD + NODE_OBJECTIVE + NODE_TAIL,
+                        {"objective_title": "concat('Objective ', u.objective)", "objective_body": "ob.body",
+                         "node_id": "u.node_id", "description": "u.description"})
 
 
-SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED) + _node_plan_sql()
+SQL["node_plan_prompt"] = with_(nodes_cte(), FIRST, EDGES, BLOCKED, UNBLOCKED, OBJ_BODIES) + f"""
+, p AS (SELECT u.repo, u.objective, u.pos, u.node_id, {_node_prompt_sql()} AS prompt
+        FROM unblocked u JOIN obj_bodies ob ON ob.repo = u.repo AND ob.objective = u.objective)
+SELECT repo, objective, pos, node_id, CAST(length(prompt) AS BIGINT) AS prompt_chars, sha256(prompt) AS prompt_sha
+FROM p"""
 
 SQL["objective_segments"] = with_(nodes_cte(), OBJ_BODIES) + """
 , s AS (SELECT repo, objective, concat('Objective ', objective) || chr(10) || chr(10) || body AS text FROM obj_bodies)

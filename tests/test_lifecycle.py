@@ -133,6 +133,16 @@ def test_node_plan_prompt(spark):
     assert "## Node a\nda\n\n## Part of: Objective 1\n\ngoal text\n" in whole
 
 
+def test_node_plan_text_holds_the_whole_objective(spark):
+    n = nodes_df(spark, [("a", "pending", [], None), ("b", "pending", [], None)])
+    bodies = spark.createDataFrame([("r", 1, "Objective 1", "goal text\n" * 5000)],
+                                   "repo string, objective long, title string, body string")
+    p = {r.node_id: r.prompt for r in pr.node_plan_text(n, bodies).collect()}
+    segments = pr.node_plan_prompt(n).orderBy("node_id", "seg").collect()
+    objective = pr.objective_segments(bodies).first().text
+    assert p == {k: "".join(r.text or objective for r in segments if r.node_id == k) for k in ("a", "b")}
+
+
 def talk(rows):
     return [("r", 1, k, body) for k, body in enumerate(rows)]
 
