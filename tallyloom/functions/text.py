@@ -193,40 +193,40 @@ def _field_line(field: str) -> str:
     return r"(?dmU)^[^\S\n]*" + java_quote(field) + r":(.*)$"
 
 
+def once(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def fm_field(content, field: str) -> Column:
     """First line of the whole file starting ``field:``; value trimmed and
     stripped of quotes; null if there is no such line."""
-    c = _c(content)
     pat = _field_line(field)
-    return F.when(c.rlike(pat), strip_quotes(trim_ws(F.regexp_extract(c, pat, 1))))
+    return once(F.regexp_extract(_c(content), pat, 0), lambda line: F.when(
+        line != "", strip_quotes(trim_ws(F.regexp_extract(line, pat, 1)))))
 
 
 def fm_list(content, field: str) -> Column:
     """``- item`` lines after the first ``field:`` line; blank lines and repeated
-    ``field:`` lines are skipped, the first other line ends the list. The lines
-    are an array, so a list of any length is one pass over it."""
-    c = _c(content)
-    key = field + ":"
-    rows = F.transform(F.split(c, "\n", -1), trim_ws)
-    head = F.array_position(F.transform(rows, lambda t: t.startswith(key)), True)
-    tail = F.slice(rows, (head + 1).cast("int"), F.greatest(F.size(rows) - head, F.lit(0)).cast("int"))
-    ends = F.array_position(F.transform(tail, lambda t: ~((t == "") | t.startswith("- ") | t.startswith(key))), True)
-    items = F.filter(F.slice(tail, 1, F.when(ends > 0, ends - 1).otherwise(F.size(tail)).cast("int")),
-                     lambda t: t.startswith("- "))
-    items = F.transform(items, lambda t: strip_quotes(F.regexp_replace(t, r"\A(?:- )++", "")))
-    return F.when(head > 0, items).otherwise(F.array().cast("array<string>"))
+    ``field:`` lines are skipped, the first other line ends the list. The lines of
+    the list are found by one search (a possessive group, which a list of any length
+    does not nest), and only they are split and trimmed."""
+    key = java_quote(field + ":")
+    row = r"\n[^\S\n]*+(?:- [^\S\n]*+\S[^\n]*+|" + key + r"[^\n]*+|(?=\n|\z))"
+    span = F.regexp_extract(_c(content), r"(?dmU)^[^\S\n]*+" + key + r"[^\n]*+((?:" + row + ")*+)", 1)
+    rows = F.transform(F.split(F.coalesce(span, F.lit("")), "\n", -1), trim_ws)
+    return F.transform(F.filter(rows, lambda t: t.startswith("- ")),
+                       lambda t: strip_quotes(F.regexp_replace(t, r"\A(?:- )++", "")))
 
 
 def fm_issues(content) -> Column:
     """``source_issues: [a, b]`` (first such line anywhere) -> array<bigint>."""
-    c = _c(content)
-    pat = _field_line("source_issues")
-    inner = F.regexp_replace(trim_ws(F.regexp_extract(c, pat, 1)), r"\A[\[\]]+|[\[\]]+\z", "")
-    nums = F.transform(F.split(inner, ",", -1), lambda s: _digits_to_bigint(
-        F.when(trim_ws(s).rlike(r"\A\+?[0-9]+\z"), F.regexp_replace(trim_ws(s), r"\A\+", "")
-               ).otherwise(F.lit(""))))
-    nums = F.filter(nums, lambda x: x.isNotNull())
-    return F.when(c.rlike(pat), nums).otherwise(F.array().cast("array<bigint>"))
+    inner = F.regexp_replace(trim_ws(F.regexp_extract(_c(content), _field_line("source_issues"), 1)),
+                             r"\A[\[\]]+|[\[\]]+\z", "")
+    # no such line reads as empty text, which holds no number
+    nums = F.transform(F.split(F.coalesce(inner, F.lit("")), ",", -1), lambda s: once(trim_ws(s), lambda t: _digits_to_bigint(
+        F.when(t.rlike(r"\A\+?[0-9]+\z"), F.regexp_replace(t, r"\A\+", "")).otherwise(F.lit("")))))
+    return F.filter(nums, lambda x: x.isNotNull())
 
 
 _FM_HEADER = r"(?s)\A[^\S\n]*---[^\S\n]*\n(?:.*?\n)??[^\S\n]*---[^\S\n]*(?:\n|\z)"
@@ -241,8 +241,10 @@ def fm_header(content) -> Column:
 
 
 def fm_rest(content) -> Column:
+    """The text after ``fm_header``."""
     c = _c(content)
-    return F.substring(c, F.length(fm_header(c)) + 1, F.lit(1 << 30))
+    return once(F.length(F.regexp_extract(c, _FM_HEADER, 0)), lambda n: F.when(
+        n > 0, F.substring(c, n + 1, F.lit(1 << 30))).when(n == 0, F.lit("")))
 
 
 def fm_replace(header, field: str, value) -> Column:

@@ -125,8 +125,8 @@ def hooks_concat(hooks: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
 def routing_rows(scanned: DataFrame, root: str = MEMORY_ROOT) -> DataFrame:
     """One routing row per note: file, title (falls back to slug), read-when."""
     title = F.coalesce(T.fm_field(F.col("content"), "title"), F.col("slug"))
-    rw = T.fm_list(F.col("content"), "read_when")
-    rw_txt = F.when(F.size(rw) == 0, F.lit(EMPTY_READ_WHEN)).otherwise(F.array_join(rw, "; "))
+    rw_txt = T.once(T.fm_list(F.col("content"), "read_when"), lambda rw: F.when(
+        F.size(rw) == 0, F.lit(EMPTY_READ_WHEN)).otherwise(F.array_join(rw, "; ")))
     f = F.concat(F.lit("@" + root + "/"), F.col("category"), F.lit("/"), F.col("slug"), F.lit(".md"))
     out = scanned.select("repo", "category", "slug", "rank", f.alias("file"), title.alias("title"),
                          rw_txt.alias("read_when"))

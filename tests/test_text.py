@@ -149,3 +149,16 @@ def test_fm_list_of_any_length(spark):
     assert got == [f"item {i}" for i in range(50_000)]
     assert one(spark, T.fm_list(F.col("t"), "read_when"), "read_when:\n- - a\n\r\nread_when: x\n\t- b \n-\n- c") == ["a", "b"]
     assert one(spark, T.fm_list(F.col("t"), "read_when"), "x\n" * 100_000) == []
+
+
+def test_front_matter_is_read_without_splitting_the_body(spark):
+    """One search finds a list's lines; the rest of a note, however long, is neither split nor trimmed."""
+    body = "\n".join(f"line {i} " for i in range(20_000))
+    note = f'---\ntitle: "T"\nread_when:\n  - "a"\n\n - b\nsource_issues: [3, +4]\n---\n\n{body}'
+    df = spark.createDataFrame([(note,), (None,), ("",), ("read_when:\n- x\r\n-\n- y",)], "c string")
+    out = df.select(T.fm_list("c", "read_when").alias("l"), T.fm_issues("c").alias("i"), T.fm_field("c", "title").alias("f"),
+                    T.fm_rest("c").alias("r"))
+    assert [(r.l, r.i, r.f) for r in out.collect()] == [(["a", "b"], [3, 4], "T"), ([], [], None), ([], [], None), (["x"], [], None)]
+    assert out.first().r == "\n" + body
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(c#" not in plan and plan.count("regexp_extract(c#") == 4
