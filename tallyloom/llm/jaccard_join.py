@@ -277,11 +277,11 @@ def _derived(star: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of sets of one leader, at least one of which fails it, that its answers allow to link: the heads
     of their differences to it meet, and neither their sizes nor those of the differences are too far apart."""
     heads = star.select("r", "y", "n_y", "linked", "d", F.explode("head").alias("gram"))
-    far = heads.filter("not linked")
     near = (100 - percent) / (100 + percent)
     total = F.col("f.n_y") + F.col("h.n_y")
-    return (far.alias("f").join(heads.alias("h"), ["r", "gram"])
-            .filter("f.y <> h.y").filter("f.y < h.y or h.linked")
+    # which sides fail the leader is asked of both at once: two equal sides are shuffled once
+    return (heads.alias("f").join(heads.alias("h"), ["r", "gram"])
+            .filter("f.y <> h.y").filter("case when f.linked then false else f.y < h.y or h.linked end")
             .filter(100 * F.least("f.n_y", "h.n_y") >= percent * F.greatest("f.n_y", "h.n_y"))
             .filter(F.abs(F.col("f.d") - F.col("h.d")) <= total * near + 1)
             .select(F.least("f.y", "h.y").alias("a"), F.greatest("f.y", "h.y").alias("b")).distinct())
@@ -303,19 +303,20 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     def compared(led: DataFrame, above: int | None) -> DataFrame:
         """(r, y) with what _compare says of them; led: (fp, r)."""
         own = content.join(led.filter("fp <> r"), "fp").select("r", F.col("fp").alias("y"), F.col("text").alias("y_text"))
-        lead = content.join(led.select(F.col("r").alias("fp")).distinct(), "fp").select(
-            F.col("fp").alias("r"), F.col("text").alias("r_text"))
+        # stored, so that the join is one of two plain shuffles and a leader of very many sets can be split
+        lead = stored(content.join(led.select(F.col("r").alias("fp")).distinct(), "fp").select(
+            F.col("fp").alias("r"), F.col("text").alias("r_text")), "leaders")
         return stored(own.join(lead, "r").select("r", "y", "r_text", "y_text").mapInArrow(
             _compare(n, percent, above), "r long, y long, n_y long, linked boolean, d long, head array<long>"), "star")
 
     def links_of(star: DataFrame) -> DataFrame:
-        pairs = _derived(star.filter("head is not null"), percent)
+        pairs = stored(_derived(star.filter("head is not null"), percent), "derived")  # before texts go with them
         one, other = (content.select(F.col("fp").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
         told = pairs.join(one, "a").join(other, "b").select("a", "b", "a_text", "b_text")
         return star.filter("linked").select(F.col("r").alias("a"), F.col("y").alias("b")).unionByName(
             told.mapInArrow(_confirm(n, percent), "a long, b long"))
 
-    star = compared(_families(lists), 1)
+    star = compared(stored(_families(lists), "families"), 1)
     # A set that differs from its leader by more than its own size says little about others. Whatever it links with
     # differs from the leader by nearly as much: those sets' lists get a leader each, and all heads are kept.
     rest = star.filter(F.col("d") * percent * 100 > F.col("n_y") * (percent * percent - 100 * (100 - percent)))
