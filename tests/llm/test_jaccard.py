@@ -66,3 +66,21 @@ def test_components_of_a_chain(spark):
     for k, v in got.items():
         groups[v].add(k)
     assert groups == {0: set(range(21)), 40: {40, 50}}
+
+
+def test_heads_are_shuffled_once(spark, tmp_path):
+    rows = [(1, 2, 9, False, 4, [7, 8]), (1, 3, 9, False, 4, [8, 9]), (1, 4, 9, True, 1, [9]), (1, 5, 99, False, 4, [8]),
+            (2, 6, 9, False, 4, [8]), (1, 7, 9, True, 1, [9])]
+    schema = "r long, y long, n_y long, linked boolean, d long, head array<long>"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "star"))
+    star = spark.read.schema(schema).parquet(str(tmp_path / "star")).filter("head is not null")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = jj._derived(star, 50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == [(2, 3), (3, 4), (3, 7)]
+    assert "ReusedExchange" in plan
