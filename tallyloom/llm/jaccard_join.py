@@ -6,7 +6,10 @@ are allowed for its size class, and more, so linked sets share a part that holds
 several words; smaller parts, which unrelated sets share, are not listed. Index lists are kept per part position and content: a probe meets
 only entries that agree at that position, and every other block of a list is
 skipped by its key, whatever single n-grams (a passage in a third of all texts)
-the sets have in common.
+the sets have in common. Of its parts a set enters the lists of the rarest ones
+only, one more than differences are allowed: the rarest part in which linked sets
+agree has at most that many rarer ones in either set. A set whose rarest parts are
+its own alone is in no list.
 
 Answers come from set relations. Sets that lists connect are a family, led by
 the set that shares most parts with others; it alone is compared with every
@@ -41,6 +44,8 @@ PERCENT = 90
 GRAM = 3
 #: Bits of the filter of shared keys that is sent to every task.
 MARK_BITS = 1 << 28
+#: Parts are ranked by how many of these their texts outnumber.
+RANKS = (1, 4, 16, 64, 256)
 #: Largest to smallest set of a size class (more where linked sizes may lie further apart).
 CLASS_RATIO = 1.3
 SPARE_PARTS = 2
@@ -96,13 +101,14 @@ def size_classes(largest: int, percent: int) -> list[int]:
     return bounds
 
 
-def _part_keys(s: Shingles, rows: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the index entries of the given rows."""
+def _part_keys(s: Shingles, rows: np.ndarray, bounds: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
+    """(row, key, small, most) of the parts of the given rows that may be listed, for each class they are in: whether
+    the part has fewer members than a listed one needs, and the differences that the class allows."""
     sums = np.zeros(len(s.hash) + 1, U64)
     np.cumsum(mix(s.hash ^ _COEF[9]), out=sums[1:])
     size = np.diff(s.offs)[rows]
     own = np.searchsorted(bounds, size, "right") - 1
-    out_rows, out_keys = [], []
+    out = []
     for step in (0, 1):
         cls = own + step
         use = np.ones(len(rows), bool) if step == 0 else 100 * size >= percent * bounds[cls]
@@ -126,17 +132,25 @@ def _part_keys(s: Shingles, rows: np.ndarray, bounds: np.ndarray, percent: int)
         listed = np.bincount(m[big], minlength=len(r))
         sparse = parts - listed > parts - most - 1  # more small parts than spare ones: they count as agreement too
         keep = big | sparse[m]
-        m, p, content = m[keep], p[keep], content[keep]
+        m, p, content, small = m[keep], p[keep], content[keep], ~big[keep]
         for k in np.flatnonzero(sparse):
             empty = np.setdiff1d(np.arange(parts[k]), p[m == k])
             m, p = np.append(m, np.full(len(empty), k)), np.append(p, empty)
-            content = np.append(content, np.zeros(len(empty), U64))
+            content, small = np.append(content, np.zeros(len(empty), U64)), np.append(small, np.ones(len(empty), bool))
         key = mix(content + mix((c[m].astype(U64) << U64(32)) + p.astype(U64)))
-        out_rows.append(r[m])
-        out_keys.append(key)
-    if not out_rows:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    return np.concatenate(out_rows), np.concatenate(out_keys)
+        out.append((r[m], key, small, most[m]))
+    return out
+
+
+def _rarest(row: np.ndarray, key: np.ndarray, small: np.ndarray, most: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Places of the first most + 1 parts of each row, in an order that all sets share: small parts last, then by rank,
+    then by key. Those in which linked sets differ are at most ``most``, so both have the first of the others here."""
+    order = np.lexsort((key, rank, small, row))
+    new = np.ones(len(order), bool)
+    new[1:] = row[order[1:]] != row[order[:-1]]
+    first = np.flatnonzero(new)
+    place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[place <= most[order]]
 
 
 def _sets(n: int):
@@ -154,7 +168,7 @@ def _sets(n: int):
 
 
 def _listed(col, n: int, percent: int):
-    """(keys, set fingerprints) of the index entries of a text column, slice by slice, each set once a slice."""
+    """(rows, keys, small, most, fingerprints of the rows) of the parts of a text column, slice by slice, each set once a slice."""
     for _, _, data, offs in text_slices(col):
         s = Shingles(Words(data, offs, lower=True), n)
         fp = s.fingerprint()
@@ -162,31 +176,41 @@ def _listed(col, n: int, percent: int):
         rows = rows[np.diff(s.offs)[rows] > 0]
         if len(rows):
             bounds = np.array([*size_classes(int(np.diff(s.offs).max()) * 3 + 10, percent)])
-            r, key = _part_keys(s, rows, bounds, percent)
-            yield key, fp[r]
+            for r, key, small, most in _part_keys(s, rows, bounds, percent):
+                yield r, key, small, most, fp
 
 
 def _key_counts(n: int, percent: int):
     def run(batches):
         for batch in batches:
-            keys = np.concatenate([np.zeros(0, U64), *(key for key, _ in _listed(batch.column(0), n, percent))])
+            keys = np.concatenate([np.zeros(0, U64), *(key for _, key, *_ in _listed(batch.column(0), n, percent))])
             key, count = np.unique(keys, return_counts=True)
             yield pa.RecordBatch.from_arrays([as_long(key), pa.array(count.astype(np.int64))], names=["key", "n"])
 
     return run
 
 
+def _rank(key: np.ndarray, marks: list[np.ndarray]) -> np.ndarray:
+    """How many filters a key may be in, up to the first that it is not in."""
+    out, some = np.zeros(len(key), np.int64), np.arange(len(key))
+    for bits in marks:
+        last = U64(len(bits) * 64 - 1)
+        for shift in (U64(0), U64(32)):
+            at = (key[some] >> shift) & last
+            some = some[((bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1)).astype(bool)]
+        out[some] += 1
+    return out
+
+
 def _entries(n: int, percent: int, marks):
-    """The entries whose key may be among the marked ones."""
+    """The entries of each set's rarest parts whose key may be among the marked ones."""
     def run(batches):
-        bits = marks.value
-        last = U64(len(bits) * 64 - 1)
         for batch in batches:
-            for key, fp in _listed(batch.column(0), n, percent):
-                some = np.ones(len(key), bool)
-                for at in (key & last, (key >> U64(32)) & last):
-                    some &= ((bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1)).astype(bool)
-                yield pa.RecordBatch.from_arrays([as_long(key[some]), as_long(fp[some])], names=["key", "fp"])
+            for row, key, small, most, fp in _listed(batch.column(0), n, percent):
+                rank = _rank(key, marks.value)
+                at = _rarest(row, key, small, most, rank)
+                at = at[rank[at] > 0]
+                yield pa.RecordBatch.from_arrays([as_long(key[at]), as_long(fp[row[at]])], names=["key", "fp"])
 
     return run
 
@@ -292,9 +316,9 @@ def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     texts = docs.select("text").filter("text is not null")
     # keys alone first: those that stand once, most of them, are not sent again with their sets
     twice = texts.mapInArrow(_key_counts(n, percent), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    twice = stored(twice.filter("n > 1").select("key"), "twice")  # a join of two plain shuffles is one whose large keys Spark can split
-    marks = docs.sparkSession.sparkContext.broadcast(_marked(twice))
-    met = stored(texts.mapInArrow(_entries(n, percent, marks), "key long, fp long").join(twice, "key").distinct(), "met")
+    twice = stored(twice.filter("n > 1"), "twice")  # a join of two plain shuffles is one whose large keys Spark can split
+    marks = docs.sparkSession.sparkContext.broadcast([_marked(twice.filter(F.col("n") > least).select("key")) for least in RANKS])
+    met = stored(texts.mapInArrow(_entries(n, percent, marks), "key long, fp long").join(twice.select("key"), "key").distinct(), "met")
     shared = met.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("key")
     lists = stored(met.join(stored(shared, "shared"), "key"), "lists")
     one_row = sets.filter("n > 0").groupBy("fp").agg(F.min("k").alias("k")).join(lists.select("fp").distinct(), "fp")

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from llm_helpers import docs, texts, words
 from tallyloom.llm import jaccard_join as jj
@@ -84,3 +85,40 @@ def test_heads_are_shuffled_once(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert got == [(2, 3), (3, 4), (3, 7)]
     assert "ReusedExchange" in plan
+
+
+def test_a_common_passage_puts_unrelated_sets_in_no_list(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(50)]
+    rows = [(i, " ".join([*(f"w{i}x{k}" for k in range(130)), *passage, *(f"v{i}x{k}" for k in range(130))])) for i in range(120)]
+    near = rows[0][1].split()
+    for k in (3, 99, 290):
+        near[k] = f"e{rng.randrange(9)}"
+    rows += [(500, " ".join(near)), (501, rows[5][1]), *((600 + i, t) for i, t in enumerate(family(3, 20, 60)))]
+    listed = {}
+    stored = jj.stored
+
+    def seen(df, name):
+        out = stored(df, name)
+        listed.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(jj, "stored", seen)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.join(docs(spark, rows), n=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+    assert got[500][1] == 0 and got[501][1] == 5 and got[1][1] == 1
+    named = {r.fp: r.id for r in listed["named"].collect()}
+    assert {i for i in (named[r.fp] for r in listed["lists"].collect()) if 0 < i < 500} == set()
+
+
+def test_rarest_parts_of_linked_sets_meet():
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        parts, most = 12, int(rng.integers(1, 9))
+        x = rng.integers(0, 2**62, parts).astype(np.uint64)
+        y = np.where(rng.permutation(parts) < most, rng.integers(0, 2**62, parts).astype(np.uint64), x)
+        small = lambda key: key % np.uint64(7) == 0
+        key, row = np.concatenate([x, y]), np.repeat([0, 1], parts)
+        at = jj._rarest(row, key, small(key), np.full(len(key), most), (key % np.uint64(3)).astype(np.int64))
+        assert np.bincount(row[at]).tolist() == [most + 1] * 2
+        assert set(key[at][row[at] == 0].tolist()) & set(key[at][row[at] == 1].tolist())
