@@ -299,16 +299,23 @@ def _families(lists: DataFrame) -> DataFrame:
 
 def _derived(star: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of sets of one leader, at least one of which fails it, that its answers allow to link: the heads
-    of their differences to it meet, and neither their sizes nor those of the differences are too far apart."""
-    heads = star.select("r", "y", "n_y", "linked", "d", F.explode("head").alias("gram"))
+    of their differences to it meet often enough, and neither their sizes nor those of the differences are too far apart.
+
+    |y ^ z| is the sum of both differences less twice what they have in common. Of that, all is in both heads but for
+    what the head that ends first in the common order leaves out."""
+    heads = star.select("r", "y", "n_y", "linked", "d", (F.col("d") - F.size("head")).alias("rest"), F.explode("head").alias("gram"))
     near = (100 - percent) / (100 + percent)
     total = F.col("f.n_y") + F.col("h.n_y")
+    # what the heads must have in common, times 2 (100 + percent)
+    need = ((F.col("f.d") + F.col("h.d") - 2 * F.greatest("f.rest", "h.rest")) * (100 + percent) - total * (100 - percent))
     # which sides fail the leader is asked of both at once: two equal sides are shuffled once
     return (heads.alias("f").join(heads.alias("h"), ["r", "gram"])
             .filter("f.y <> h.y").filter("case when f.linked then false else f.y < h.y or h.linked end")
             .filter(100 * F.least("f.n_y", "h.n_y") >= percent * F.greatest("f.n_y", "h.n_y"))
             .filter(F.abs(F.col("f.d") - F.col("h.d")) <= total * near + 1)
-            .select(F.least("f.y", "h.y").alias("a"), F.greatest("f.y", "h.y").alias("b")).distinct())
+            .groupBy(F.least("f.y", "h.y").alias("a"), F.greatest("f.y", "h.y").alias("b"))
+            .agg(F.count("*").alias("met"), F.min(need).alias("need"))
+            .filter(2 * (100 + percent) * F.col("met") >= F.col("need")).select("a", "b"))
 
 
 def _links(docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:

@@ -122,3 +122,13 @@ def test_rarest_parts_of_linked_sets_meet():
         at = jj._rarest(row, key, small(key), np.full(len(key), most), (key % np.uint64(3)).astype(np.int64))
         assert np.bincount(row[at]).tolist() == [most + 1] * 2
         assert set(key[at][row[at] == 0].tolist()) & set(key[at][row[at] == 1].tolist())
+
+
+def test_pairs_whose_differences_meet_too_seldom_are_not_derived(spark):
+    schema = "r long, y long, n_y long, linked boolean, d long, head array<long>"
+    # 80 %: of 100 members each, linked ones have |y ^ z| <= 22, so 9 of 20 grams in common, at most 3 of them not in the heads
+    head = list(range(100, 117))
+    rows = [(1, 2, 100, False, 20, head), (1, 3, 100, False, 20, [*head[:6], *range(200, 211)]),
+            (1, 4, 100, False, 20, [*head[:5], *range(300, 312)])]
+    got = jj._derived(spark.createDataFrame(rows, schema), 80).collect()
+    assert sorted(map(tuple, got)) == [(2, 3)]
